@@ -36,6 +36,7 @@ from strata.operators.validate import validation_errors
 from strata.plans import fixtures as fx
 from strata.functions.timefn import end_of_day_literal
 
+MICROS_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 RECORD_COLS = ["run_id", "dataset_name", "version", "ingested_at", "row_count", "checksum", "source_path", "partition_path", "schema_hash"]
 
 
@@ -243,7 +244,7 @@ def health_frame(spark: SparkSession, sf: str, now=fx.NOW) -> DataFrame:
     )
     checked_at = F.lit(now).cast("timestamp_ntz")
     return report.select(
-        F.sha2(F.concat_ws("|", F.col("dataset_name"), checked_at.cast("string")), 256).alias("id"),
+        F.sha2(F.concat_ws("|", F.col("dataset_name"), F.date_format(checked_at, MICROS_FORMAT)), 256).alias("id"),
         "dataset_name",
         checked_at.alias("checked_at"),
         aggregate_status(F.col("freshness_ok"), F.col("volume_ok"), F.col("null_ratio_ok"), F.col("schema_hash_ok")).alias("status"),
@@ -304,7 +305,7 @@ def _reports_log(spark, sf):
     vb = volume_backfill(_records(spark, sf))
     checked = F.timestamp_add("MINUTE", F.lit(5), F.col("ingested_at"))
     return vb.select(
-        F.sha2(F.concat_ws("|", F.col("dataset_name"), checked.cast("string")), 256).alias("id"),
+        F.sha2(F.concat_ws("|", F.col("dataset_name"), F.date_format(checked, MICROS_FORMAT)), 256).alias("id"),
         "dataset_name",
         checked.alias("checked_at"),
         aggregate_status(F.lit(True), F.col("volume_ok"), F.lit(True), F.lit(True)).alias("status"),
