@@ -32,6 +32,6 @@ def json_quote(c: Column) -> Column:
             .otherwise(F.concat(_u4(hi), _u4(lo)))
         )
 
-    chars = F.split(c, "(?s)(?!^)(?=.)", -1)
+    chars = F.regexp_extract_all(c, F.lit("(?s)."), 0)
     body = F.when(F.length(c) == 0, F.lit("")).otherwise(F.array_join(F.transform(chars, esc), ""))
     return F.concat(F.lit('"'), body, F.lit('"'))

@@ -32,6 +32,7 @@ from strata.model import (
 from strata.operators.registry import ingestion_history, latest_ingestion
 
 
+
 def _max_age_micros() -> Column:
     """Literal map frequency -> max age in microseconds (inlined, no join)."""
     pairs = []
@@ -231,3 +232,64 @@ def aggregate_status(freshness_ok: Column, volume_ok: Column, null_ratio_ok: Col
         .when(failures >= 1, F.lit(HealthStatus.DEGRADED.value))
         .otherwise(F.lit(HealthStatus.HEALTHY.value))
     )
+
+
+def health_reports(registrations: DataFrame, records: DataFrame, null_summary: DataFrame, now) -> DataFrame:
+    """One report per registered dataset: the four checks, status and JSON details.
+
+    ``null_summary`` has one row per dataset whose frame has rows
+    (check_null_ratio output); a registered dataset without rows gets
+    ``empty_dataframe``; one without runs gets ``no_ingestion_history``.
+    """
+    now_c = now if isinstance(now, Column) else F.lit(now).cast("timestamp_ntz")
+    latest = latest_ingestion(records)
+    fresh = check_freshness(registrations, latest, now_c)
+    vol = check_volume(records)
+    sch = check_schema_hash(registrations, latest)
+    base = registrations.select(F.col("name").alias("dataset_name"))
+    j = (
+        base.join(fresh, "dataset_name", "left")
+        .join(vol, "dataset_name", "left")
+        .join(null_summary, "dataset_name", "left")
+        .join(sch, "dataset_name", "left")
+    )
+    no_hist = F.col("records_available").isNull()
+    no_rows = F.col("null_ratio_ok").isNull()
+    freshness_ok = F.coalesce("freshness_ok", F.lit(False))
+    volume_ok = F.coalesce("volume_ok", F.lit(False))
+    null_ok = F.coalesce("null_ratio_ok", F.lit(False))
+    schema_ok = F.coalesce("schema_hash_ok", F.lit(False))
+    details = F.struct(
+        F.struct("freshness_reason", "ingested_at", "age_seconds", "max_age_seconds", "expected_frequency").alias("freshness"),
+        F.struct(
+            F.when(no_hist, F.lit(REASON_NO_HISTORY)).otherwise(F.col("volume_reason")).alias("reason"),
+            "records_available",
+            "current_row_count",
+            F.round("baseline_mean", 2).alias("baseline_mean"),
+            F.round("baseline_std", 2).alias("baseline_std"),
+            F.round("lower_bound", 2).alias("lower_bound"),
+            F.round("upper_bound", 2).alias("upper_bound"),
+        ).alias("volume"),
+        F.struct(
+            F.when(no_rows, F.lit(REASON_EMPTY)).alias("reason"),
+            "total_rows",
+            "nullable_threshold",
+            F.transform(
+                F.coalesce(F.col("columns"), F.array().cast("array<struct<column_name:string,null_count:bigint,null_ratio:double,threshold:double,nullable:boolean,violated:boolean,reason:string>>")),
+                lambda c: c.withField("null_ratio", F.round(c["null_ratio"], 6)),
+            ).alias("columns"),
+        ).alias("null_ratio"),
+        F.struct("schema_hash_reason", "expected_hash", "actual_hash").alias("schema_hash"),
+    )
+    id_text = F.concat_ws("|", F.col("dataset_name"), F.date_format(now_c, "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+    return j.select(
+        F.sha2(id_text, 256).alias("id"),
+        "dataset_name",
+        now_c.alias("checked_at"),
+        aggregate_status(freshness_ok, volume_ok, null_ok, schema_ok).alias("status"),
+        freshness_ok.alias("freshness_ok"),
+        volume_ok.alias("volume_ok"),
+        null_ok.alias("null_ratio_ok"),
+        schema_ok.alias("schema_hash_ok"),
+        F.to_json(details).alias("details"),
+    )

@@ -17,6 +17,8 @@ from strata.operators.digest import content_digest
 from strata.operators.health import (
     aggregate_status,
     check_freshness,
+    check_null_ratio,
+    health_reports,
     check_schema_hash,
     check_volume,
     null_counts,
@@ -217,46 +219,19 @@ def health_frame(spark: SparkSession, sf: str, now=fx.NOW) -> DataFrame:
     records = runs.select(*RECORD_COLS)
     regs = fx.registrations(spark, sf, runs)
     latest = latest_ingestion(records)
-    fresh = check_freshness(regs, latest, now)
-    vol = check_volume(records)
-    sch = check_schema_hash(regs, latest)
-    # Null ratios over the rows of each dataset's latest run only: a
-    # semi join on the run keys (one row per dataset, broadcast-sized).
+    # Null ratios over the rows of each dataset's latest run only: a semi join
+    # on the run keys (one row per dataset, so the broadcast side is bounded
+    # by the number of datasets).
     contract = fx.events_contract("1.0")
     latest_keys = runs.join(latest.select("run_id"), "run_id", "left_semi").select("dataset_name", "ingest_date")
     rows = fx.events_with_nulls(events).withColumn("dataset_name", F.col("event_type")).withColumn("ingest_date", F.to_date("ts"))
     rows = rows.join(F.broadcast(latest_keys), ["dataset_name", "ingest_date"], "left_semi")
-    nulls = null_ratio_summary(null_ratio_columns(null_counts(rows, contract, ["dataset_name"]), contract), ["dataset_name"])
-    report = (
-        regs.select(F.col("name").alias("dataset_name"))
-        .join(fresh.select("dataset_name", "freshness_ok"), "dataset_name", "left")
-        .join(vol.select("dataset_name", "volume_ok"), "dataset_name", "left")
-        .join(nulls.select("dataset_name", "null_ratio_ok"), "dataset_name", "left")
-        .join(sch.select("dataset_name", "schema_hash_ok"), "dataset_name", "left")
-    )
-    # No history -> volume fails (no_ingestion_history); no rows -> null ratio fails (empty_dataframe).
-    report = report.select(
-        "dataset_name",
-        F.coalesce("freshness_ok", F.lit(False)).alias("freshness_ok"),
-        F.coalesce("volume_ok", F.lit(False)).alias("volume_ok"),
-        F.coalesce("null_ratio_ok", F.lit(False)).alias("null_ratio_ok"),
-        F.coalesce("schema_hash_ok", F.lit(False)).alias("schema_hash_ok"),
-    )
-    checked_at = F.lit(now).cast("timestamp_ntz")
-    return report.select(
-        F.sha2(F.concat_ws("|", F.col("dataset_name"), F.date_format(checked_at, MICROS_FORMAT)), 256).alias("id"),
-        "dataset_name",
-        checked_at.alias("checked_at"),
-        aggregate_status(F.col("freshness_ok"), F.col("volume_ok"), F.col("null_ratio_ok"), F.col("schema_hash_ok")).alias("status"),
-        "freshness_ok",
-        "volume_ok",
-        "null_ratio_ok",
-        "schema_hash_ok",
-    )
+    nulls = check_null_ratio(rows, contract, ["dataset_name"])
+    return health_reports(regs, records, nulls, now)
 
 
 def q_health_report(spark, sf):
-    return health_frame(spark, sf)
+    return health_frame(spark, sf).drop("details")
 
 
 # --- registry reads ------------------------------------------------------------
