@@ -22,14 +22,25 @@ def _guard(c: Column, pattern: str) -> Column:
     return F.regexp_like(c, F.lit(pattern))
 
 
+def _only(c: Column, chars: str) -> Column:
+    """True when every character of ``c`` is in ``chars`` (a char map, no regex)."""
+    return F.length(F.translate(c, chars, "")) == 0
+
+
 def guarded_cast(c: Column, dtype: str) -> Column:
-    """Typed value of a cleaned text cell; null when absent or unparseable."""
+    """Typed value of a cleaned text cell; null when absent or unparseable.
+
+    For text made only of digits, sign, dot and exponent letters, Spark's
+    ANSI cast accepts exactly the guarded grammar, so the regular expression
+    runs only on the rest (words such as inf/nan, suffixes like 1d, hex).
+    """
     if dtype == "string":
         return c
     if dtype == "int":
-        return F.when(_guard(c, INT_PATTERN), c.try_cast("bigint"))
+        return F.when(_only(c, "0123456789+-"), c.try_cast("bigint"))
     if dtype == "float":
-        return F.when(_guard(F.lower(c), FLOAT_PATTERN), c.try_cast("double"))
+        plain = _only(c, "0123456789+-.eE")
+        return F.when(plain | _guard(F.lower(c), FLOAT_PATTERN), c.try_cast("double"))
     if dtype == "boolean":
         low = F.lower(c)
         return F.when(low.isin(*BOOL_TRUE), F.lit(True)).when(low.isin(*BOOL_FALSE), F.lit(False))
@@ -41,6 +52,37 @@ def guarded_cast(c: Column, dtype: str) -> Column:
     raise ValueError(f"unknown contract type {dtype!r}")
 
 
+def sql_quote(text: str) -> str:
+    """A SQL string literal (the patterns here hold no backslashes)."""
+    assert "\\" not in text
+    return "'" + text.replace("'", "''") + "'"
+
+
+def guarded_cast_sql(x: str, dtype: str) -> str:
+    """The same guarded cast as SQL text over the expression ``x``.
+
+    Used where many columns are typed at once: one JVM call per column to
+    build instead of one per sub-expression. Tests check it against
+    ``guarded_cast``.
+    """
+    if dtype == "string":
+        return x
+    if dtype == "int":
+        return f"CASE WHEN length(translate({x}, '0123456789+-', '')) = 0 THEN try_cast({x} AS BIGINT) END"
+    if dtype == "float":
+        return (f"CASE WHEN length(translate({x}, '0123456789+-.eE', '')) = 0 OR regexp_like(lower({x}), {sql_quote(FLOAT_PATTERN)}) "
+                f"THEN try_cast({x} AS DOUBLE) END")
+    if dtype == "boolean":
+        t = ", ".join(sql_quote(v) for v in BOOL_TRUE)
+        f = ", ".join(sql_quote(v) for v in BOOL_FALSE)
+        return f"CASE WHEN lower({x}) IN ({t}) THEN true WHEN lower({x}) IN ({f}) THEN false END"
+    if dtype == "timestamp":
+        return f"CASE WHEN regexp_like({x}, {sql_quote(TIMESTAMP_PATTERN)}) THEN try_cast(replace({x}, 'T', ' ') AS TIMESTAMP_NTZ) END"
+    if dtype == "date":
+        return f"CASE WHEN regexp_like({x}, {sql_quote(DATE_PATTERN)}) THEN try_cast({x} AS DATE) END"
+    raise ValueError(f"unknown contract type {dtype!r}")
+
+
 def parse_error(raw: Column, typed: Column) -> Column:
     """True when text was present but did not produce a value."""
     return raw.isNotNull() & typed.isNull()

@@ -1,37 +1,41 @@
-"""JSON string quoting that reproduces Python's json.dumps (ASCII-only output)."""
+"""JSON string quoting that reproduces Python's json.dumps (ASCII-only output).
+
+Built as one SQL expression (a single call to the JVM to construct, instead
+of one call per sub-expression); Catalyst sees the same plan either way.
+"""
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Two-character escapes used by Python's json encoder.
-_SHORT_ESCAPES = {'"': '\\"', "\\": "\\\\", "\n": "\\n", "\r": "\\r", "\t": "\\t", "\b": "\\b", "\f": "\\f"}
+# The two-character escapes Python's json encoder writes, as
+# (character code, escape letter): '"', backslash, newline, carriage return,
+# tab, backspace, form feed.
+_SHORT_ESCAPES = [(34, '"'), (92, None), (10, "n"), (13, "r"), (9, "t"), (8, "b"), (12, "f")]
 
+_U4 = "concat(chr(92), 'u', lower(lpad(hex({v}), 4, '0')))"
 
-def _u4(code: Column) -> Column:
-    return F.concat(F.lit("\\u"), F.lower(F.lpad(F.hex(code), 4, "0")))
 
+def _template() -> str:
+    cases = []
+    for code, letter in _SHORT_ESCAPES:
+        out = "concat(chr(92), chr(92))" if letter is None else f"concat(chr(92), '{letter}')"
+        cases.append(f"WHEN ascii(ch) = {code} THEN {out}")
+    hi = "55296 + CAST(floor((ascii(ch) - 65536) / 1024) AS INT)"
+    lo = "56320 + ((ascii(ch) - 65536) % 1024)"
+    body = (
+        "CASE " + " ".join(cases)
+        + f" WHEN ascii(ch) < 32 THEN {_U4.format(v='ascii(ch)')}"
+        + " WHEN ascii(ch) < 128 THEN ch"
+        + f" WHEN ascii(ch) <= 65535 THEN {_U4.format(v='ascii(ch)')}"
+        + f" ELSE concat({_U4.format(v=hi)}, {_U4.format(v=lo)}) END"
+    )
+    return "concat('\"', array_join(transform(regexp_extract_all({x}, '(?s).', 0), ch -> " + body + "), ''), '\"')"
 
-def json_quote(c: Column) -> Column:
-    """'"' + escaped text + '"', with every non-ASCII code point as \\uXXXX.
 
-    Characters above U+FFFF become a surrogate pair, as Python writes them.
-    """
+_TEMPLATE = _template()
 
-    def esc(ch: Column) -> Column:
-        code = F.ascii(ch)
-        out = None
-        for raw, repl in _SHORT_ESCAPES.items():
-            cond = ch == F.lit(raw)
-            out = F.when(cond, F.lit(repl)) if out is None else out.when(cond, F.lit(repl))
-        hi = F.lit(0xD800) + F.floor((code - F.lit(0x10000)) / F.lit(0x400)).cast("int")
-        lo = F.lit(0xDC00) + ((code - F.lit(0x10000)) % F.lit(0x400))
-        return (
-            out.when(code < F.lit(0x20), _u4(code))
-            .when(code < F.lit(0x80), ch)
-            .when(code <= F.lit(0xFFFF), _u4(code))
-            .otherwise(F.concat(_u4(hi), _u4(lo)))
-        )
 
-    chars = F.regexp_extract_all(c, F.lit("(?s)."), 0)
-    body = F.when(F.length(c) == 0, F.lit("")).otherwise(F.array_join(F.transform(chars, esc), ""))
-    return F.concat(F.lit('"'), body, F.lit('"'))
+def json_quote(column_name: str) -> Column:
+    """'"' + escaped text + '"' for the named column; every non-ASCII code point
+    becomes \\uXXXX and characters above U+FFFF a surrogate pair, as Python writes them."""
+    return F.expr(_TEMPLATE.format(x=f"`{column_name}`"))

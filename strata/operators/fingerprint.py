@@ -78,9 +78,9 @@ def schema_fingerprint(contract_columns: DataFrame) -> DataFrame:
     """
     entry = F.concat(
         F.lit('{"dtype": '),
-        json_quote(F.col("dtype")),
+        json_quote("dtype"),
         F.lit(', "name": '),
-        json_quote(F.col("column_name")),
+        json_quote("column_name"),
         F.lit(', "nullable": '),
         F.when(F.col("nullable"), F.lit("true")).otherwise(F.lit("false")),
         F.lit("}"),
@@ -93,9 +93,9 @@ def schema_fingerprint(contract_columns: DataFrame) -> DataFrame:
         F.lit('{"columns": ['),
         F.array_join(F.transform("cols", lambda x: x["entry"]), ", "),
         F.lit('], "name": '),
-        json_quote(F.col("dataset_name")),
+        json_quote("dataset_name"),
         F.lit(', "version": '),
-        json_quote(F.col("version")),
+        json_quote("version"),
         F.lit("}"),
     )
     return per_contract.select(

@@ -42,29 +42,42 @@ def _max_age_micros() -> Column:
     return F.create_map(*pairs)
 
 
-def check_freshness(registrations: DataFrame, latest: DataFrame, now) -> DataFrame:
-    """registrations(name, expected_frequency) x latest record per dataset -> freshness.
+def freshness_columns(now_c: Column, latest_at: Column) -> list[Column]:
+    """Freshness over a frame holding ``expected_frequency`` and the latest ingestion time.
 
     on_demand is always fresh; no record is stale; otherwise ok when
     now - ingested_at <= max age (inclusive; a future ingestion is fresh).
     """
-    now_c = now if isinstance(now, Column) else F.lit(now).cast("timestamp_ntz")
-    joined = registrations.select(F.col("name").alias("dataset_name"), "expected_frequency").join(
-        latest.select("dataset_name", "ingested_at"), "dataset_name", "left"
-    )
     max_age = F.element_at(_max_age_micros(), F.col("expected_frequency"))
-    age = age_micros(now_c, F.col("ingested_at"))
+    age = age_micros(now_c, latest_at)
     on_demand = F.col("expected_frequency") == F.lit("on_demand")
-    missing = F.col("ingested_at").isNull()
-    return joined.select(
-        "dataset_name",
-        "expected_frequency",
+    missing = latest_at.isNull()
+    return [
         F.when(on_demand, F.lit(True)).when(missing, F.lit(False)).otherwise(F.coalesce(age <= max_age, F.lit(False))).alias("freshness_ok"),
         F.when(on_demand, F.lit(REASON_ON_DEMAND)).when(missing, F.lit(REASON_NO_RECORD)).alias("freshness_reason"),
-        F.when(~on_demand, F.col("ingested_at")).alias("ingested_at"),
+        F.when(~on_demand, latest_at).alias("ingested_at"),
         F.when(~on_demand & ~missing, F.round(age / F.lit(1_000_000.0)).cast("long")).alias("age_seconds"),
         F.when(~on_demand & ~missing, (max_age / F.lit(1_000_000)).cast("long")).alias("max_age_seconds"),
+    ]
+
+
+def schema_columns(expected: Column, actual: Column) -> list[Column]:
+    missing = actual.isNull()
+    return [
+        expected.alias("expected_hash"),
+        actual.alias("actual_hash"),
+        F.when(missing, F.lit(False)).otherwise(expected == actual).alias("schema_hash_ok"),
+        F.when(missing, F.lit(REASON_NO_RECORD)).alias("schema_hash_reason"),
+    ]
+
+
+def check_freshness(registrations: DataFrame, latest: DataFrame, now) -> DataFrame:
+    """registrations(name, expected_frequency) x latest record per dataset -> freshness."""
+    now_c = now if isinstance(now, Column) else F.lit(now).cast("timestamp_ntz")
+    joined = registrations.select(F.col("name").alias("dataset_name"), "expected_frequency").join(
+        latest.select("dataset_name", F.col("ingested_at").alias("_latest_at")), "dataset_name", "left"
     )
+    return joined.select("dataset_name", "expected_frequency", *freshness_columns(now_c, F.col("_latest_at")))
 
 
 def volume_stats(history: DataFrame) -> DataFrame:
@@ -74,9 +87,13 @@ def volume_stats(history: DataFrame) -> DataFrame:
     """
     rc = F.col("row_count").cast("decimal(38,0)")
     is_base = F.col("rank") > 1
+    newest = F.col("rank") == 1
     return history.groupBy("dataset_name").agg(
         F.count(F.lit(1)).alias("records_available"),
-        F.max(F.when(F.col("rank") == 1, F.col("row_count"))).alias("current_row_count"),
+        F.max(F.when(newest, F.col("row_count"))).alias("current_row_count"),
+        F.max(F.when(newest, F.col("ingested_at"))).alias("latest_ingested_at"),
+        F.max(F.when(newest, F.col("schema_hash"))).alias("latest_schema_hash"),
+        F.max(F.when(newest, F.col("run_id"))).alias("latest_run_id"),
         F.count_if(is_base).alias("baseline_n"),
         F.sum(F.when(is_base, rc)).cast("decimal(38,0)").alias("baseline_sum"),
         F.sum(F.when(is_base, rc * rc)).cast("decimal(38,0)").alias("baseline_sumsq"),
@@ -210,17 +227,10 @@ def empty_null_ratio(groups: DataFrame, key: str = "dataset_name") -> DataFrame:
 
 
 def check_schema_hash(registrations: DataFrame, latest: DataFrame) -> DataFrame:
-    joined = registrations.select(F.col("name").alias("dataset_name"), F.col("schema_hash").alias("expected_hash")).join(
-        latest.select("dataset_name", F.col("schema_hash").alias("actual_hash")), "dataset_name", "left"
-    )
-    missing = F.col("actual_hash").isNull()
-    return joined.select(
-        "dataset_name",
-        "expected_hash",
-        "actual_hash",
-        F.when(missing, F.lit(False)).otherwise(F.col("expected_hash") == F.col("actual_hash")).alias("schema_hash_ok"),
-        F.when(missing, F.lit(REASON_NO_RECORD)).alias("schema_hash_reason"),
+    joined = registrations.select(F.col("name").alias("dataset_name"), F.col("schema_hash").alias("_expected")).join(
+        latest.select("dataset_name", F.col("schema_hash").alias("_actual")), "dataset_name", "left"
     )
+    return joined.select("dataset_name", *schema_columns(F.col("_expected"), F.col("_actual")))
 
 
 def aggregate_status(freshness_ok: Column, volume_ok: Column, null_ratio_ok: Column, schema_hash_ok: Column) -> Column:
@@ -240,18 +250,18 @@ def health_reports(registrations: DataFrame, records: DataFrame, null_summary: D
     ``null_summary`` has one row per dataset whose frame has rows
     (check_null_ratio output); a registered dataset without rows gets
     ``empty_dataframe``; one without runs gets ``no_ingestion_history``.
+    The newest 31 records per dataset give, in one aggregate, both the
+    latest record (freshness, schema hash) and the volume statistics; the
+    checks are then columns of a single join of per-dataset rows.
     """
     now_c = now if isinstance(now, Column) else F.lit(now).cast("timestamp_ntz")
-    latest = latest_ingestion(records)
-    fresh = check_freshness(registrations, latest, now_c)
-    vol = check_volume(records)
-    sch = check_schema_hash(registrations, latest)
-    base = registrations.select(F.col("name").alias("dataset_name"))
-    j = (
-        base.join(fresh, "dataset_name", "left")
-        .join(vol, "dataset_name", "left")
-        .join(null_summary, "dataset_name", "left")
-        .join(sch, "dataset_name", "left")
+    vol = volume_decision(volume_stats(ingestion_history(records, VOLUME_HISTORY)), ["dataset_name", "latest_ingested_at", "latest_schema_hash"])
+    base = registrations.select(F.col("name").alias("dataset_name"), "expected_frequency", F.col("schema_hash").alias("_expected"))
+    j0 = base.join(vol, "dataset_name", "left").join(null_summary, "dataset_name", "left")
+    j = j0.select(
+        "*",
+        *freshness_columns(now_c, F.col("latest_ingested_at")),
+        *schema_columns(F.col("_expected"), F.col("latest_schema_hash")),
     )
     no_hist = F.col("records_available").isNull()
     no_rows = F.col("null_ratio_ok").isNull()

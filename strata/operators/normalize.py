@@ -14,9 +14,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.functions.casts import guarded_cast, parse_error
-from strata.functions.text import clean_cell
-from strata.model import Contract, ErrorType
+from strata.functions.casts import guarded_cast_sql, sql_quote
+from strata.functions.text import clean_cell_sql
+from strata.model import SPARK_TYPE, Contract, ErrorType
 
 ERRORS = "_errors"
 ROW_ERROR = T.StructType(
@@ -35,35 +35,90 @@ def _row_error(column: str, error_type: str, raw: SparkColumn) -> SparkColumn:
     return F.struct(F.lit(column).alias("column"), F.lit(error_type).alias("error_type"), raw.cast("string").alias("raw"))
 
 
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _stages(raw: DataFrame, contract: Contract, keep: list[str]):
+    """Cleaned and typed columns side by side, and the row-error rules.
+
+    Two stacked projections: clean each cell once, then cast each once.
+    Catalyst does not merge projections when that would repeat a costly
+    expression, so every cell is trimmed and parsed exactly once. The
+    expressions are SQL text (one JVM call per column to build).
+    Returns (frame, rules, value names) with rules = [(column, error_type,
+    flag SQL, raw-text SQL)].
+    """
+    cols = contract.columns
+    pass_through = [_q(k) for k in keep] + ([MALFORMED] if MALFORMED in raw.columns else [])
+    cleaned = raw.selectExpr(*pass_through, *[f"{clean_cell_sql(_q(c.name))} AS _t{i}" for i, c in enumerate(cols)])
+    typed = cleaned.selectExpr(
+        *pass_through,
+        *[f"_t{i}" for i in range(len(cols))],
+        *[f"CAST({guarded_cast_sql(f'_t{i}', c.dtype)} AS {SPARK_TYPE[c.dtype].simpleString()}) AS _v{i}" for i, c in enumerate(cols)],
+    )
+    rules = []
+    for i, c in enumerate(cols):
+        if not c.nullable:
+            rules.append((c.name, ErrorType.UNEXPECTED_NULL.value, f"_t{i} IS NULL", "CAST(NULL AS STRING)"))
+        if c.dtype != "string":
+            rules.append((c.name, ErrorType.TYPE_MISMATCH.value, f"_t{i} IS NOT NULL AND _v{i} IS NULL", f"_t{i}"))
+    if MALFORMED in raw.columns:
+        rules.append(("_record", MALFORMED_RECORD, MALFORMED, "CAST(NULL AS STRING)"))
+    return typed, rules, [f"_v{i}" for i in range(len(cols))]
+
+
+def _outputs(contract: Contract, keep: list[str], values: list[str]) -> list[str]:
+    return [_q(k) for k in keep] + [f"{v} AS {_q(c.name)}" for v, c in zip(values, contract.columns)]
+
+
+def typed_rows(raw: DataFrame, contract: Contract, keep: list[str] | None = None) -> DataFrame:
+    """Only the typed contract columns (what gets written once the gate passed)."""
+    keep = list(keep or [])
+    typed, _, values = _stages(raw, contract, keep)
+    return typed.selectExpr(*_outputs(contract, keep, values))
+
+
 def normalize_types(raw: DataFrame, contract: Contract, keep: list[str] | None = None) -> DataFrame:
     """Typed contract columns (contract order) + ``_errors`` array.
 
     ``raw`` holds text columns named as in the contract; columns of ``raw``
     outside the contract are dropped unless listed in ``keep`` (pass-through
     keys such as a dataset or run column). A missing contract column must be
-    caught before (validate_header); here it would be an analysis error.
+    caught before (header_errors); here it would be an analysis error.
     """
     keep = list(keep or [])
-    cleaned = {c.name: clean_cell(F.col(c.name).cast("string")) for c in contract.columns}
-    typed = {c.name: guarded_cast(cleaned[c.name], c.dtype) for c in contract.columns}
-
-    checks = []
-    for c in contract.columns:
-        if not c.nullable:
-            checks.append(F.when(cleaned[c.name].isNull(), _row_error(c.name, ErrorType.UNEXPECTED_NULL.value, F.lit(None))))
-        if c.dtype != "string":
-            checks.append(
-                F.when(parse_error(cleaned[c.name], typed[c.name]), _row_error(c.name, ErrorType.TYPE_MISMATCH.value, cleaned[c.name]))
-            )
-    if MALFORMED in raw.columns:
-        checks.append(F.when(F.col(MALFORMED), _row_error("_record", MALFORMED_RECORD, F.lit(None))))
-    errors = F.filter(F.array(*checks), lambda e: e.isNotNull()) if checks else F.array().cast(T.ArrayType(ROW_ERROR))
-
-    return raw.select(
-        *[F.col(k) for k in keep],
-        *[typed[c.name].cast(_spark_type(c.dtype)).alias(c.name) for c in contract.columns],
-        errors.alias(ERRORS),
+    typed, rules, values = _stages(raw, contract, keep)
+    if rules:
+        entries = ", ".join(
+            f"CASE WHEN {flag} THEN named_struct('column', {sql_quote(col)}, 'error_type', '{etype}', 'raw', {text}) END"
+            for col, etype, flag, text in rules
+        )
+        errors = f"filter(array({entries}), e -> e IS NOT NULL) AS {ERRORS}"
+    else:
+        errors = f"CAST(array() AS array<struct<column:string,error_type:string,raw:string>>) AS {ERRORS}"
+    return typed.selectExpr(*_outputs(contract, keep, values), errors)
+
+
+def gate_summary(raw: DataFrame, contract: Contract) -> DataFrame:
+    """Per-rule error counts and one example, from a single aggregate.
+
+    Each task keeps one counter and one minimum per rule (map-side partial
+    aggregate); only those few values are shuffled, never error rows. The
+    result has one row per violated (column, error_type).
+    """
+    typed, rules, _ = _stages(raw, contract, [])
+    if not rules:
+        return raw.sparkSession.createDataFrame([], "column string, error_type string, n_rows bigint, example string")
+    aggs = []
+    for k, (_, _, flag, text) in enumerate(rules):
+        aggs += [F.expr(f"count_if({flag}) AS _n{k}"), F.expr(f"min(CASE WHEN {flag} THEN {text} END) AS _x{k}")]
+    wide = typed.agg(*aggs)
+    entries = ", ".join(
+        f"named_struct('column', {sql_quote(col)}, 'error_type', '{etype}', 'n_rows', _n{k}, 'example', _x{k})"
+        for k, (col, etype, _, _) in enumerate(rules)
     )
+    return wide.selectExpr(f"inline(array({entries}))").where("n_rows > 0")
 
 
 def _spark_type(dtype: str) -> T.DataType:

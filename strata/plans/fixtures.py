@@ -82,22 +82,22 @@ def frequency_of(name: SparkColumn) -> SparkColumn:
     return F.element_at(F.array(*[F.lit(f) for f in FREQUENCIES]), (F.ascii(name) % 5 + 1).cast("int"))
 
 
+def _sql_str(v: str) -> str:
+    return "'" + v.replace("'", "''") + "'"
+
+
 def contract_columns(datasets: DataFrame, versions: list[str]) -> DataFrame:
     """Long contract table (dataset_name, version, column_name, dtype, nullable, position)
-    for every dataset name in ``datasets`` and each events contract version."""
+    for every dataset name in ``datasets`` and each events contract version
+    (a generator over a literal array: no join, one row in -> columns x versions out)."""
     entries = []
     for v in versions:
         for i, c in enumerate(events_contract(v).columns):
             entries.append(
-                F.struct(
-                    F.lit(v).alias("version"),
-                    F.lit(c.name).alias("column_name"),
-                    F.lit(c.dtype).alias("dtype"),
-                    F.lit(c.nullable).alias("nullable"),
-                    F.lit(i).alias("position"),
-                )
+                f"named_struct('version', {_sql_str(v)}, 'column_name', {_sql_str(c.name)}, 'dtype', {_sql_str(c.dtype)}, "
+                f"'nullable', {str(c.nullable).lower()}, 'position', {i})"
             )
-    return datasets.select("dataset_name", F.explode(F.array(*entries)).alias("c")).select("dataset_name", "c.*")
+    return datasets.select("dataset_name", F.expr(f"inline(array({', '.join(entries)}))"))
 
 
 def event_datasets(events: DataFrame) -> DataFrame:

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import datetime as dt
 import hashlib
+import time
 from dataclasses import dataclass, field
 
 from pyspark.sql import Observation, SparkSession
@@ -20,9 +21,10 @@ from pyspark.sql import functions as F
 
 from strata.model import DEFAULT_NULLABLE_THRESHOLD, Contract
 from strata.operators.health import check_null_ratio, health_reports
-from strata.operators.normalize import ERRORS, error_summary, normalize_types
+from strata.operators.normalize import gate_summary, typed_rows
 from strata.sources.csv import csv_scan, header_errors, read_header
 from strata.sources.manifest import file_manifest, manifest_checksum
+from strata.operators.registry import REPORT_SCHEMA
 from strata.sources.registry_store import Registry
 from strata.sources.snapshots import run_path
 
@@ -54,6 +56,7 @@ class IngestionResult:
     error: str | None = None
     errors: list[tuple] = field(default_factory=list)  # (column, error_type, n_rows, example)
     rerun: bool = False
+    timings: dict[str, float] = field(default_factory=dict)  # seconds per step
 
 
 def compute_run_id(dataset: str, source_path: str, schema_hash: str, day: dt.date) -> str:
@@ -81,7 +84,15 @@ def ingest(spark: SparkSession, cfg: IngestionConfig, now: dt.datetime | None =
     path = run_path(cfg.store_base, cfg.dataset_name, day, run_id)
     result = IngestionResult(False, run_id, cfg.dataset_name, 0, path, schema_hash)
 
+    clock = [time.perf_counter()]
+
+    def step(name: str) -> None:
+        now_t = time.perf_counter()
+        result.timings[name] = round(now_t - clock[0], 3)
+        clock[0] = now_t
+
     rerun = registry.has_run(run_id)
+    step("lookup")
     checksum = None
     if not rerun:
         try:
@@ -94,20 +105,23 @@ def ingest(spark: SparkSession, cfg: IngestionConfig, now: dt.datetime | None =
             result.errors = [(c, t, None, d) for c, t, d in file_errors]
             result.error = _error_text(result.errors)
             return result
-        normalized = normalize_types(csv_scan(spark, cfg.source_path, header, cfg.multi_line), cfg.contract)
-        # Job 1: the gate. Output is bounded by columns x rules.
-        summary = error_summary(normalized).orderBy("column", "error_type").collect()
+        raw = csv_scan(spark, cfg.source_path, header, cfg.multi_line)
+        # Job 1: the gate, one aggregate. Output is bounded by columns x rules.
+        summary = gate_summary(raw, cfg.contract).orderBy("column", "error_type").collect()
+        step("gate")
         if summary:
             result.errors = [(r["column"], r["error_type"], r["n_rows"], r["example"]) for r in summary]
             result.error = _error_text(result.errors)
             return result
         # Job 2: write, counting rows in the same pass.
         obs = Observation("ingest")
-        normalized.drop(ERRORS).observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
+        typed_rows(raw, cfg.contract).observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
         row_count = int(obs.get["rows"])
+        step("write")
         # Job 3: manifest of the written files.
         registry.write_manifest(file_manifest(spark, path, run_id))
         checksum = manifest_checksum(registry.manifest(run_id)).first()["checksum"]
+        step("manifest")
     else:
         prior = registry.records().where(F.col("run_id") == run_id).first()
         row_count, path = int(prior["row_count"]), prior["partition_path"]
@@ -128,7 +142,9 @@ def ingest(spark: SparkSession, cfg: IngestionConfig, now: dt.datetime | None =
                 "schema_hash": schema_hash,
             }
         )
+    step("registry")
     status = run_health(spark, registry, cfg.dataset_name, path, cfg.contract, now, cfg.nullable_threshold)
+    step("health")
     result.success, result.row_count, result.status, result.rerun = True, row_count, status, rerun
     return result
 
@@ -142,8 +158,7 @@ def run_health(spark: SparkSession, registry: Registry, dataset: str, data_path:
     data = spark.read.parquet(data_path).withColumn("dataset_name", F.lit(dataset))
     nulls = check_null_ratio(data, contract, ["dataset_name"], threshold)
     records = registry.records().where(F.col("dataset_name") == dataset)
-    report = health_reports(regs, records, nulls, now).cache()
-    registry.write_health_reports(report)
-    status = report.first()["status"]
-    report.unpersist()
-    return status
+    # One row (one registered dataset): computed once, then appended as is.
+    rows = health_reports(regs, records, nulls, now).collect()
+    registry.write_health_reports(spark.createDataFrame(rows, REPORT_SCHEMA))
+    return rows[0]["status"]

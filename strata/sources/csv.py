@@ -17,7 +17,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.functions.text import clean_cell
 from strata.model import Contract, ErrorType
 from strata.operators.normalize import MALFORMED
 
@@ -44,7 +43,7 @@ def header_errors(header: list[str], contract: Contract, strict_columns: bool) -
 
 
 def csv_scan(spark: SparkSession, path: str, header: list[str], multi_line: bool = False) -> DataFrame:
-    """All columns as text (trimmed, blank -> null) plus a ``_malformed`` flag."""
+    """All columns as raw text plus a ``_malformed`` flag (normalisation trims)."""
     schema = T.StructType([T.StructField(h, T.StringType(), True) for h in header] + [T.StructField(CORRUPT, T.StringType(), True)])
     df = (
         spark.read.schema(schema)
@@ -55,4 +54,4 @@ def csv_scan(spark: SparkSession, path: str, header: list[str], multi_line: bool
         .option("multiLine", str(multi_line).lower())
         .csv(path)
     )
-    return df.select(*[clean_cell(F.col(f"`{h}`")).alias(h) for h in header], F.col(CORRUPT).isNotNull().alias(MALFORMED))
+    return df.select(*[F.col(f"`{h}`") for h in header], F.col(CORRUPT).isNotNull().alias(MALFORMED))

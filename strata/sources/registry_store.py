@@ -49,11 +49,18 @@ class Registry:
     def path(self, table: str) -> str:
         return f"{self.base}/{table}"
 
+    def exists(self, table: str) -> bool:
+        jvm = self.spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(self.path(table))
+        return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
     def table(self, table: str) -> DataFrame:
         schema = TABLES[table]
+        if not self.exists(table):
+            return self.spark.createDataFrame([], schema)
         try:
             return self.spark.read.schema(schema).parquet(self.path(table))
-        except AnalysisException:
+        except AnalysisException:  # created by a concurrent writer but still empty
             return self.spark.createDataFrame([], schema)
 
     def append(self, table: str, df: DataFrame) -> None:
@@ -84,6 +91,8 @@ class Registry:
         return first_writer_wins(self.table("ingestion_records"))
 
     def has_run(self, run_id: str) -> bool:
+        if not self.exists("ingestion_records"):
+            return False
         return bool(self.table("ingestion_records").where(F.col("run_id") == run_id).select("run_id").take(1))
 
     def record_ingestions(self, incoming: DataFrame) -> None:

@@ -3,8 +3,8 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from strata.functions.casts import guarded_cast
-from strata.functions.text import clean_cell
+from strata.functions.casts import guarded_cast, guarded_cast_sql
+from strata.functions.text import clean_cell, clean_cell_sql
 from strata.model import Column, Contract
 from strata.operators.normalize import error_summary, normalize_types, quarantine_split
 from strata.sources.csv import csv_scan, header_errors, read_header
@@ -26,6 +26,8 @@ def test_guarded_casts(spark, dtype):
     df = spark.createDataFrame([(t,) for t, _ in CASES[dtype]], "v string")
     got = [r[0] for r in df.select(guarded_cast(F.col("v"), dtype)).collect()]
     assert got == [e for _, e in CASES[dtype]]
+    via_sql = [r[0] for r in df.selectExpr(guarded_cast_sql("v", dtype)).collect()]
+    assert via_sql == got
 
 
 def test_nan_text_is_a_float(spark):
