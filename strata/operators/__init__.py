@@ -8,11 +8,10 @@ from strata.operators.health import (
     check_null_ratio,
     check_schema_hash,
     check_volume,
-    null_counts,
-    null_ratio_columns,
+    null_ratio_long,
     volume_backfill,
 )
-from strata.operators.normalize import error_summary, normalize_types, quarantine_split
+from strata.operators.normalize import error_summary, gate_summary, normalize_types, quarantine_split, typed_rows
 from strata.operators.point_in_time import asof_runs, point_in_time, resolve_run
 from strata.operators.registry import (
     first_writer_wins,
@@ -34,10 +33,11 @@ __all__ = [
     "check_null_ratio",
     "check_schema_hash",
     "check_volume",
-    "null_counts",
-    "null_ratio_columns",
+    "null_ratio_long",
     "volume_backfill",
     "error_summary",
+    "gate_summary",
+    "typed_rows",
     "normalize_types",
     "quarantine_split",
     "asof_runs",

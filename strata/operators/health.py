@@ -157,70 +157,75 @@ def volume_backfill(records: DataFrame) -> DataFrame:
     return volume_decision(stats, ["dataset_name", "run_id", "ingested_at"])
 
 
-def null_counts(df: DataFrame, contract: Contract, group_cols: list[str]) -> DataFrame:
-    """One pass: rows and null count (NaN included) per group and contract column.
-
-    Long form (group..., column_name, total_rows, null_count); columns of the
-    contract absent from the frame appear with null counts.
-    """
+def _null_wide(df: DataFrame, contract: Contract, group_cols: list[str]) -> tuple[DataFrame, list[str]]:
+    """One aggregate: rows and null count (NaN included) per contract column present."""
     from strata.operators.validate import null_flag
 
     present = [c.name for c in contract.columns if c.name in df.columns]
     aggs = [F.count(F.lit(1)).alias("total_rows")] + [F.count_if(null_flag(df, n)).alias(f"_n{i}") for i, n in enumerate(present)]
-    wide = df.groupBy(*group_cols).agg(*aggs)
+    grouped = df.groupBy(*group_cols) if group_cols else df.groupBy()
+    return grouped.agg(*aggs), present
+
+
+def _column_entries(contract: Contract, present: list[str], threshold: float) -> Column:
+    """Array of per-column structs over a wide row: counts, ratio, threshold, violation.
+
+    Violation is any null on a required column and ``ratio > threshold``
+    (strict) on a nullable one; a contract column absent from the frame is
+    a violation with reason column_missing_from_dataframe and no ratio.
+    """
     entries = []
     for c in contract.columns:
+        limit = F.lit(float(threshold) if c.nullable else 0.0)
         if c.name in present:
             cnt = F.col(f"_n{present.index(c.name)}")
+            ratio = cnt / F.col("total_rows")
+            violated, reason = ratio > limit, F.lit(None).cast("string")
         else:
             cnt = F.lit(None).cast("long")
-        entries.append(F.struct(F.lit(c.name).alias("column_name"), cnt.alias("null_count")))
-    return wide.select(*group_cols, "total_rows", F.explode(F.array(*entries)).alias("_e")).select(
-        *group_cols, F.col("_e.column_name").alias("column_name"), "total_rows", F.col("_e.null_count").alias("null_count")
+            ratio = F.lit(None).cast("double")
+            violated, reason = F.lit(True), F.lit(REASON_COLUMN_MISSING)
+        entries.append(
+            F.struct(
+                F.lit(c.name).alias("column_name"),
+                cnt.alias("null_count"),
+                ratio.alias("null_ratio"),
+                limit.alias("threshold"),
+                F.lit(c.nullable).alias("nullable"),
+                violated.alias("violated"),
+                reason.alias("reason"),
+            )
+        )
+    return F.array(*entries)
+
+
+def null_ratio_long(df: DataFrame, contract: Contract, group_cols: list[str], threshold: float = DEFAULT_NULLABLE_THRESHOLD) -> DataFrame:
+    """Per group and contract column: total_rows, null_count, null_ratio, threshold,
+    nullable, violated, reason (long form, one aggregate + a generator)."""
+    wide, present = _null_wide(df, contract, group_cols)
+    return wide.select(*group_cols, "total_rows", F.inline(_column_entries(contract, present, threshold))).select(
+        *group_cols, "column_name", "total_rows", "null_count", "null_ratio", "threshold", "nullable", "violated", "reason"
     )
 
 
-def null_ratio_columns(counts: DataFrame, contract: Contract, threshold: float = DEFAULT_NULLABLE_THRESHOLD) -> DataFrame:
-    """Per column: ratio, applicable threshold (0 for required columns) and violation.
+def check_null_ratio(df: DataFrame, contract: Contract, group_cols: list[str], threshold: float = DEFAULT_NULLABLE_THRESHOLD) -> DataFrame:
+    """Per group: ok when no column violates; per-column detail kept as an array.
 
-    Violation is ``null_count > threshold * total_rows`` on required columns
-    (any null) and ``ratio > threshold`` (strict) on nullable ones.
+    A single partial/final aggregate (one shuffle of one row per group and
+    map task); the per-column verdicts are array expressions on that row.
     """
-    nullable_map = F.create_map(*[x for c in contract.columns for x in (F.lit(c.name), F.lit(c.nullable))])
-    nullable = F.element_at(nullable_map, F.col("column_name"))
-    ratio = F.col("null_count") / F.col("total_rows")
-    limit = F.when(nullable, F.lit(float(threshold))).otherwise(F.lit(0.0))
-    missing = F.col("null_count").isNull()
-    return counts.select(
-        *[c for c in counts.columns if c not in ("column_name", "total_rows", "null_count")],
-        "column_name",
+    wide, present = _null_wide(df, contract, group_cols)
+    cols = _column_entries(contract, present, threshold)
+    return wide.select(
+        *group_cols,
         "total_rows",
-        "null_count",
-        ratio.alias("null_ratio"),
-        limit.alias("threshold"),
-        nullable.alias("nullable"),
-        F.when(missing, F.lit(True)).otherwise(ratio > limit).alias("violated"),
-        F.when(missing, F.lit(REASON_COLUMN_MISSING)).alias("reason"),
+        (~F.exists(cols, lambda c: c["violated"])).alias("null_ratio_ok"),
+        F.size(F.filter(cols, lambda c: c["violated"])).alias("n_violations"),
+        cols.alias("columns"),
+        F.lit(float(threshold)).alias("nullable_threshold"),
     )
 
 
-def check_null_ratio(df: DataFrame, contract: Contract, group_cols: list[str], threshold: float = DEFAULT_NULLABLE_THRESHOLD) -> DataFrame:
-    """Per group: ok when no column violates; the per-column detail is kept as an array."""
-    cols = null_ratio_columns(null_counts(df, contract, group_cols), contract, threshold)
-    return null_ratio_summary(cols, group_cols, threshold)
-
-
-def null_ratio_summary(cols: DataFrame, group_cols: list[str], threshold: float = DEFAULT_NULLABLE_THRESHOLD) -> DataFrame:
-    return cols.groupBy(*group_cols).agg(
-        F.max("total_rows").alias("total_rows"),
-        (~F.bool_or("violated")).alias("null_ratio_ok"),
-        F.count_if("violated").alias("n_violations"),
-        F.sort_array(F.collect_list(F.struct("column_name", "null_count", "null_ratio", "threshold", "nullable", "violated", "reason"))).alias(
-            "columns"
-        ),
-    ).withColumn("nullable_threshold", F.lit(float(threshold)))
-
-
 def empty_null_ratio(groups: DataFrame, key: str = "dataset_name") -> DataFrame:
     """The null-ratio result for groups whose frame has no rows."""
     return groups.select(key, F.lit(False).alias("null_ratio_ok"), F.lit(REASON_EMPTY).alias("null_ratio_reason"))

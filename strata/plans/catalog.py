@@ -21,12 +21,10 @@ from strata.operators.health import (
     health_reports,
     check_schema_hash,
     check_volume,
-    null_counts,
-    null_ratio_columns,
-    null_ratio_summary,
+    null_ratio_long,
     volume_backfill,
 )
-from strata.operators.normalize import error_summary, normalize_types, with_quarantine_flag
+from strata.operators.normalize import gate_summary, normalize_types, with_quarantine_flag
 from strata.operators.point_in_time import asof_runs, point_in_time
 from strata.operators.registry import (
     ingestion_history,
@@ -74,7 +72,7 @@ def q_normalize_events(spark, sf):
 
 
 def q_error_summary_events(spark, sf):
-    return error_summary(_normalized(spark, sf))
+    return gate_summary(fx.dirty_events(_events(spark, sf)), fx.DIRTY_CONTRACT)
 
 
 def q_quarantine_events(spark, sf):
@@ -146,10 +144,7 @@ def q_validate_orders(spark, sf):
 
 def q_null_ratio_events(spark, sf):
     df = fx.events_with_nulls(_events(spark, sf)).withColumn("dataset_name", F.col("event_type"))
-    contract = fx.events_contract("1.0")
-    return null_ratio_columns(null_counts(df, contract, ["dataset_name"]), contract).select(
-        "dataset_name", "column_name", "total_rows", "null_count", "null_ratio", "threshold", "nullable", "violated", "reason"
-    )
+    return null_ratio_long(df, fx.events_contract("1.0"), ["dataset_name"])
 
 
 LINEITEM_CONTRACT = Contract(
@@ -186,9 +181,7 @@ def _lineitem_with_nulls(spark, sf):
 
 
 def q_null_ratio_lineitem(spark, sf):
-    df = _lineitem_with_nulls(spark, sf)
-    cols = null_ratio_columns(null_counts(df, LINEITEM_CONTRACT, ["l_returnflag"]), LINEITEM_CONTRACT)
-    return cols.select("l_returnflag", "column_name", "total_rows", "null_count", "null_ratio", "threshold", "nullable", "violated", "reason")
+    return null_ratio_long(_lineitem_with_nulls(spark, sf), LINEITEM_CONTRACT, ["l_returnflag"])
 
 
 def q_freshness(spark, sf):
