@@ -2,8 +2,11 @@
 
 ``withWatermark`` bounds the state: a day's window is final once the
 watermark (max event time minus the allowed lateness) passes its end, and
-rows older than that are dropped as late. In append mode only final windows
-are emitted; complete mode re-emits the whole (bounded) table per batch.
+rows older than that are dropped as late. Spark judges lateness against the
+watermark of the previous micro-batch, so a row is certainly dropped once
+it is older than that; rows just behind the newest watermark may still be
+counted. In append mode only final windows are emitted; complete mode
+re-emits the whole (bounded) table per batch.
 """
 
 from __future__ import annotations
