@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from strata.model import Column, Contract
 from strata.operators.digest import content_digest
+from strata.operators.joins import checked_broadcast
 from strata.operators.health import (
     aggregate_status,
     check_freshness,
@@ -218,7 +219,7 @@ def health_frame(spark: SparkSession, sf: str, now=fx.NOW) -> DataFrame:
     contract = fx.events_contract("1.0")
     latest_keys = runs.join(latest.select("run_id"), "run_id", "left_semi").select("dataset_name", "ingest_date")
     rows = fx.events_with_nulls(events).withColumn("dataset_name", F.col("event_type")).withColumn("ingest_date", F.to_date("ts"))
-    rows = rows.join(F.broadcast(latest_keys), ["dataset_name", "ingest_date"], "left_semi")
+    rows = rows.join(checked_broadcast(latest_keys), ["dataset_name", "ingest_date"], "left_semi")
     nulls = check_null_ratio(rows, contract, ["dataset_name"])
     return health_reports(regs, records, nulls, now)
 

@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from strata.functions.digest import run_id_col
 from strata.model import Column, Contract
 from strata.operators.fingerprint import schema_fingerprint
+from strata.operators.joins import checked_broadcast
 from strata.operators.registry import latest_registrations
 
 # Fixed scenario values (shared with the SQL oracle).
@@ -104,8 +105,9 @@ def event_datasets(events: DataFrame) -> DataFrame:
     return events.select(F.col("event_type").alias("dataset_name")).distinct()
 
 
-def event_fingerprints(events: DataFrame) -> DataFrame:
-    return schema_fingerprint(contract_columns(event_datasets(events), ["1.0", "1.1", DRIFT_VERSION]))
+def event_fingerprints(events: DataFrame, datasets: DataFrame | None = None) -> DataFrame:
+    ds = datasets if datasets is not None else event_datasets(events)
+    return schema_fingerprint(contract_columns(ds, ["1.0", "1.1", DRIFT_VERSION]))
 
 
 def event_runs(events: DataFrame) -> DataFrame:
@@ -116,9 +118,10 @@ def event_runs(events: DataFrame) -> DataFrame:
         F.sum("event_id").alias("_ids"),
     )
     runs = runs.withColumn("version", run_version(F.col("ingest_date")))
-    hashes = event_fingerprints(events).select("dataset_name", "version", "schema_hash")
-    # One row per (dataset, version): bounded by datasets x 3, so broadcasting it is safe.
-    runs = runs.join(F.broadcast(hashes), ["dataset_name", "version"], "left")
+    # Contract hashes for the datasets seen (taken from the run aggregate, not
+    # another scan of events): one row per (dataset, version), size-checked.
+    hashes = event_fingerprints(events, runs.select("dataset_name").distinct()).select("dataset_name", "version", "schema_hash")
+    runs = runs.join(checked_broadcast(hashes), ["dataset_name", "version"], "left")
     source = F.concat(F.lit("raw/"), F.col("dataset_name"), F.lit("/"), F.col("ingest_date").cast("string"), F.lit(".csv"))
     rid = run_id_col(F.col("dataset_name"), source, F.col("schema_hash"), F.col("ingest_date"))
     return runs.select(
@@ -153,13 +156,13 @@ def registration_events(spark: SparkSession, sf_dir: str, runs: DataFrame | None
         F.col("ingested_at").alias("event_at"),
         F.lit(0).cast("long").alias("event_seq"),
     )
-    hashes = event_fingerprints(events).where(F.col("version") == F.lit(DRIFT_VERSION)).select(
+    hashes = event_fingerprints(events, runs.select("dataset_name").distinct()).where(F.col("version") == F.lit(DRIFT_VERSION)).select(
         F.col("dataset_name").alias("name"), "schema_hash"
     )
     last = runs.groupBy(F.col("dataset_name").alias("name")).agg(F.max("ingested_at").alias("last_at"))
     drift = (
         last.where(F.ascii("name") % 2 == 0)
-        .join(F.broadcast(hashes), "name")
+        .join(hashes, "name")
         .select(
             "name",
             F.lit(DRIFT_VERSION).alias("version"),

@@ -32,16 +32,24 @@ def build_session(master: str = "local[*]", app: str = "strata", shuffle_partiti
     return spark
 
 
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """The cluster's shared checkpoint folder (``spark.checkpoint.dir``); only
+    when unset (local tests) is a folder created and registered."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        base = tempfile.mkdtemp(prefix="strata-ckpt-")
+        spark.conf.set("spark.checkpoint.dir", base)
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(base)
+    return base
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A folder under the cluster's shared checkpoint location.
 
     The cluster names it in ``spark.checkpoint.dir``; only when that is unset
     (local tests) do we create one and register it with the session.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = tempfile.mkdtemp(prefix="strata-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", base)
-        spark.sparkContext.setCheckpointDir(base)
+    base = ensure_checkpoint_dir(spark)
     path = os.path.join(base, name) if "://" not in base else base.rstrip("/") + "/" + name
     return path
