@@ -33,6 +33,18 @@ from strata.operators.registry import ingestion_history, latest_ingestion
 
 
 
+# Declared schema of the JSON ``details`` of a health report (read back with from_json).
+DETAILS_SCHEMA = (
+    "freshness struct<freshness_reason:string,ingested_at:timestamp_ntz,age_seconds:bigint,max_age_seconds:bigint,"
+    "expected_frequency:string>, "
+    "volume struct<reason:string,records_available:bigint,current_row_count:bigint,baseline_mean:double,"
+    "baseline_std:double,lower_bound:double,upper_bound:double>, "
+    "null_ratio struct<reason:string,total_rows:bigint,nullable_threshold:double,columns:array<struct<column_name:string,"
+    "null_count:bigint,null_ratio:double,threshold:double,nullable:boolean,violated:boolean,reason:string>>>, "
+    "schema_hash struct<schema_hash_reason:string,expected_hash:string,actual_hash:string>"
+)
+
+
 def _max_age_micros() -> Column:
     """Literal map frequency -> max age in microseconds (inlined, no join)."""
     pairs = []
