@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from strata.model import Column, Contract
 from strata.operators.digest import content_digest
-from strata.operators.joins import checked_broadcast
 from strata.operators.health import (
     aggregate_status,
     check_freshness,
@@ -213,14 +212,14 @@ def health_frame(spark: SparkSession, sf: str, now=fx.NOW) -> DataFrame:
     records = runs.select(*RECORD_COLS)
     regs = fx.registrations(spark, sf, runs)
     latest = latest_ingestion(records)
-    # Null ratios over the rows of each dataset's latest run only: a semi join
-    # on the run keys (one row per dataset, so the broadcast side is bounded
-    # by the number of datasets).
+    # Null ratios of each dataset's latest run: one aggregate over the data
+    # grouped by run (dataset, day) -- no join touches raw rows -- then the
+    # latest run's row is picked from that per-run table.
     contract = fx.events_contract("1.0")
-    latest_keys = runs.join(latest.select("run_id"), "run_id", "left_semi").select("dataset_name", "ingest_date")
     rows = fx.events_with_nulls(events).withColumn("dataset_name", F.col("event_type")).withColumn("ingest_date", F.to_date("ts"))
-    rows = rows.join(checked_broadcast(latest_keys), ["dataset_name", "ingest_date"], "left_semi")
-    nulls = check_null_ratio(rows, contract, ["dataset_name"])
+    per_run = check_null_ratio(rows, contract, ["dataset_name", "ingest_date"])
+    latest_keys = runs.join(latest.select("run_id"), "run_id", "left_semi").select("dataset_name", "ingest_date")
+    nulls = per_run.join(latest_keys, ["dataset_name", "ingest_date"], "left_semi").drop("ingest_date")
     return health_reports(regs, records, nulls, now)
 
 

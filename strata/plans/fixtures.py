@@ -28,7 +28,6 @@ from pyspark.sql import functions as F
 from strata.functions.digest import run_id_col
 from strata.model import Column, Contract
 from strata.operators.fingerprint import schema_fingerprint
-from strata.operators.joins import checked_broadcast
 from strata.operators.registry import latest_registrations
 
 # Fixed scenario values (shared with the SQL oracle).
@@ -119,9 +118,11 @@ def event_runs(events: DataFrame) -> DataFrame:
     )
     runs = runs.withColumn("version", run_version(F.col("ingest_date")))
     # Contract hashes for the datasets seen (taken from the run aggregate, not
-    # another scan of events): one row per (dataset, version), size-checked.
+    # another scan of events). Both sides are aggregates (one row per run, one
+    # per dataset and version), so the join moves no raw rows; AQE picks
+    # broadcast or shuffle from their measured sizes.
     hashes = event_fingerprints(events, runs.select("dataset_name").distinct()).select("dataset_name", "version", "schema_hash")
-    runs = runs.join(checked_broadcast(hashes), ["dataset_name", "version"], "left")
+    runs = runs.join(hashes, ["dataset_name", "version"], "left")
     source = F.concat(F.lit("raw/"), F.col("dataset_name"), F.lit("/"), F.col("ingest_date").cast("string"), F.lit(".csv"))
     rid = run_id_col(F.col("dataset_name"), source, F.col("schema_hash"), F.col("ingest_date"))
     return runs.select(
