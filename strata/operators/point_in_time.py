@@ -135,3 +135,38 @@ def asof_runs(requests: DataFrame, records: DataFrame, bucket_days: int = 7,
     matched = inside.join(carried, ["dataset_name", "_b"], "left").select(
         "dataset_name", "as_of", F.coalesce("_in", "_prev").alias("_m"))
     return matched.select("dataset_name", "as_of", *[F.col(f"_m.{c}").alias(c) for c in record_cols])
+
+
+def asof_rows(store: DataFrame, requests: DataFrame, records: DataFrame, run_keys=("run_id",),
+              date_col: str = "date", bucket_days: int = 7) -> DataFrame:
+    """Bulk point-in-time read: for every (dataset_name, as_of) request, the rows
+    of the run it resolves to (``asof_runs``) whose ``date`` is on or before as_of,
+    tagged with the request's as_of and the run's audit columns.
+
+    The matched table has one row per distinct request key; it is broadcast
+    only after a row-count check (``checked_broadcast``), else joined by
+    shuffle. A run matched by many requests contributes its rows to each.
+    """
+    from strata.operators.joins import checked_broadcast
+
+    # Record columns to carry: the audit fields and every run key except the
+    # dataset name, which asof_runs returns anyway.
+    cols = tuple(dict.fromkeys(("run_id", "ingested_at", *[k for k in run_keys if k != "dataset_name"])))
+    matched = asof_runs(requests, records, bucket_days, record_cols=cols).where(F.col("run_id").isNotNull())
+    keyed = matched.select(
+        *[F.col(k) for k in run_keys],
+        F.col("run_id").alias("ingestion_run_id"),
+        F.col("ingested_at").alias("_run_at"),
+        F.col("as_of").alias("_as_of"),
+    )
+    joined = store.join(checked_broadcast(keyed), list(run_keys), "inner")
+    dtype = store.schema[date_col].dataType if date_col in store.columns else None
+    if dtype is None:
+        visible = joined
+    elif isinstance(dtype, T.DateType):
+        visible = joined.where(F.col(date_col) <= F.col("_as_of"))
+    elif isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+        visible = joined.where(F.to_date(F.col(date_col)) <= F.col("_as_of"))
+    else:
+        visible = joined.where(F.col(date_col).cast("string") <= F.date_format("_as_of", "yyyy-MM-dd"))
+    return visible.withColumnRenamed("_as_of", "as_of").withColumnRenamed("_run_at", "ingested_at")

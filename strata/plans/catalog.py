@@ -25,7 +25,7 @@ from strata.operators.health import (
     volume_backfill,
 )
 from strata.operators.normalize import gate_summary, normalize_types, with_quarantine_flag
-from strata.operators.point_in_time import asof_runs, point_in_time
+from strata.operators.point_in_time import asof_rows, asof_runs, point_in_time
 from strata.operators.registry import (
     ingestion_history,
     latest_health,
@@ -320,6 +320,14 @@ def q_asof_bulk(spark, sf):
     return asof_runs(asof_requests(events), _records(spark, sf).select(*RECORD_COLS))
 
 
+def q_asof_rows_events(spark, sf):
+    """Bulk point-in-time rows: every as-of request of asof_bulk with its visible rows."""
+    events = _events(spark, sf)
+    records = fx.event_runs(events)
+    out = asof_rows(fx.events_store(events), asof_requests(events), records, run_keys=("dataset_name", "ingest_date"))
+    return out.select("dataset_name", "as_of", "event_id", "ts", "user_id", "value", "ingestion_run_id", "ingested_at")
+
+
 # --- content digests ------------------------------------------------------------
 
 def q_digest_documents(spark, sf):
@@ -370,6 +378,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pit_events": q_pit_events,
     "pit_orders_symbol": q_pit_orders_symbol,
     "asof_bulk": q_asof_bulk,
+    "asof_rows_events": q_asof_rows_events,
     "digest_documents": q_digest_documents,
     "digest_conversations": q_digest_conversations,
     "digest_pages": q_digest_pages,

@@ -393,6 +393,18 @@ m AS (
   FROM req q LEFT JOIN runs r
     ON r.dataset_name = q.dataset_name AND r.ingested_at <= CAST(q.as_of AS TIMESTAMP) + INTERVAL 86399 SECOND)
 SELECT dataset_name, as_of, run_id, ingested_at, row_count FROM m WHERE rk = 1""",
+    "asof_rows_events": _with(RUNS) + """,
+span AS (SELECT event_type AS dataset_name, min(CAST(ts AS DATE)) AS d0, max(CAST(ts AS DATE)) AS d1 FROM events GROUP BY 1),
+req AS (SELECT dataset_name, CAST(unnest(generate_series(d0 - INTERVAL 1 DAY, d1 + INTERVAL 1 DAY, INTERVAL 1 DAY)) AS DATE) AS as_of
+        FROM span),
+m AS (
+  SELECT q.dataset_name, q.as_of, r.run_id, r.ingested_at, r.ingest_date,
+         row_number() OVER (PARTITION BY q.dataset_name, q.as_of ORDER BY r.ingested_at DESC, r.run_id DESC) AS rk
+  FROM req q JOIN runs r
+    ON r.dataset_name = q.dataset_name AND r.ingested_at <= CAST(q.as_of AS TIMESTAMP) + INTERVAL 86399 SECOND)
+SELECT m.dataset_name, m.as_of, e.event_id, e.ts, e.user_id, e.value, m.run_id AS ingestion_run_id, m.ingested_at
+FROM m JOIN events e ON e.event_type = m.dataset_name AND CAST(e.ts AS DATE) = m.ingest_date
+WHERE m.rk = 1 AND CAST(e.ts AS DATE) <= m.as_of""",
     "digest_documents": _digest("documents", ["doc_id", "text", "lang", "source", "n_chars"], "lang"),
     "digest_conversations": _digest("conversations", ["conv_id", "turn", "role", "text"], "role"),
     "digest_pages": _digest("pages", ["page_id", "url", "html"], None),
