@@ -25,7 +25,7 @@ def _template() -> str:
     body = (
         "CASE " + " ".join(cases)
         + f" WHEN ascii(ch) < 32 THEN {_U4.format(v='ascii(ch)')}"
-        + " WHEN ascii(ch) < 128 THEN ch"
+        + " WHEN ascii(ch) < 127 THEN ch"
         + f" WHEN ascii(ch) <= 65535 THEN {_U4.format(v='ascii(ch)')}"
         + f" ELSE concat({_U4.format(v=hi)}, {_U4.format(v=lo)}) END"
     )

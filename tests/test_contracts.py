@@ -35,7 +35,7 @@ def test_hash_changes_on_type_nullability_version(prices_contract):
 
 
 def test_json_quote_matches_python(spark):
-    texts = ["plain", 'q"uote', "back\\slash", "tab\there", "new\nline", "é ü", "😀x", "", "\x01ctl"]
+    texts = ["plain", 'q"uote', "back\\slash", "tab\there", "new\nline", "é ü", "😀x", "", "\x01ctl", "del\x7f", "~"]
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     got = [r[0] for r in df.select(json_quote("t")).collect()]
     assert got == [json.dumps(t) for t in texts]
