@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import json
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -101,3 +103,29 @@ def schema_fingerprint(contract_columns: DataFrame) -> DataFrame:
     return per_contract.select(
         "dataset_name", "version", F.sha2(doc, 256).alias("schema_hash"), "n_columns"
     )
+
+
+def contract_hash_col(name_col: str, version_col: str, columns_by_version: dict) -> Column:
+    """Schema hash per row when the column list is declared and only the
+    dataset name and version vary by row: a projection (no aggregate, no join).
+
+    ``columns_by_version`` maps a version string to its declared columns
+    (``strata.model.Column``). The canonical column part is rendered once on
+    the driver; rows whose version is not in the map get null.
+    """
+    out = None
+    for version, cols in columns_by_version.items():
+        body = ", ".join(
+            json.dumps({"dtype": c.dtype, "name": c.name, "nullable": c.nullable}, sort_keys=True)
+            for c in sorted(cols, key=lambda c: c.name)
+        )
+        doc = F.concat(
+            F.lit('{"columns": [' + body + '], "name": '),
+            json_quote(name_col),
+            F.lit(', "version": '),
+            json_quote(version_col),
+            F.lit("}"),
+        )
+        cond = F.col(version_col) == F.lit(version)
+        out = F.when(cond, F.sha2(doc, 256)) if out is None else out.when(cond, F.sha2(doc, 256))
+    return out

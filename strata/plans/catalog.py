@@ -24,6 +24,7 @@ from strata.operators.health import (
     null_ratio_long,
     volume_backfill,
 )
+from strata.operators.parallel import spread
 from strata.operators.normalize import gate_summary, normalize_types, with_quarantine_flag
 from strata.operators.point_in_time import asof_rows, asof_runs, point_in_time
 from strata.operators.registry import (
@@ -60,9 +61,13 @@ def q_ingestion_records(spark, sf):
 
 # --- normalisation, gate, quarantine ----------------------------------------
 
+def _raw_events(spark, sf):
+    """Dirty text rows; typing them is per-row CPU work, spread over the cores."""
+    return fx.dirty_events(spread(_events(spark, sf)))
+
+
 def _normalized(spark, sf):
-    raw = fx.dirty_events(_events(spark, sf))
-    return normalize_types(raw, fx.DIRTY_CONTRACT)
+    return normalize_types(_raw_events(spark, sf), fx.DIRTY_CONTRACT)
 
 
 def q_normalize_events(spark, sf):
@@ -72,7 +77,7 @@ def q_normalize_events(spark, sf):
 
 
 def q_error_summary_events(spark, sf):
-    return gate_summary(fx.dirty_events(_events(spark, sf)), fx.DIRTY_CONTRACT)
+    return gate_summary(_raw_events(spark, sf), fx.DIRTY_CONTRACT)
 
 
 def q_quarantine_events(spark, sf):

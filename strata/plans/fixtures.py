@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from strata.functions.digest import run_id_col
 from strata.model import Column, Contract
-from strata.operators.fingerprint import schema_fingerprint
+from strata.operators.fingerprint import contract_hash_col, schema_fingerprint
 from strata.operators.registry import latest_registrations
 
 # Fixed scenario values (shared with the SQL oracle).
@@ -100,6 +100,10 @@ def contract_columns(datasets: DataFrame, versions: list[str]) -> DataFrame:
     return datasets.select("dataset_name", F.expr(f"inline(array({', '.join(entries)}))"))
 
 
+def events_contract_hash(name_col: str, version_col: str) -> SparkColumn:
+    return contract_hash_col(name_col, version_col, {v: events_contract(v).columns for v in ["1.0", "1.1", DRIFT_VERSION]})
+
+
 def event_datasets(events: DataFrame) -> DataFrame:
     return events.select(F.col("event_type").alias("dataset_name")).distinct()
 
@@ -117,12 +121,9 @@ def event_runs(events: DataFrame) -> DataFrame:
         F.sum("event_id").alias("_ids"),
     )
     runs = runs.withColumn("version", run_version(F.col("ingest_date")))
-    # Contract hashes for the datasets seen (taken from the run aggregate, not
-    # another scan of events). Both sides are aggregates (one row per run, one
-    # per dataset and version), so the join moves no raw rows; AQE picks
-    # broadcast or shuffle from their measured sizes.
-    hashes = event_fingerprints(events, runs.select("dataset_name").distinct()).select("dataset_name", "version", "schema_hash")
-    runs = runs.join(hashes, ["dataset_name", "version"], "left")
+    # The contract's columns are declared; only the dataset name and version
+    # vary per run, so the schema hash is a projection of the run row.
+    runs = runs.withColumn("schema_hash", events_contract_hash("dataset_name", "version"))
     source = F.concat(F.lit("raw/"), F.col("dataset_name"), F.lit("/"), F.col("ingest_date").cast("string"), F.lit(".csv"))
     rid = run_id_col(F.col("dataset_name"), source, F.col("schema_hash"), F.col("ingest_date"))
     return runs.select(
@@ -157,19 +158,16 @@ def registration_events(spark: SparkSession, sf_dir: str, runs: DataFrame | None
         F.col("ingested_at").alias("event_at"),
         F.lit(0).cast("long").alias("event_seq"),
     )
-    hashes = event_fingerprints(events, runs.select("dataset_name").distinct()).where(F.col("version") == F.lit(DRIFT_VERSION)).select(
-        F.col("dataset_name").alias("name"), "schema_hash"
-    )
     last = runs.groupBy(F.col("dataset_name").alias("name")).agg(F.max("ingested_at").alias("last_at"))
     drift = (
         last.where(F.ascii("name") % 2 == 0)
-        .join(hashes, "name")
+        .withColumn("version", F.lit(DRIFT_VERSION))
         .select(
             "name",
-            F.lit(DRIFT_VERSION).alias("version"),
+            "version",
             F.lit("events").alias("owner"),
             frequency_of(F.col("name")).alias("expected_frequency"),
-            "schema_hash",
+            events_contract_hash("name", "version").alias("schema_hash"),
             F.concat(F.lit("event stream "), F.col("name")).alias("description"),
             F.timestamp_add("HOUR", F.lit(1), F.col("last_at")).alias("event_at"),
             F.lit(1).cast("long").alias("event_seq"),

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from strata.model import DEFAULT_NULLABLE_THRESHOLD, Contract
 from strata.operators.health import check_null_ratio, health_reports
 from strata.operators.normalize import gate_summary, typed_rows
+from strata.operators.parallel import spread
 from strata.sources.csv import csv_scan, header_errors, read_header
 from strata.sources.manifest import file_manifest, manifest_checksum
 from strata.operators.registry import REPORT_SCHEMA
@@ -105,7 +106,7 @@ def ingest(spark: SparkSession, cfg: IngestionConfig, now: dt.datetime | None =
             result.errors = [(c, t, None, d) for c, t, d in file_errors]
             result.error = _error_text(result.errors)
             return result
-        raw = csv_scan(spark, cfg.source_path, header, cfg.multi_line)
+        raw = spread(csv_scan(spark, cfg.source_path, header, cfg.multi_line))
         # Job 1: the gate, one aggregate. Output is bounded by columns x rules.
         summary = gate_summary(raw, cfg.contract).orderBy("column", "error_type").collect()
         step("gate")
