@@ -25,6 +25,23 @@ def parse_as_of(value) -> dt.date:
     return dt.date.fromisoformat(text)
 
 
+def ntz(value) -> Column:
+    """A timestamp_ntz literal from a naive (UTC wall-clock) datetime.
+
+    Built from ISO text, so neither the Python process zone nor the session
+    zone can shift it (a datetime literal would pass through both).
+    """
+    if isinstance(value, Column):
+        return value.cast("timestamp_ntz")
+    if isinstance(value, dt.datetime):
+        if value.tzinfo is not None:
+            value = value.astimezone(dt.timezone.utc).replace(tzinfo=None)
+        return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
+    if isinstance(value, dt.date):
+        return F.lit(value.isoformat()).cast("timestamp_ntz")
+    return F.lit(str(value)).cast("timestamp_ntz")
+
+
 def end_of_day(day: Column) -> Column:
     """as_of date -> timestamp_ntz at 23:59:59 of that day (the visibility cutoff)."""
     return F.timestamp_add("SECOND", F.lit(END_OF_DAY_SECONDS), day.cast("timestamp_ntz"))

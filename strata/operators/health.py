@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from strata.functions.timefn import age_micros
+from strata.functions.timefn import age_micros, ntz
 from strata.model import (
     DEFAULT_NULLABLE_THRESHOLD,
     FRESHNESS_MAX_AGE,
@@ -85,7 +85,7 @@ def schema_columns(expected: Column, actual: Column) -> list[Column]:
 
 def check_freshness(registrations: DataFrame, latest: DataFrame, now) -> DataFrame:
     """registrations(name, expected_frequency) x latest record per dataset -> freshness."""
-    now_c = now if isinstance(now, Column) else F.lit(now).cast("timestamp_ntz")
+    now_c = ntz(now)
     joined = registrations.select(F.col("name").alias("dataset_name"), "expected_frequency").join(
         latest.select("dataset_name", F.col("ingested_at").alias("_latest_at")), "dataset_name", "left"
     )
@@ -271,7 +271,7 @@ def health_reports(registrations: DataFrame, records: DataFrame, null_summary: D
     latest record (freshness, schema hash) and the volume statistics; the
     checks are then columns of a single join of per-dataset rows.
     """
-    now_c = now if isinstance(now, Column) else F.lit(now).cast("timestamp_ntz")
+    now_c = ntz(now)
     vol = volume_decision(volume_stats(ingestion_history(records, VOLUME_HISTORY)), ["dataset_name", "latest_ingested_at", "latest_schema_hash"])
     base = registrations.select(F.col("name").alias("dataset_name"), "expected_frequency", F.col("schema_hash").alias("_expected"))
     j0 = base.join(vol, "dataset_name", "left").join(null_summary, "dataset_name", "left")

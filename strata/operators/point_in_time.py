@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from strata.functions.timefn import end_of_day, end_of_day_literal, parse_as_of
+from strata.functions.timefn import end_of_day, end_of_day_literal, ntz, parse_as_of
 from strata.operators.registry import latest_ingestion
 
 
@@ -48,7 +48,7 @@ def date_visible(df: DataFrame, as_of: dt.date, date_col: str = "date") -> Colum
 def resolve_run(records: DataFrame, dataset: str, as_of) -> DataFrame:
     """The single record a point-in-time read uses (0 or 1 row), lazily."""
     day = parse_as_of(as_of)
-    cutoff = F.lit(end_of_day_literal(day)).cast("timestamp_ntz")
+    cutoff = ntz(end_of_day_literal(day))
     return latest_ingestion(records.where(F.col("dataset_name") == F.lit(dataset)), cutoff)
 
 
@@ -68,7 +68,7 @@ def rows_of_run(store: DataFrame, record: dict, as_of, run_keys=("run_id",), sym
             raise BadRequest(f"Dataset '{record['dataset_name']}' has no '{symbol_col}' column.")
         out = out.where(F.col(symbol_col) == F.lit(symbol))
     return out.withColumn("ingestion_run_id", F.lit(record["run_id"])).withColumn(
-        "ingested_at", F.lit(record["ingested_at"]).cast("timestamp_ntz")
+        "ingested_at", ntz(record["ingested_at"])
     )
 
 

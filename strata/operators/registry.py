@@ -8,6 +8,7 @@ aggregate, so a dataset that owns most of the log does not overload a task.
 
 from __future__ import annotations
 
+from strata.functions.timefn import ntz
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -120,7 +121,7 @@ def latest_ingestion(records: DataFrame, cutoff=None) -> DataFrame:
     if cutoff is None:
         src = records
     else:
-        cut = cutoff if isinstance(cutoff, Column) else F.lit(cutoff)
+        cut = ntz(cutoff)
         src = records.where(F.col("ingested_at") <= cut)
     keep = [c for c in records.columns if c != "dataset_name"]
     return _latest_by(src, "dataset_name", ["ingested_at", "run_id"], keep).select(*records.columns)

@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from strata.functions.timefn import ntz
 from pyspark.sql import Column as SparkColumn
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -180,7 +181,7 @@ def registration_events(spark: SparkSession, sf_dir: str, runs: DataFrame | None
         frequency_of(F.concat(F.lit("ref_"), F.lower("n_name"))).alias("expected_frequency"),
         F.sha2(F.concat(F.lit("ref_"), F.lower("n_name"), F.lit("|1.0")), 256).alias("schema_hash"),
         F.lit(None).cast("string").alias("description"),
-        F.lit(REFERENCE_REGISTERED_AT).cast("timestamp_ntz").alias("event_at"),
+        ntz(REFERENCE_REGISTERED_AT).alias("event_at"),
         F.lit(0).cast("long").alias("event_seq"),
     )
     return per_run.unionByName(drift).unionByName(nations)

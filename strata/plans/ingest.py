@@ -20,6 +20,7 @@ from pyspark.sql import Observation, SparkSession
 from pyspark.sql import functions as F
 
 from strata.model import DEFAULT_NULLABLE_THRESHOLD, Contract
+from strata.operators.digest import content_digest
 from strata.operators.health import check_null_ratio, health_reports
 from strata.operators.normalize import gate_summary, typed_rows
 from strata.operators.parallel import spread
@@ -57,6 +58,7 @@ class IngestionResult:
     error: str | None = None
     errors: list[tuple] = field(default_factory=list)  # (column, error_type, n_rows, example)
     rerun: bool = False
+    source_changed: bool | None = None  # re-runs only: the source differs from the recorded run
     timings: dict[str, float] = field(default_factory=dict)  # seconds per step
 
 
@@ -127,6 +129,8 @@ def ingest(spark: SparkSession, cfg: IngestionConfig, now: dt.datetime | None =
         prior = registry.records().where(F.col("run_id") == run_id).first()
         row_count, path = int(prior["row_count"]), prior["partition_path"]
         result.partition_path = path
+        result.source_changed = _source_changed(spark, cfg, path)
+        step("compare")
 
     registry.register_dataset(cfg.dataset_name, cfg.version, cfg.owner, cfg.expected_frequency, schema_hash, at=now)
     if not rerun:
@@ -150,6 +154,28 @@ def ingest(spark: SparkSession, cfg: IngestionConfig, now: dt.datetime | None =
     return result
 
 
+def _source_changed(spark: SparkSession, cfg: IngestionConfig, path: str) -> bool:
+    """Whether the source now holds other rows than the recorded run.
+
+    Compares order-free content digests (sum of row SHA-256 prefixes, see
+    operators/digest.py) of the source typed under the contract and of the
+    stored run: two aggregates, one row each. A source that no longer reads
+    or passes the gate counts as changed.
+    """
+    try:
+        header = read_header(spark, cfg.source_path)
+    except Exception:  # noqa: BLE001 - an unreadable source is a changed source
+        return True
+    if header_errors(header, cfg.contract, cfg.strict_columns):
+        return True
+    names = cfg.contract.names
+    new = typed_rows(csv_scan(spark, cfg.source_path, header, cfg.multi_line), cfg.contract)
+    old = spark.read.parquet(path).select(*names)
+    a = content_digest(new, names).first()
+    b = content_digest(old, names).first()
+    return (a["n_rows"], a["digest"]) != (b["n_rows"], b["digest"])
+
+
 def run_health(spark: SparkSession, registry: Registry, dataset: str, data_path: str, contract: Contract,
                now: dt.datetime, threshold: float = DEFAULT_NULLABLE_THRESHOLD) -> str:
     """Health report for one dataset over the rows at ``data_path``; appended to the registry."""

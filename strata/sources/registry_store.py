@@ -13,6 +13,7 @@ import datetime as dt
 import json
 import time
 
+from strata.functions.timefn import ntz
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -106,7 +107,7 @@ class Registry:
     def ingestion_as_of(self, dataset: str, as_of: dt.datetime) -> dict | None:
         as_of = as_of.replace(tzinfo=None) if as_of.tzinfo else as_of
         recs = self.records().where(F.col("dataset_name") == dataset)
-        rows = latest_ingestion(recs, F.lit(as_of).cast("timestamp_ntz")).take(1)
+        rows = latest_ingestion(recs, ntz(as_of)).take(1)
         return rows[0].asDict() if rows else None
 
     def ingestion_history(self, dataset: str | None = None, limit: int = 10) -> DataFrame:

@@ -32,6 +32,7 @@ def test_happy_path_and_rerun(spark, tmp_path, prices_contract, prices_csv):
 
     r2 = ingest(spark, c, now=NOW + dt.timedelta(hours=1))
     assert r2.success and r2.rerun and r2.run_id == r1.run_id and r2.row_count == 10
+    assert r2.source_changed is False
     reg = Registry(spark, c.registry_base)
     assert reg.records().count() == 1
     assert reg.table("health_reports").count() == 2
@@ -78,6 +79,15 @@ def test_missing_source_is_reported(spark, tmp_path, prices_contract):
     assert not r.success and "Failed to open CSV" in r.error
 
 
+def test_rerun_reports_a_changed_source(spark, tmp_path, prices_contract, prices_csv):
+    c = cfg(tmp_path, prices_contract, prices_csv)
+    ingest(spark, c, now=NOW)
+    with open(prices_csv, "a") as f:
+        f.write("2026-03-11,111.0,11000\n")
+    r = ingest(spark, c, now=NOW + dt.timedelta(hours=2))
+    assert r.rerun and r.source_changed is True and r.row_count == 10  # recorded run kept, change reported
+
+
 def test_drift_sequence_a_b_a(spark, tmp_path, prices_contract, prices_csv):
     b = Contract("prices", "1.0", (Column("date", "string"), Column("close", "float"), Column("volume", "int", nullable=False)))
     ra = ingest(spark, cfg(tmp_path, prices_contract, prices_csv), now=NOW)

@@ -35,3 +35,16 @@ def test_entry_runs(spark):
     df = E.entry(spark)
     assert df.columns[:3] == ["event_id", "ts", "user_id"]
     assert df.count() >= 0
+
+
+@pytest.mark.parametrize("name", ["pit_events", "ingestion_as_of", "freshness", "health_report", "latest_health", "asof_bulk"])
+def test_results_do_not_depend_on_the_session_zone(spark, con, name):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = E.queries()[name](spark, SF)
+        spark_side = canon(df.columns, [tuple(r) for r in df.collect()])
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    res = con.execute(E.oracle_sql()[name])
+    assert spark_side == canon([d[0] for d in res.description], res.fetchall())
