@@ -107,9 +107,18 @@ def first_writer_wins(records: DataFrame) -> DataFrame:
 
 
 def records_to_append(existing: DataFrame, incoming: DataFrame) -> DataFrame:
-    """Insert-if-absent on run_id: incoming records whose run_id is not yet logged."""
+    """Insert-if-absent on run_id: incoming records whose run_id is not yet logged.
+
+    The log is probed with the incoming ids (broadcast after a size check),
+    so appending a batch scans the log's run_id column without shuffling it;
+    only when the batch itself is huge does this fall back to a shuffle join.
+    """
+    from strata.operators.joins import checked_broadcast
+
     fresh = first_writer_wins(incoming)
-    return fresh.join(existing.select("run_id").distinct(), "run_id", "left_anti").select(*incoming.columns)
+    ids = checked_broadcast(fresh.select("run_id"))
+    seen = existing.select("run_id").join(ids, "run_id", "left_semi").distinct()
+    return fresh.join(seen, "run_id", "left_anti").select(*incoming.columns)
 
 
 def latest_ingestion(records: DataFrame, cutoff=None) -> DataFrame:

@@ -126,7 +126,7 @@ def ingest(spark: SparkSession, cfg: IngestionConfig, now: dt.datetime | None =
         checksum = manifest_checksum(registry.manifest(run_id)).first()["checksum"]
         step("manifest")
     else:
-        prior = registry.records().where(F.col("run_id") == run_id).first()
+        prior = registry.records(cfg.dataset_name).where(F.col("run_id") == run_id).first()
         row_count, path = int(prior["row_count"]), prior["partition_path"]
         result.partition_path = path
         result.source_changed = _source_changed(spark, cfg, path)
@@ -184,7 +184,7 @@ def run_health(spark: SparkSession, registry: Registry, dataset: str, data_path:
         raise ValueError(f"Dataset '{dataset}' is not registered. Call register_dataset() before running health checks.")
     data = spark.read.parquet(data_path).withColumn("dataset_name", F.lit(dataset))
     nulls = check_null_ratio(data, contract, ["dataset_name"], threshold)
-    records = registry.records().where(F.col("dataset_name") == dataset)
+    records = registry.records(dataset)
     # One row (one registered dataset): computed once, then appended as is.
     rows = health_reports(regs, records, nulls, now).collect()
     registry.write_health_reports(spark.createDataFrame(rows, REPORT_SCHEMA))

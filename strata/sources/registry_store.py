@@ -88,8 +88,14 @@ class Registry:
         return rows[0].asDict() if rows else None
 
     # -- ingestion records ---------------------------------------------------------
-    def records(self) -> DataFrame:
-        return first_writer_wins(self.table("ingestion_records"))
+    def records(self, dataset: str | None = None) -> DataFrame:
+        """Deduplicated records; a dataset filter is applied before the
+        de-duplication (duplicates of a run id share its dataset), so it
+        reaches the Parquet scan."""
+        log = self.table("ingestion_records")
+        if dataset is not None:
+            log = log.where(F.col("dataset_name") == dataset)
+        return first_writer_wins(log)
 
     def has_run(self, run_id: str) -> bool:
         if not self.exists("ingestion_records"):
@@ -101,20 +107,19 @@ class Registry:
         self.append("ingestion_records", records_to_append(self.table("ingestion_records"), incoming))
 
     def record_ingestion(self, record: dict) -> None:
+        """One record: a filtered scan of the run_id column decides, no join."""
+        if self.has_run(record["run_id"]):
+            return
         row = tuple(record[f] for f in RECORD_SCHEMA.fieldNames())
-        self.record_ingestions(self.spark.createDataFrame([row], RECORD_SCHEMA))
+        self.append("ingestion_records", self.spark.createDataFrame([row], RECORD_SCHEMA))
 
     def ingestion_as_of(self, dataset: str, as_of: dt.datetime) -> dict | None:
         as_of = as_of.replace(tzinfo=None) if as_of.tzinfo else as_of
-        recs = self.records().where(F.col("dataset_name") == dataset)
-        rows = latest_ingestion(recs, ntz(as_of)).take(1)
+        rows = latest_ingestion(self.records(dataset), ntz(as_of)).take(1)
         return rows[0].asDict() if rows else None
 
     def ingestion_history(self, dataset: str | None = None, limit: int = 10) -> DataFrame:
-        recs = self.records()
-        if dataset is not None:
-            recs = recs.where(F.col("dataset_name") == dataset)
-        return ingestion_history(recs, limit)
+        return ingestion_history(self.records(dataset), limit)
 
     def latest_records(self) -> DataFrame:
         return latest_ingestion(self.records())
