@@ -148,24 +148,56 @@ def check_volume(records: DataFrame) -> DataFrame:
     return volume_decision(volume_stats(ingestion_history(records, VOLUME_HISTORY)))
 
 
-def volume_backfill(records: DataFrame) -> DataFrame:
-    """The volume check as it would have read at every run (each run as 'current').
-
-    A sliding frame of the 30 previous runs per dataset over the runs log,
-    which holds one row per run (metadata, not data rows).
+def volume_backfill(records: DataFrame, bucket_days: int = 7) -> DataFrame:
+    """The volume check as it would have read at every run (each run as 'current'):
+    the run's row count against the 30 runs before it in its dataset.
+
+    Skew-safe: no window spans a whole dataset. Runs are cut into time
+    buckets; each (dataset, bucket) receives a halo of the 30 runs that
+    precede the bucket, taken from the last-30 lists of the 30 previous
+    non-empty buckets (each holds at least one run, so together they hold
+    the 30 predecessors). The sliding frame then runs per (dataset, bucket).
     """
-    order = Window.partitionBy("dataset_name").orderBy("ingested_at", "run_id")
-    frame = order.rowsBetween(-(VOLUME_HISTORY - 1), -1)
+    keep = VOLUME_HISTORY - 1
+    epoch = F.lit("1970-01-01").cast("date")
+    runs = records.select(
+        "dataset_name", "run_id", "ingested_at", "row_count",
+        F.floor(F.datediff(F.to_date("ingested_at"), epoch) / F.lit(bucket_days)).cast("long").alias("_b"),
+    )
+    # Last `keep` runs of every (dataset, bucket), as one sorted array per bucket.
+    w_tail = Window.partitionBy("dataset_name", "_b").orderBy(F.col("ingested_at").desc(), F.col("run_id").desc())
+    tails = (
+        runs.withColumn("_r", F.row_number().over(w_tail)).where(F.col("_r") <= keep)
+        .groupBy("dataset_name", "_b")
+        .agg(F.sort_array(F.collect_list(F.struct("ingested_at", "run_id", "row_count"))).alias("_tail"))
+    )
+    # Halo of bucket b: the last `keep` runs of the `keep` non-empty buckets before it.
+    w_prev = Window.partitionBy("dataset_name").orderBy("_b").rowsBetween(-keep, -1)
+    halo = tails.select(
+        "dataset_name", "_b", F.flatten(F.collect_list("_tail").over(w_prev)).alias("_prev")
+    ).select(
+        # slice() with a negative start past the array's head returns nothing, so
+        # the start index is computed: the last `keep` elements, or all of them.
+        "dataset_name", "_b",
+        F.slice("_prev", F.greatest(F.size("_prev") - F.lit(keep - 1), F.lit(1)), F.lit(keep)).alias("_halo"),
+    )
+    halo_rows = halo.select("dataset_name", "_b", F.explode("_halo").alias("h")).select(
+        "dataset_name", "_b", F.col("h.run_id").alias("run_id"), F.col("h.ingested_at").alias("ingested_at"),
+        F.col("h.row_count").alias("row_count"), F.lit(True).alias("_is_halo"),
+    )
+    both = runs.withColumn("_is_halo", F.lit(False)).unionByName(halo_rows)
+    frame = Window.partitionBy("dataset_name", "_b").orderBy("ingested_at", "run_id").rowsBetween(-keep, -1)
     rc = F.col("row_count").cast("decimal(38,0)")
-    stats = records.select(
+    stats = both.select(
         "dataset_name",
         "run_id",
         "ingested_at",
+        "_is_halo",
         F.col("row_count").alias("current_row_count"),
         F.count(F.lit(1)).over(frame).alias("baseline_n"),
         F.coalesce(F.sum(rc).over(frame), F.lit(0).cast("decimal(38,0)")).cast("decimal(38,0)").alias("baseline_sum"),
         F.coalesce(F.sum(rc * rc).over(frame), F.lit(0).cast("decimal(38,0)")).cast("decimal(38,0)").alias("baseline_sumsq"),
-    ).withColumn("records_available", F.col("baseline_n") + F.lit(1))
+    ).where(~F.col("_is_halo")).drop("_is_halo").withColumn("records_available", F.col("baseline_n") + F.lit(1))
     return volume_decision(stats, ["dataset_name", "run_id", "ingested_at"])
 
 

@@ -148,3 +148,29 @@ def test_schema_hash(spark):
 def test_status(spark, flags, status):
     df = spark.createDataFrame([flags], "f boolean, v boolean, n boolean, s boolean")
     assert df.select(aggregate_status(F.col("f"), F.col("v"), F.col("n"), F.col("s"))).first()[0] == status
+
+
+def test_volume_backfill_bucketed_equals_plain_window_with_a_hot_dataset(spark):
+    import random
+
+    from pyspark.sql.window import Window
+
+    rnd = random.Random(11)
+    rows = []
+    t0 = dt.datetime(2024, 1, 1)
+    for i in range(600):
+        ds = "hot" if rnd.random() < 0.5 else rnd.choice(["a", "b"])
+        gap_days = rnd.choice([0, 0, 0, 1, 3, 20])  # dense stretches and long gaps
+        t0 = t0 + dt.timedelta(days=gap_days, minutes=rnd.randrange(1, 300))
+        rows.append((f"r{i:04d}", ds, "1", t0, rnd.randrange(50, 150), "c", "s", "p", "h"))
+    recs = spark.createDataFrame(rows, RECORD_SCHEMA)
+    got = {r["run_id"]: (r["baseline_n"], r["volume_ok"]) for r in volume_backfill(recs, bucket_days=3).collect()}
+    w = Window.partitionBy("dataset_name").orderBy("ingested_at", "run_id").rowsBetween(-30, -1)
+    plain = recs.select("run_id", F.count(F.lit(1)).over(w).alias("n"), F.sum("row_count").over(w).alias("s"),
+                        F.sum(F.col("row_count") * F.col("row_count")).over(w).alias("q"), "row_count").collect()
+    want = {}
+    for r in plain:
+        n, s_, q, c = r["n"], r["s"] or 0, r["q"] or 0, r["row_count"]
+        ok = True if n + 1 < 4 else (n * c - s_) ** 2 <= 9 * (n * q - s_ * s_)
+        want[r["run_id"]] = (n, ok)
+    assert got == want
