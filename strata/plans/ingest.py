@@ -13,10 +13,11 @@ from __future__ import annotations
 
 import datetime as dt
 import hashlib
+import json
 import time
 from dataclasses import dataclass, field
 
-from pyspark.sql import Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from strata.model import DEFAULT_NULLABLE_THRESHOLD, Contract
@@ -179,13 +180,50 @@ def _source_changed(spark: SparkSession, cfg: IngestionConfig, path: str) -> boo
 def run_health(spark: SparkSession, registry: Registry, dataset: str, data_path: str, contract: Contract,
                now: dt.datetime, threshold: float = DEFAULT_NULLABLE_THRESHOLD) -> str:
     """Health report for one dataset over the rows at ``data_path``; appended to the registry."""
-    regs = registry.registrations().where(F.col("name") == dataset)
-    if not regs.take(1):
+    _require_registered(registry, dataset)
+    return health_report_for(registry, dataset, spark.read.parquet(data_path), contract, now, threshold)["status"]
+
+
+def _require_registered(registry: Registry, dataset: str) -> None:
+    if registry.get_dataset(dataset) is None:
         raise ValueError(f"Dataset '{dataset}' is not registered. Call register_dataset() before running health checks.")
-    data = spark.read.parquet(data_path).withColumn("dataset_name", F.lit(dataset))
-    nulls = check_null_ratio(data, contract, ["dataset_name"], threshold)
-    records = registry.records(dataset)
+
+
+def health_report_for(registry: Registry, dataset: str, data: DataFrame, contract: Contract,
+                      now: dt.datetime | None = None, threshold: float = DEFAULT_NULLABLE_THRESHOLD) -> dict:
+    """The four checks for one registered dataset over ``data``; the report is
+    appended to the registry and returned (one row). Raises ValueError when
+    the dataset is not registered."""
+    spark = data.sparkSession
+    now = now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    _require_registered(registry, dataset)
+    regs = registry.registrations().where(F.col("name") == dataset)
+    nulls = check_null_ratio(data.withColumn("dataset_name", F.lit(dataset)), contract, ["dataset_name"], threshold)
     # One row (one registered dataset): computed once, then appended as is.
-    rows = health_reports(regs, records, nulls, now).collect()
+    rows = health_reports(regs, registry.records(dataset), nulls, now).collect()
     registry.write_health_reports(spark.createDataFrame(rows, REPORT_SCHEMA))
-    return rows[0]["status"]
+    report = rows[0].asDict()
+    report["details"] = json.loads(report["details"])
+    return report
+
+
+class HealthReporter:
+    """``HealthReporter(registry, nullable_threshold).run(dataset_name, df, contract)`` -> report dict."""
+
+    def __init__(self, registry: Registry, nullable_threshold: float = DEFAULT_NULLABLE_THRESHOLD) -> None:
+        self.registry = registry
+        self.nullable_threshold = nullable_threshold
+
+    def run(self, dataset_name: str, df: DataFrame, contract: Contract, now: dt.datetime | None = None) -> dict:
+        return health_report_for(self.registry, dataset_name, df, contract, now, self.nullable_threshold)
+
+
+class IngestionPipeline:
+    """``IngestionPipeline(spark, config).run()`` -> IngestionResult."""
+
+    def __init__(self, spark: SparkSession, config: IngestionConfig) -> None:
+        self.spark = spark
+        self.config = config
+
+    def run(self, now: dt.datetime | None = None) -> IngestionResult:
+        return ingest(self.spark, self.config, now)

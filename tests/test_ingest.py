@@ -147,3 +147,19 @@ def test_record_first_writer_wins_and_history(spark, tmp_path):
     # Equal ingested_at: the larger run_id wins, deterministically.
     reg.record_ingestion(dict(base, run_id="zz", ingested_at=dt.datetime(2026, 1, 12)))
     assert reg.ingestion_as_of("a", dt.datetime(2026, 1, 12, 23, 59, 59))["run_id"] == "zz"
+
+
+def test_class_entry_points(spark, tmp_path, prices_contract, prices_csv):
+    from strata.operators.validate import SchemaValidator
+    from strata.plans.ingest import HealthReporter, IngestionPipeline
+
+    c = cfg(tmp_path, prices_contract, prices_csv)
+    res = IngestionPipeline(spark, c).run(now=NOW)
+    assert res.success
+    reg = Registry(spark, c.registry_base)
+    df = spark.read.parquet(res.partition_path)
+    assert SchemaValidator(strict_columns=True).validate(df, prices_contract).valid
+    report = HealthReporter(reg, nullable_threshold=0.10).run("prices", df, prices_contract, now=NOW)
+    assert report["status"] == "healthy" and report["details"]["null_ratio"]["total_rows"] == 10
+    with pytest.raises(ValueError):
+        HealthReporter(reg).run("unknown", df, prices_contract, now=NOW)
