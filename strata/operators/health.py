@@ -29,7 +29,7 @@ from strata.model import (
     Contract,
     HealthStatus,
 )
-from strata.operators.registry import ingestion_history, latest_ingestion
+from strata.operators.registry import ingestion_history
 
 
 

@@ -37,8 +37,12 @@ def test_nan_text_is_a_float(spark):
 
 
 def test_clean_cell_trims_unicode_space(spark):
-    df = spark.createDataFrame([(" \t a b  ",), ("   ",), ("",), (None,)], "v string")
-    assert [r[0] for r in df.select(clean_cell(F.col("v"))).collect()] == ["a b", None, None, None]
+    texts = [" \t a b  ", "   ", "", None, "\u3000\u00a0x\u2003\n", "\u200bz", "\u0085y "]
+    # Zero-width space (U+200B) is not White_Space, so it stays.
+    expected = ["a b", None, None, None, "x", "\u200bz", "y"]
+    df = spark.createDataFrame([(t,) for t in texts], "v string")
+    assert [r[0] for r in df.select(clean_cell(F.col("v"))).collect()] == expected
+    assert [r[0] for r in df.selectExpr(clean_cell_sql("v")).collect()] == expected
 
 
 CONTRACT = Contract("t", "1.0", (Column("id", "int"), Column("x", "float", True), Column("flag", "boolean", True)))
