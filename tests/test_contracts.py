@@ -43,3 +43,15 @@ def test_json_quote_matches_python(spark):
 
 def test_contract_json_roundtrip(prices_contract):
     assert Contract.from_json(prices_contract.to_json()) == prices_contract
+
+
+def test_contracts_from_json_files(spark, tmp_path, prices_contract):
+    from strata.operators.fingerprint import contracts_from_json
+
+    other = Contract("ticks", "3.1", (Column("sym", "string"), Column("ts", "timestamp", True)))
+    for i, c in enumerate([prices_contract, other]):
+        (tmp_path / f"c{i}.json").write_text(c.to_json())
+    table = contracts_from_json(spark, str(tmp_path))
+    assert table.count() == 5
+    got = {(r["dataset_name"], r["version"]): r["schema_hash"] for r in schema_fingerprint(table).collect()}
+    assert got == {("prices", "1.0"): KNOWN, ("ticks", "3.1"): other.schema_hash()}

@@ -80,3 +80,23 @@ def test_asof_runs_matches_brute_force_with_a_hot_dataset(spark, bucket_days):
     qdf = spark.createDataFrame(requests, "dataset_name string, as_of date")
     got = {(r["dataset_name"], r["as_of"]): r["run_id"] for r in asof_runs(qdf, rdf, bucket_days).collect()}
     assert got == brute(set(requests), runs)
+
+
+def test_asof_rows_over_a_snapshot_store(spark, tmp_path):
+    from strata.operators.point_in_time import asof_rows
+    from strata.sources.snapshots import read_store, run_path
+
+    schema = "symbol string, date date, close double"
+    runs = {
+        "r1": (dt.datetime(2026, 1, 2, 18), [("A", dt.date(2026, 1, 1), 1.0), ("A", dt.date(2026, 1, 2), 2.0)]),
+        "r2": (dt.datetime(2026, 1, 5, 9), [("A", dt.date(2026, 1, 2), 2.5), ("A", dt.date(2026, 1, 5), 5.0), ("B", dt.date(2026, 1, 6), 6.0)]),
+    }
+    for rid, (at, rows) in runs.items():
+        spark.createDataFrame(rows, schema).write.parquet(run_path(str(tmp_path), "px", at.date(), rid))
+    store = read_store(spark, str(tmp_path), "px", spark.createDataFrame([], schema).schema).withColumn("dataset_name", F.lit("px"))
+    recs = spark.createDataFrame([rec(rid, "px", at, len(rows)) for rid, (at, rows) in runs.items()], RECORD_SCHEMA)
+    reqs = spark.createDataFrame([("px", dt.date(2026, 1, d)) for d in (1, 2, 4, 5, 6)], "dataset_name string, as_of date")
+    out = asof_rows(store, reqs, recs, run_keys=("dataset_name", "run_id"))
+    got = sorted((r["as_of"].day, r["ingestion_run_id"], r["close"]) for r in out.collect())
+    assert got == [(2, "r1", 1.0), (2, "r1", 2.0), (4, "r1", 1.0), (4, "r1", 2.0),
+                   (5, "r2", 2.5), (5, "r2", 5.0), (6, "r2", 2.5), (6, "r2", 5.0), (6, "r2", 6.0)]
