@@ -408,6 +408,7 @@ WHERE m.rk = 1 AND CAST(e.ts AS DATE) <= m.as_of""",
     "digest_documents": _digest("documents", ["doc_id", "text", "lang", "source", "n_chars"], "lang"),
     "digest_conversations": _digest("conversations", ["conv_id", "turn", "role", "text"], "role"),
     "digest_pages": _digest("pages", ["page_id", "url", "html"], None),
+    "csv_ingest_events": "SELECT event_id, date_trunc('second', ts) AS ts, user_id, event_type, value, props FROM events",
     "stream_daily_volume": "SELECT event_type AS dataset_name, CAST(ts AS DATE) AS day, count(*) AS row_count FROM events GROUP BY 1, 2",
     "latest_health": _with(RUNS) + """,
 vb AS (
