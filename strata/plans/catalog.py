@@ -223,7 +223,7 @@ def health_frame(spark: SparkSession, sf: str, now=fx.NOW) -> DataFrame:
     contract = fx.events_contract("1.0")
     rows = fx.events_with_nulls(events).withColumn("dataset_name", F.col("event_type")).withColumn("ingest_date", F.to_date("ts"))
     per_run = check_null_ratio(rows, contract, ["dataset_name", "ingest_date"])
-    latest_keys = runs.join(latest.select("run_id"), "run_id", "left_semi").select("dataset_name", "ingest_date")
+    latest_keys = latest_ingestion(runs.select(*RECORD_COLS, "ingest_date")).select("dataset_name", "ingest_date")
     nulls = per_run.join(latest_keys, ["dataset_name", "ingest_date"], "left_semi").drop("ingest_date")
     return health_reports(regs, records, nulls, now)
 

@@ -22,6 +22,7 @@ from __future__ import annotations
 import datetime as dt
 
 from strata.functions.timefn import ntz
+from strata.session import ensure_checkpoint_dir
 from pyspark.sql import Column as SparkColumn
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -115,7 +116,19 @@ def event_fingerprints(events: DataFrame, datasets: DataFrame | None = None) ->
 
 
 def event_runs(events: DataFrame) -> DataFrame:
-    """The ingestion-record log: one record per (event_type, day)."""
+    """The ingestion-record log: one record per (event_type, day).
+
+    Materialised once (checkpoint into the shared checkpoint folder), as a
+    stored registry table would be: one row per run, far smaller than the
+    events it is derived from. Every later use reads it instead of
+    re-aggregating the events, and no predicate on the computed run id can
+    be pushed below the aggregate into a per-event evaluation.
+    """
+    ensure_checkpoint_dir(events.sparkSession)
+    return _event_runs(events).checkpoint(eager=True)
+
+
+def _event_runs(events: DataFrame) -> DataFrame:
     runs = events.groupBy(F.col("event_type").alias("dataset_name"), F.to_date("ts").alias("ingest_date")).agg(
         F.count(F.lit(1)).alias("row_count"),
         F.max("ts").alias("ingested_at"),
