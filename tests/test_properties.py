@@ -32,3 +32,52 @@ def test_set_fingerprint_equals_single(spark, contracts):
 def test_json_quote_equals_python(spark, texts):
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     assert [r[0] for r in df.select(json_quote("t")).collect()] == [json.dumps(t) for t in texts]
+
+
+def _py_float(text: str):
+    import math
+    import re
+
+    from strata.functions.casts import FLOAT_PATTERN
+
+    if not re.fullmatch(FLOAT_PATTERN, text.lower()):
+        return None
+    v = float(text)
+    return "nan" if math.isnan(v) else v
+
+
+def _py_int(text: str):
+    import re
+
+    if not re.fullmatch(r"[+-]?[0-9]+", text):
+        return None
+    v = int(text)
+    return v if -(2**63) <= v < 2**63 else None
+
+
+@SETTINGS
+@given(st.lists(st.text(alphabet="0123456789+-.eE", min_size=1, max_size=8), min_size=1, max_size=60))
+def test_float_fast_path_equals_grammar(spark, texts):
+    """For text of digits, signs, dots and exponent letters the regex is skipped;
+    the cast must then accept exactly what the grammar accepts."""
+    import math
+
+    from pyspark.sql import functions as F
+
+    from strata.functions.casts import guarded_cast
+
+    df = spark.createDataFrame([(t,) for t in texts], "v string")
+    got = [r[0] for r in df.select(guarded_cast(F.col("v"), "float")).collect()]
+    got = ["nan" if isinstance(g, float) and math.isnan(g) else g for g in got]
+    assert got == [_py_float(t) for t in texts]
+
+
+@SETTINGS
+@given(st.lists(st.text(alphabet="0123456789+-", min_size=1, max_size=21), min_size=1, max_size=60))
+def test_int_fast_path_equals_grammar(spark, texts):
+    from pyspark.sql import functions as F
+
+    from strata.functions.casts import guarded_cast
+
+    df = spark.createDataFrame([(t,) for t in texts], "v string")
+    assert [r[0] for r in df.select(guarded_cast(F.col("v"), "int")).collect()] == [_py_int(t) for t in texts]
