@@ -30,6 +30,7 @@ from strata.sources.manifest import file_manifest, manifest_checksum
 from strata.operators.registry import REPORT_SCHEMA
 from strata.sources.registry_store import Registry
 from strata.sources.snapshots import run_path
+from strata.session import ensure_checkpoint_dir
 
 
 @dataclass
@@ -111,7 +112,7 @@ def ingest(spark: SparkSession, cfg: IngestionConfig, now: dt.datetime | None =
             return result
         raw = spread(csv_scan(spark, cfg.source_path, header, cfg.multi_line))
         # Job 1: the gate, one aggregate. Output is bounded by columns x rules.
-        summary = gate_summary(raw, cfg.contract).orderBy("column", "error_type").collect()
+        summary = sorted(gate_summary(raw, cfg.contract).collect(), key=lambda r: (r["column"], r["error_type"]))
         step("gate")
         if summary:
             result.errors = [(r["column"], r["error_type"], r["n_rows"], r["example"]) for r in summary]
@@ -122,9 +123,13 @@ def ingest(spark: SparkSession, cfg: IngestionConfig, now: dt.datetime | None =
         typed_rows(raw, cfg.contract).observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
         row_count = int(obs.get["rows"])
         step("write")
-        # Job 3: manifest of the written files.
-        registry.write_manifest(file_manifest(spark, path, run_id))
-        checksum = manifest_checksum(registry.manifest(run_id)).first()["checksum"]
+        # Job 3: manifest of the written files, hashed once (one row per file of
+        # this run), then logged; the checksum comes from the same rows, not
+        # from a scan of the ever-growing manifest log.
+        ensure_checkpoint_dir(spark)
+        manifest = file_manifest(spark, path, run_id).checkpoint(eager=True)
+        registry.write_manifest(manifest)
+        checksum = manifest_checksum(manifest).first()["checksum"]
         step("manifest")
     else:
         prior = registry.records(cfg.dataset_name).where(F.col("run_id") == run_id).first()
@@ -149,7 +154,8 @@ def ingest(spark: SparkSession, cfg: IngestionConfig, now: dt.datetime | None =
             }
         )
     step("registry")
-    status = run_health(spark, registry, cfg.dataset_name, path, cfg.contract, now, cfg.nullable_threshold)
+    status = health_report_for(registry, cfg.dataset_name, spark.read.parquet(path), cfg.contract, now,
+                               cfg.nullable_threshold)["status"]
     step("health")
     result.success, result.row_count, result.status, result.rerun = True, row_count, status, rerun
     return result
@@ -196,11 +202,13 @@ def health_report_for(registry: Registry, dataset: str, data: DataFrame, contrac
     the dataset is not registered."""
     spark = data.sparkSession
     now = now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    _require_registered(registry, dataset)
     regs = registry.registrations().where(F.col("name") == dataset)
     nulls = check_null_ratio(data.withColumn("dataset_name", F.lit(dataset)), contract, ["dataset_name"], threshold)
-    # One row (one registered dataset): computed once, then appended as is.
+    # One row (one registered dataset): computed once, then appended as is;
+    # no row means the dataset is not registered.
     rows = health_reports(regs, registry.records(dataset), nulls, now).collect()
+    if not rows:
+        raise ValueError(f"Dataset '{dataset}' is not registered. Call register_dataset() before running health checks.")
     registry.write_health_reports(spark.createDataFrame(rows, REPORT_SCHEMA))
     report = rows[0].asDict()
     report["details"] = json.loads(report["details"])

@@ -24,6 +24,7 @@ from strata.sources.csv import CORRUPT
 from strata.sources.manifest import file_manifest, manifest_checksum
 from strata.sources.registry_store import Registry
 from strata.sources.snapshots import run_path
+from strata.session import ensure_checkpoint_dir
 
 
 @dataclass
@@ -69,6 +70,7 @@ def _raw_stream(spark: SparkSession, cfg: StreamIngestConfig) -> DataFrame:
 def make_batch_handler(spark: SparkSession, cfg: StreamIngestConfig, clock=None):
     registry = Registry(spark, cfg.registry_base)
     schema_hash = cfg.contract.schema_hash()
+    ensure_checkpoint_dir(spark)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         now = clock() if clock else dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
@@ -87,8 +89,9 @@ def make_batch_handler(spark: SparkSession, cfg: StreamIngestConfig, clock=None)
             bad.write.mode("overwrite").parquet(run_path(cfg.quarantine_base, cfg.dataset_name, now.date(), run_id))
         finally:
             normalized.unpersist()
-        registry.write_manifest(file_manifest(spark, path, run_id))
-        checksum = manifest_checksum(registry.manifest(run_id)).first()["checksum"]
+        manifest = file_manifest(spark, path, run_id).checkpoint(eager=True)
+        registry.write_manifest(manifest)
+        checksum = manifest_checksum(manifest).first()["checksum"]
         registry.register_dataset(cfg.dataset_name, cfg.version, cfg.owner, cfg.expected_frequency, schema_hash, at=now)
         registry.record_ingestion({
             "run_id": run_id, "dataset_name": cfg.dataset_name, "version": cfg.version, "ingested_at": now,
