@@ -96,7 +96,7 @@ def ingest(spark: SparkSession, cfg: IngestionConfig, now: dt.datetime | None =
         result.timings[name] = round(now_t - clock[0], 3)
         clock[0] = now_t
 
-    rerun = registry.has_run(run_id)
+    rerun = registry.has_run(run_id, cfg.dataset_name)
     step("lookup")
     checksum = None
     if not rerun:

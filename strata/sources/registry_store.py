@@ -40,6 +40,10 @@ TABLES = {
     "file_manifest": MANIFEST_SCHEMA,
 }
 
+# Logs that grow with every run are partitioned by dataset, so a lookup for
+# one dataset lists and scans only that dataset's files.
+PARTITION_COLUMN = {"ingestion_records": "dataset_name", "health_reports": "dataset_name"}
+
 
 class Registry:
     def __init__(self, spark: SparkSession, base: str):
@@ -60,12 +64,17 @@ class Registry:
         if not self.exists(table):
             return self.spark.createDataFrame([], schema)
         try:
-            return self.spark.read.schema(schema).parquet(self.path(table))
+            # The declared schema types the partition column too (no inference
+            # from directory names); columns are returned in declared order.
+            return self.spark.read.schema(schema).parquet(self.path(table)).select(*schema.fieldNames())
         except AnalysisException:  # created by a concurrent writer but still empty
             return self.spark.createDataFrame([], schema)
 
     def append(self, table: str, df: DataFrame) -> None:
-        df.select(*TABLES[table].fieldNames()).write.mode("append").parquet(self.path(table))
+        w = df.select(*TABLES[table].fieldNames()).write.mode("append")
+        if table in PARTITION_COLUMN:
+            w = w.partitionBy(PARTITION_COLUMN[table])
+        w.parquet(self.path(table))
 
     # -- registrations -------------------------------------------------------------
     def register_dataset(self, name: str, version: str, owner: str, expected_frequency: str, schema_hash: str,
@@ -97,10 +106,14 @@ class Registry:
             log = log.where(F.col("dataset_name") == dataset)
         return first_writer_wins(log)
 
-    def has_run(self, run_id: str) -> bool:
+    def has_run(self, run_id: str, dataset: str | None = None) -> bool:
+        """Is the run recorded? With ``dataset`` only that dataset's partition is read."""
         if not self.exists("ingestion_records"):
             return False
-        return bool(self.table("ingestion_records").where(F.col("run_id") == run_id).select("run_id").take(1))
+        log = self.table("ingestion_records")
+        if dataset is not None:
+            log = log.where(F.col("dataset_name") == dataset)
+        return bool(log.where(F.col("run_id") == run_id).select("run_id").take(1))
 
     def record_ingestions(self, incoming: DataFrame) -> None:
         """Insert-if-absent on run_id (anti join against the log, then append)."""
@@ -108,7 +121,7 @@ class Registry:
 
     def record_ingestion(self, record: dict) -> None:
         """One record: a filtered scan of the run_id column decides, no join."""
-        if self.has_run(record["run_id"]):
+        if self.has_run(record["run_id"], record["dataset_name"]):
             return
         row = tuple(record[f] for f in RECORD_SCHEMA.fieldNames())
         self.append("ingestion_records", self.spark.createDataFrame([row], RECORD_SCHEMA))

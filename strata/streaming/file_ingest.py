@@ -75,7 +75,7 @@ def make_batch_handler(spark: SparkSession, cfg: StreamIngestConfig, clock=None)
     def handle(batch: DataFrame, batch_id: int) -> None:
         now = clock() if clock else dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
         run_id = stream_run_id(cfg, schema_hash, now.date(), batch_id)
-        if registry.has_run(run_id):
+        if registry.has_run(run_id, cfg.dataset_name):
             return  # replayed batch: already recorded
         normalized = normalize_types(batch, cfg.contract).withColumn("_bad", F.size(ERRORS) > 0)
         normalized.persist()

@@ -163,3 +163,19 @@ def test_class_entry_points(spark, tmp_path, prices_contract, prices_csv):
     assert report["status"] == "healthy" and report["details"]["null_ratio"]["total_rows"] == 10
     with pytest.raises(ValueError):
         HealthReporter(reg).run("unknown", df, prices_contract, now=NOW)
+
+
+def test_registry_logs_are_partitioned_by_dataset(spark, tmp_path):
+    reg = Registry(spark, str(tmp_path / "registry"))
+    base = dict(version="1.0", row_count=1, checksum="c", source_path="s", partition_path="p", schema_hash="h",
+                ingested_at=dt.datetime(2026, 1, 1))
+    reg.record_ingestion(dict(base, run_id="r1", dataset_name="2024"))  # a name that looks like a number
+    reg.record_ingestion(dict(base, run_id="r2", dataset_name="b"))
+    parts = sorted(d for d in os.listdir(reg.path("ingestion_records")) if d.startswith("dataset_name="))
+    assert parts == ["dataset_name=2024", "dataset_name=b"]
+    recs = reg.records("2024")
+    assert recs.columns == [f.name for f in __import__("strata.operators.registry", fromlist=["x"]).RECORD_SCHEMA.fields]
+    assert [r["dataset_name"] for r in recs.collect()] == ["2024"]
+    plan = spark.sparkContext._jvm.PythonSQLUtils.explainString(recs._jdf.queryExecution(), "formatted")
+    assert "PartitionFilters: [isnotnull(dataset_name" in plan
+    assert reg.has_run("r2", "b") and not reg.has_run("r2", "2024")
