@@ -36,14 +36,16 @@ def manifest_checksum(manifest: DataFrame) -> DataFrame:
     )
 
 
-def verify_manifest(spark: SparkSession, manifest: DataFrame) -> DataFrame:
+def verify_manifest(spark: SparkSession, manifest: DataFrame, root: str | None = None) -> DataFrame:
     """Files whose current bytes differ from the manifest, or that are gone.
 
     Returns (run_id, path, status) with status 'changed' or 'missing'; a
     file the file system itself refuses to read (its own checksum fails) is
     skipped by the scan and so reported as 'missing' instead of failing the job.
     """
-    roots = _roots(manifest)
+    # With ``root`` (the store), files are listed once under it and matched by
+    # path, so verifying many runs sends no per-run list through the driver.
+    roots = [root] if root else _roots(manifest)
     if not roots:
         return manifest.select("run_id", "path", F.lit("ok").alias("status")).limit(0)
     current = (
@@ -62,6 +64,7 @@ def verify_manifest(spark: SparkSession, manifest: DataFrame) -> DataFrame:
 
 
 def _roots(manifest: DataFrame) -> list[str]:
-    # Directories of the runs in the manifest (one per run: bounded by run count).
+    # Directories of the runs in the manifest (one per run): for a few runs;
+    # pass the store root to verify many.
     dirs = manifest.select(F.regexp_extract("path", r"^(.*)/[^/]+$", 1).alias("d")).distinct().collect()
     return [r["d"] for r in dirs]

@@ -118,6 +118,7 @@ def test_manifest_verification(spark, tmp_path, prices_contract, prices_csv):
     crc = os.path.join(os.path.dirname(victim), "." + os.path.basename(victim) + ".crc")
     os.unlink(crc)  # a store without its own checksums (object stores): our digest catches it
     assert [b["status"] for b in verify_manifest(spark, m).collect()] == ["changed"]
+    assert [b["status"] for b in verify_manifest(spark, m, root=c.store_base).collect()] == ["changed"]
 
 
 def test_registry_upsert_and_listing(spark, tmp_path):
