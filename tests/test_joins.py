@@ -17,3 +17,16 @@ def test_checked_broadcast_marks_only_small_sides(spark):
     assert unmarked.count() == 1000  # too many rows: returned without the broadcast mark
     plan = _plan(big.hint("shuffle_merge").join(unmarked, "k"))
     assert "SortMergeJoin" in plan
+
+
+def test_spread_repartitions_only_few_split_inputs(spark, tmp_path):
+    from strata.operators.parallel import spread
+
+    one = spark.range(0, 1000).coalesce(1)
+    one.write.parquet(str(tmp_path / "one"))
+    few = spark.read.parquet(str(tmp_path / "one"))
+    assert few.rdd.getNumPartitions() == 1
+    assert spread(few, 4).rdd.getNumPartitions() == 4
+    assert spread(few, 4).count() == 1000
+    many = spark.range(0, 1000, numPartitions=6)
+    assert spread(many, 4) is many  # already parallel: returned unchanged, no shuffle added
