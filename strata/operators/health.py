@@ -270,11 +270,6 @@ def check_null_ratio(df: DataFrame, contract: Contract, group_cols: list[str], t
     )
 
 
-def empty_null_ratio(groups: DataFrame, key: str = "dataset_name") -> DataFrame:
-    """The null-ratio result for groups whose frame has no rows."""
-    return groups.select(key, F.lit(False).alias("null_ratio_ok"), F.lit(REASON_EMPTY).alias("null_ratio_reason"))
-
-
 def check_schema_hash(registrations: DataFrame, latest: DataFrame) -> DataFrame:
     joined = registrations.select(F.col("name").alias("dataset_name"), F.col("schema_hash").alias("_expected")).join(
         latest.select("dataset_name", F.col("schema_hash").alias("_actual")), "dataset_name", "left"

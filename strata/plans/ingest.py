@@ -29,7 +29,7 @@ from strata.sources.csv import csv_scan, header_errors, read_header
 from strata.sources.manifest import file_manifest, manifest_checksum
 from strata.operators.registry import REPORT_SCHEMA
 from strata.sources.registry_store import Registry
-from strata.sources.snapshots import run_path
+from strata.sources.snapshots import run_path, write_run
 from strata.session import ensure_checkpoint_dir
 
 
@@ -120,7 +120,7 @@ def ingest(spark: SparkSession, cfg: IngestionConfig, now: dt.datetime | None =
             return result
         # Job 2: write, counting rows in the same pass.
         obs = Observation("ingest")
-        typed_rows(raw, cfg.contract).observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
+        write_run(typed_rows(raw, cfg.contract).observe(obs, F.count(F.lit(1)).alias("rows")), path)
         row_count = int(obs.get["rows"])
         step("write")
         # Job 3: manifest of the written files, hashed once (one row per file of

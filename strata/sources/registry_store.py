@@ -10,7 +10,6 @@ run_id) and take the latest row per key with aggregates.
 from __future__ import annotations
 
 import datetime as dt
-import json
 import time
 
 from strata.functions.timefn import ntz
@@ -164,7 +163,3 @@ class Registry:
     def manifest(self, run_id: str | None = None) -> DataFrame:
         m = self.table("file_manifest")
         return m if run_id is None else m.where(F.col("run_id") == run_id)
-
-
-def details_json(d: dict) -> str:
-    return json.dumps(d, default=str, sort_keys=True)

@@ -23,7 +23,7 @@ from strata.operators.normalize import ERRORS, MALFORMED, normalize_types
 from strata.sources.csv import CORRUPT
 from strata.sources.manifest import file_manifest, manifest_checksum
 from strata.sources.registry_store import Registry
-from strata.sources.snapshots import run_path
+from strata.sources.snapshots import run_path, write_run
 from strata.session import ensure_checkpoint_dir
 
 
@@ -83,10 +83,10 @@ def make_batch_handler(spark: SparkSession, cfg: StreamIngestConfig, clock=None)
             obs = Observation(f"batch{batch_id}")
             good = normalized.where(~F.col("_bad")).drop(ERRORS, "_bad").observe(obs, F.count(F.lit(1)).alias("rows"))
             path = run_path(cfg.store_base, cfg.dataset_name, now.date(), run_id)
-            good.write.mode("overwrite").parquet(path)
+            write_run(good, path)
             rows = int(obs.get["rows"])
             bad = normalized.where(F.col("_bad")).drop("_bad")
-            bad.write.mode("overwrite").parquet(run_path(cfg.quarantine_base, cfg.dataset_name, now.date(), run_id))
+            write_run(bad, run_path(cfg.quarantine_base, cfg.dataset_name, now.date(), run_id))
         finally:
             normalized.unpersist()
         manifest = file_manifest(spark, path, run_id).checkpoint(eager=True)
