@@ -4,17 +4,36 @@ operator to the whole of its table with production parameters."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from strata.llm.common import Scratch, read_table
+from strata.llm.exactdedup import dedup_rows
 from strata.llm.simhash import hex_fingerprint, simhash_components
 
 
+def op3_streaming_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = dedup_rows(read_table(spark, sf_dir, "documents"), Scratch(spark, "op3"))
+    return rows.select("row.doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
+
+
 def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = simhash_components(read_table(spark, sf_dir, "documents"), Scratch(spark, "op7"))
     return rows.select("doc_id", hex_fingerprint("fp").alias("fingerprint"), "component_id")
 
 
 QUERIES = {
+    "op3_streaming_exact_dedup": op3_streaming_exact_dedup,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
 }
-ORACLE_SQL: dict[str, str] = {}
+# translate() lower-cases A-Z only, as the operator does.
+ORACLE_SQL: dict[str, str] = {
+    "op3_streaming_exact_dedup": """
+        WITH d AS (
+            SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+            FROM documents
+        )
+        SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
+               doc_id = max(doc_id) OVER w AS kept, sha256(t) AS text_sha256
+        FROM d WINDOW w AS (PARTITION BY t)
+    """,
+}
