@@ -7,10 +7,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm.common import Scratch, read_table
+from strata.llm import langid
 from strata.llm.exactdedup import dedup_rows
+from strata.llm.packing import pack, token_pieces
 from strata.llm.simhash import hex_fingerprint, simhash_components
 
 
+def op2_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(token_pieces(read_table(spark, sf_dir, "documents")), Scratch(spark, "op2"))
+
+
 def op3_streaming_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = dedup_rows(read_table(spark, sf_dir, "documents"), Scratch(spark, "op3"))
     return rows.select("row.doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
@@ -21,9 +27,17 @@ def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", hex_fingerprint("fp").alias("fingerprint"), "component_id")
 
 
+def op10_ppm_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    rows = langid.predict(docs, langid.fit(docs))
+    return rows.select("row.doc_id", langid.held_out(F.col("row.doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 QUERIES = {
+    "op2_pattern_packing": op2_pattern_packing,
     "op3_streaming_exact_dedup": op3_streaming_exact_dedup,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
+    "op10_ppm_language_id": op10_ppm_language_id,
 }
 # translate() lower-cases A-Z only, as the operator does.
 ORACLE_SQL: dict[str, str] = {
