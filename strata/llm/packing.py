@@ -12,6 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata.llm.common import Scratch, quoted
 
@@ -69,9 +70,9 @@ def token_pieces(
     """The pieces of every row's whole text (null: empty) and its end id:
     ``doc_id, piece, start, length, ids_crc32`` and, if asked, ``ids``."""
     schema = docs.select(quoted(id_col).alias("doc_id")).schema
-    schema = schema.add("piece", "int").add("start", "long").add("length", "long").add("ids_crc32", "long")
+    schema = schema.add("piece", "integer").add("start", "long").add("length", "long").add("ids_crc32", "long")
     if keep_ids:
-        schema = schema.add("ids", "array<int>")
+        schema = schema.add("ids", T.ArrayType(T.IntegerType()))
 
     def batches(it: Iterator[pa.RecordBatch]):
         tokenizer = make_tokenizer()
@@ -262,7 +263,7 @@ def pack(pieces: DataFrame, scratch: Scratch, limit: int = MAX_TOKENS, salts: in
     ranked = rows.withColumn("within", within).join(base, ["len", "salt"]).select(
         "row", "len", (F.col("base") + F.col("within") - 1).alias("rank")
     )
-    schema = landed.schema.add("sequence_id", "long").add("offset", "long")
+    schema = T.StructType(landed.schema.fields[:]).add("sequence_id", "long").add("offset", "long")
 
     def batches(it):
         keys, first, sequence, offset = shared.value
