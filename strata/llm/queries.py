@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm.common import Scratch, read_table
-from strata.llm import langid
+from strata.llm import langid, pii
 from strata.llm.exactdedup import dedup_rows
 from strata.llm.packing import pack, token_pieces
 from strata.llm.simhash import hex_fingerprint, simhash_components
@@ -27,6 +27,12 @@ def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", hex_fingerprint("fp").alias("fingerprint"), "component_id")
 
 
+def op9_pii_candidate_boosting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    found = pii.find(docs, pii.fit(docs, Scratch(spark, "op9")))
+    return found.select("row.doc_id", *[pii.count_of(k).alias(f"n_{k}") for k in pii.KINDS], F.sha2(pii.joined("base"), 256).alias("base_sha256"), pii.joined("spans").alias("spans"))
+
+
 def op10_ppm_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     rows = langid.predict(docs, langid.fit(docs))
@@ -37,6 +43,7 @@ QUERIES = {
     "op2_pattern_packing": op2_pattern_packing,
     "op3_streaming_exact_dedup": op3_streaming_exact_dedup,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
+    "op9_pii_candidate_boosting": op9_pii_candidate_boosting,
     "op10_ppm_language_id": op10_ppm_language_id,
 }
 # translate() lower-cases A-Z only, as the operator does.
