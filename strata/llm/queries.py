@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm.common import Scratch, read_table
-from strata.llm import langid, pii
+from strata.llm import bpe, langid, pii
 from strata.llm.exactdedup import dedup_rows
 from strata.llm.packing import pack, token_pieces
 from strata.llm.simhash import hex_fingerprint, simhash_components
@@ -22,6 +22,17 @@ def op3_streaming_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("row.doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
 
 
+def op5_duckdb_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = bpe.decode(bpe.encode(docs, "text").select("row.doc_id", "ids"))
+    return rows.select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = simhash_components(read_table(spark, sf_dir, "documents"), Scratch(spark, "op7"))
     return rows.select("doc_id", hex_fingerprint("fp").alias("fingerprint"), "component_id")
@@ -42,6 +53,7 @@ def op10_ppm_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_pattern_packing": op2_pattern_packing,
     "op3_streaming_exact_dedup": op3_streaming_exact_dedup,
+    "op5_duckdb_byte_bpe": op5_duckdb_byte_bpe,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
     "op9_pii_candidate_boosting": op9_pii_candidate_boosting,
     "op10_ppm_language_id": op10_ppm_language_id,
