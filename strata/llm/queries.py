@@ -11,6 +11,7 @@ from strata.llm import bpe, langid, pii
 from strata.llm.exactdedup import dedup_rows
 from strata.llm.packing import pack, token_pieces
 from strata.llm.simhash import hex_fingerprint, simhash_components
+from strata.llm.substrings import remove_repeats
 
 
 def op2_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,6 +23,12 @@ def op3_streaming_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("row.doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
 
 
+def op4_de_bruijn_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = remove_repeats(docs, Scratch(spark, "op4"))
+    return rows.select("row.doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op5_duckdb_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     rows = bpe.decode(bpe.encode(docs, "text").select("row.doc_id", "ids"))
@@ -53,6 +60,7 @@ def op10_ppm_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_pattern_packing": op2_pattern_packing,
     "op3_streaming_exact_dedup": op3_streaming_exact_dedup,
+    "op4_de_bruijn_substring_dedup": op4_de_bruijn_substring_dedup,
     "op5_duckdb_byte_bpe": op5_duckdb_byte_bpe,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
     "op9_pii_candidate_boosting": op9_pii_candidate_boosting,
