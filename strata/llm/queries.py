@@ -7,13 +7,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm.common import Scratch, read_table
-from strata.llm import bpe, langid, pii
+from strata.llm import bpe, langid, pii, sharding, spotsigs, urlfilter
 from strata.llm.exactdedup import dedup_rows
 from strata.llm.packing import pack, token_pieces
 from strata.llm.simhash import hex_fingerprint, simhash_components
 from strata.llm.substrings import remove_repeats
 
 
+def op1_redirect_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = urlfilter.judge(read_table(spark, sf_dir, "pages"), Scratch(spark, "op1"))
+    return rows.select("row.page_id", "host", "path", "rule", "verdict")
+
+
 def op2_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(token_pieces(read_table(spark, sf_dir, "documents")), Scratch(spark, "op2"))
 
@@ -40,11 +45,30 @@ def op5_duckdb_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_spotsigs_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spotsigs.edited_fingerprints(read_table(spark, sf_dir, "documents"))
+    return rows.select(
+        "doc_id",
+        "n_chars",
+        F.sha2("edited", 256).alias("edited_sha256"),
+        spotsigs.fingerprint(F.col("sigs")).alias("fingerprint"),
+        spotsigs.fingerprint(F.col("edited_sigs")).alias("edited_fingerprint"),
+        "near_edited",
+        "near_next",
+    )
+
+
 def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = simhash_components(read_table(spark, sf_dir, "documents"), Scratch(spark, "op7"))
     return rows.select("doc_id", hex_fingerprint("fp").alias("fingerprint"), "component_id")
 
 
+def op8_table_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = sharding.place(docs, sharding.production_shards())
+    return rows.select("row.doc_id", "slot", "shard", F.octet_length(F.coalesce("row.text", F.lit(""))).cast("long").alias("n_bytes"))
+
+
 def op9_pii_candidate_boosting(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     found = pii.find(docs, pii.fit(docs, Scratch(spark, "op9")))
@@ -58,11 +82,14 @@ def op10_ppm_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_redirect_url_filter": op1_redirect_url_filter,
     "op2_pattern_packing": op2_pattern_packing,
     "op3_streaming_exact_dedup": op3_streaming_exact_dedup,
     "op4_de_bruijn_substring_dedup": op4_de_bruijn_substring_dedup,
     "op5_duckdb_byte_bpe": op5_duckdb_byte_bpe,
+    "op6_spotsigs_fingerprints": op6_spotsigs_fingerprints,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
+    "op8_table_sharding": op8_table_sharding,
     "op9_pii_candidate_boosting": op9_pii_candidate_boosting,
     "op10_ppm_language_id": op10_ppm_language_id,
 }
