@@ -15,7 +15,7 @@ from strata.llm.substrings import remove_repeats
 
 
 def op1_redirect_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = urlfilter.judge(read_table(spark, sf_dir, "pages"), Scratch(spark, "op1"))
+    rows = urlfilter.judge(read_table(spark, sf_dir, "pages"), Scratch(spark, "op1"), carry=["page_id"])
     return rows.select("row.page_id", "host", "path", "rule", "verdict")
 
 

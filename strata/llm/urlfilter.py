@@ -80,9 +80,10 @@ def judge(
     url_col: str = "url",
     html_col: str = "html",
     rules=RULES,
+    carry: list[str] | None = None,
 ) -> DataFrame:
-    """``row`` (each row of ``pages`` as a struct, whatever its column names),
-    ``host``, ``path``, ``rule`` (null where none fits) and ``verdict``.
+    """``row`` (the ``carry`` columns of each row of ``pages``, all unless given,
+    as a struct, whatever their names), ``host``, ``path``, ``rule`` (null where none fits) and ``verdict``.
 
     Where a rule fits, its verdict holds. Any other page is judged by its
     class: the pages reached over redirects and canonical links, followed in
@@ -119,7 +120,7 @@ def judge(
     of_key = scratch.put(of_key.union(alone), "by_key")
 
     rows = pages.select(
-        F.struct(*[quoted(c).alias(c) for c in pages.columns]).alias("row"),
+        F.struct(*[quoted(c).alias(c) for c in carry or pages.columns]).alias("row"),
         host.alias("host"), path.alias("path"), rule.alias("rule"), decided.alias("decided"), key.alias("node"),
     )
     # Decided pages, and those without a key, need no class: they match nothing
