@@ -4,6 +4,6 @@ Every operator is a DataFrame -> DataFrame function that Catalyst plans; the
 driver only ever sees small, bounded results (error tables, run scalars).
 """
 
-from strata.model import Column, Contract, Frequency, HealthStatus, ErrorType
+from strata.model import Column, Contract, HealthStatus, ErrorType
 
-__all__ = ["Column", "Contract", "Frequency", "HealthStatus", "ErrorType"]
+__all__ = ["Column", "Contract", "HealthStatus", "ErrorType"]

@@ -1,21 +1,19 @@
 """Column-level building blocks (all Catalyst built-ins, no Python UDFs)."""
 
 from strata.functions.text import blank_to_null, clean_cell, trim_unicode
-from strata.functions.casts import guarded_cast, parse_error
+from strata.functions.casts import guarded_cast
 from strata.functions.digest import cell_encoding, hex_to_decimal, run_id_col, sha256_hex
-from strata.functions.timefn import age_seconds, end_of_day, parse_as_of
+from strata.functions.timefn import end_of_day, parse_as_of
 
 __all__ = [
     "blank_to_null",
     "clean_cell",
     "trim_unicode",
     "guarded_cast",
-    "parse_error",
     "cell_encoding",
     "hex_to_decimal",
     "run_id_col",
     "sha256_hex",
-    "age_seconds",
     "end_of_day",
     "parse_as_of",
 ]

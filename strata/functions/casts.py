@@ -40,7 +40,9 @@ def guarded_cast(c: Column, dtype: str) -> Column:
         return F.when(_only(c, "0123456789+-"), c.try_cast("bigint"))
     if dtype == "float":
         plain = _only(c, "0123456789+-.eE")
-        return F.when(plain | _guard(F.lower(c), FLOAT_PATTERN), c.try_cast("double"))
+        # The cast itself knows no signed nan.
+        signed_nan = F.lower(c).isin("+nan", "-nan")
+        return F.when(signed_nan, F.lit(float("nan"))).when(plain | _guard(F.lower(c), FLOAT_PATTERN), c.try_cast("double"))
     if dtype == "boolean":
         low = F.lower(c)
         return F.when(low.isin(*BOOL_TRUE), F.lit(True)).when(low.isin(*BOOL_FALSE), F.lit(False))
@@ -70,8 +72,9 @@ def guarded_cast_sql(x: str, dtype: str) -> str:
     if dtype == "int":
         return f"CASE WHEN length(translate({x}, '0123456789+-', '')) = 0 THEN try_cast({x} AS BIGINT) END"
     if dtype == "float":
-        return (f"CASE WHEN length(translate({x}, '0123456789+-.eE', '')) = 0 OR regexp_like(lower({x}), {sql_quote(FLOAT_PATTERN)}) "
-                f"THEN try_cast({x} AS DOUBLE) END")
+        return (f"CASE WHEN length(translate({x}, '0123456789+-.eE', '')) = 0 THEN try_cast({x} AS DOUBLE) "
+                f"WHEN lower({x}) IN ('+nan', '-nan') THEN double('NaN') "
+                f"WHEN regexp_like(lower({x}), {sql_quote(FLOAT_PATTERN)}) THEN try_cast({x} AS DOUBLE) END")
     if dtype == "boolean":
         t = ", ".join(sql_quote(v) for v in BOOL_TRUE)
         f = ", ".join(sql_quote(v) for v in BOOL_FALSE)
@@ -81,8 +84,3 @@ def guarded_cast_sql(x: str, dtype: str) -> str:
     if dtype == "date":
         return f"CASE WHEN regexp_like({x}, {sql_quote(DATE_PATTERN)}) THEN try_cast({x} AS DATE) END"
     raise ValueError(f"unknown contract type {dtype!r}")
-
-
-def parse_error(raw: Column, typed: Column) -> Column:
-    """True when text was present but did not produce a value."""
-    return raw.isNotNull() & typed.isNull()

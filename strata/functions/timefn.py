@@ -21,10 +21,17 @@ def parse_as_of(value) -> dt.date:
         return value
     text = str(value)
     if not _ISO_DATE.match(text):
-        raise ValueError(f"Invalid as_of date {text!r}. Expected YYYY-MM-DD.")
+        raise ValueError(f"as_of {text!r} is not a date of the form YYYY-MM-DD")
     return dt.date.fromisoformat(text)
 
 
+def valid_as_of(text: Column) -> Column:
+    """Requested dates of a table: the date where the text is a valid YYYY-MM-DD,
+    null for any other text (the row form of ``parse_as_of``); dates pass."""
+    plain = text.cast("string")
+    return F.when(F.regexp_like(plain, F.lit("^[0-9]{4}-[0-9]{2}-[0-9]{2}$")), plain.try_cast("date"))
+
+
 def ntz(value) -> Column:
     """A timestamp_ntz literal from a naive (UTC wall-clock) datetime.
 
@@ -54,7 +61,3 @@ def end_of_day_literal(day: dt.date) -> dt.datetime:
 def age_micros(now: Column, then: Column) -> Column:
     """Exact age in microseconds; timestamp_ntz arithmetic, independent of the session zone."""
     return F.timestamp_diff("MICROSECOND", then, now)
-
-
-def age_seconds(now: Column, then: Column) -> Column:
-    return age_micros(now, then) / F.lit(1_000_000.0)

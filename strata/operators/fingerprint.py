@@ -34,8 +34,9 @@ def contracts_frame(spark: SparkSession, contracts: list[Contract]) -> DataFrame
     return spark.createDataFrame(rows, CONTRACT_COLUMNS_SCHEMA)
 
 
-def contracts_from_json(spark: SparkSession, path: str) -> DataFrame:
-    """Contracts stored as JSON documents ({name, version, columns:[...]}) -> long table."""
+def contracts_from_json(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """Contracts stored as JSON documents ({name, version, columns:[...]}), one per
+    file or, with ``multi_line=False``, one per line -> long table."""
     doc_schema = T.StructType(
         [
             T.StructField("name", T.StringType()),
@@ -55,7 +56,7 @@ def contracts_from_json(spark: SparkSession, path: str) -> DataFrame:
             ),
         ]
     )
-    docs = spark.read.schema(doc_schema).option("multiLine", "true").json(path)
+    docs = spark.read.schema(doc_schema).option("multiLine", str(multi_line).lower()).json(path)
     return docs.select(
         F.col("name").alias("dataset_name"),
         "version",

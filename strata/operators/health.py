@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -45,6 +45,10 @@ DETAILS_SCHEMA = (
 )
 
 
+# Written and read with microseconds (the default keeps milliseconds).
+DETAILS_JSON = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+
+
 def _max_age_micros() -> Column:
     """Literal map frequency -> max age in microseconds (inlined, no join)."""
     pairs = []
@@ -207,8 +211,7 @@ def _null_wide(df: DataFrame, contract: Contract, group_cols: list[str]) -> tupl
 
     present = [c.name for c in contract.columns if c.name in df.columns]
     aggs = [F.count(F.lit(1)).alias("total_rows")] + [F.count_if(null_flag(df, n)).alias(f"_n{i}") for i, n in enumerate(present)]
-    grouped = df.groupBy(*group_cols) if group_cols else df.groupBy()
-    return grouped.agg(*aggs), present
+    return df.groupBy(*group_cols).agg(*aggs).where("total_rows > 0"), present
 
 
 def _column_entries(contract: Contract, present: list[str], threshold: float) -> Column:
@@ -259,6 +262,38 @@ def check_null_ratio(df: DataFrame, contract: Contract, group_cols: list[str], t
     map task); the per-column verdicts are array expressions on that row.
     """
     wide, present = _null_wide(df, contract, group_cols)
+    return _null_verdicts(wide, present, contract, group_cols, threshold)
+
+
+def latest_run_nulls(store: DataFrame, latest_keys: DataFrame, contract: Contract, run_keys: list[str],
+                     threshold: float = DEFAULT_NULLABLE_THRESHOLD) -> DataFrame:
+    """Per dataset: the null check over the rows of its latest run. ``latest_keys``
+    has the run keys (dataset_name among them) of one run per dataset. The span
+    of the keys is a literal filter; where they are partition columns of the
+    store, folders outside it are not listed, and of the rest Spark prunes at run
+    time all that are no latest run."""
+    from strata.operators.joins import checked_broadcast
+
+    dated = [k for k in run_keys if k != "dataset_name"]
+    keys = checked_broadcast(latest_keys.select(*run_keys))
+    span = keys.agg(F.lit(1), *[f(k).alias(f"{f.__name__}_{k}") for k in dated for f in (F.min, F.max)]).first()
+    inside = [F.col(k).between(F.lit(span[f"min_{k}"]), F.lit(span[f"max_{k}"])) for k in dated if span[f"min_{k}"] is not None]
+    within = reduce(lambda a, b: a & b, inside, F.lit(True))
+    rows = store.where(within).join(keys.where(within), run_keys, "left_semi")
+    return check_null_ratio(rows, contract, ["dataset_name"], threshold)
+
+
+def null_summary_of_counts(spark: SparkSession, dataset: str, contract: Contract, total_rows: int, null_counts: list[int],
+                           threshold: float = DEFAULT_NULLABLE_THRESHOLD) -> DataFrame:
+    """``check_null_ratio`` for one dataset whose nulls were counted while its rows
+    were written. No row for a dataset without rows."""
+    names = [f"_n{i}" for i in range(len(null_counts))]
+    schema = ", ".join(["dataset_name string", "total_rows long", *[f"{n} long" for n in names]])
+    rows = [(dataset, total_rows, *null_counts)] if total_rows else []
+    return _null_verdicts(spark.createDataFrame(rows, schema), contract.names, contract, ["dataset_name"], threshold)
+
+
+def _null_verdicts(wide: DataFrame, present: list[str], contract: Contract, group_cols: list[str], threshold: float) -> DataFrame:
     cols = _column_entries(contract, present, threshold)
     return wide.select(
         *group_cols,
@@ -345,5 +380,5 @@ def health_reports(registrations: DataFrame, records: DataFrame, null_summary: D
         volume_ok.alias("volume_ok"),
         null_ok.alias("null_ratio_ok"),
         schema_ok.alias("schema_hash_ok"),
-        F.to_json(details).alias("details"),
+        F.to_json(details, DETAILS_JSON).alias("details"),
     )

@@ -7,21 +7,20 @@ from pyspark.sql import functions as F
 
 from strata.session import ensure_checkpoint_dir
 
-# Row limit under which a checked side is broadcast (a few dozen bytes per row
-# here: keys and hashes), far below executor memory on any cluster.
-BROADCAST_MAX_ROWS = 1_000_000
+# Bytes (as JSON text, an upper bound for the narrow key tables used here) under
+# which a checked side is broadcast.
+BROADCAST_MAX_BYTES = 32 * 1024 * 1024
 
 
-def checked_broadcast(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def checked_broadcast(small: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
     """``small`` materialised once (checkpoint to the shared folder), then
-    marked for broadcast only if it has at most ``max_rows`` rows; otherwise
-    returned as is, so the join falls back to a shuffle join.
+    marked for broadcast only if its rows take at most ``max_bytes``;
+    otherwise returned as is, and Spark plans the join from run-time sizes.
 
-    The checkpoint also cuts lineage, so the count and the join read the
-    written rows instead of recomputing the aggregate that produced them.
+    The checkpoint also cuts lineage, so the check and the join read the
+    written rows instead of recomputing what produced them.
     """
     ensure_checkpoint_dir(small.sparkSession)
     materialized = small.checkpoint(eager=True)
-    if materialized.count() <= max_rows:
-        return F.broadcast(materialized)
-    return materialized
+    size = materialized.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0] or 0
+    return F.broadcast(materialized) if size <= max_bytes else materialized

@@ -9,8 +9,7 @@ them in one aggregate and quarantine can split on them.
 
 from __future__ import annotations
 
-from pyspark.sql import Column as SparkColumn
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,10 +30,6 @@ MALFORMED = "_malformed"
 MALFORMED_RECORD = "malformed_record"
 
 
-def _row_error(column: str, error_type: str, raw: SparkColumn) -> SparkColumn:
-    return F.struct(F.lit(column).alias("column"), F.lit(error_type).alias("error_type"), raw.cast("string").alias("raw"))
-
-
 def _q(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
@@ -121,10 +116,29 @@ def gate_summary(raw: DataFrame, contract: Contract) -> DataFrame:
     return wide.selectExpr(f"inline(array({entries}))").where("n_rows > 0")
 
 
-def _spark_type(dtype: str) -> T.DataType:
-    from strata.model import SPARK_TYPE
+def observed_rows(raw: DataFrame, contract: Contract, observation: Observation) -> DataFrame:
+    """The typed contract columns, while ``observation`` counts, in the same pass:
+    rows, violations of each rule with an example, nulls (and NaN) of each
+    column. Read them with ``observed_gate`` and ``observed_nulls``."""
+    typed, rules, values = _stages(raw, contract, [])
+    counts = [F.expr("count(1) AS n_rows")]
+    for k, (_, _, flag, text) in enumerate(rules):
+        counts += [F.expr(f"count_if({flag}) AS n{k}"), F.expr(f"min(CASE WHEN {flag} THEN {text} END) AS x{k}")]
+    for i, c in enumerate(contract.columns):
+        nan = f" OR isnan({values[i]})" if c.dtype == "float" else ""
+        counts.append(F.expr(f"count_if({values[i]} IS NULL{nan}) AS null{i}"))
+    return typed.observe(observation, *counts).selectExpr(*_outputs(contract, [], values))
+
+
+def observed_gate(raw: DataFrame, contract: Contract, seen: dict) -> list[tuple[str, str, int, str | None]]:
+    """(column, error_type, rows, example) of the violated rules, by column and type."""
+    _, rules, _ = _stages(raw, contract, [])
+    return sorted((col, etype, seen[f"n{k}"], seen[f"x{k}"]) for k, (col, etype, _, _) in enumerate(rules) if seen[f"n{k}"])
+
 
-    return SPARK_TYPE[dtype]
+def observed_nulls(contract: Contract, seen: dict) -> list[int]:
+    """Null counts in contract order."""
+    return [seen[f"null{i}"] for i in range(len(contract.columns))]
 
 
 def error_summary(normalized: DataFrame, group_cols: list[str] | None = None) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from strata.functions.timefn import end_of_day, end_of_day_literal, ntz, parse_as_of
+from strata.functions.timefn import end_of_day, end_of_day_literal, ntz, parse_as_of, valid_as_of
 from strata.operators.registry import latest_ingestion
 
 
@@ -65,11 +65,17 @@ def rows_of_run(store: DataFrame, record: dict, as_of, run_keys=("run_id",), sym
         out = out.where(cond)
     if symbol is not None:
         if symbol_col not in out.columns:
-            raise BadRequest(f"Dataset '{record['dataset_name']}' has no '{symbol_col}' column.")
+            raise BadRequest(f"'{record['dataset_name']}' cannot be filtered by symbol: no '{symbol_col}' column")
         out = out.where(F.col(symbol_col) == F.lit(symbol))
-    return out.withColumn("ingestion_run_id", F.lit(record["run_id"])).withColumn(
-        "ingested_at", ntz(record["ingested_at"])
-    )
+    run_id, at = audit_names(out.columns)
+    return out.select("*", F.lit(record["run_id"]).alias(run_id), ntz(record["ingested_at"]).alias(at))
+
+
+def audit_names(columns: list[str]) -> tuple[str, str]:
+    """Names of the audit columns; a leading underscore where the data has a
+    column of that name itself."""
+    taken = {c.lower() for c in columns}
+    return tuple(n if n not in taken else f"_{n}" for n in ("ingestion_run_id", "ingested_at"))
 
 
 def point_in_time(store: DataFrame, records: DataFrame, dataset: str, as_of, symbol: str | None = None,
@@ -81,7 +87,7 @@ def point_in_time(store: DataFrame, records: DataFrame, dataset: str, as_of, sym
     """
     run = resolve_run(records, dataset, as_of).take(1)
     if not run:
-        raise NotFound(f"No ingestion found for dataset '{dataset}' at or before {as_of}.")
+        raise NotFound(f"'{dataset}' had not been ingested by {as_of}")
     return rows_of_run(store, run[0].asDict(), as_of, run_keys, symbol, date_col, symbol_col)
 
 
@@ -98,10 +104,11 @@ def asof_runs(requests: DataFrame, records: DataFrame, bucket_days: int = 7,
     dataset and bucket) carries the latest run from earlier buckets. No
     pair of rows is ever formed, and no window spans a whole dataset's runs.
     Returned: the distinct keys with the matched record columns; join it
-    back to the requests on (dataset_name, as_of).
+    back to the requests on (dataset_name, as_of). A request whose as_of is no
+    valid YYYY-MM-DD has no key (``valid_as_of`` tells which); it fails nothing else.
     """
     epoch = F.lit(dt.date(1970, 1, 1))
-    keys = requests.select("dataset_name", F.col("as_of").cast("date").alias("as_of")).distinct()
+    keys = requests.select("dataset_name", valid_as_of(F.col("as_of")).alias("as_of")).where("as_of is not null").distinct()
     keys = keys.select(
         "dataset_name", "as_of", end_of_day(F.col("as_of")).alias("_t"),
         F.floor(F.datediff(F.col("as_of"), epoch) / F.lit(bucket_days)).cast("long").alias("_b"),
@@ -144,8 +151,10 @@ def asof_rows(store: DataFrame, requests: DataFrame, records: DataFrame, run_key
     tagged with the request's as_of and the run's audit columns.
 
     The matched table has one row per distinct request key; it is broadcast
-    only after a row-count check (``checked_broadcast``), else joined by
-    shuffle. A run matched by many requests contributes its rows to each.
+    only after a check of its size (``checked_broadcast``), else Spark plans the
+    join. A run matched by many requests contributes its rows to each, so the
+    result has rows x requests of a run by definition; ``asof_runs`` is the
+    answer per request, without rows, and the one to prefer where it will do.
     """
     from strata.operators.joins import checked_broadcast
 
@@ -161,12 +170,17 @@ def asof_rows(store: DataFrame, requests: DataFrame, records: DataFrame, run_key
     )
     joined = store.join(checked_broadcast(keyed), list(run_keys), "inner")
     dtype = store.schema[date_col].dataType if date_col in store.columns else None
-    if dtype is None:
-        visible = joined
-    elif isinstance(dtype, T.DateType):
-        visible = joined.where(F.col(date_col) <= F.col("_as_of"))
-    elif isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        visible = joined.where(F.to_date(F.col(date_col)) <= F.col("_as_of"))
-    else:
-        visible = joined.where(F.col(date_col).cast("string") <= F.date_format("_as_of", "yyyy-MM-dd"))
+    visible = _request_visible(joined, date_col, dtype)
     return visible.withColumnRenamed("_as_of", "as_of").withColumnRenamed("_run_at", "ingested_at")
+
+
+def _request_visible(joined: DataFrame, date_col: str, dtype: T.DataType | None) -> DataFrame:
+    """Rows dated on or before their request's ``_as_of``; all, without a date column."""
+    if dtype is None:
+        return joined
+    day = F.col(date_col)
+    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+        day = F.to_date(day)
+    elif not isinstance(dtype, T.DateType):
+        return joined.where(day.cast("string") <= F.date_format("_as_of", "yyyy-MM-dd"))
+    return joined.where(day <= F.col("_as_of"))

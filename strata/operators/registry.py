@@ -61,6 +61,7 @@ MANIFEST_SCHEMA = T.StructType(
         T.StructField("path", T.StringType(), False),
         T.StructField("length", T.LongType(), False),
         T.StructField("sha256", T.StringType(), False),
+        T.StructField("checksum", T.StringType(), False),  # of the attempt that wrote the files
     ]
 )
 

@@ -1,12 +1,12 @@
 """End-to-end ingestion of one source under a contract.
 
-Jobs, in order: (1) the gate, one aggregate over the normalised source that
-returns only per-column/per-rule error counts; (2) if clean, the write of
-the typed rows to the run's own directory, counting rows on the way with
-an observation (no extra pass); (3) the file manifest of the run; then
-registry appends (registration, record) and the health report. Data is
-written before the record, so a crash leaves at most an unreferenced run
-directory, never a record pointing at missing data.
+The source is read once: its typed rows are written to a staging folder while
+an observation of the same pass counts rows, violations of every rule and
+nulls of every column. If a rule is violated the staging folder is deleted
+and nothing else has happened; otherwise it is moved to the run's place,
+its files are hashed, and the registration, the record and the health report
+(from the observed counts) are appended. The record comes after the data, so a
+crash leaves at most an unreferenced folder, never a record of missing data.
 """
 
 from __future__ import annotations
@@ -22,15 +22,15 @@ from pyspark.sql import functions as F
 
 from strata.model import DEFAULT_NULLABLE_THRESHOLD, Contract
 from strata.operators.digest import content_digest
-from strata.operators.health import check_null_ratio, health_reports
-from strata.operators.normalize import gate_summary, typed_rows
+from strata.operators.health import check_null_ratio, health_reports, null_summary_of_counts
+from strata.operators.normalize import observed_gate, observed_nulls, observed_rows, typed_rows
 from strata.operators.parallel import spread
-from strata.sources.csv import csv_scan, header_errors, read_header
+from strata.sources.csv import csv_source, header_errors, read_headers
 from strata.sources.manifest import file_manifest, manifest_checksum
 from strata.operators.registry import REPORT_SCHEMA
 from strata.sources.registry_store import Registry
-from strata.sources.snapshots import run_path, write_run
-from strata.session import ensure_checkpoint_dir
+from strata.sources.snapshots import MAX_RECORDS_PER_FILE, run_path, staging_path, write_run
+from strata.session import delete_path, ensure_checkpoint_dir, hadoop_path, rename_path
 
 
 @dataclass
@@ -45,7 +45,8 @@ class IngestionConfig:
     store_base: str
     nullable_threshold: float = DEFAULT_NULLABLE_THRESHOLD
     strict_columns: bool = True
-    multi_line: bool = False
+    multi_line: bool = True  # False: no field holds a line break, large files are split
+    max_records_per_file: int = MAX_RECORDS_PER_FILE
 
 
 @dataclass
@@ -57,6 +58,7 @@ class IngestionResult:
     partition_path: str
     schema_hash: str
     status: str | None = None
+    health_report: dict | None = None
     error: str | None = None
     errors: list[tuple] = field(default_factory=list)  # (column, error_type, n_rows, example)
     rerun: bool = False
@@ -74,7 +76,7 @@ def _error_text(errors: list[tuple]) -> str:
     for column, etype, n, example in errors:
         eg = f", e.g. {example!r}" if example is not None else ""
         parts.append(f"[{etype}] {column}: {n} row(s){eg}" if n is not None else f"[{etype}] {column}: {example}")
-    return f"Schema validation failed ({len(errors)} error(s)): " + "; ".join(parts)
+    return f"{len(errors)} contract violation(s): " + "; ".join(parts)
 
 
 def ingest(spark: SparkSession, cfg: IngestionConfig, now: dt.datetime | None = None) -> IngestionResult:
@@ -98,45 +100,44 @@ def ingest(spark: SparkSession, cfg: IngestionConfig, now: dt.datetime | None =
 
     rerun = registry.has_run(run_id, cfg.dataset_name)
     step("lookup")
-    checksum = None
-    if not rerun:
+    if rerun:
+        prior = registry.records(cfg.dataset_name).where(F.col("run_id") == run_id).first()
+        row_count, path = int(prior["row_count"]), prior["partition_path"]
+        result.partition_path = path
+        result.source_changed = _source_changed(spark, cfg, path)
+        nulls = check_null_ratio(spark.read.parquet(path), cfg.contract, [], cfg.nullable_threshold)
+        nulls = nulls.withColumn("dataset_name", F.lit(cfg.dataset_name))
+        step("compare")
+    else:
         try:
-            header = read_header(spark, cfg.source_path)
+            headers = read_headers(spark, cfg.source_path)
         except Exception as exc:  # missing or unreadable source: reported, nothing written
-            result.error = f"Failed to open CSV '{cfg.source_path}': {type(exc).__name__}"
+            result.error = f"source '{cfg.source_path}' cannot be read as CSV: {type(exc).__name__}"
             return result
-        file_errors = header_errors(header, cfg.contract, cfg.strict_columns)
+        file_errors = header_errors(headers, cfg.contract, cfg.strict_columns)
         if file_errors:
             result.errors = [(c, t, None, d) for c, t, d in file_errors]
             result.error = _error_text(result.errors)
             return result
-        raw = spread(csv_scan(spark, cfg.source_path, header, cfg.multi_line))
-        # Job 1: the gate, one aggregate. Output is bounded by columns x rules.
-        summary = sorted(gate_summary(raw, cfg.contract).collect(), key=lambda r: (r["column"], r["error_type"]))
-        step("gate")
-        if summary:
-            result.errors = [(r["column"], r["error_type"], r["n_rows"], r["example"]) for r in summary]
-            result.error = _error_text(result.errors)
-            return result
-        # Job 2: write, counting rows in the same pass.
-        obs = Observation("ingest")
-        write_run(typed_rows(raw, cfg.contract).observe(obs, F.count(F.lit(1)).alias("rows")), path)
-        row_count = int(obs.get["rows"])
-        step("write")
-        # Job 3: manifest of the written files, hashed once (one row per file of
-        # this run), then logged; the checksum comes from the same rows, not
-        # from a scan of the ever-growing manifest log.
-        ensure_checkpoint_dir(spark)
-        manifest = file_manifest(spark, path, run_id).checkpoint(eager=True)
-        registry.write_manifest(manifest)
-        checksum = manifest_checksum(manifest).first()["checksum"]
+        raw = spread(csv_source(spark, headers, cfg.contract, cfg.multi_line))
+        staging = staging_path(cfg.store_base, run_id)
+        try:
+            obs = Observation("ingest")
+            write_run(observed_rows(raw, cfg.contract, obs), staging, cfg.max_records_per_file)
+            seen = obs.get
+            step("write")
+            result.errors = observed_gate(raw, cfg.contract, seen)
+            if result.errors:
+                result.error = _error_text(result.errors)
+                return result
+            rename_path(spark, staging, path)
+        finally:
+            discard_staging(spark, cfg.store_base, staging)
+        row_count = int(seen["n_rows"])
+        nulls = null_summary_of_counts(spark, cfg.dataset_name, cfg.contract, row_count, observed_nulls(cfg.contract, seen),
+                                       cfg.nullable_threshold)
+        checksum = log_manifest(registry, path, run_id)
         step("manifest")
-    else:
-        prior = registry.records(cfg.dataset_name).where(F.col("run_id") == run_id).first()
-        row_count, path = int(prior["row_count"]), prior["partition_path"]
-        result.partition_path = path
-        result.source_changed = _source_changed(spark, cfg, path)
-        step("compare")
 
     registry.register_dataset(cfg.dataset_name, cfg.version, cfg.owner, cfg.expected_frequency, schema_hash, at=now)
     if not rerun:
@@ -154,13 +155,32 @@ def ingest(spark: SparkSession, cfg: IngestionConfig, now: dt.datetime | None =
             }
         )
     step("registry")
-    status = health_report_for(registry, cfg.dataset_name, spark.read.parquet(path), cfg.contract, now,
-                               cfg.nullable_threshold)["status"]
+    result.health_report = _report(registry, cfg.dataset_name, nulls, now)
     step("health")
-    result.success, result.row_count, result.status, result.rerun = True, row_count, status, rerun
+    result.success, result.row_count, result.status, result.rerun = True, row_count, result.health_report["status"], rerun
     return result
 
 
+def log_manifest(registry: Registry, path: str, run_id: str) -> str:
+    """Hash the files of a run where they lie, log them, return their checksum.
+
+    The files are hashed once (the rows are checkpointed); the checksum comes
+    from these rows, not from a scan of the ever-growing log."""
+    ensure_checkpoint_dir(registry.spark)
+    manifest = file_manifest(registry.spark, path, run_id).checkpoint(eager=True)
+    checksum = manifest_checksum(manifest).first()["checksum"]
+    registry.write_manifest(manifest, checksum)
+    return checksum
+
+
+def discard_staging(spark: SparkSession, base: str, staging: str) -> None:
+    """Delete an attempt's folder, and the folder of attempts when it was the last."""
+    delete_path(spark, staging)
+    fs, parent = hadoop_path(spark, staging.rsplit("/", 1)[0])
+    if fs.exists(parent) and not fs.listStatus(parent):
+        fs.delete(parent, False)
+
+
 def _source_changed(spark: SparkSession, cfg: IngestionConfig, path: str) -> bool:
     """Whether the source now holds other rows than the recorded run.
 
@@ -170,13 +190,13 @@ def _source_changed(spark: SparkSession, cfg: IngestionConfig, path: str) -> boo
     or passes the gate counts as changed.
     """
     try:
-        header = read_header(spark, cfg.source_path)
+        headers = read_headers(spark, cfg.source_path)
     except Exception:  # noqa: BLE001 - an unreadable source is a changed source
         return True
-    if header_errors(header, cfg.contract, cfg.strict_columns):
+    if header_errors(headers, cfg.contract, cfg.strict_columns):
         return True
     names = cfg.contract.names
-    new = typed_rows(csv_scan(spark, cfg.source_path, header, cfg.multi_line), cfg.contract)
+    new = typed_rows(csv_source(spark, headers, cfg.contract, cfg.multi_line), cfg.contract)
     old = spark.read.parquet(path).select(*names)
     a = content_digest(new, names).first()
     b = content_digest(old, names).first()
@@ -186,13 +206,13 @@ def _source_changed(spark: SparkSession, cfg: IngestionConfig, path: str) -> boo
 def run_health(spark: SparkSession, registry: Registry, dataset: str, data_path: str, contract: Contract,
                now: dt.datetime, threshold: float = DEFAULT_NULLABLE_THRESHOLD) -> str:
     """Health report for one dataset over the rows at ``data_path``; appended to the registry."""
-    _require_registered(registry, dataset)
+    if registry.get_dataset(dataset) is None:
+        raise ValueError(_unregistered(dataset))
     return health_report_for(registry, dataset, spark.read.parquet(data_path), contract, now, threshold)["status"]
 
 
-def _require_registered(registry: Registry, dataset: str) -> None:
-    if registry.get_dataset(dataset) is None:
-        raise ValueError(f"Dataset '{dataset}' is not registered. Call register_dataset() before running health checks.")
+def _unregistered(dataset: str) -> str:
+    return f"'{dataset}' has no registration; health is only checked for registered datasets"
 
 
 def health_report_for(registry: Registry, dataset: str, data: DataFrame, contract: Contract,
@@ -200,16 +220,19 @@ def health_report_for(registry: Registry, dataset: str, data: DataFrame, contrac
     """The four checks for one registered dataset over ``data``; the report is
     appended to the registry and returned (one row). Raises ValueError when
     the dataset is not registered."""
-    spark = data.sparkSession
-    now = now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    # One group of all rows: no column is added to the data, whatever its names.
+    nulls = check_null_ratio(data, contract, [], threshold).withColumn("dataset_name", F.lit(dataset))
+    return _report(registry, dataset, nulls, now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))
+
+
+def _report(registry: Registry, dataset: str, nulls: DataFrame, now: dt.datetime) -> dict:
     regs = registry.registrations().where(F.col("name") == dataset)
-    nulls = check_null_ratio(data.withColumn("dataset_name", F.lit(dataset)), contract, ["dataset_name"], threshold)
     # One row (one registered dataset): computed once, then appended as is;
     # no row means the dataset is not registered.
     rows = health_reports(regs, registry.records(dataset), nulls, now).collect()
     if not rows:
-        raise ValueError(f"Dataset '{dataset}' is not registered. Call register_dataset() before running health checks.")
-    registry.write_health_reports(spark.createDataFrame(rows, REPORT_SCHEMA))
+        raise ValueError(_unregistered(dataset))
+    registry.write_health_reports(registry.spark.createDataFrame(rows, REPORT_SCHEMA).coalesce(1))
     report = rows[0].asDict()
     report["details"] = json.loads(report["details"])
     return report

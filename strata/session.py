@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # Settings every job here relies on: UTC wall clock (all stored times are
@@ -33,23 +30,43 @@ def build_session(master: str = "local[*]", app: str = "strata", shuffle_partiti
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder (``spark.checkpoint.dir``); only
-    when unset (local tests) is a folder created and registered."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = tempfile.mkdtemp(prefix="strata-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(base)
-    return base
+    """The folder that driver and executors share for intermediate data: the
+    one set with ``setCheckpointDir``, else the one named in
+    ``spark.checkpoint.dir``. Without either this is an error: a folder of
+    the driver's machine would be out of reach for executors elsewhere."""
+    set_dir = spark.sparkContext.getCheckpointDir()
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if set_dir is None and not named:
+        raise RuntimeError(
+            "No shared folder for intermediate data: start the session with spark.checkpoint.dir, "
+            "or call spark.sparkContext.setCheckpointDir(<folder all executors reach>)."
+        )
+    if set_dir is None:
+        spark.sparkContext.setCheckpointDir(named)
+    return named or set_dir
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A folder under the cluster's shared checkpoint location.
-
-    The cluster names it in ``spark.checkpoint.dir``; only when that is unset
-    (local tests) do we create one and register it with the session.
-    """
-    base = ensure_checkpoint_dir(spark)
-    path = os.path.join(base, name) if "://" not in base else base.rstrip("/") + "/" + name
-    return path
+    """A folder of this application under the shared location."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{spark.sparkContext.applicationId}/{name}"
+
+
+def hadoop_path(spark: SparkSession, path: str):
+    """(file system, path) of Hadoop's API, by the path's own scheme."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    fs, p = hadoop_path(spark, path)
+    fs.delete(p, True)
+
+
+def rename_path(spark: SparkSession, source: str, target: str) -> None:
+    """Move a folder to its final name, replacing what an earlier attempt left there."""
+    fs, src = hadoop_path(spark, source)
+    _, dst = hadoop_path(spark, target)
+    fs.mkdirs(dst.getParent())
+    fs.delete(dst, True)
+    if not fs.rename(src, dst):
+        raise OSError(f"{source} could not be moved to {target}")

@@ -2,8 +2,8 @@
 
 Files are hashed where they lie (``binaryFile`` reads each file in one
 task), so the manifest job scales with the number of files. A run's
-checksum is the SHA-256 of its sorted ``name:sha256`` lines, independent of
-listing order.
+checksum is a digest of its ``name:sha256`` lines, independent of listing
+order.
 """
 
 from __future__ import annotations
@@ -13,6 +13,10 @@ from pyspark.sql import functions as F
 
 
 def file_manifest(spark: SparkSession, path: str, run_id: str | None = None) -> DataFrame:
+    """``run_id, path, length, sha256`` of every file of a run.
+
+    A task holds one file at a time; Spark refuses files over 2 GiB here, far
+    above what ``write_run`` lets a file grow to."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").load(path)
     return files.select(
         F.lit(run_id).cast("string").alias("run_id"),
@@ -22,18 +26,23 @@ def file_manifest(spark: SparkSession, path: str, run_id: str | None = None) ->
     )
 
 
-def manifest_checksum(manifest: DataFrame) -> DataFrame:
-    """One row per run_id: digest of its sorted (file name, sha256) lines.
-
-    The collected list is one short line per file of a run, bounded by the
-    run's file count, not by its data size.
+def manifest_checksum(manifest: DataFrame, buckets: int = 1024) -> DataFrame:
+    """One row per run_id: a digest of its (file name, sha256) lines, in two
+    levels: the sorted lines of each bucket (by a hash of the line), then the
+    sorted digests of the buckets. A run's million files are never in one row.
     """
     line = F.concat(F.element_at(F.split("path", "/"), -1), F.lit(":"), F.col("sha256"))
-    return manifest.groupBy("run_id").agg(
-        F.sha2(F.array_join(F.sort_array(F.collect_list(line)), "\n"), 256).alias("checksum"),
-        F.count(F.lit(1)).alias("n_files"),
+    lines = manifest.select("run_id", "length", line.alias("line"))
+    parts = lines.groupBy("run_id", F.pmod(F.crc32("line"), F.lit(buckets)).alias("bucket")).agg(
+        F.sha2(F.array_join(F.sort_array(F.collect_list("line")), "\n"), 256).alias("part"),
+        F.count(F.lit(1)).alias("n"),
         F.sum("length").alias("bytes"),
     )
+    return parts.groupBy("run_id").agg(
+        F.sha2(F.array_join(F.sort_array(F.collect_list("part")), "\n"), 256).alias("checksum"),
+        F.sum("n").alias("n_files"),
+        F.sum("bytes").alias("bytes"),
+    )
 
 
 def verify_manifest(spark: SparkSession, manifest: DataFrame, root: str | None = None) -> DataFrame:

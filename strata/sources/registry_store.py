@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from strata.model import FRESHNESS_MAX_AGE, HealthStatus
+from strata.session import hadoop_path
 from strata.operators.registry import (
     MANIFEST_SCHEMA,
     RECORD_SCHEMA,
@@ -83,7 +84,7 @@ class Registry:
             raise ValueError(f"unknown frequency {expected_frequency!r}")
         at = at or dt.datetime.utcnow()
         row = (name, version, owner, expected_frequency, schema_hash, description, at, time.time_ns())
-        self.append("dataset_registry", self.spark.createDataFrame([row], REGISTRATION_SCHEMA))
+        self.append("dataset_registry", self.spark.createDataFrame([row], REGISTRATION_SCHEMA).coalesce(1))
 
     def registrations(self) -> DataFrame:
         return latest_registrations(self.table("dataset_registry"))
@@ -123,7 +124,7 @@ class Registry:
         if self.has_run(record["run_id"], record["dataset_name"]):
             return
         row = tuple(record[f] for f in RECORD_SCHEMA.fieldNames())
-        self.append("ingestion_records", self.spark.createDataFrame([row], RECORD_SCHEMA))
+        self.append("ingestion_records", self.spark.createDataFrame([row], RECORD_SCHEMA).coalesce(1))
 
     def ingestion_as_of(self, dataset: str, as_of: dt.datetime) -> dict | None:
         as_of = as_of.replace(tzinfo=None) if as_of.tzinfo else as_of
@@ -157,9 +158,48 @@ class Registry:
         )
 
     # -- manifests -----------------------------------------------------------------
-    def write_manifest(self, manifest: DataFrame) -> None:
-        self.append("file_manifest", manifest)
+    def write_manifest(self, manifest: DataFrame, checksum: str) -> None:
+        """Log the files of one attempt at a run under the attempt's checksum."""
+        self.append("file_manifest", manifest.withColumn("checksum", F.lit(checksum)))
 
     def manifest(self, run_id: str | None = None) -> DataFrame:
+        """The files of recorded runs. An attempt that crashed before its record
+        was written left files of another checksum: those are not listed."""
         m = self.table("file_manifest")
-        return m if run_id is None else m.where(F.col("run_id") == run_id)
+        recorded = self.records().select("run_id", "checksum")
+        if run_id is not None:
+            m, recorded = m.where(F.col("run_id") == run_id), recorded.where(F.col("run_id") == run_id)
+        return m.join(recorded, ["run_id", "checksum"], "left_semi").select(*MANIFEST_SCHEMA.fieldNames()).distinct()
+
+    # -- maintenance ---------------------------------------------------------------
+    def compact(self, table: str) -> int:
+        """Rewrite the small files of a log into few and return how many went.
+
+        The files present at the start are read, their rows written as new files
+        of the log, then exactly these files are deleted: rows that another
+        writer appends meanwhile lie in other files and stay. Until the deletion
+        readers may see a row twice, which changes no view (records are unique
+        by run id, reports by id, registrations by their newest event, manifest
+        rows are distinct)."""
+        if not self.exists(table):
+            return 0
+        fs, root = hadoop_path(self.spark, self.path(table))
+        listed, files, size = fs.listFiles(root, True), [], 0
+        while listed.hasNext():
+            status = listed.next()
+            if status.getPath().getName().endswith(".parquet"):
+                files.append(status.getPath())
+                size += status.getLen()
+        if len(files) < 2:
+            return 0
+        schema = TABLES[table]
+        reader = self.spark.read.schema(schema).option("basePath", self.path(table))
+        rows = reader.parquet(*[p.toString() for p in files]).select(*schema.fieldNames())
+        # As many files (in each dataset's folder) as the log has times 128 MB.
+        n = 1 + size // (128 * 1024 * 1024)
+        part = F.pmod(F.xxhash64(*schema.fieldNames()), F.lit(n))
+        by = [F.col(PARTITION_COLUMN[table])] if table in PARTITION_COLUMN else []
+        self.append(table, rows.distinct().repartition(*by, part))
+        for p in files:
+            fs.delete(p, False)
+        return len(files)

@@ -9,6 +9,7 @@ schema, so values are never type-inferred from directory names.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -24,11 +25,17 @@ def run_path(base: str, dataset: str, ingest_date: dt.date, run_id: str) -> str:
     return f"{base.rstrip('/')}/dataset={dataset}/ingest_date={ingest_date.isoformat()}/run_id={run_id}"
 
 
-def write_run(df: DataFrame, path: str, max_records_per_file: int | None = None) -> None:
-    w = df.write.mode("overwrite")
-    if max_records_per_file:
-        w = w.option("maxRecordsPerFile", max_records_per_file)
-    w.parquet(path)
+# Rows per file: bounds what hashing a file (sources/manifest.py) has to read at once.
+MAX_RECORDS_PER_FILE = 2_000_000
+
+
+def write_run(df: DataFrame, path: str, max_records_per_file: int = MAX_RECORDS_PER_FILE) -> None:
+    df.write.mode("overwrite").option("maxRecordsPerFile", max_records_per_file).parquet(path)
+
+
+def staging_path(base: str, run_id: str) -> str:
+    """A folder for one attempt at a run; readers of the store never look there."""
+    return f"{base.rstrip('/')}/_staging/{run_id}-{uuid.uuid4().hex}"
 
 
 def read_store(spark: SparkSession, base: str, dataset: str, data_schema: T.StructType) -> DataFrame:

@@ -5,18 +5,16 @@ watermark (max event time minus the allowed lateness) passes its end, and
 rows older than that are dropped as late. Spark judges lateness against the
 watermark of the previous micro-batch, so a row is certainly dropped once
 it is older than that; rows just behind the newest watermark may still be
-counted. In append mode only final windows are emitted; complete mode
-re-emits the whole (bounded) table per batch.
+counted. In append mode only final windows are emitted; complete mode keeps
+every window, which the watermark does not bound.
 """
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.session import shared_dir
+from strata.session import delete_path, shared_dir
 
 
 def utc_instant(ntz):
@@ -40,14 +38,16 @@ def daily_volume(stream: DataFrame, lateness: str = "1 day", time_col: str = "ts
     )
 
 
-def run_daily_volume(spark: SparkSession, source_dir: str, out_dir: str, checkpoint: str, mode: str = "complete",
-                     glob: str | None = None, max_files_per_trigger: int | None = None, timeout_s: int = 600) -> None:
+def run_daily_volume(spark: SparkSession, source_dir: str, out_dir: str, checkpoint: str, mode: str = "append",
+                     glob: str | None = None, max_files_per_trigger: int | None = None) -> None:
     """Run the stream to the end of the available input (availableNow).
 
-    Each micro-batch result is written with ``foreachBatch``: in complete mode
-    it overwrites the output with the full table, in append mode it appends
-    the windows finalised in that batch. The checkpoint makes a restart
-    resume from the last committed batch.
+    Append mode emits each window once, when the watermark has passed it, and
+    drops its state; what a micro-batch emits is written to the folder of that
+    batch (``batch_id=``), so a replayed batch overwrites its own rows. In
+    complete mode, for a bounded set of days only, all windows stay in the
+    state and every batch overwrites the output with the whole table. The
+    checkpoint makes a restart resume from the last committed batch.
     """
     batch_reader = spark.read
     reader = spark.readStream
@@ -60,26 +60,23 @@ def run_daily_volume(spark: SparkSession, source_dir: str, out_dir: str, checkpo
     counts = daily_volume(reader.parquet(source_dir))
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite" if mode == "complete" else "append").parquet(out_dir)
+        batch.write.mode("overwrite").parquet(out_dir if mode == "complete" else f"{out_dir}/batch_id={batch_id}")
 
-    q = (
+    query = (
         counts.writeStream.outputMode(mode)
         .option("checkpointLocation", checkpoint)
         .foreachBatch(sink)
         .trigger(availableNow=True)
         .start()
     )
-    q.awaitTermination(timeout_s)
-    if q.isActive:
-        q.stop()
-        raise TimeoutError("daily volume stream did not finish")
-    if q.exception() is not None:
-        raise q.exception()
+    query.awaitTermination()
 
 
 def daily_volume_batch_via_stream(spark: SparkSession, source_dir: str, glob: str | None = None) -> DataFrame:
-    """Runs the stream over the files in ``source_dir`` and returns its final (complete-mode) table."""
-    run = f"daily-volume-{uuid.uuid4().hex}"
-    out_dir = shared_dir(spark, f"{run}/out")
-    run_daily_volume(spark, source_dir, out_dir, shared_dir(spark, f"{run}/checkpoint"), mode="complete", glob=glob)
-    return spark.read.parquet(out_dir)
+    """The days that are final after one run over the files in ``source_dir``: those
+    that ended a day (the allowed lateness) before the newest event, or earlier."""
+    base = shared_dir(spark, "daily-volume")
+    delete_path(spark, base)
+    run_daily_volume(spark, source_dir, f"{base}/out", f"{base}/checkpoint", glob=glob)
+    schema = "dataset_name string, day date, row_count long"
+    return spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(f"{base}/out")

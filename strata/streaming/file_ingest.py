@@ -2,16 +2,20 @@
 
 Every micro-batch becomes one ingestion run: rows are normalised under the
 contract, clean rows are written to the run's snapshot directory and bad
-rows to a quarantine directory next to it, then the run is registered.
-The run id adds the batch id to the usual four parts, so a batch replayed
-after a failure gets the same id and its record is a no-op (at-least-once
-delivery, exactly-once records). Data is written before the record.
+rows to a quarantine directory next to it, then the run is registered. A run
+is identified by its stream (the id that Spark keeps in the checkpoint) and
+batch number: a batch replayed after a failure, on whatever day, is the same
+run and its record a no-op, while a new checkpoint is a new stream. Data is
+written to a staging folder, moved into place, and recorded last; a replay of
+an unrecorded batch replaces what the first attempt left, at that attempt's
+date.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import hashlib
+import json
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -19,12 +23,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.model import Contract
-from strata.operators.normalize import ERRORS, MALFORMED, normalize_types
-from strata.sources.csv import CORRUPT
-from strata.sources.manifest import file_manifest, manifest_checksum
+from strata.operators.normalize import MALFORMED, normalize_types, quarantine_split
+from strata.operators.validate import quoted
+from strata.plans.ingest import discard_staging, log_manifest
+from strata.sources.csv import CORRUPT, csv_options
 from strata.sources.registry_store import Registry
-from strata.sources.snapshots import run_path, write_run
-from strata.session import ensure_checkpoint_dir
+from strata.sources.snapshots import run_path, staging_path, write_run
+from strata.session import ensure_checkpoint_dir, hadoop_path, rename_path
 
 
 @dataclass
@@ -42,11 +47,24 @@ class StreamIngestConfig:
     max_files_per_trigger: int | None = None
 
 
-def stream_run_id(cfg: StreamIngestConfig, schema_hash: str, day: dt.date, batch_id: int) -> str:
-    payload = f"{cfg.dataset_name}|{cfg.source_dir}|{schema_hash}|{day.isoformat()}|{batch_id}"
+def stream_run_id(cfg: StreamIngestConfig, schema_hash: str, stream_id: str, batch_id: int) -> str:
+    payload = f"{cfg.dataset_name}|{cfg.source_dir}|{schema_hash}|{stream_id}|{batch_id}"
     return hashlib.sha256(payload.encode()).hexdigest()
 
 
+def stream_id_of(spark: SparkSession, checkpoint: str) -> str:
+    """The id of the stream, which Spark writes when it first uses the checkpoint."""
+    text = "".join(r["value"] for r in spark.read.text(f"{checkpoint.rstrip('/')}/metadata").collect())
+    return json.loads(text)["id"]
+
+
+def _run_date(spark: SparkSession, base: str, dataset: str, run_id: str, today: dt.date) -> dt.date:
+    """The date under which an earlier attempt stored the run, else today."""
+    fs, pattern = hadoop_path(spark, f"{base.rstrip('/')}/dataset={dataset}/ingest_date=*/run_id={run_id}")
+    found = fs.globStatus(pattern)
+    return dt.date.fromisoformat(found[0].getPath().getParent().getName().split("=", 1)[1]) if found else today
+
+
 def _raw_stream(spark: SparkSession, cfg: StreamIngestConfig) -> DataFrame:
     # Files must carry the contract columns in contract order: enforceSchema=false
     # makes Spark check every file's header against these names instead of
@@ -54,9 +72,9 @@ def _raw_stream(spark: SparkSession, cfg: StreamIngestConfig) -> DataFrame:
     schema = T.StructType([T.StructField(c.name, T.StringType(), True) for c in cfg.contract.columns]
                           + [T.StructField(CORRUPT, T.StringType(), True)])
     reader = (
-        spark.readStream.schema(schema)
-        .option("header", "true")
+        csv_options(spark.readStream.schema(schema))
         .option("enforceSchema", "false")
+        .option("multiLine", "true")
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("columnPruning", "false")
@@ -64,7 +82,7 @@ def _raw_stream(spark: SparkSession, cfg: StreamIngestConfig) -> DataFrame:
     if cfg.max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", cfg.max_files_per_trigger)
     raw = reader.csv(cfg.source_dir)
-    return raw.select(*[F.col(f"`{c.name}`") for c in cfg.contract.columns], F.col(CORRUPT).isNotNull().alias(MALFORMED))
+    return raw.select(*[quoted(c.name) for c in cfg.contract.columns], F.col(CORRUPT).isNotNull().alias(MALFORMED))
 
 
 def make_batch_handler(spark: SparkSession, cfg: StreamIngestConfig, clock=None):
@@ -74,24 +92,27 @@ def make_batch_handler(spark: SparkSession, cfg: StreamIngestConfig, clock=None)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         now = clock() if clock else dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-        run_id = stream_run_id(cfg, schema_hash, now.date(), batch_id)
+        run_id = stream_run_id(cfg, schema_hash, stream_id_of(spark, cfg.checkpoint), batch_id)
         if registry.has_run(run_id, cfg.dataset_name):
             return  # replayed batch: already recorded
-        normalized = normalize_types(batch, cfg.contract).withColumn("_bad", F.size(ERRORS) > 0)
-        normalized.persist()
+        day = _run_date(spark, cfg.store_base, cfg.dataset_name, run_id, now.date())
+        path = run_path(cfg.store_base, cfg.dataset_name, day, run_id)
+        normalized = normalize_types(batch, cfg.contract)
+        # One pass types and classifies the batch; both sides read the written rows.
+        staging = staging_path(cfg.store_base, run_id)
+        kept = f"{staging}/all"
         try:
+            write_run(normalized, kept)
+            checked = spark.read.schema(normalized.schema).parquet(kept)
+            good, bad = quarantine_split(checked)
             obs = Observation(f"batch{batch_id}")
-            good = normalized.where(~F.col("_bad")).drop(ERRORS, "_bad").observe(obs, F.count(F.lit(1)).alias("rows"))
-            path = run_path(cfg.store_base, cfg.dataset_name, now.date(), run_id)
-            write_run(good, path)
+            write_run(good.observe(obs, F.count(F.lit(1)).alias("rows")), f"{staging}/good")
             rows = int(obs.get["rows"])
-            bad = normalized.where(F.col("_bad")).drop("_bad")
-            write_run(bad, run_path(cfg.quarantine_base, cfg.dataset_name, now.date(), run_id))
+            write_run(bad, run_path(cfg.quarantine_base, cfg.dataset_name, day, run_id))
+            rename_path(spark, f"{staging}/good", path)
         finally:
-            normalized.unpersist()
-        manifest = file_manifest(spark, path, run_id).checkpoint(eager=True)
-        registry.write_manifest(manifest)
-        checksum = manifest_checksum(manifest).first()["checksum"]
+            discard_staging(spark, cfg.store_base, staging)
+        checksum = log_manifest(registry, path, run_id)
         registry.register_dataset(cfg.dataset_name, cfg.version, cfg.owner, cfg.expected_frequency, schema_hash, at=now)
         registry.record_ingestion({
             "run_id": run_id, "dataset_name": cfg.dataset_name, "version": cfg.version, "ingested_at": now,
@@ -102,17 +123,12 @@ def make_batch_handler(spark: SparkSession, cfg: StreamIngestConfig, clock=None)
     return handle
 
 
-def run_stream_ingest(spark: SparkSession, cfg: StreamIngestConfig, timeout_s: int = 600, clock=None) -> None:
+def run_stream_ingest(spark: SparkSession, cfg: StreamIngestConfig, clock=None) -> None:
     """Ingest everything currently in ``source_dir`` (availableNow), then stop."""
-    q = (
+    query = (
         _raw_stream(spark, cfg).writeStream.foreachBatch(make_batch_handler(spark, cfg, clock))
         .option("checkpointLocation", cfg.checkpoint)
         .trigger(availableNow=True)
         .start()
     )
-    q.awaitTermination(timeout_s)
-    if q.isActive:
-        q.stop()
-        raise TimeoutError("stream ingestion did not finish")
-    if q.exception() is not None:
-        raise q.exception()
+    query.awaitTermination()

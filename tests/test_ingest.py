@@ -1,14 +1,19 @@
 """End-to-end ingestion: determinism, idempotence, failure demos, drift, manifests."""
 
+import csv
 import datetime as dt
+import gzip
 import os
 
 import pytest
 from pyspark.sql import functions as F
 
+from strata.api import get_data, get_data_response
 from strata.model import Column, Contract
+from strata.operators.registry import RECORD_SCHEMA
 from strata.plans.ingest import IngestionConfig, compute_run_id, ingest, run_health
-from strata.sources.manifest import verify_manifest
+from strata.sources.manifest import manifest_checksum, verify_manifest
+from strata.session import ensure_checkpoint_dir
 from strata.sources.registry_store import Registry
 
 NOW = dt.datetime(2026, 3, 11, 9, 0, 0)
@@ -64,6 +69,7 @@ def test_failure_demos_write_nothing(spark, tmp_path, prices_contract, text, col
     assert not os.path.exists(r.partition_path)
     reg = Registry(spark, c.registry_base)
     assert reg.records().count() == 0 and reg.registrations().count() == 0
+    assert not os.path.exists(c.store_base) or os.listdir(c.store_base) == []
 
 
 def test_extra_columns_strict_and_lenient(spark, tmp_path, prices_contract):
@@ -76,7 +82,7 @@ def test_extra_columns_strict_and_lenient(spark, tmp_path, prices_contract):
 
 def test_missing_source_is_reported(spark, tmp_path, prices_contract):
     r = ingest(spark, cfg(tmp_path, prices_contract, str(tmp_path / "nope.csv")), now=NOW)
-    assert not r.success and "Failed to open CSV" in r.error
+    assert not r.success and "cannot be read as CSV: FileNotFoundError" in r.error
 
 
 def test_rerun_reports_a_changed_source(spark, tmp_path, prices_contract, prices_csv):
@@ -180,3 +186,127 @@ def test_registry_logs_are_partitioned_by_dataset(spark, tmp_path):
     plan = spark.sparkContext._jvm.PythonSQLUtils.explainString(recs._jdf.queryExecution(), "formatted")
     assert "PartitionFilters: [isnotnull(dataset_name" in plan
     assert reg.has_run("r2", "b") and not reg.has_run("r2", "2024")
+
+
+# --- CSV dialect and headers -------------------------------------------------------
+
+NOTES = Contract("notes", "1.0", (Column("bid", "float"), Column("ask", "float"), Column("note", "string", nullable=True)))
+
+
+def test_standard_quoting(spark, tmp_path):
+    """What Python's csv module writes is read back as it was."""
+    notes = ['He said "hi"', "a, b", '{"a": 1, "b": 2}', '"C:\\"', "back\\slash", "two\nlines", "plain"]
+    path = tmp_path / "q.csv"
+    with open(path, "w", newline="") as f:
+        w = csv.writer(f)
+        w.writerow(["bid", "ask", "note"])
+        w.writerows([i, i + 1, n] for i, n in enumerate(notes))
+    r = ingest(spark, cfg(tmp_path, NOTES, str(path)), now=NOW)
+    assert r.success, r.error
+    assert [x["note"] for x in spark.read.parquet(r.partition_path).orderBy("bid").collect()] == notes
+
+
+def test_each_file_of_a_folder_has_its_own_header(spark, tmp_path):
+    src = tmp_path / "in"
+    os.makedirs(src)
+    (src / "a.csv").write_text("bid,ask,note\n1,2,x\n")
+    (src / "b.csv").write_text("\n\nask,note,bid\n20,y,10\n")  # empty lines first, other order
+    (src / "c.csv").write_text("")
+    with gzip.open(src / "d.csv.gz", "wt") as f:
+        f.write("note, bid ,ask\nz,100,200\n")
+    r = ingest(spark, cfg(tmp_path, NOTES, str(src)), now=NOW)
+    assert r.success and r.row_count == 3, r.error
+    assert sorted(tuple(x) for x in spark.read.parquet(r.partition_path).collect()) == [(1, 2, "x"), (10, 20, "y"), (100, 200, "z")]
+    (src / "e.csv").write_text("bid,asked,note\n1,2,x\n")
+    r = ingest(spark, cfg(tmp_path, NOTES, str(src)), now=NOW + dt.timedelta(days=1))
+    assert [(e[0], e[1]) for e in r.errors] == [("ask", "missing_column"), ("asked", "unexpected_column")]
+
+
+def test_signed_nan_is_a_float(spark, tmp_path):
+    r = ingest(spark, cfg(tmp_path, NOTES, _csv(tmp_path, "n.csv", "bid,ask,note\n-nan,+NaN,\n")), now=NOW)
+    assert not r.errors and r.row_count == 1 and r.health_report["details"]["null_ratio"]["columns"][0]["null_count"] == 1
+
+
+# --- names that look like ours ---------------------------------------------------------
+
+def test_user_columns_of_any_name_survive(spark, tmp_path):
+    names = ["run_id", "dataset_name", "ingested_at", "px.close", "ingestion_run_id"]
+    c = Contract("own", "1.0", tuple(Column(n, "string", nullable=n == "dataset_name") for n in names))
+    src = _csv(tmp_path, "own.csv", ",".join(names) + "\n" + "".join(f"r{i},,t{i},{i},u{i}\n" for i in range(4)))
+    conf = IngestionConfig("own", "1.0", "me", "daily", c, src, str(tmp_path / "reg"), str(tmp_path / "store"))
+    r = ingest(spark, conf, now=NOW)
+    assert r.success and r.status == "degraded"  # dataset_name is null in every row
+    columns = {x["column_name"]: x["null_count"] for x in r.health_report["details"]["null_ratio"]["columns"]}
+    assert columns == {"run_id": 0, "dataset_name": 4, "ingested_at": 0, "px.close": 0, "ingestion_run_id": 0}
+    reg = Registry(spark, conf.registry_base)
+    data = get_data(spark, reg, "own", NOW.date().isoformat())
+    assert data.columns == [*names, "_ingestion_run_id", "_ingested_at"]
+    assert sorted(x["run_id"] for x in data.collect()) == ["r0", "r1", "r2", "r3"]
+    response = get_data_response(spark, reg, "own", NOW.date().isoformat())
+    assert (response["row_count"], response["ingestion_run_id"], response["symbol"]) == (4, r.run_id, None)
+    assert response["rows"].columns == names
+
+
+# --- crashes, files, logs -----------------------------------------------------------------
+
+def test_a_crash_before_the_record_leaves_no_false_alarm(spark, tmp_path, prices_contract, prices_csv, monkeypatch):
+    c = cfg(tmp_path, prices_contract, prices_csv)
+    monkeypatch.setattr(Registry, "record_ingestion", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+    with pytest.raises(RuntimeError):
+        ingest(spark, c, now=NOW)
+    monkeypatch.undo()
+    r = ingest(spark, c, now=NOW)
+    assert r.success and not r.rerun
+    reg = Registry(spark, c.registry_base)
+    assert reg.table("file_manifest").count() == 2 * reg.manifest(r.run_id).count()
+    assert verify_manifest(spark, reg.manifest()).count() == 0
+    assert not os.path.exists(os.path.join(c.store_base, "_staging"))
+
+
+def test_files_are_bounded_and_the_source_is_read_once(spark, tmp_path, prices_contract, prices_csv):
+    r = ingest(spark, cfg(tmp_path, prices_contract, prices_csv, max_records_per_file=3), now=NOW)
+    files = [f for f in os.listdir(r.partition_path) if f.endswith(".parquet")]
+    assert len(files) >= 4 and r.row_count == 10
+    assert set(r.timings) == {"lookup", "write", "manifest", "registry", "health"}  # no gate pass, no second read
+
+
+def test_checksum_of_many_files_in_two_levels(spark):
+    rows = spark.range(100_000).selectExpr("'r' AS run_id", "concat('p/f', id) AS path", "id AS length", "sha2(cast(id AS string), 256) AS sha256")
+    one = manifest_checksum(rows).first()
+    assert one["n_files"] == 100_000 and one["checksum"] == manifest_checksum(rows.repartition(7)).first()["checksum"]
+    assert manifest_checksum(rows.where("length <> 5")).first()["checksum"] != one["checksum"]
+
+
+def test_compaction_keeps_the_views_and_concurrent_appends(spark, tmp_path):
+    reg = Registry(spark, str(tmp_path / "registry"))
+    base = dict(dataset_name="a", version="1.0", row_count=1, checksum="c", source_path="s", partition_path="p", schema_hash="h")
+    for i in range(6):
+        reg.register_dataset("a", f"1.{i}", "me", "daily", "h", at=dt.datetime(2026, 1, 1) + dt.timedelta(days=i))
+        reg.record_ingestion(dict(base, run_id=f"r{i}", ingested_at=dt.datetime(2026, 1, 1) + dt.timedelta(days=i)))
+    before = reg.records().collect(), reg.list_datasets().collect()
+    append = reg.append
+
+    def racing(table, df):  # another writer appends while the compaction writes
+        append(table, df)
+        if table == "ingestion_records":
+            other = dict(base, run_id="late", ingested_at=dt.datetime(2026, 3, 1))
+            append(table, spark.createDataFrame([tuple(other[f] for f in RECORD_SCHEMA.fieldNames())], RECORD_SCHEMA))
+
+    reg.append = racing
+    assert reg.compact("dataset_registry") == 6 and reg.compact("ingestion_records") == 6 and reg.compact("file_manifest") == 0
+    assert reg.list_datasets().collect() == before[1]
+    assert sorted(r["run_id"] for r in reg.records().collect()) == sorted([r["run_id"] for r in before[0]] + ["late"])
+    files = [f for _, _, fs in os.walk(reg.path("ingestion_records")) for f in fs if f.endswith(".parquet")]
+    assert len(files) == 2
+
+
+def test_no_shared_folder_is_an_error(monkeypatch):
+    class Bare:
+        class sparkContext:  # noqa: N801
+            getCheckpointDir = staticmethod(lambda: None)
+
+        class conf:  # noqa: N801
+            get = staticmethod(lambda key, default=None: default)
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(Bare)

@@ -10,11 +10,11 @@ def _plan(df):
 def test_checked_broadcast_marks_only_small_sides(spark):
     big = spark.range(0, 50_000).withColumn("k", F.col("id") % 1000)
     small = spark.range(0, 1000).withColumnRenamed("id", "k").withColumn("v", F.col("k") * 2)
-    joined = big.join(checked_broadcast(small, max_rows=10_000), "k")
+    joined = big.join(checked_broadcast(small, max_bytes=100_000), "k")
     assert joined.count() == 50_000
     assert "BroadcastHashJoin" in _plan(joined)
-    unmarked = checked_broadcast(small, max_rows=10)
-    assert unmarked.count() == 1000  # too many rows: returned without the broadcast mark
+    unmarked = checked_broadcast(small, max_bytes=10)
+    assert unmarked.count() == 1000  # too large: returned without the broadcast mark
     plan = _plan(big.hint("shuffle_merge").join(unmarked, "k"))
     assert "SortMergeJoin" in plan
 

@@ -7,7 +7,7 @@ from strata.functions.casts import guarded_cast, guarded_cast_sql
 from strata.functions.text import clean_cell, clean_cell_sql
 from strata.model import Column, Contract
 from strata.operators.normalize import error_summary, normalize_types, quarantine_split
-from strata.sources.csv import csv_scan, header_errors, read_header
+from strata.sources.csv import csv_scan, header_errors, read_headers
 
 CASES = {
     "int": [("42", 42), ("+7", 7), ("-3", -3), ("1.0", None), ("1e3", None), ("12a", None), ("99999999999999999999", None)],
@@ -67,12 +67,12 @@ def _write(tmp_path, text, name="in.csv"):
 
 def test_csv_scan_by_name_and_ragged_rows(spark, tmp_path):
     path = _write(tmp_path, "x,id,extra\n 1.5 ,1,a\n2.5,2\n3.5,3,c,d\n")
-    header = read_header(spark, path)
-    assert header == ["x", "id", "extra"]
-    assert header_errors(header, CONTRACT, strict_columns=True)[0][:2] == ("flag", "missing_column")
+    header, = read_headers(spark, path)
+    assert header == ("x", "id", "extra")
+    assert header_errors([header], CONTRACT, strict_columns=True)[0][:2] == ("flag", "missing_column")
     contract = Contract("t", "1.0", (Column("id", "int"), Column("x", "float", True)))
-    assert header_errors(header, contract, strict_columns=True) == [
-        ("extra", "unexpected_column", "Column 'extra' present in CSV but not declared in schema.")]
+    assert [e[:2] for e in header_errors([header, header], contract, strict_columns=True)] == [("extra", "unexpected_column")]
+    assert [e[:2] for e in header_errors([("id", "x", "x")], contract, strict_columns=False)] == [("x", "unexpected_column")]
     n = normalize_types(csv_scan(spark, path, header), contract)
     rows = n.select("id", "x", F.size("_errors").alias("k")).collect()
     assert [(r["id"], r["x"]) for r in rows] == [(1, 1.5), (2, 2.5), (3, 3.5)]
@@ -83,5 +83,5 @@ def test_csv_scan_by_name_and_ragged_rows(spark, tmp_path):
 
 def test_header_only_csv(spark, tmp_path):
     path = _write(tmp_path, "id,x,flag\n")
-    n = normalize_types(csv_scan(spark, path, read_header(spark, path)), CONTRACT)
+    n = normalize_types(csv_scan(spark, path, next(iter(read_headers(spark, path)))), CONTRACT)
     assert n.count() == 0 and error_summary(n).count() == 0
