@@ -11,22 +11,26 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata.model import Column, Contract
 from strata.operators.digest import content_digest
 from strata.operators.health import (
+    DETAILS_JSON,
+    DETAILS_SCHEMA,
     aggregate_status,
     check_freshness,
-    check_null_ratio,
-    health_reports,
     check_schema_hash,
     check_volume,
+    health_reports,
+    latest_run_nulls,
     null_ratio_long,
     volume_backfill,
 )
 from strata.operators.parallel import spread
-from strata.operators.normalize import gate_summary, normalize_types, with_quarantine_flag
-from strata.operators.point_in_time import asof_rows, asof_runs, point_in_time
+from strata.operators.fingerprint import contracts_from_json, schema_fingerprint
+from strata.operators.normalize import gate_summary, normalize_types, quarantine_split, with_quarantine_flag
+from strata.operators.point_in_time import asof_rows, asof_runs, point_in_time, rows_of_run
 from strata.operators.registry import (
     ingestion_history,
     latest_health,
@@ -34,8 +38,15 @@ from strata.operators.registry import (
     records_to_append,
 )
 from strata.operators.validate import validation_errors
+from strata.functions.timefn import end_of_day_literal, valid_as_of
 from strata.plans import fixtures as fx
-from strata.functions.timefn import end_of_day_literal
+from strata.plans.ingest import IngestionConfig, ingest
+from strata.session import delete_path, hadoop_path, shared_dir
+from strata.sources.csv import csv_options
+from strata.sources.registry_store import Registry
+from strata.sources.snapshots import read_store
+from strata.streaming.daily_volume import daily_volume_batch_via_stream
+from strata.streaming.file_ingest import StreamIngestConfig, run_stream_ingest
 
 MICROS_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 RECORD_COLS = ["run_id", "dataset_name", "version", "ingested_at", "row_count", "checksum", "source_path", "partition_path", "schema_hash"]
@@ -97,7 +108,6 @@ VALIDATE_EVENTS_CONTRACT = Contract(
         Column("symbol", "string"),
         Column("ts", "timestamp"),
         Column("user_id", "int"),
-        Column("event_type", "string"),
         Column("value", "int", nullable=True),
     ),
 )
@@ -197,11 +207,11 @@ def q_freshness(spark, sf):
 
 
 def q_volume(spark, sf):
-    return check_volume(_records(spark, sf))
+    return check_volume(fx.half_day_records(_events(spark, sf)))
 
 
 def q_volume_backfill(spark, sf):
-    return volume_backfill(_records(spark, sf))
+    return volume_backfill(fx.half_day_records(_events(spark, sf)))
 
 
 def q_schema_hash_check(spark, sf):
@@ -217,19 +227,29 @@ def health_frame(spark: SparkSession, sf: str, now=fx.NOW) -> DataFrame:
     records = runs.select(*RECORD_COLS)
     regs = fx.registrations(spark, sf, runs)
     latest = latest_ingestion(records)
-    # Null ratios of each dataset's latest run: one aggregate over the data
-    # grouped by run (dataset, day) -- no join touches raw rows -- then the
-    # latest run's row is picked from that per-run table.
-    contract = fx.events_contract("1.0")
+    # Null ratios of each dataset's latest run only. The latest run keys are few
+    # (one per dataset): a semi join with them, a broadcast after a check of
+    # their size, drops the rows of older runs in the scan's own stage; over a
+    # store partitioned by the keys it prunes their folders (latest_run_nulls).
     rows = fx.events_with_nulls(events).withColumn("dataset_name", F.col("event_type")).withColumn("ingest_date", F.to_date("ts"))
-    per_run = check_null_ratio(rows, contract, ["dataset_name", "ingest_date"])
-    latest_keys = latest_ingestion(runs.select(*RECORD_COLS, "ingest_date")).select("dataset_name", "ingest_date")
-    nulls = per_run.join(latest_keys, ["dataset_name", "ingest_date"], "left_semi").drop("ingest_date")
+    keys = latest_ingestion(runs.select(*RECORD_COLS, "ingest_date")).select("dataset_name", "ingest_date")
+    nulls = latest_run_nulls(rows, keys, fx.events_contract("1.0"), ["dataset_name", "ingest_date"])
     return health_reports(regs, records, nulls, now)
 
 
 def q_health_report(spark, sf):
-    return health_frame(spark, sf).drop("details")
+    """Reports with their details as typed columns."""
+    reports = health_frame(spark, sf).withColumn("d", F.from_json("details", DETAILS_SCHEMA, DETAILS_JSON))
+    columns = F.transform(F.filter("d.null_ratio.columns", lambda c: c["violated"]), lambda c: F.concat_ws(":", c["column_name"], c["null_ratio"].cast("decimal(9,6)").cast("string")))
+    return reports.select(
+        "id", "dataset_name", "checked_at", "status", "freshness_ok", "volume_ok", "null_ratio_ok", "schema_hash_ok",
+        "d.freshness.freshness_reason", "d.freshness.ingested_at", "d.freshness.age_seconds", "d.freshness.max_age_seconds",
+        F.col("d.volume.reason").alias("volume_reason"), "d.volume.records_available", "d.volume.current_row_count",
+        "d.volume.baseline_mean", "d.volume.baseline_std", "d.volume.lower_bound", "d.volume.upper_bound",
+        F.col("d.null_ratio.reason").alias("null_reason"), "d.null_ratio.total_rows", "d.null_ratio.nullable_threshold",
+        F.array_join(columns, ",").alias("violations"),
+        "d.schema_hash.schema_hash_reason", "d.schema_hash.expected_hash", "d.schema_hash.actual_hash",
+    )
 
 
 # --- registry reads ------------------------------------------------------------
@@ -256,12 +276,12 @@ def q_dataset_metadata(spark, sf):
 
 
 def q_ingestion_history(spark, sf):
-    return ingestion_history(_records(spark, sf), 10).select("dataset_name", "rank", "run_id", "ingested_at", "row_count")
+    return ingestion_history(fx.half_day_records(_events(spark, sf)), 10).select("dataset_name", "rank", "run_id", "ingested_at", "row_count")
 
 
 def q_ingestion_as_of(spark, sf):
     cutoff = end_of_day_literal(dt.date.fromisoformat(fx.AS_OF))
-    return latest_ingestion(_records(spark, sf), cutoff).select("dataset_name", "run_id", "ingested_at", "row_count", "version")
+    return latest_ingestion(fx.half_day_records(_events(spark, sf)), cutoff).select("dataset_name", "run_id", "ingested_at", "row_count", "version")
 
 
 def q_record_ingestion(spark, sf):
@@ -329,7 +349,7 @@ def q_asof_rows_events(spark, sf):
     """Bulk point-in-time rows: every as-of request of asof_bulk with its visible rows."""
     events = _events(spark, sf)
     records = fx.event_runs(events)
-    out = asof_rows(fx.events_store(events), asof_requests(events), records, run_keys=("dataset_name", "ingest_date"))
+    out = asof_rows(fx.events_store(events, "timestamp"), asof_requests(events), records, run_keys=("dataset_name", "ingest_date"))
     return out.select("dataset_name", "as_of", "event_id", "ts", "user_id", "value", "ingestion_run_id", "ingested_at")
 
 
@@ -352,35 +372,160 @@ def q_digest_pages(spark, sf):
 
 # --- end-to-end CSV ingestion ------------------------------------------------------
 
+def _workspace(spark, name: str) -> str:
+    """A folder of this application for one query; what an earlier run left goes first."""
+    base = shared_dir(spark, name)
+    delete_path(spark, base)
+    return base
+
+
+def _write_csv(df: DataFrame, path: str) -> None:
+    """RFC 4180 text in two column orders: half of the rows in files with the
+    columns as they are, the other half in files with them reversed."""
+    half = F.col("event_id").cast("string").try_cast("long") % 2 == 0
+    for rows, columns in ((df.where(half), df.columns), (df.where(~F.coalesce(half, F.lit(False))), df.columns[::-1])):
+        csv_options(rows.select(*columns).write.mode("append")).option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").csv(path)
+
+
+def _ingest_config(base: str, contract: Contract) -> IngestionConfig:
+    return IngestionConfig(contract.name, contract.version, "events", "daily", contract, f"{base}/raw", f"{base}/registry", f"{base}/store")
+
+
 def q_csv_ingest_events(spark, sf):
     """events written as CSV (timestamps to the second, as the contract's text
     grammar has no fractions), ingested end to end (scan, typing, gate,
     write, manifest, registry, health), and the stored typed rows read back."""
-    import uuid
-
-    from strata.plans.ingest import IngestionConfig, ingest
-    from strata.session import shared_dir
-
-    base = shared_dir(spark, f"csv-ingest-{uuid.uuid4().hex}")
-    src = f"{base}/raw"
-    (_events(spark, sf).write.mode("overwrite").option("header", "true")
-     .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").csv(src))
-    cfg = IngestionConfig("events", "1.0", "events", "daily", fx.events_contract("1.0"), src,
-                          f"{base}/registry", f"{base}/store")
+    base = _workspace(spark, "csv-ingest")
+    cfg = _ingest_config(base, fx.events_contract("1.0"))
+    _write_csv(_events(spark, sf), cfg.source_path)
     res = ingest(spark, cfg, now=fx.NOW)
     if not res.success:
         raise RuntimeError(res.error)
+    delete_path(spark, cfg.source_path)
     return spark.read.parquet(res.partition_path)
 
 
+def q_ingest_rejected(spark, sf):
+    """Dirty events through the whole ingestion: the gate's findings, and how
+    many files, records and registrations a rejected source leaves (none)."""
+    base = _workspace(spark, "ingest-rejected")
+    cfg = _ingest_config(base, fx.DIRTY_CONTRACT)
+    _write_csv(fx.dirty_events(_events(spark, sf)), cfg.source_path)
+    res = ingest(spark, cfg, now=fx.NOW)
+    registry = Registry(spark, cfg.registry_base)
+    fs, store = hadoop_path(spark, cfg.store_base)
+    left = len(fs.listStatus(store)) if fs.exists(store) else 0
+    left += registry.records().count() + registry.registrations().count() + int(res.success)
+    delete_path(spark, base)
+    return spark.createDataFrame([*res.errors, ("_store", "left_behind", left, None)], "column string, error_type string, n_rows long, example string")
+
+
+def q_quarantine_rows(spark, sf):
+    """Both sides of the quarantine split, one row each."""
+    good, bad = quarantine_split(_normalized(spark, sf))
+    return good.select("event_id", "event_type", F.lit("good").alias("side"), F.lit(0).alias("n_errors")).unionByName(
+        bad.select("event_id", "event_type", F.lit("bad").alias("side"), F.size("_errors").alias("n_errors"))
+    )
+
+
+def q_contracts_json(spark, sf):
+    """Contracts stored as JSON documents, read back and fingerprinted."""
+    base = _workspace(spark, "contracts-json")
+    columns = fx.contract_columns(fx.event_datasets(_events(spark, sf)), ["1.0", "1.1", fx.DRIFT_VERSION])
+    docs = columns.groupBy(F.col("dataset_name").alias("name"), "version").agg(
+        F.transform(
+            F.sort_array(F.collect_list(F.struct("position", "column_name", "dtype", "nullable"))),
+            lambda c: F.struct(c["column_name"].alias("name"), c["dtype"].alias("dtype"), c["nullable"].alias("nullable"), F.lit("text").alias("description")),
+        ).alias("columns")
+    )
+    docs.write.json(f"{base}/contracts")
+    return schema_fingerprint(contracts_from_json(spark, f"{base}/contracts", multi_line=False))
+
+
+DATES_CONTRACT = Contract("dates", "1.0", (Column("key", "int"), Column("date", "date")))
+
+
+def q_typed_dates(spark, sf):
+    """Order dates as text in several forms, typed as dates (strict ISO), and the
+    same text taken as requested as_of days."""
+    o, k = fx.read(spark, sf, "orders"), F.col("o_orderkey")
+    text = (
+        F.when(k % 11 == 0, F.date_format("o_orderdate", "yyyy/MM/dd"))
+        .when(k % 13 == 0, F.concat(F.date_format("o_orderdate", "yyyy"), F.lit("-02-30")))
+        .when(k % 17 == 0, F.date_format("o_orderdate", "yyyy-M-d"))
+        .when(k % 19 == 0, F.concat(F.lit("  "), F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit(" ")))
+        .when(k % 23 == 0, F.lit(" "))
+        .otherwise(F.date_format("o_orderdate", "yyyy-MM-dd"))
+    )
+    raw = o.select(k.cast("string").alias("key"), text.alias("date"))
+    typed = normalize_types(raw.withColumn("asked", F.trim("date")), DATES_CONTRACT, keep=["asked"])
+    return typed.select("key", "date", valid_as_of(F.col("asked")).alias("as_of"),
+                        F.array_join(F.transform("_errors", lambda e: e["error_type"]), ",").alias("errors"))
+
+
+def q_registry_roundtrip(spark, sf):
+    """Registrations and records through the registry's stored logs: appended
+    twice (the second time a no-op for records), compacted, and read back."""
+    registry = Registry(spark, _workspace(spark, "registry-roundtrip"))
+    runs = fx.event_runs(_events(spark, sf))
+    records = runs.select(*RECORD_COLS)
+    registry.append("dataset_registry", fx.registration_events(spark, sf, runs))
+    registry.record_ingestions(records)
+    registry.record_ingestions(records.withColumn("row_count", F.lit(-1).cast("long")))
+    for table in ("dataset_registry", "ingestion_records"):
+        registry.compact(table)
+    history = registry.ingestion_history(None, 3).select(
+        F.col("dataset_name").alias("name"), "rank", "run_id", "ingested_at", "row_count", F.col("version").alias("run_version"))
+    return registry.registrations().select("name", "version", "registered_at", "updated_at").join(history, "name", "left")
+
+
+def q_pit_store(spark, sf):
+    """Every dataset's rows as known on the as_of day, from a partitioned store
+    (dataset, ingest_date, run_id) through the registry's stored records."""
+    base = _workspace(spark, "pit-store")
+    events = _events(spark, sf)
+    runs = fx.event_runs(events)
+    registry = Registry(spark, f"{base}/registry")
+    registry.record_ingestions(runs.select(*RECORD_COLS))
+    keyed = fx.events_store(events).join(runs.select("dataset_name", "ingest_date", "run_id"), ["dataset_name", "ingest_date"])
+    keyed.withColumnRenamed("dataset_name", "dataset").write.partitionBy("dataset", "ingest_date", "run_id").parquet(f"{base}/store")
+    schema = T.StructType([*events.schema.fields, T.StructField("date", T.DateType())])
+    out = None
+    for name in sorted(r["event_type"] for r in events.select("event_type").distinct().collect()):
+        record = registry.ingestion_as_of(name, end_of_day_literal(dt.date.fromisoformat(fx.AS_OF)))
+        if record is not None:
+            rows = rows_of_run(read_store(spark, f"{base}/store", name, schema), record, fx.AS_OF).select(
+                F.lit(name).alias("dataset_name"), "event_id", "ts", "date", "ingestion_run_id", "ingested_at")
+            out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 # --- streaming --------------------------------------------------------------------
 
 def q_stream_daily_volume(spark, sf):
-    from strata.streaming.daily_volume import daily_volume_batch_via_stream
-
     return daily_volume_batch_via_stream(spark, sf, glob="events.parquet")
 
 
+def q_stream_ingest_events(spark, sf):
+    """Dirty events as arriving CSV files, two per micro-batch: the stored and the
+    quarantined rows, and one line for the records' row counts."""
+    base = _workspace(spark, "stream-ingest")
+    contract = fx.DIRTY_CONTRACT
+    dirty = fx.dirty_events(_events(spark, sf)).repartition(4)
+    csv_options(dirty.write).csv(f"{base}/raw")
+    cfg = StreamIngestConfig(contract.name, "1.0", "events", "daily", contract, f"{base}/raw", f"{base}/registry", f"{base}/store",
+                             f"{base}/quarantine", f"{base}/checkpoint", max_files_per_trigger=2)
+    run_stream_ingest(spark, cfg)
+    stored = spark.read.option("recursiveFileLookup", "true").schema("event_id long, event_type string").parquet(f"{base}/store")
+    bad = spark.read.option("recursiveFileLookup", "true").schema(
+        "event_id long, event_type string, _errors array<struct<column: string, error_type: string>>").parquet(f"{base}/quarantine")
+    errors = F.array_join(F.transform("_errors", lambda e: F.concat(e["column"], F.lit(":"), e["error_type"])), ",")
+    total = Registry(spark, cfg.registry_base).records().agg(F.sum("row_count").alias("event_id"))
+    return stored.select("event_id", "event_type", F.lit("stored").alias("outcome")).unionByName(
+        bad.select("event_id", "event_type", errors.alias("outcome"))
+    ).unionByName(total.select("event_id", F.lit("#records").alias("event_type"), F.lit("row_count").alias("outcome")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "schema_fingerprint": q_schema_fingerprint,
     "ingestion_records": q_ingestion_records,
@@ -411,5 +556,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "digest_conversations": q_digest_conversations,
     "digest_pages": q_digest_pages,
     "csv_ingest_events": q_csv_ingest_events,
+    "ingest_rejected": q_ingest_rejected,
+    "quarantine_rows": q_quarantine_rows,
+    "contracts_json": q_contracts_json,
+    "typed_dates": q_typed_dates,
+    "registry_roundtrip": q_registry_roundtrip,
+    "pit_store": q_pit_store,
     "stream_daily_volume": q_stream_daily_volume,
+    "stream_ingest_events": q_stream_ingest_events,
 }

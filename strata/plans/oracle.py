@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from strata.plans.fixtures import ORDERS_CONTRACT
 
-FREQ = """CASE ascii({x}) % 5 WHEN 0 THEN 'intraday' WHEN 1 THEN 'daily' WHEN 2 THEN 'weekly'
+FREQ = """CASE ascii(right({x}, 1)) % 5 WHEN 0 THEN 'intraday' WHEN 1 THEN 'daily' WHEN 2 THEN 'weekly'
   WHEN 3 THEN 'monthly' ELSE 'on_demand' END"""
 
 # Events contract versions: 1.0 and 2.0 have `value` nullable, 1.1 requires it.
@@ -59,6 +59,17 @@ latest AS (
     SELECT *, row_number() OVER (PARTITION BY dataset_name ORDER BY ingested_at DESC, run_id DESC) AS rn FROM runs)
   WHERE rn = 1)"""
 
+HALF_RUNS = """
+half0 AS (
+  SELECT event_type AS dataset_name, CAST(ts AS DATE) AS ingest_date, CASE WHEN hour(ts) < 12 THEN 'am' ELSE 'pm' END AS half, count(*) AS n
+  FROM events GROUP BY 1, 2, 3),
+runs AS (
+  SELECT sha256(dataset_name || '|raw/' || dataset_name || '/' || CAST(ingest_date AS VARCHAR) || '-' || half || '.csv|half|'
+                || CAST(ingest_date AS VARCHAR)) AS run_id,
+         dataset_name, '1.0' AS version, CAST(ingest_date AS TIMESTAMP) + INTERVAL 18 HOUR AS ingested_at,
+         CASE WHEN ingest_date = max(ingest_date) OVER (PARTITION BY dataset_name) AND ascii(dataset_name) % 2 = 1 THEN n * 10 ELSE n END AS row_count
+  FROM half0)"""
+
 REGISTRATIONS = RUNS + f""",
 reg_events AS (
   SELECT dataset_name AS name, version, 'events' AS owner, {FREQ.format(x='dataset_name')} AS expected_frequency,
@@ -226,16 +237,16 @@ ERROR_RULES = [("event_id", "unexpected_null", "e1", None), ("event_id", "type_m
 
 
 def _null_detail(n: str, total: str) -> str:
-    return (f"printf('Non-nullable column has %d null(s) (%.2f%% of %d rows).', {n}, "
+    return (f"printf('%d null(s) in a required column (%.2f%% of %d rows).', {n}, "
             f"(CAST({n} AS DOUBLE) / {total}) * 100.0, {total})")
 
 
-def _null_errors(src: str, required: list[tuple[int, str, bool]]) -> str:
+def _null_errors(src: str, required: list[tuple[int, str, bool]], first: int) -> str:
     parts = []
     for pos, name, is_float in required:
         test = f"({name} IS NULL OR isnan({name}))" if is_float else f"{name} IS NULL"
         parts.append(
-            f"SELECT CAST({1000 + pos} AS INTEGER) AS seq, '{name}' AS \"column\", 'unexpected_null' AS error_type, "
+            f"SELECT CAST({first + pos} AS INTEGER) AS seq, '{name}' AS \"column\", 'unexpected_null' AS error_type, "
             f"{_null_detail(f'count(*) FILTER (WHERE {test})', 'count(*)')} AS details FROM {src} "
             f"HAVING count(*) FILTER (WHERE {test}) > 0"
         )
@@ -246,12 +257,21 @@ ORDERS_HASH = ORDERS_CONTRACT.schema_hash()
 
 ORDER_RUNS = f"""
 ostore AS (
-  SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, CAST(o_orderdate AS DATE) AS date,
-         o_orderpriority AS symbol, strftime(o_orderdate, '%Y-%m') AS ingest_month FROM orders),
+  SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice,
+         CASE WHEN o_orderkey % 43 <> 0 THEN strftime(o_orderdate, '%Y-%m-%d') END AS date,
+         o_orderpriority AS symbol, strftime(date_trunc('month', o_orderdate) - to_months(CAST(k AS INTEGER)), '%Y-%m') AS ingest_month
+  FROM orders, range(2) AS ahead(k)),
 oruns AS (
-  SELECT sha256('orders|raw/orders/' || ingest_month || '.csv|{ORDERS_HASH}|' || CAST(max(date) AS VARCHAR)) AS run_id,
-         ingest_month, CAST(max(date) AS TIMESTAMP) AS ingested_at, count(*) AS row_count
-  FROM ostore GROUP BY ingest_month)"""
+  SELECT sha256('orders|raw/orders/' || ingest_month || '.csv|{ORDERS_HASH}|' || CAST(max(d) AS VARCHAR)) AS run_id,
+         ingest_month, CAST(max(d) AS TIMESTAMP) AS ingested_at, count(*) AS row_count
+  FROM (SELECT CAST(o_orderdate AS DATE) AS d, strftime(o_orderdate, '%Y-%m') AS ingest_month FROM orders) GROUP BY ingest_month)"""
+
+# Rows of a run: its own day and the three after it; every 41st row has no date.
+EVENT_STORE = """
+estore AS (
+  SELECT e.*, event_type AS dataset_name, CASE WHEN event_id % 41 <> 0 THEN CAST(ts AS DATE) END AS date,
+         CAST(CAST(ts AS DATE) - to_days(CAST(k AS INTEGER)) AS DATE) AS ingest_date
+  FROM events e, range(4) AS ahead(k))"""
 
 
 def _digest(table: str, cols: list[str], group: str | None) -> str:
@@ -280,23 +300,24 @@ ORACLE_SQL: dict[str, str] = {
     f"count(*) FILTER (WHERE {N_ERRORS} > 0) AS bad_rows FROM checked GROUP BY event_type",
     "validate_events": _with(EVENTS_NULLS) + """
 SELECT * FROM (VALUES
-  (CAST(0 AS INTEGER), 'symbol', 'missing_column', 'Column ''symbol'' declared in schema but absent from DataFrame.'),
-  (CAST(1 AS INTEGER), 'props', 'unexpected_column', 'Column ''props'' present in DataFrame but not declared in schema.'),
-  (CAST(2 AS INTEGER), 'value', 'type_mismatch', 'Expected integer (byte/short/int/long), got type ''double''.')
+  (CAST(0 AS INTEGER), 'symbol', 'missing_column', 'The contract declares ''symbol'', the data has no such column.'),
+  (CAST(1 AS INTEGER), 'event_type', 'unexpected_column', 'The data has ''event_type'', the contract does not declare it.'),
+  (CAST(2 AS INTEGER), 'props', 'unexpected_column', 'The data has ''props'', the contract does not declare it.'),
+  (CAST(3 AS INTEGER), 'value', 'type_mismatch', 'Declared integer (byte/short/int/long), found ''double''.')
 ) AS s(seq, "column", error_type, details)
 UNION ALL
-""" + _null_errors("ev_nulls", [(0, "event_id", False), (1, "ts", False), (2, "user_id", False), (3, "event_type", False)]),
+""" + _null_errors("ev_nulls", [(0, "event_id", False), (1, "ts", False), (2, "user_id", False)], 4),
     "validate_embeddings": """
-SELECT * FROM (VALUES (CAST(0 AS INTEGER), 'embedding', 'type_mismatch', 'Expected string, got type ''array<float>''.'))
+SELECT * FROM (VALUES (CAST(0 AS INTEGER), 'embedding', 'type_mismatch', 'Declared string, found ''array<float>''.'))
   AS s(seq, "column", error_type, details)
 UNION ALL
-""" + _null_errors("embeddings", [(0, "vec_id", False), (1, "embedding", False), (2, "label", False)]),
+""" + _null_errors("embeddings", [(0, "vec_id", False), (1, "embedding", False), (2, "label", False)], 1),
     "validate_orders": """WITH o AS (
   SELECT o_orderkey, CASE WHEN o_orderkey % 101 = 0 THEN NULL ELSE o_custkey END AS o_custkey, o_orderstatus,
          CASE WHEN o_orderkey % 7 = 0 THEN CAST('NaN' AS DOUBLE) ELSE o_totalprice END AS o_totalprice,
          o_orderdate, o_orderpriority FROM orders)
 """ + _null_errors("o", [(0, "o_orderkey", False), (1, "o_custkey", False), (2, "o_orderstatus", False),
-                         (3, "o_totalprice", True), (4, "o_orderdate", False), (5, "o_orderpriority", False)]),
+                         (3, "o_totalprice", True), (4, "o_orderdate", False), (5, "o_orderpriority", False)], 0),
     "null_ratio_events": _with(EVENTS_NULLS, "evn AS (SELECT *, event_type AS dataset_name FROM ev_nulls)") + "\n"
     + _null_long("evn", "dataset_name", EVENT_NULL_COLS),
     "null_ratio_lineitem": """WITH li AS (
@@ -310,8 +331,8 @@ UNION ALL
                                         ("l_quantity", False, True), ("l_extendedprice", False, True), ("l_discount", True, True),
                                         ("l_tax", True, True), ("l_shipdate", False, False), ("!l_comment", True, False)]),
     "freshness": _with(REGISTRATIONS, FRESHNESS) + "\nSELECT * FROM freshness",
-    "volume": _with(RUNS, VOLUME) + "\nSELECT * FROM volume",
-    "volume_backfill": _with(RUNS) + """,
+    "volume": _with(HALF_RUNS, VOLUME) + "\nSELECT * FROM volume",
+    "volume_backfill": _with(HALF_RUNS) + """,
 vb AS (
   SELECT dataset_name, run_id, ingested_at, row_count AS current_row_count,
     count(*) OVER w AS baseline_n,
@@ -335,10 +356,21 @@ FROM vb""",
     + "lrows AS (SELECT n.*, n.event_type AS dataset_name FROM ev_nulls n JOIN latest l "
       "ON n.event_type = l.dataset_name AND CAST(n.ts AS DATE) = l.ingest_date),\n"
     + "ncols AS (" + _null_long("lrows", "dataset_name", EVENT_NULL_COLS) + "),\n"
-    + "nr AS (SELECT dataset_name, NOT bool_or(violated) AS null_ratio_ok FROM ncols GROUP BY dataset_name),\n"
+    + """nr AS (SELECT dataset_name, NOT bool_or(violated) AS null_ratio_ok, any_value(total_rows) AS total_rows,
+         coalesce(string_agg(column_name || ':' || printf('%.6f', null_ratio), ',' ORDER BY list_position(
+           ['event_id', 'ts', 'user_id', 'event_type', 'value', 'props'], column_name)) FILTER (WHERE violated), '') AS violations
+       FROM ncols GROUP BY dataset_name),
+"""
     + f"""rep AS (
   SELECT r.name AS dataset_name, coalesce(f.freshness_ok, false) AS freshness_ok, coalesce(v.volume_ok, false) AS volume_ok,
-         coalesce(nr.null_ratio_ok, false) AS null_ratio_ok, coalesce(s.schema_hash_ok, false) AS schema_hash_ok
+         coalesce(nr.null_ratio_ok, false) AS null_ratio_ok, coalesce(s.schema_hash_ok, false) AS schema_hash_ok,
+         f.freshness_reason, f.ingested_at, f.age_seconds, f.max_age_seconds,
+         CASE WHEN v.records_available IS NULL THEN 'no_ingestion_history' ELSE v.volume_reason END AS volume_reason,
+         v.records_available, v.current_row_count, round(v.baseline_mean, 2) AS baseline_mean, round(v.baseline_std, 2) AS baseline_std,
+         round(v.lower_bound, 2) AS lower_bound, round(v.upper_bound, 2) AS upper_bound,
+         CASE WHEN nr.dataset_name IS NULL THEN 'empty_dataframe' END AS null_reason, nr.total_rows,
+         CASE WHEN nr.dataset_name IS NOT NULL THEN CAST(0.10 AS DOUBLE) END AS nullable_threshold, coalesce(nr.violations, '') AS violations,
+         s.schema_hash_reason, s.expected_hash, s.actual_hash
   FROM registrations r LEFT JOIN freshness f ON f.dataset_name = r.name LEFT JOIN volume v ON v.dataset_name = r.name
   LEFT JOIN nr ON nr.dataset_name = r.name LEFT JOIN schema_check s ON s.dataset_name = r.name)
 SELECT sha256(dataset_name || '|' || strftime({NOW}, '%Y-%m-%d %H:%M:%S.%f')) AS id, dataset_name, {NOW} AS checked_at,
@@ -346,18 +378,20 @@ SELECT sha256(dataset_name || '|' || strftime({NOW}, '%Y-%m-%d %H:%M:%S.%f')) AS
        WHEN (NOT freshness_ok)::INT + (NOT volume_ok)::INT + (NOT null_ratio_ok)::INT >= 3 THEN 'failing'
        WHEN (NOT freshness_ok)::INT + (NOT volume_ok)::INT + (NOT null_ratio_ok)::INT >= 1 THEN 'degraded'
        ELSE 'healthy' END AS status,
-  freshness_ok, volume_ok, null_ratio_ok, schema_hash_ok
+  freshness_ok, volume_ok, null_ratio_ok, schema_hash_ok, freshness_reason, ingested_at, age_seconds, max_age_seconds,
+  volume_reason, records_available, current_row_count, baseline_mean, baseline_std, lower_bound, upper_bound,
+  null_reason, total_rows, nullable_threshold, violations, schema_hash_reason, expected_hash, actual_hash
 FROM rep""",
     "list_datasets": _with(REGISTRATIONS) + "\nSELECT * FROM registrations",
     "dataset_metadata": _with(REGISTRATIONS) + """
 SELECT r.*, l.run_id AS latest_run_id, l.ingested_at AS latest_ingested_at, l.row_count AS latest_row_count,
        l.schema_hash AS latest_schema_hash
 FROM registrations r LEFT JOIN latest l ON l.dataset_name = r.name""",
-    "ingestion_history": _with(RUNS) + """
+    "ingestion_history": _with(HALF_RUNS) + """
 SELECT dataset_name, CAST(rk AS INTEGER) AS rank, run_id, ingested_at, row_count FROM (
   SELECT *, row_number() OVER (PARTITION BY dataset_name ORDER BY ingested_at DESC, run_id DESC) AS rk FROM runs)
 WHERE rk <= 10""",
-    "ingestion_as_of": _with(RUNS) + """
+    "ingestion_as_of": _with(HALF_RUNS) + """
 SELECT dataset_name, run_id, ingested_at, row_count, version FROM (
   SELECT *, row_number() OVER (PARTITION BY dataset_name ORDER BY ingested_at DESC, run_id DESC) AS rk FROM runs
   WHERE ingested_at <= TIMESTAMP '2024-01-15 23:59:59')
@@ -370,19 +404,22 @@ SELECT run_id, dataset_name, ingested_at, row_count FROM existing
 UNION ALL
 SELECT DISTINCT run_id, dataset_name, ingested_at, row_count FROM incoming
 WHERE run_id NOT IN (SELECT run_id FROM existing)""",
-    "pit_events": _with(RUNS) + """,
+    "pit_events": _with(RUNS, EVENT_STORE) + """,
 sel AS (SELECT * FROM runs WHERE dataset_name = 'click' AND ingested_at <= TIMESTAMP '2024-01-15 23:59:59'
         ORDER BY ingested_at DESC, run_id DESC LIMIT 1)
-SELECT e.event_id, e.ts, e.user_id, e.event_type, e.value, e.props, CAST(e.ts AS DATE) AS date,
-       s.run_id AS ingestion_run_id, s.ingested_at
-FROM events e JOIN sel s ON e.event_type = s.dataset_name AND CAST(e.ts AS DATE) = s.ingest_date
-WHERE CAST(e.ts AS DATE) <= DATE '2024-01-15'""",
+SELECT e.event_id, e.ts, e.user_id, e.event_type, e.value, e.props, e.date, s.run_id AS ingestion_run_id, s.ingested_at
+FROM estore e JOIN sel s USING (dataset_name, ingest_date) WHERE e.date <= DATE '2024-01-15'""",
+    "pit_store": _with(RUNS, EVENT_STORE) + """,
+sel AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY dataset_name ORDER BY ingested_at DESC, run_id DESC) AS rk
+        FROM runs WHERE ingested_at <= TIMESTAMP '2024-01-15 23:59:59') WHERE rk = 1)
+SELECT e.dataset_name, e.event_id, e.ts, e.date, s.run_id AS ingestion_run_id, s.ingested_at
+FROM estore e JOIN sel s USING (dataset_name, ingest_date) WHERE e.date <= DATE '2024-01-15'""",
     "pit_orders_symbol": _with(ORDER_RUNS) + """,
 sel AS (SELECT * FROM oruns WHERE ingested_at <= TIMESTAMP '1998-06-15 23:59:59' ORDER BY ingested_at DESC, run_id DESC LIMIT 1)
 SELECT o.o_orderkey, o.o_custkey, o.o_orderstatus, o.o_totalprice, o.date, o.symbol,
        s.run_id AS ingestion_run_id, s.ingested_at
 FROM ostore o JOIN sel s ON o.ingest_month = s.ingest_month
-WHERE o.date <= DATE '1998-06-15' AND o.symbol = '1-URGENT'""",
+WHERE o.date <= '1998-06-15' AND o.symbol = '1-URGENT'""",
     "asof_bulk": _with(RUNS) + """,
 span AS (SELECT event_type AS dataset_name, min(CAST(ts AS DATE)) AS d0, max(CAST(ts AS DATE)) AS d1 FROM events GROUP BY 1),
 req AS (SELECT dataset_name, CAST(unnest(generate_series(d0 - INTERVAL 1 DAY, d1 + INTERVAL 1 DAY, INTERVAL 1 DAY)) AS DATE) AS as_of
@@ -393,7 +430,7 @@ m AS (
   FROM req q LEFT JOIN runs r
     ON r.dataset_name = q.dataset_name AND r.ingested_at <= CAST(q.as_of AS TIMESTAMP) + INTERVAL 86399 SECOND)
 SELECT dataset_name, as_of, run_id, ingested_at, row_count FROM m WHERE rk = 1""",
-    "asof_rows_events": _with(RUNS) + """,
+    "asof_rows_events": _with(RUNS, EVENT_STORE) + """,
 span AS (SELECT event_type AS dataset_name, min(CAST(ts AS DATE)) AS d0, max(CAST(ts AS DATE)) AS d1 FROM events GROUP BY 1),
 req AS (SELECT dataset_name, CAST(unnest(generate_series(d0 - INTERVAL 1 DAY, d1 + INTERVAL 1 DAY, INTERVAL 1 DAY)) AS DATE) AS as_of
         FROM span),
@@ -403,13 +440,37 @@ m AS (
   FROM req q JOIN runs r
     ON r.dataset_name = q.dataset_name AND r.ingested_at <= CAST(q.as_of AS TIMESTAMP) + INTERVAL 86399 SECOND)
 SELECT m.dataset_name, m.as_of, e.event_id, e.ts, e.user_id, e.value, m.run_id AS ingestion_run_id, m.ingested_at
-FROM m JOIN events e ON e.event_type = m.dataset_name AND CAST(e.ts AS DATE) = m.ingest_date
-WHERE m.rk = 1 AND CAST(e.ts AS DATE) <= m.as_of""",
+FROM m JOIN estore e USING (dataset_name, ingest_date)
+WHERE m.rk = 1 AND e.date <= m.as_of""",
     "digest_documents": _digest("documents", ["doc_id", "text", "lang", "source", "n_chars"], "lang"),
     "digest_conversations": _digest("conversations", ["conv_id", "turn", "role", "text"], "role"),
     "digest_pages": _digest("pages", ["page_id", "url", "html"], None),
     "csv_ingest_events": "SELECT event_id, date_trunc('second', ts) AS ts, user_id, event_type, value, props FROM events",
-    "stream_daily_volume": "SELECT event_type AS dataset_name, CAST(ts AS DATE) AS day, count(*) AS row_count FROM events GROUP BY 1, 2",
+    # Days that ended a day before the newest event: the windows that are final.
+    "stream_daily_volume": "SELECT event_type AS dataset_name, CAST(ts AS DATE) AS day, count(*) AS row_count FROM events "
+    "WHERE CAST(ts AS DATE) + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 DAY GROUP BY 1, 2",
+    "stream_ingest_events": _with(DIRTY) + f"""
+SELECT event_id, event_type, CASE WHEN {N_ERRORS} = 0 THEN 'stored' ELSE {ERROR_LIST} END AS outcome FROM checked
+UNION ALL SELECT count(*) FILTER (WHERE {N_ERRORS} = 0), '#records', 'row_count' FROM checked""",
+    "quarantine_rows": _with(DIRTY) + f"""
+SELECT event_id, event_type, CASE WHEN {N_ERRORS} = 0 THEN 'good' ELSE 'bad' END AS side, {N_ERRORS} AS n_errors FROM checked""",
+    "ingest_rejected": _with(DIRTY) + "\n" + "\nUNION ALL\n".join(
+        f"SELECT '{c}' AS \"column\", '{t}' AS error_type, count(*) AS n_rows, "
+        f"{'min(' + raw + ')' if raw else 'CAST(NULL AS VARCHAR)'} AS example FROM checked WHERE {flag} HAVING count(*) > 0"
+        for c, t, flag, raw in ERROR_RULES) + "\nUNION ALL SELECT '_store', 'left_behind', 0, NULL",
+    "contracts_json": _with(FINGERPRINTS) + "\nSELECT dataset_name, version, schema_hash, n_columns FROM fingerprints",
+    "typed_dates": """WITH raw AS (
+  SELECT CAST(o_orderkey AS BIGINT) AS key, trim(CASE WHEN o_orderkey % 11 = 0 THEN strftime(o_orderdate, '%Y/%m/%d')
+      WHEN o_orderkey % 13 = 0 THEN strftime(o_orderdate, '%Y') || '-02-30'
+      WHEN o_orderkey % 17 = 0 THEN strftime(o_orderdate, '%Y-%-m-%-d')
+      WHEN o_orderkey % 23 = 0 AND o_orderkey % 19 <> 0 THEN ' ' ELSE strftime(o_orderdate, '%Y-%m-%d') END) AS t FROM orders),
+typed AS (SELECT key, t, CASE WHEN regexp_full_match(t, '[0-9]{4}-[0-9]{2}-[0-9]{2}') THEN TRY_CAST(t AS DATE) END AS d FROM raw)
+SELECT key, d AS date, d AS as_of, CASE WHEN t = '' THEN 'unexpected_null' WHEN d IS NULL THEN 'type_mismatch' ELSE '' END AS errors FROM typed""",
+    "registry_roundtrip": _with(REGISTRATIONS) + """
+SELECT r.name, r.version, r.registered_at, r.updated_at, CAST(h.rk AS INTEGER) AS rank, h.run_id, h.ingested_at, h.row_count, h.version AS run_version
+FROM registrations r LEFT JOIN (
+  SELECT *, row_number() OVER (PARTITION BY dataset_name ORDER BY ingested_at DESC, run_id DESC) AS rk FROM runs) h
+ON h.dataset_name = r.name AND h.rk <= 3""",
     "latest_health": _with(RUNS) + """,
 vb AS (
   SELECT dataset_name, run_id, ingested_at, row_count AS c,

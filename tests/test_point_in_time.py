@@ -100,3 +100,25 @@ def test_asof_rows_over_a_snapshot_store(spark, tmp_path):
     got = sorted((r["as_of"].day, r["ingestion_run_id"], r["close"]) for r in out.collect())
     assert got == [(2, "r1", 1.0), (2, "r1", 2.0), (4, "r1", 1.0), (4, "r1", 2.0),
                    (5, "r2", 2.5), (5, "r2", 5.0), (6, "r2", 2.5), (6, "r2", 5.0), (6, "r2", 6.0)]
+
+
+@pytest.mark.parametrize("name", ["pit_events", "pit_orders_symbol", "asof_rows_events", "pit_store"])
+def test_without_the_date_filter_the_oracle_fails(spark, name, monkeypatch):
+    """Each point-in-time query has rows that only ``date <= as_of`` hides, rows
+    without a date among them; the three types of date column are covered."""
+    import sys
+
+    from strata.plans.catalog import QUERIES
+
+    module = sys.modules["strata.operators.point_in_time"]
+    sf = "/root/testdata/sf0.001"
+    kept = QUERIES[name](spark, sf).count()
+    monkeypatch.setattr(module, "date_visible", lambda *a, **k: None)
+    monkeypatch.setattr(module, "_request_visible", lambda joined, *a: joined)
+    assert QUERIES[name](spark, sf).count() > kept
+
+
+def test_invalid_requests_fail_nothing_else(spark):
+    requests = spark.createDataFrame([("a", "2026-01-05"), ("a", "20260105"), ("a", "2026-02-30"), ("a", None)], "dataset_name string, as_of string")
+    records = spark.createDataFrame([("r", "a", dt.datetime(2026, 1, 1), 3)], "run_id string, dataset_name string, ingested_at timestamp_ntz, row_count long")
+    assert [(r["as_of"], r["run_id"]) for r in asof_runs(requests, records).collect()] == [(dt.date(2026, 1, 5), "r")]
