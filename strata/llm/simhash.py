@@ -12,9 +12,11 @@ from strata.llm.common import Scratch, quoted
 from strata.llm.components import connected_components
 
 BITS = 64
-# Buckets of up to so many fingerprints compare them inside one row; the
-# fingerprints of larger buckets are linked by masked keys (see link_edges).
-ROW_BUCKET = 16
+# Buckets of up to so many fingerprints are compared inside one row of 32 KB at
+# most; the fingerprints of larger buckets are linked by masked keys (see
+# link_edges). Keys cost about 300 rows per fingerprint and table, a
+# comparison about a nanosecond, so rows are the cheaper way up to here.
+ROW_BUCKET = 4096
 
 
 def fingerprint(text: bytes | None, shingle: int = 3) -> int:
@@ -80,8 +82,9 @@ def link_edges(distinct: DataFrame, scratch: Scratch, radius: int = 2, row_bucke
     of "at most ``radius`` (1 or 2) bits differ".
 
     Every fingerprint enters one bucket per mask. A bucket of one is dropped.
-    A bucket of up to ``row_bucket`` fingerprints becomes one row and yields
-    its true links. The fingerprints of a larger bucket are keyed again by
+    A bucket of up to ``row_bucket`` fingerprints becomes one row, is linked
+    there and yields one edge per member to the smallest it is linked with,
+    directly or not. The fingerprints of a larger bucket are keyed again by
     themselves with two (for radius 1, one) of the bits cleared that the
     mask leaves out; each set of bits belongs to the first mask that leaves
     out all of it, so no set is keyed twice. Fingerprints that share such a
@@ -98,15 +101,8 @@ def link_edges(distinct: DataFrame, scratch: Scratch, radius: int = 2, row_bucke
     counts = scratch.put(probes.groupBy("t", "key").agg(F.count("*").alias("n")).where("n > 1"), "buckets")
     shared = scratch.put(probes.join(counts, ["t", "key"]).select("t", "key", "n", "fp"), "shared")
 
-    rows = shared.where(F.col("n") <= row_bucket).groupBy("t", "key").agg(F.sort_array(F.collect_list("fp")).alias("fps"))
-    near = F.transform(
-        "fps",
-        lambda x: F.struct(
-            x.alias("a"),
-            F.filter("fps", lambda y: (y < x) & (F.bit_count(x.bitwiseXOR(y)) <= radius)).alias("bs"),
-        ),
-    )
-    small = rows.select(F.inline(near).alias("a", "bs")).select("a", F.explode("bs").alias("b"))
+    rows = shared.where(F.col("n") <= row_bucket).groupBy("t", "key").agg(F.collect_list("fp").alias("fps"))
+    small = rows.select("fps").mapInArrow(lambda it: _bucket_stars(it, radius), "a long, b long")
 
     large = shared.where(F.col("n") > row_bucket)
     keyed = large.select("fp", F.explode(_cleared(masks, radius)).alias("bits")).select(
@@ -119,6 +115,24 @@ def link_edges(distinct: DataFrame, scratch: Scratch, radius: int = 2, row_bucke
     return edges
 
 
+def _bucket_stars(it, radius: int):
+    for batch in it:
+        a, b = [], []
+        for fps in batch.column(0):
+            x = np.sort(np.asarray(fps.values))
+            bits, open_ = x.view(np.uint64), np.ones(len(x), bool)
+            for first in range(len(x)):
+                reached = [first] if open_[first] else []
+                open_[first] = False
+                for i in reached:  # grows while it is walked
+                    near = np.nonzero(open_ & (np.bitwise_count(bits ^ bits[i]) <= radius))[0]
+                    open_[near] = False
+                    reached.extend(near.tolist())
+                a.extend(x[reached[1:]].tolist())
+                b.extend([int(x[first])] * (len(reached) - 1))
+        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+
 def _cleared(masks: list[int], radius: int):
     """By mask number t: the bit sets that mask t handles for large buckets."""
     own: dict[int, list[int]] = {t: [] for t in range(len(masks))}
