@@ -97,7 +97,9 @@ def latest_registrations(events: DataFrame) -> DataFrame:
 
 
 def first_writer_wins(records: DataFrame) -> DataFrame:
-    """One record per run_id: the earliest written (ties by checksum) wins."""
+    """One record per run_id: that with the earliest ingestion time wins (ties: the
+    larger checksum). A replay carries the later time, so this is the first
+    writer unless writers' clocks disagree."""
     cols = records.columns
     return _latest_by(
         records.withColumn("_neg", -F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col("ingested_at"))),
