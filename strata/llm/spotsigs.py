@@ -29,13 +29,27 @@ def signatures(text: Column, common: tuple[str, ...] = tuple(COMMON_WORDS), chai
     common word with the first ``chain`` of them; a common word that another
     one follows at once has none. A text without any signature is represented
     by its words; a text without words by the empty set."""
-    low = F.rtrim(F.lower(F.coalesce(text, F.lit(""))), F.lit(" \t\n\x0b\f\r"))
-    anchor = "|".join(sorted(set(common), key=len, reverse=True))
-    pieces = F.split(F.concat(F.lit(" "), low), rf"\s+(?=(?:{anchor})(?:\s|$))")
-    heads = F.transform(F.slice(pieces, F.lit(2), F.size(pieces)), lambda s: F.slice(F.split(s, r"\s+", chain + 2), 1, chain + 1))
-    chains = F.transform(F.filter(heads, lambda h: F.size(h) > 1), lambda h: F.xxhash64(h))
-    words = F.transform(F.filter(F.split(low, r"\s+"), lambda w: w != ""), lambda w: F.xxhash64(w))
-    return F.sort_array(F.array_distinct(F.when(F.size(chains) > 0, chains).otherwise(words)))
+    low = F.btrim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"\s+", " "))
+    pieces = F.split(F.concat(F.lit(" "), low), f" (?={_any_of(common)}(?: |$))")
+    chained = F.filter(F.slice(pieces, F.lit(2), F.size(pieces)), lambda s: F.instr(s, " ") > 0)
+    chains = F.transform(chained, lambda s: F.xxhash64(F.substring_index(s, " ", chain + 1)))
+    words = F.transform(F.filter(F.split(low, " "), lambda w: w != ""), lambda w: F.xxhash64(w))
+    # Bound by a lambda, so that the chains are made once, and the words only without any.
+    found = F.element_at(F.transform(F.array(chains), lambda c: F.when(F.size(c) > 0, c).otherwise(words)), 1)
+    return F.sort_array(F.array_distinct(found))
+
+
+def _any_of(words: tuple[str, ...]) -> str:
+    """A pattern that matches just these words, letter by letter: it tries one
+    branch per letter instead of one per word."""
+    if words == ("",):
+        return ""
+    rest: dict[str, list[str]] = {}
+    for w in sorted(set(words)):
+        rest.setdefault(w[:1], []).append(w[1:])
+    ends = "" in rest
+    branches = [c + _any_of(tuple(r)) for c, r in rest.items() if c]
+    return f"(?:{'|'.join(branches)})" + "?" * ends
 
 
 def fingerprint(sigs: Column) -> Column:
