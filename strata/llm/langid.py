@@ -170,8 +170,8 @@ def fit(
     text_col: str = "text",
     lang_col: str = "lang",
     sample_docs: int = 400,
-    sample_bytes: int = 65_536,
-    max_langs: int = 64,
+    sample_bytes: int = 16_384,
+    max_langs: int = 32,
 ) -> PpmModel:
     """Fit the model on a bounded, deterministic sample of the training folds:
     about ``sample_docs`` texts per language (by a hash of the id, so the bound
