@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 import zlib
 from collections.abc import Iterator
 
@@ -18,6 +19,7 @@ from strata.llm.common import Scratch, quoted
 WINDOW, K = 20, 6
 SEGMENT = 4_000_000  # bytes of a text that are split into words at a time
 BLOCK = 1 << 20  # windows of a text that are handled at a time
+DIGESTS = 100_000  # digests of spans and windows that are sent at a time
 
 _U = np.uint64
 _STEP, _BACK = 0x9E3779B97F4A7C15, pow(0x9E3779B97F4A7C15, -1, 1 << 64)
@@ -177,7 +179,8 @@ def removed_spans(docs: DataFrame, scratch: Scratch) -> DataFrame:
         .select(F.col("kmer_b").alias("kmer"), F.col("chunk_b").alias("chunk"), "together")
         .join(size, ["kmer", "chunk"]).where("n = together").select("kmer", "chunk", F.lit(True).alias("linked"))
     )
-    firsts = classes.where("n > 1").select("kmer", "chunk", "first.*").join(scratch.put(links, "links"), ["kmer", "chunk"], "left")
+    linked = scratch.put(links, "links")
+    firsts = classes.where("n > 1").select("kmer", "chunk", "first.*").join(linked, ["kmer", "chunk"], "left")
     # The classes of a path first occur one after the other in one document.
     ahead = W.partitionBy("doc_id", "tag").orderBy("start")
     numbered = firsts.select("*", F.count(F.when(F.col("linked").isNull(), 1)).over(ahead).alias("path"))
@@ -207,7 +210,9 @@ def removed_spans(docs: DataFrame, scratch: Scratch) -> DataFrame:
         # Spans whose words differ although both hashes agree: window by window.
         differ = first.where("not (kmer = 0 and chunk = 0)").groupBy("kmer", "chunk", "length").agg(F.count("*").alias("n"))
         differ = scratch.put(differ.where("n > 1").drop("n"), "differ")
+        scratch.drop(asked, first)
         if differ.isEmpty():
+            scratch.drop(seen, classes, pairs, linked, paths, branching, checked, differ)
             return removed
         zero = F.lit(0).cast("long")
         asked = scratch.put(
@@ -228,29 +233,26 @@ def _digests(docs: DataFrame, asked: DataFrame) -> DataFrame:
     names = ["doc_id", "tag", "start", "length", "kmer", "chunk", "digest"]
     kind = docs.schema["doc_id"].dataType.simpleString()
 
+    types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
+
+    def digests(batch):
+        columns = zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)
+        for i, (text, tag, spans) in enumerate(columns):
+            if zlib.crc32(text) != tag:
+                continue  # another row with this id
+            words = text.split()
+            for s in spans:
+                size = WINDOW if s["singly"] else s["length"]
+                for a in range(s["start"], s["start"] + s["length"] - size + 1):
+                    digest = hashlib.blake2b(b" ".join(words[a : a + size]), digest_size=16).digest()
+                    yield i, tag, a, size, s["kmer"], s["chunk"], digest
+
     def batches(it):
         for batch in it:
-            row, tags, out = [], [], []
-            columns = zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)
-            for i, (text, tag, spans) in enumerate(columns):
-                if zlib.crc32(text) != tag:
-                    continue  # another row with this id
-                words = text.split()
-                for s in spans:
-                    size = WINDOW if s["singly"] else s["length"]
-                    for a in range(s["start"], s["start"] + s["length"] - size + 1):
-                        digest = hashlib.blake2b(b" ".join(words[a : a + size]), digest_size=16).digest()
-                        row.append(i)
-                        tags.append(tag)
-                        out.append((a, size, s["kmer"], s["chunk"], digest))
-            a, size, kmer, chunk, digest = zip(*out, strict=True) if out else ((),) * 5
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0).take(pa.array(row, pa.int64())), pa.array(tags, pa.int64()), pa.array(a, pa.int32()),
-                    pa.array(size, pa.int32()), pa.array(kmer, pa.int64()), pa.array(chunk, pa.int64()), pa.array(digest, pa.binary()),
-                ],
-                names=names,
-            )
+            found = digests(batch)
+            while out := list(itertools.islice(found, DIGESTS)):
+                row, *rest = (pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True))
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(row), *rest], names=names)
 
     return joined.mapInArrow(batches, f"doc_id {kind}, tag long, start int, length int, kmer long, chunk long, digest binary").distinct()
 
