@@ -101,12 +101,13 @@ def dedup_rows(
     )
     hits = scratch.put(hits, "hits")
     kept_text = hits.where("locator = rep").select("digest", F.col("content").alias("kept_content"))
-    differing = scratch.put(
-        hits.join(kept_text, "digest").where("content <> kept_content").select("digest").distinct(), "differing"
-    )
+    # Written before it is made distinct: so the join's rows of one digest, which
+    # may be a third of all, can be split over tasks.
+    other = scratch.put(hits.join(kept_text, "digest").where("content <> kept_content").select("digest"), "other")
+    differing = scratch.put(other.distinct(), "differing")
     groups = state.select("digest", F.col("keep.id").alias("keep_id"), rep.alias("rep"), F.col("n").alias("group_size"))
     if differing.isEmpty():
-        scratch.drop(hits, differing)
+        scratch.drop(hits, other, differing)
         out = located.join(groups, "digest")
     else:
         out = _split_by_text(located, groups, hits, differing, id_col, scratch)
