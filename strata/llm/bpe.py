@@ -6,6 +6,7 @@ from __future__ import annotations
 import base64
 import functools
 import heapq
+import re
 import tempfile
 from collections.abc import Callable, Iterator
 
@@ -22,9 +23,11 @@ from strata.llm.common import quoted
 # Words and bytes of words that one recursive query takes, tokens that one
 # decoding query takes: with DuckDB's own limit, what bounds the memory.
 QUERY_WORDS, QUERY_BYTES, QUERY_TOKENS = 60_000, 1_000_000, 500_000
-DATABASE = {"threads": 1, "memory_limit": "300MB"}
-# Encoded words that a worker remembers; the memory is emptied when full.
+DATABASE = {"threads": 1, "memory_limit": "200MB"}
+# Encoded words, and stretches of text, that a worker remembers; the memory is
+# emptied when full. Characters of text that it works on at a time.
 CACHE_WORDS = 300_000
+SLICE_CHARS = 1_000_000
 # The rows of the recursion grow with the square of a word's length. Longer
 # words (none in ordinary text) are merged by a heap in the same order.
 LONG_WORD = 256
@@ -39,26 +42,19 @@ _TABLES = """
         )
         SELECT a.id << 32 | b.id AS pair, cut.id AS merged
         FROM cut JOIN vocabulary a ON a.token = cut.l JOIN vocabulary b ON b.token = cut.r;
-    CREATE TABLE bytes AS
-        SELECT id, code FROM vocabulary WHERE octet_length(token) = 1;
 """
 
-# A word that is a token is that token. Any other starts as one row per byte.
-# Each step finds the pairs of neighbours that the merge table has, takes the
-# word's leftmost pair of least rank (a rank is the merged token's id) and
-# contracts it: the right one's row goes, the left one's token changes. A word
-# without such a pair is finished: it has no rows in the next step, and its
-# rows of the last step stand.
+# ``bytes`` has one row per byte of every word: its place, which is the word's
+# number times 2^24 plus the position in the word, and its token. Each step
+# finds the pairs of neighbours that the merge table has, takes the word's
+# leftmost pair of least rank (a rank is the merged token's id) and contracts
+# it: the right one's row goes, the left one's token changes. A word without
+# such a pair is finished: it has no rows in the next step, and its rows of the
+# last step stand.
 _ENCODE = """
     WITH RECURSIVE
-    first AS (
-        SELECT w.word << 24 | s.pos AS place, b.id AS token
-        FROM (SELECT word, hex(body) AS h FROM words ANTI JOIN vocabulary ON token = body) w,
-             generate_series(1, length(h) // 2) AS s(pos)
-        JOIN bytes b ON b.code = substr(h, 2 * pos - 1, 2)
-    ),
     state AS (
-        SELECT place, token, 0 AS step FROM first
+        SELECT place, token, 0 AS step FROM bytes
         UNION ALL
         SELECT s.place, CASE WHEN s.place & 16777215 = best.pick >> 16 & 16777215 THEN best.pick >> 40 ELSE s.token END, s.step + 1
         FROM state s JOIN (
@@ -71,44 +67,73 @@ _ENCODE = """
             GROUP BY 1
         ) best ON best.word = s.place >> 24 AND s.place & 16777215 <> (best.pick >> 16 & 16777215) + (best.pick & 65535)
     ),
-    last AS (SELECT place >> 24 AS word, max(step) AS step FROM state GROUP BY 1),
-    final AS (
-        SELECT last.word, place, token FROM state JOIN last ON last.word = place >> 24 AND last.step = state.step
-        UNION ALL
-        SELECT word, 0, id FROM words JOIN vocabulary ON token = body
-    )
-    SELECT word, list(token ORDER BY place) AS ids FROM final GROUP BY word
+    last AS (SELECT place >> 24 AS word, max(step) AS step FROM state GROUP BY 1)
+    SELECT place, token FROM state JOIN last ON last.word = place >> 24 AND last.step = state.step ORDER BY place
 """
 
 _DECODE = "SELECT part, string_agg(code, '' ORDER BY pos) AS body FROM tokens JOIN vocabulary USING (id) GROUP BY part"
 
 
+_OTHER_BLANKS = re.compile(r" \s|\s ")
+
+
+def _stretches(text: str) -> list[str]:
+    """The text cut before blanks, in order. Before a single blank between two
+    characters that are no white space the pattern always begins a new match,
+    so the parts can be split into words, and remembered, on their own. A text
+    with any other blank is one part."""
+    if _OTHER_BLANKS.search(text):
+        return [text]
+    first, *rest = text.split(" ")
+    return [first, *[" " + s for s in rest]]
+
+
+def _slices(texts: list[str]) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of about SLICE_CHARS characters."""
+    a = size = 0
+    for b, t in enumerate(texts, 1):
+        size += len(t)
+        if size > SLICE_CHARS or b == len(texts):
+            yield a, b
+            a, size = b, 0
+
+
 class DuckBpe:
     """Encoder and decoder over one DuckDB database in memory."""
 
     def __init__(self, ranks_path: str, pattern: str):
         with open(ranks_path, "rb") as f:
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+        self.of_byte = np.array([self.ranks[bytes([b])] for b in range(256)], np.int64)
         self.split = regex.compile(pattern).findall
         self.db = duckdb.connect(config={**DATABASE, "temp_directory": tempfile.gettempdir()})
         self.db.register("ranks", pa.table({"id": pa.array(self.ranks.values(), pa.int64()), "token": pa.array(self.ranks, pa.binary())}))
         self.db.execute(_TABLES)
         self.db.unregister("ranks")
-        self.known: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {}  # ids of words (matches of the pattern)
+        self.stretches: dict[str, bytes] = {}  # ids of stretches between blanks
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, little-endian unsigned 32-bit."""
-        pieces = [self.split(t) for t in texts]
         if len(self.known) > CACHE_WORDS:
             self.known.clear()
-        self._learn({p for ps in pieces for p in ps} - self.known.keys())
-        return [b"".join(map(self.known.__getitem__, ps)) for ps in pieces]
+        if len(self.stretches) > CACHE_WORDS:
+            self.stretches.clear()
+        cut = [_stretches(t) for t in texts]
+        new = {s: self.split(s) for s in {s for ss in cut for s in ss} - self.stretches.keys()}
+        self._learn({w for words in new.values() for w in words} - self.known.keys())
+        for s, words in new.items():
+            self.stretches[s] = b"".join(map(self.known.__getitem__, words))
+        return [b"".join(map(self.stretches.__getitem__, ss)) for ss in cut]
 
     def _learn(self, words: set[str]) -> None:
         block: list[tuple[str, bytes]] = []
         size = 0
         for word in words:
             body = word.encode()
+            if body in self.ranks:
+                self.known[word] = self.ranks[body].to_bytes(4, "little")
+                continue
             if len(body) > LONG_WORD:
                 self.known[word] = np.array(self._merge_long(body), "<u4").tobytes()
                 continue
@@ -122,19 +147,19 @@ class DuckBpe:
     def _encode_block(self, block: list[tuple[str, bytes]]) -> None:
         if not block:
             return
-        words = pa.table({"word": pa.array(range(len(block)), pa.int64()), "body": pa.array([b for _, b in block], pa.binary())})
-        self.db.register("words", words)
-        found = self.db.sql(_ENCODE).to_arrow_table().combine_chunks()
-        ids = found["ids"].combine_chunks()
-        flat = np.asarray(ids.values).astype("<u4").tobytes()
-        ends = (np.asarray(ids.offsets) * 4).tolist()
-        for k, word in enumerate(found["word"].to_pylist()):
-            self.known[block[word][0]] = flat[ends[k] : ends[k + 1]]
+        sizes = np.array([len(body) for _, body in block])
+        word = np.repeat(np.arange(len(block)), sizes)
+        position = np.arange(len(word)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        token = self.of_byte[np.frombuffer(b"".join(body for _, body in block), np.uint8)]
+        self.db.register("bytes", pa.table({"place": word << 24 | position, "token": token}))
+        found = self.db.sql(_ENCODE).to_arrow_table()
+        ids = np.asarray(found["token"]).astype("<u4").tobytes()
+        ends = np.searchsorted(np.asarray(found["place"]) >> 24, np.arange(len(block) + 1)) * 4
+        for k, (text, _) in enumerate(block):
+            self.known[text] = ids[ends[k] : ends[k + 1]]
 
     def _merge_long(self, body: bytes) -> list[int]:
         """The same contraction for one word, pairs in a heap by (rank, place)."""
-        if body in self.ranks:
-            return [self.ranks[body]]
         n = len(body)
         after, before, alive = list(range(1, n + 2)), list(range(-1, n)), [True] * n
         heap: list[tuple[int, int, int]] = []
@@ -199,14 +224,31 @@ def encode(docs: DataFrame, text_col: str = "text", vocabulary: Callable[[], tup
     """``row`` (each row of ``docs`` as a struct, whatever its column names) and
     ``ids``: the ids of the whole text as little-endian unsigned 32-bit
     integers. Null counts as empty; an empty text has no ids."""
+    return _encoded(docs, text_col, vocabulary, and_decode=False)
+
+
+def round_trip(docs: DataFrame, text_col: str = "text", vocabulary: Callable[[], tuple[str, str]] = public_ranks) -> DataFrame:
+    """``encode`` and ``decode`` in one pass over the rows, with one database a
+    worker for both: ``row``, ``ids``, ``decoded``."""
+    return _encoded(docs, text_col, vocabulary, and_decode=True)
+
+
+def _encoded(docs: DataFrame, text_col: str, vocabulary: Callable[[], tuple[str, str]], and_decode: bool) -> DataFrame:
     rows = docs.select(F.struct(*[quoted(c).alias(c) for c in docs.columns]).alias("row"), quoted(text_col).alias("text"))
     schema = rows.select("row").schema.add("ids", "binary")
+    if and_decode:
+        schema = schema.add("decoded", "binary")
 
     def batches(it: Iterator[pa.RecordBatch]):
         bpe = _worker(*vocabulary())
         for batch in it:
-            ids = bpe.encode([t or "" for t in batch.column(1).to_pylist()])
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], names=schema.names)
+            texts = [t or "" for t in batch.column(1).to_pylist()]
+            for a, b in _slices(texts):
+                ids = bpe.encode(texts[a:b])
+                columns = [batch.column(0).slice(a, b - a), pa.array(ids, pa.binary())]
+                if and_decode:
+                    columns.append(pa.array(bpe.decode(ids), pa.binary()))
+                yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     return rows.mapInArrow(batches, schema)
 

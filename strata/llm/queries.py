@@ -36,9 +36,8 @@ def op4_de_bruijn_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame
 
 def op5_duckdb_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    rows = bpe.decode(bpe.encode(docs, "text").select("row.doc_id", "ids"))
-    return rows.select(
-        "doc_id",
+    return bpe.round_trip(docs).select(
+        "row.doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),

@@ -3,7 +3,7 @@ import random
 import public_tokenizers as p
 import tiktoken
 
-from strata.llm.bpe import DuckBpe, decode, encode, public_ranks
+from strata.llm.bpe import DuckBpe, decode, encode, public_ranks, round_trip
 
 
 def library():
@@ -14,7 +14,7 @@ def library():
 def odd_texts():
     rng = random.Random(5)
     chars = "aAbZz019 \t\n\r'.,-_éßñ漢字🙂́  \x1c\x85ﷺ"
-    texts = ["", " ", "  \n ", "<|endoftext|>", "don't we'll I'm", "x" * 700, " " * 900, "ab" * 400, "🙂" * 90, "the cat" * 50]
+    texts = ["", " ", "  \n ", "<|endoftext|>", "don't we'll I'm", "x" * 700, " " * 900, "ab" * 400, "🙂" * 90, "the cat" * 50, "a b  c d", " lead", "trail ", "a\n b", "a \nb", "x\u00a0 y", "one two,three four"]
     return texts + ["".join(rng.choice(chars) for _ in range(rng.randint(1, 120))) for _ in range(150)]
 
 
@@ -57,5 +57,7 @@ def test_frames_with_nulls_repeats_and_clashing_columns(spark):
     rows = [(1, "a b", 7, "x"), (1, "a b", 7, "x"), (2, None, None, None), (None, "", 1, "")]
     df = spark.createDataFrame(rows, "doc_id long, text string, ids int, decoded string")
     out = decode(encode(df)).collect()
+    key = lambda r: (r.row.ids or 0, bytes(r.ids), bytes(r.decoded))
+    assert sorted(map(key, round_trip(df).collect())) == sorted(map(key, out))
     assert sorted((r.row.ids or 0, bytes(r.decoded)) for r in out) == [(0, b""), (1, b""), (7, b"a b"), (7, b"a b")]
     assert decode(encode(df.where("false"))).collect() == []
