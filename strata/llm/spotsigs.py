@@ -19,17 +19,21 @@ COMMON_WORDS = (
 ).split()
 CHAIN = 2  # content words of a chain
 BUCKET_ROWS = 200_000
+# Whatever is no part of a word.
+_MARKS = r"[^\p{L}\p{M}\p{N} ]*+"
 
 
 def signatures(text: Column, common: tuple[str, ...] = tuple(COMMON_WORDS), chain: int = CHAIN) -> Column:
     """Sorted distinct hashes of the spot signatures of a text, null as empty.
 
-    The lower-cased text is cut before every common word; a piece is that word
+    The lower-cased text is cut before every common word, whatever punctuation
+    it carries (``the,`` and ``of%%`` are ``the`` and ``of``); a piece is that word
     and the content words up to the next common word. Its signature is the
     common word with the first ``chain`` of them; a common word that another
     one follows at once has none. A text without any signature is represented
     by its words; a text without words by the empty set."""
     low = F.btrim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"\s+", " "))
+    low = F.regexp_replace(low, f"(?<![^ ]){_MARKS}({_any_of(common)}){_MARKS}(?= |$)", "$1")
     pieces = F.split(F.concat(F.lit(" "), low), f" (?={_any_of(common)}(?: |$))")
     chained = F.filter(F.slice(pieces, F.lit(2), F.size(pieces)), lambda s: F.instr(s, " ") > 0)
     chains = F.transform(chained, lambda s: F.xxhash64(F.substring_index(s, " ", chain + 1)))

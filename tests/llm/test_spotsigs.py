@@ -79,3 +79,10 @@ def test_pairs_match_all_pairs(spark):
     distinct = sorted((i, set(s)) for s, i in first.items() if s)
     want = {(i, j) for i, a in distinct for j, b in distinct if i < j and jaccard(a, b) >= 0.8}
     assert sorted((r.a, r.b) for r in pairs.collect()) == sorted(want) and want
+
+
+def test_common_words_with_punctuation_are_anchors(spark):
+    rows = [("of%%% fox ran AT!! home", "of fox ran at home"), ("(the) fox, «un%%%» chat", "the fox, un chat"), ("fox the, of. dog", "fox the of dog")]
+    df = spark.createDataFrame(rows, "a string, b string")
+    sigs = df.select(signatures(F.col("a")).alias("a"), signatures(F.col("b")).alias("b"), F.array(F.xxhash64(F.lit("of dog"))).alias("c")).collect()
+    assert all(r.a == r.b for r in sigs) and sigs[2].a == sigs[2].c and [len(r.a) for r in sigs] == [2, 2, 1]
