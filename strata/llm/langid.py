@@ -6,7 +6,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.common import quoted
@@ -15,6 +15,7 @@ UNKNOWN = "und"
 FOLDS, HELD_OUT_FOLD = 4, 2
 ORDER = 3
 CHUNK = 1 << 21
+STRETCHES = 4  # of a long text, in the sample
 _LETTER = re.compile(r"[^\W\d_]")
 _SLOT_BITS = 20
 
@@ -175,13 +176,15 @@ def fit(
 ) -> PpmModel:
     """Fit the model on a bounded, deterministic sample of the training folds:
     about ``sample_docs`` texts per language (by a hash of the id, so the bound
-    is on average), whole texts of at most ``sample_bytes`` bytes, the
-    ``max_langs`` most frequent languages. Only text and non-null lang are
-    read; a null id is in no training fold."""
+    is on average), of the ``max_langs`` most frequent languages. Texts of any
+    length take part: of one over ``sample_bytes`` bytes, ``STRETCHES`` evenly
+    spaced stretches of that many bytes together are learned, the first from its
+    start, the last up to its end. Only text and non-null lang are read; a null
+    id is in no training fold."""
     rows = docs.select(quoted(id_col).alias("id"), quoted(text_col).alias("text"), quoted(lang_col).cast("string").alias("lang")).where(
         F.col("id").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("id"))
     )
-    sized = rows.where(F.octet_length("text").between(1, sample_bytes))
+    sized = rows.where(F.octet_length("text") >= 1)
     counts = sized.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_langs).collect()
     if not counts:
         return PpmModel({})
@@ -189,11 +192,25 @@ def fit(
     share = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], min(buckets, -(-sample_docs * buckets // r["count"])))])
     sample = sized.where(F.pmod(F.xxhash64("id"), F.lit(buckets)) < share[F.col("lang")])
     texts: dict[str, list[bytes]] = {}
-    for r in sample.select("lang", "text").toLocalIterator():
-        texts.setdefault(r["lang"], []).append(r["text"].encode("utf-8", "replace"))
+    for r in sample.select("lang", F.explode(_stretches(F.col("text"), F.lit(sample_bytes))).alias("part")).toLocalIterator():
+        texts.setdefault(r["lang"], []).append(_whole_characters(bytes(r["part"])))
     return PpmModel({k: sorted(v) for k, v in texts.items()})
 
 
+def _stretches(text: Column, limit: Column) -> Column:
+    """The bytes of a text, or ``STRETCHES`` evenly spaced parts of a longer one
+    that have ``limit`` bytes together."""
+    data, n = F.encode(text, "UTF-8"), F.octet_length(text)
+    size = F.greatest(F.floor(limit / STRETCHES), F.lit(1)).cast("int")
+    starts = [F.floor((n - size).cast("long") * k / (STRETCHES - 1)).cast("int") + 1 for k in range(STRETCHES)]
+    return F.when(n <= limit, F.array(data)).otherwise(F.array(*[F.substring(data, at, size) for at in starts]))
+
+
+def _whole_characters(part: bytes) -> bytes:
+    """Without the pieces of characters that a cut left at its ends."""
+    return part.decode("utf-8", "ignore").encode()
+
+
 def predict(docs: DataFrame, model: PpmModel, text_col: str = "text") -> DataFrame:
     """``row`` (each row of ``docs`` as a struct, whatever its column names),
     ``lang_pred``, ``score``. Null texts and texts

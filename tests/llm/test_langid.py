@@ -79,3 +79,17 @@ def test_held_out_accuracy(spark):
     out = langid.predict(docs, langid.fit(docs)).where(langid.held_out(F.col("row.doc_id")))
     total, right = out.agg(F.count("*"), F.count_if(F.col("row.lang") == F.col("lang_pred"))).first()
     assert total > 200 and right / total > 0.97
+
+
+def test_long_texts_are_learned_from_bounded_stretches(spark):
+    ids = [i for i in range(40) if zlib.crc32(str(i).encode()) % 4 != 2]
+    rows = [(i, "aé" * 3000, "long") if i % 2 else (i, "bb", "short") for i in ids] + [(ids[0] + 1000, "cccc", "short")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.fit(df, sample_bytes=100)
+    assert model.langs == ["long", "short"] and model.predict(["aéaéaé", "bbbb"])[0] == ["long", "short"]
+    n_long = sum(r[2] == "long" for r in rows)
+    parts = langid._stretches(F.col("text"), F.lit(100))
+    assert df.where("lang = 'long'").select(F.sum(F.aggregate(parts, F.lit(0), lambda s, p: s + F.octet_length(p)))).first()[0] == 100 * n_long
+    assert langid.fit(df.where("lang = 'long'"), sample_bytes=100).langs == ["long"]
+    cut = spark.createDataFrame([("0123456789" * 2,)], "text string").select(langid._stretches(F.col("text"), F.lit(8)).alias("s")).first().s
+    assert [bytes(p) for p in cut] == [b"01", b"67", b"23", b"89"]
