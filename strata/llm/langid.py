@@ -16,8 +16,10 @@ FOLDS, HELD_OUT_FOLD = 4, 2
 ORDER = 3
 CHUNK = 1 << 21
 STRETCHES = 4  # of a long text, in the sample
+LEAST_BYTES = 64  # of a text in the sample, however many languages there are
+CELLS = 1 << 25  # numbers of the table of code lengths, (slots, languages)
 _LETTER = re.compile(r"[^\W\d_]")
-_SLOT_BITS = 20
+_MOST_SLOT_BITS = 20
 
 
 def grams(data: np.ndarray, order: int) -> np.ndarray:
@@ -90,10 +92,11 @@ class PpmModel:
         codes, where = np.unique(np.concatenate([c[0] for c in counted]), return_inverse=True)
         counts = np.bincount(where, np.concatenate([c[1] for c in counted]), len(codes))
         codes = codes[np.argsort(counts, kind="stable")]  # of grams in one slot the most frequent stays
-        self.slots = np.zeros(1 << _SLOT_BITS, np.uint32)
-        self.lengths = np.zeros((1 << _SLOT_BITS, len(self.langs)), np.float32)
-        self.used = np.zeros(1 << _SLOT_BITS, bool)
-        slot = _slot(codes)
+        self.slot_bits = max(8, min(_MOST_SLOT_BITS, (CELLS // len(self.langs)).bit_length() - 1))
+        self.slots = np.zeros(1 << self.slot_bits, np.uint32)
+        self.lengths = np.zeros((1 << self.slot_bits, len(self.langs)), np.float32)
+        self.used = np.zeros(1 << self.slot_bits, bool)
+        slot = self._slot(codes)
         self.slots[slot], self.used[slot] = codes, True
         kept = np.nonzero(self.used)[0]
         for k, tree in enumerate(self.trees):
@@ -104,17 +107,18 @@ class PpmModel:
         out = np.zeros((len(texts), len(self.langs)))
         group: list[int] = []
         size = 0
+        chunk = min(CHUNK, max(1 << 12, 2 * CELLS // max(len(self.langs), 1)))
         for i, t in enumerate(texts):
             if not t:
                 continue
-            if len(t) > CHUNK:  # a very long text, piece by piece with its context
+            if len(t) > chunk:  # a very long text, piece by piece with its context
                 data = padded(t)
-                for a in range(0, len(t), CHUNK):
-                    out[i] += self._gram_bits(np.frombuffer(data[a : a + CHUNK + ORDER], np.uint8)).sum(0, dtype=np.float64)
+                for a in range(0, len(t), chunk):
+                    out[i] += self._gram_bits(np.frombuffer(data[a : a + chunk + ORDER], np.uint8)).sum(0, dtype=np.float64)
                 continue
             group.append(i)
             size += len(t)
-            if size > CHUNK:
+            if size > chunk:
                 self._add(texts, group, out)
                 group, size = [], 0
         self._add(texts, group, out)
@@ -134,7 +138,7 @@ class PpmModel:
 
     def _gram_bits(self, data: np.ndarray) -> np.ndarray:
         codes = grams(data, ORDER)
-        slot = _slot(codes)
+        slot = self._slot(codes)
         bits = self.lengths[slot]
         miss = np.nonzero((self.slots[slot] != codes) | ~self.used[slot])[0]
         if len(miss):
@@ -143,6 +147,9 @@ class PpmModel:
             bits[miss] = exact[where]
         return bits
 
+    def _slot(self, codes: np.ndarray) -> np.ndarray:
+        return (codes * np.uint32(2654435761)) >> np.uint32(32 - self.slot_bits)
+
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
         """Language of the shortest code and its posterior under equal priors;
         ``und`` and 0 without text, letters or a learned language."""
@@ -156,10 +163,6 @@ class PpmModel:
         return langs, np.where(known, score, 0.0)
 
 
-def _slot(codes: np.ndarray) -> np.ndarray:
-    return (codes * np.uint32(2654435761)) >> np.uint32(32 - _SLOT_BITS)
-
-
 def held_out(id_col):
     """Whether crc32 of the id as text leaves 2 when divided by 4; false for a null id."""
     return F.coalesce(F.crc32(id_col.cast("string").cast("binary")) % FOLDS == HELD_OUT_FOLD, F.lit(False))
@@ -172,27 +175,38 @@ def fit(
     lang_col: str = "lang",
     sample_docs: int = 400,
     sample_bytes: int = 16_384,
-    max_langs: int = 32,
+    total_bytes: int = 32 * 400 * 16_384,
 ) -> PpmModel:
     """Fit the model on a bounded, deterministic sample of the training folds:
     about ``sample_docs`` texts per language (by a hash of the id, so the bound
-    is on average), of the ``max_langs`` most frequent languages. Texts of any
-    length take part: of one over ``sample_bytes`` bytes, ``STRETCHES`` evenly
-    spaced stretches of that many bytes together are learned, the first from its
-    start, the last up to its end. Only text and non-null lang are read; a null
-    id is in no training fold."""
+    is on average; at least the text of the least hash). Every language is
+    learned: if all of them at ``sample_docs`` times ``sample_bytes`` exceed
+    ``total_bytes`` (more than 32 languages), each has an equal part of these,
+    in fewer texts, and once that is one text, in fewer bytes (``LEAST_BYTES``
+    at the least). Texts of any length take part: of one over ``sample_bytes``
+    bytes, ``STRETCHES`` evenly spaced stretches of that many bytes together are
+    learned, the first from its start, the last up to its end. Only text and
+    non-null lang are read; a null id is in no training fold."""
     rows = docs.select(quoted(id_col).alias("id"), quoted(text_col).alias("text"), quoted(lang_col).cast("string").alias("lang")).where(
         F.col("id").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("id"))
     )
     sized = rows.where(F.octet_length("text") >= 1)
-    counts = sized.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_langs).collect()
+    least = F.min(F.xxhash64("id")).alias("least")
+    counts = sized.groupBy("lang").agg(F.count("*").alias("n"), least).collect()
     if not counts:
         return PpmModel({})
+    each = total_bytes // len(counts)
+    n_docs = max(1, min(sample_docs, each // sample_bytes))
+    n_bytes = max(LEAST_BYTES, min(sample_bytes, each // n_docs))
     buckets = 1 << 24
-    share = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], min(buckets, -(-sample_docs * buckets // r["count"])))])
-    sample = sized.where(F.pmod(F.xxhash64("id"), F.lit(buckets)) < share[F.col("lang")])
+    # As many rows as the model has languages.
+    shares = docs.sparkSession.createDataFrame(
+        [(r["lang"], min(buckets, -(-n_docs * buckets // r["n"])), r["least"]) for r in counts], "lang string, share long, least long"
+    )
+    code = F.xxhash64("id")
+    sample = sized.join(F.broadcast(shares), "lang").where((F.pmod(code, F.lit(buckets)) < F.col("share")) | (code == F.col("least")))
     texts: dict[str, list[bytes]] = {}
-    for r in sample.select("lang", F.explode(_stretches(F.col("text"), F.lit(sample_bytes))).alias("part")).toLocalIterator():
+    for r in sample.select("lang", F.explode(_stretches(F.col("text"), F.lit(n_bytes))).alias("part")).toLocalIterator():
         texts.setdefault(r["lang"], []).append(_whole_characters(bytes(r["part"])))
     return PpmModel({k: sorted(v) for k, v in texts.items()})
 

@@ -93,3 +93,16 @@ def test_long_texts_are_learned_from_bounded_stretches(spark):
     assert langid.fit(df.where("lang = 'long'"), sample_bytes=100).langs == ["long"]
     cut = spark.createDataFrame([("0123456789" * 2,)], "text string").select(langid._stretches(F.col("text"), F.lit(8)).alias("s")).first().s
     assert [bytes(p) for p in cut] == [b"01", b"67", b"23", b"89"]
+
+
+def test_every_language_is_learned(spark):
+    # 45 languages of which the last one is rare; one letter tells them apart.
+    langs = [chr(0x4E00 + k) for k in range(45)]
+    ids = [i for i in range(5000) if zlib.crc32(str(i).encode()) % 4 != 2]
+    rows = [(i, f"{langs[k % 44]} {langs[k % 44]}", f"l{k % 44}") for k, i in enumerate(ids)] + [(ids[-1] + 1 + 4 * j, langs[44] * 2, "rare") for j in range(9)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.fit(df)
+    assert len(model.langs) == 45 and model.predict([langs[44] * 3, langs[7] * 3])[0] == ["rare", "l7"]
+    small = langid.fit(df, total_bytes=45 * 20, sample_bytes=20)  # one text each
+    assert small.langs == model.langs
+    assert all(1 <= t.orders[0][0].size <= 5 for t in small.trees)
