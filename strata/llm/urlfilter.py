@@ -51,15 +51,74 @@ _HREF = r"(?is)\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))"
 _CONTENT_URL = r"(?is)\burl\s*=\s*['\"]?\s*([^'\"\s>]+)"
 
 
-def declared_targets(html: Column) -> Column:
-    """Absolute addresses that a page's canonical links and refresh redirects name."""
-    links = F.transform(
-        F.regexp_extract_all(html, F.lit(_CANONICAL_TAG), F.lit(0)),
-        lambda t: F.concat(*[F.regexp_extract(t, _HREF, g) for g in (1, 2, 3)]),
+_BASE_TAG = r"(?is)<base\b(?=[^>]*\bhref\s*=)[^>]*>"
+_ABSOLUTE = r"^[A-Za-z][A-Za-z0-9+.-]*://"
+_SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:"
+_SPACE = " \t\n\r\f"
+
+
+def _href(tag: Column) -> Column:
+    return F.concat(*[F.regexp_extract(tag, _HREF, g) for g in (1, 2, 3)])
+
+
+def _address(raw: Column) -> Column:
+    return F.replace(F.btrim(raw, F.lit(_SPACE)), F.lit("&amp;"), F.lit("&"))
+
+
+def _let(value: Column, use) -> Column:
+    """``use`` of a value that is worked out once."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def resolved(target: Column, base: Column) -> Column:
+    """The absolute address that a link names on a page of address ``base``
+    (RFC 3986). Absolute links, and those on a page without an absolute address,
+    stay as they are; empty links, and schemes without // (mailto:), are null."""
+    relative = _let(target, lambda t: _let(base, lambda b: _relative(t, b)))
+    return F.when(target.rlike(_ABSOLUTE), target).when((target != "") & ~target.rlike(_SCHEME), relative)
+
+
+def _relative(target: Column, base: Column) -> Column:
+    root = F.regexp_extract(base, _ABSOLUTE + r"[^/?#]*", 0)
+    page = F.substring_index(base, "#", 1)
+    place = F.substring_index(page, "?", 1)
+    own = F.regexp_extract(target, r"(?s)^[^?#]*", 0)
+    rest = F.substring(target, F.char_length(own) + 1, F.char_length(target))
+    # The place up to its last slash behind the host.
+    folder = F.regexp_extract(place, r"(?s)^[^:]*://[^/]*(.*/)?", 1)
+    path = F.when(own.startswith("/"), own).otherwise(F.concat(F.when(folder == "", "/").otherwise(folder), own))
+    return (
+        F.when(root == "", target)
+        .when(target.startswith("//"), F.concat(F.regexp_extract(base, _SCHEME, 0), target))
+        .when(target.startswith("#"), F.concat(page, target))
+        .when(target.startswith("?"), F.concat(place, target))
+        .otherwise(F.concat(root, _let(F.split(path, "/"), _without_dots), rest))
     )
+
+
+def _without_dots(parts: Column) -> Column:
+    """A path, cut at its slashes (the first part is empty), without . and .. segments."""
+    kept = F.aggregate(
+        F.slice(parts, F.lit(2), F.size(parts)),
+        F.array().cast("array<string>"),
+        lambda done, x: F.when(x == ".", done)
+        .when(x == "..", F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0))))
+        .otherwise(F.concat(done, F.array(x))),
+    )
+    closing = F.when(F.element_at(parts, -1).isin(".", ".."), F.array(F.lit(""))).otherwise(F.array().cast("array<string>"))
+    return F.concat(F.lit("/"), F.array_join(F.concat(kept, closing), "/"))
+
+
+def declared_targets(html: Column, url: Column) -> Column:
+    """Absolute addresses that a page's canonical links and refresh redirects
+    name; others are resolved against its first <base href>, or its url."""
+    links = F.transform(F.regexp_extract_all(html, F.lit(_CANONICAL_TAG), F.lit(0)), _href)
     moves = F.transform(F.regexp_extract_all(html, F.lit(_REFRESH_TAG), F.lit(0)), lambda t: F.regexp_extract(t, _CONTENT_URL, 1))
-    found = F.transform(F.concat(links, moves), lambda u: F.replace(F.trim(u), F.lit("&amp;"), F.lit("&")))
-    return F.filter(found, lambda u: F.contains(u, F.lit("://")))
+    declared = _address(_href(F.regexp_extract(html, _BASE_TAG, 0)))
+    base = F.coalesce(resolved(declared, url), url)
+    # Only what is not absolute looks for a base.
+    found = F.transform(F.transform(F.concat(links, moves), _address), lambda u: F.when(u.rlike(_ABSOLUTE), u).otherwise(resolved(u, base)))
+    return F.filter(found, lambda u: u.rlike(_ABSOLUTE))
 
 
 def page_key(url: Column) -> Column:
@@ -102,7 +161,8 @@ def judge(
     host, path = host_and_path(url)
     rule, decided = rule_of(host, path, rules)
     key = page_key(url)
-    links = pages.select(url.alias("url"), key.alias("a"), F.explode(declared_targets(F.coalesce(quoted(html_col), F.lit("")))).alias("target"))
+    linked = pages.select(url.alias("url"), F.coalesce(quoted(html_col), F.lit("")).alias("html"))
+    links = linked.select("url", page_key(F.col("url")).alias("a"), F.explode(declared_targets(F.col("html"), F.col("url"))).alias("target"))
     links = scratch.put(links.where("a is not null").select("url", "a", "target", page_key(F.col("target")).alias("b")), "links")
     classes = connected_components(links.select("a", "b"), scratch)
     classes = scratch.put(classes, "classes")

@@ -1,10 +1,12 @@
 import random
 import re
+from urllib.parse import urljoin
 
 import pytest
+from pyspark.sql import functions as F
 
 from strata.llm.common import Scratch
-from strata.llm.urlfilter import RULES, judge
+from strata.llm.urlfilter import RULES, judge, resolved
 
 SCHEMA = "page_id long, url string, html string"
 
@@ -114,3 +116,23 @@ def test_clashing_columns_and_a_large_class(spark):
     out = judge(df, Scratch(spark, "t1"))
     assert out.groupBy("verdict").count().collect() == [("block", 800)]
     assert out.select("row.host").distinct().collect() == [("x",)]
+
+
+def test_relative_targets_are_resolved_and_queries_are_no_addresses(spark):
+    base = "http://a.test/b/c?x#y"
+    links = ["d", "./d", "../d", "/d", "//h.net/d", "?q=1", "#z", "", "mailto:a@b.c", "https://k.test/1", "/l?next=https://bad.net/", "../../../g/.", "..", "d/../e?f=/../g"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(links)], "i int, t string")
+    got = {t: urljoin(base, t) for t in links}
+    got.update({"": None, "mailto:a@b.c": None})
+    assert {r.t: r.u for r in df.select("t", resolved(F.col("t"), F.lit(base)).alias("u")).collect()} == got
+    rows = [
+        (1, "http://a.test/old", link("/de/new")),
+        (2, "http://a.test/de/new", link("//x.example.com/de/9")),
+        (3, "http://c.test/", link("/login?next=https://bad.net/")),
+        (4, "http://d.test/1", "<base href='http://example.com/de/'>" + move("9")),
+        (5, "http://e.test/1/2", move("../3")),
+        (6, "http://e.test/3", link("http://z.org/fr/")),
+    ]
+    assert {r[0]: r[4] for r in result(spark, rows)} == {1: "block", 2: "block", 3: "allow", 4: "block", 5: "allow", 6: "allow"}
+    rows = [(1, "http://a.test/x/", link("y")), (2, "http://a.test/x/y", link("http://e.net/"))]
+    assert {r[0]: r[4] for r in result(spark, rows)} == {1: "block", 2: "block"}
