@@ -1,29 +1,64 @@
 """File manifests: SHA-256 and length of every file of a run, and verification.
 
 Files are hashed where they lie (``binaryFile`` reads each file in one
-task), so the manifest job scales with the number of files. A run's
+task), so the manifest job scales with the number of files; the few that are
+too large for one value are streamed through the file system. A run's
 checksum is a digest of its ``name:sha256`` lines, independent of listing
 order.
 """
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Larger files never become one value (Spark refuses those over 2 GiB).
+WHOLE_FILE_BYTES = 1 << 30
+
 
 def file_manifest(spark: SparkSession, path: str, run_id: str | None = None) -> DataFrame:
-    """``run_id, path, length, sha256`` of every file of a run.
-
-    A task holds one file at a time; Spark refuses files over 2 GiB here, far
-    above what ``write_run`` lets a file grow to."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").load(path)
-    return files.select(
-        F.lit(run_id).cast("string").alias("run_id"),
-        F.col("path"),
-        F.col("length"),
-        F.sha2(F.col("content"), 256).alias("sha256"),
-    )
+    """``run_id, path, length, sha256`` of every file of a run, whatever its size."""
+    return hashed_files(spark, [path]).select(F.lit(run_id).cast("string").alias("run_id"), "path", "length", "sha256")
+
+
+def hashed_files(spark: SparkSession, roots: list[str], skip_unreadable: bool = False) -> DataFrame:
+    """``path, length, sha256`` of the Parquet files below some folders. Files of
+    up to ``WHOLE_FILE_BYTES`` are read by tasks, one at a time in each; the
+    driver streams larger ones, four at a time, through a small buffer.
+    ``skip_unreadable`` leaves out files that cannot be read."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true")
+    if skip_unreadable:
+        files = files.option("ignoreCorruptFiles", "true").option("ignoreMissingFiles", "true")
+    files = files.load(roots)
+    # The filter on the length is pushed down: contents it excludes are not read.
+    whole = files.where(F.col("length") <= WHOLE_FILE_BYTES).select("path", "length", F.sha2("content", 256).alias("sha256"))
+    large = files.where(F.col("length") > WHOLE_FILE_BYTES).select("path", "length").collect()
+    if not large:
+        return whole
+
+    def row(r):
+        try:
+            return r["path"], r["length"], _streamed_sha256(spark, r["path"])
+        except Exception:
+            if skip_unreadable:
+                return None
+            raise
+
+    with ThreadPoolExecutor(4) as pool:
+        rows = [x for x in pool.map(row, large) if x]
+    return whole.union(spark.createDataFrame(rows, "path string, length long, sha256 string"))
+
+
+def _streamed_sha256(spark: SparkSession, path: str) -> str:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(path) if ":" in path else path)
+    stream = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(p)
+    try:
+        return jvm.org.apache.commons.codec.digest.DigestUtils.sha256Hex(stream)
+    finally:
+        stream.close()
 
 
 def manifest_checksum(manifest: DataFrame, buckets: int = 1024) -> DataFrame:
@@ -57,15 +92,7 @@ def verify_manifest(spark: SparkSession, manifest: DataFrame, root: str | None =
     roots = [root] if root else _roots(manifest)
     if not roots:
         return manifest.select("run_id", "path", F.lit("ok").alias("status")).limit(0)
-    current = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", "*.parquet")
-        .option("recursiveFileLookup", "true")
-        .option("ignoreCorruptFiles", "true")
-        .option("ignoreMissingFiles", "true")
-        .load(roots)
-        .select("path", F.sha2("content", 256).alias("now_sha"))
-    )
+    current = hashed_files(spark, roots, skip_unreadable=True).select("path", F.col("sha256").alias("now_sha"))
     j = manifest.join(current, "path", "left")
     return j.where(F.col("now_sha").isNull() | (F.col("now_sha") != F.col("sha256"))).select(
         "run_id", "path", F.when(F.col("now_sha").isNull(), F.lit("missing")).otherwise(F.lit("changed")).alias("status")

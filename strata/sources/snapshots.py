@@ -25,7 +25,7 @@ def run_path(base: str, dataset: str, ingest_date: dt.date, run_id: str) -> str:
     return f"{base.rstrip('/')}/dataset={dataset}/ingest_date={ingest_date.isoformat()}/run_id={run_id}"
 
 
-# Rows per file: bounds what hashing a file (sources/manifest.py) has to read at once.
+# Rows per file; their bytes are not bounded by it (sources/manifest.py hashes files of any size).
 MAX_RECORDS_PER_FILE = 2_000_000
 
 

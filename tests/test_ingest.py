@@ -3,7 +3,9 @@
 import csv
 import datetime as dt
 import gzip
+import hashlib
 import os
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -310,3 +312,21 @@ def test_no_shared_folder_is_an_error(monkeypatch):
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         ensure_checkpoint_dir(Bare)
+
+
+def test_files_too_large_for_one_value_are_streamed(spark, tmp_path, prices_contract, prices_csv, monkeypatch):
+    from strata.sources import manifest
+
+    monkeypatch.setattr(manifest, "WHOLE_FILE_BYTES", 100)
+    before = spark.conf.get("spark.sql.sources.binaryFile.maxLength")
+    spark.conf.set("spark.sql.sources.binaryFile.maxLength", "100")
+    try:
+        r = ingest(spark, cfg(tmp_path, prices_contract, prices_csv), now=NOW)
+        assert r.success
+        rows = manifest.file_manifest(spark, r.partition_path, r.run_id)
+        got = {x.path.removeprefix("file:"): (x.length, x.sha256) for x in rows.collect()}
+        want = {str(p): (p.stat().st_size, hashlib.sha256(p.read_bytes()).hexdigest()) for p in Path(r.partition_path).rglob("*.parquet")}
+        assert got == want and min(n for n, _ in want.values()) > 100
+        assert manifest.verify_manifest(spark, rows).collect() == []
+    finally:
+        spark.conf.set("spark.sql.sources.binaryFile.maxLength", before)
