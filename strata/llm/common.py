@@ -8,6 +8,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 A_Z, a_z = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -103,3 +104,31 @@ def fresh(df: DataFrame, name: str) -> str:
 def quoted(name: str) -> Column:
     """The column of exactly this name, dots and backticks included."""
     return F.col("`" + name.replace("`", "``") + "`")
+
+
+def as_row(df: DataFrame, columns: list[str] | None = None) -> Column:
+    """The columns of a frame (all unless given), whatever their names, as one struct ``row``."""
+    return F.struct(*[quoted(c).alias(c) for c in columns or df.columns]).alias("row")
+
+
+def ranked(rows: DataFrame, group: str, order: list[Column], scratch: Scratch, name: str) -> tuple[DataFrame, DataFrame]:
+    """The places of rows in their groups, without a window over a group.
+
+    All rows are dealt by ranges of (group, order) and sorted, so that a group of
+    any size lies in several tasks; rows that are equal in these are dealt by
+    their place in the input. Returns the written rows with ``part`` and ``pos``
+    (place within the part), and the ``parts``, one row for each group and part
+    that it lies in: ``group``, ``part``, ``shift`` and ``n``. A row's place in
+    its group, from 0, is its pos plus the shift; n is the size of the group."""
+    dealt = rows.withColumn("_salt", F.monotonically_increasing_id())
+    keys = [F.col(group).asc_nulls_first(), *order, F.col("_salt")]
+    inside = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    placed = dealt.repartitionByRange(*keys).sortWithinPartitions(*keys).select(
+        *rows.columns, F.spark_partition_id().alias("part"), inside.alias("pos")
+    )
+    placed = scratch.put(placed, name)
+    sizes = placed.groupBy(group, "part").agg(F.min("pos").alias("first"), F.count("*").alias("m"))
+    before = W.partitionBy(group).orderBy("part").rowsBetween(W.unboundedPreceding, -1)
+    shift = F.coalesce(F.sum("m").over(before), F.lit(0)) - F.col("first")
+    parts = sizes.select(group, "part", shift.alias("shift"), F.sum("m").over(W.partitionBy(group)).alias("n"))
+    return placed, scratch.put(parts, f"{name}-parts")

@@ -6,12 +6,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.common import Scratch, read_table
-from strata.llm import bpe, langid, pii, sharding, spotsigs, urlfilter
+from strata.llm.common import Scratch, lower_ascii, read_table
+from strata.llm import bpe, langid, merkle, pieces, pii, sharding, spotsigs, urlfilter
+from strata.llm.oracle import OP11_SQL, OP13_SQL
 from strata.llm.exactdedup import dedup_rows
 from strata.llm.packing import pack, token_pieces
 from strata.llm.simhash import hex_fingerprint, simhash_components
 from strata.llm.substrings import remove_repeats
+from strata.llm.trie import prefix_trie
 
 
 def op1_redirect_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,6 +82,32 @@ def op10_ppm_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("row.doc_id", langid.held_out(F.col("row.doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scratch = Scratch(spark, "op11")
+    docs = read_table(spark, sf_dir, "documents")
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    shown = merkle.leaf_digest([lower_ascii(F.col(c)) if c == "text" else F.col(c) for c in merkle.COLUMNS])
+    manifest = merkle.build(docs, scratch, carry=[F.col("doc_id"), F.when(tampered, shown).alias("shown")])
+    ask = F.struct("row.doc_id", "leaf").alias("ask")
+    found = merkle.verify(manifest, manifest.leaves.select("tree", "rank", ask, F.coalesce("row.shown", "leaf").alias("leaf")), scratch)
+    return found.select("ask.doc_id", "ask.leaf", "subroot", F.lit(manifest.root).alias("root"), "proof_sha256", "folded_root", "verified")
+
+
+def op12_piece_agenda(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pieces.round_trip(docs).select(
+        "row.doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+        "agrees",
+    )
+
+
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(read_table(spark, sf_dir, "conversations"), Scratch(spark, "op13"))
+
+
 QUERIES = {
     "op1_redirect_url_filter": op1_redirect_url_filter,
     "op2_pattern_packing": op2_pattern_packing,
@@ -91,6 +119,9 @@ QUERIES = {
     "op8_table_sharding": op8_table_sharding,
     "op9_pii_candidate_boosting": op9_pii_candidate_boosting,
     "op10_ppm_language_id": op10_ppm_language_id,
+    "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_piece_agenda": op12_piece_agenda,
+    "op13_conversation_trie": op13_conversation_trie,
 }
 # translate() lower-cases A-Z only, as the operator does.
 ORACLE_SQL: dict[str, str] = {
@@ -103,4 +134,6 @@ ORACLE_SQL: dict[str, str] = {
                doc_id = max(doc_id) OVER w AS kept, sha256(t) AS text_sha256
         FROM d WINDOW w AS (PARTITION BY t)
     """,
+    "op11_merkle_manifest": OP11_SQL,
+    "op13_conversation_trie": OP13_SQL,
 }
