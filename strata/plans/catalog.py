@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,7 +48,7 @@ from strata.sources.manifest import file_manifest, verify_manifest
 from strata.sources.registry_store import Registry
 from strata.sources.snapshots import data_files, read_store, write_run
 from strata.streaming.daily_volume import daily_volume_batch_via_stream
-from strata.streaming.file_ingest import StreamIngestConfig, run_stream_ingest
+from strata.streaming.file_ingest import StreamIngestConfig, refused_files, run_stream_ingest
 
 MICROS_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 RECORD_COLS = ["run_id", "dataset_name", "version", "ingested_at", "row_count", "checksum", "source_path", "partition_path", "schema_hash"]
@@ -553,6 +554,40 @@ def q_stream_ingest_events(spark, sf):
     ).unionByName(total.select("event_id", F.lit("#records").alias("event_type"), F.lit("row_count").alias("outcome")))
 
 
+def q_stream_ingest_headers(spark, sf):
+    """Dirty events as arriving files in two column orders, and one file whose
+    header lacks a column and has another: what is stored, quarantined by row and
+    refused whole, and what the stream's health report counted."""
+    base = _workspace(spark, "stream-headers")
+    contract, events = fx.DIRTY_CONTRACT, _events(spark, sf)
+    other = F.col("user_id") % 5 == 0
+    dirty = fx.dirty_events(events.where(~other)).coalesce(2)
+    raw = f"{base}/raw"
+    _write_csv(dirty, raw)
+    csv_options(fx.dirty_events(events.where(other)).drop("flag").withColumn("colour", F.lit("red")).coalesce(1).write.mode("append")).csv(raw)
+    cfg = StreamIngestConfig(contract.name, "1.0", "events", "daily", contract, raw, f"{base}/registry", f"{base}/store",
+                             f"{base}/quarantine", f"{base}/checkpoint")
+    run_stream_ingest(spark, cfg, clock=lambda: fx.NOW)
+    run = T._parse_datatype_string("event_type string, _errors array<struct<column: string, error_type: string>>")
+    stored = read_store(spark, cfg.store_base, contract.name, run)
+    bad = read_store(spark, cfg.quarantine_base, contract.name, run)
+    errors = F.array_join(F.transform("_errors", lambda e: F.concat(e["column"], F.lit(":"), e["error_type"])), ",")
+    refused = refused_files(spark, cfg.quarantine_base, contract.name)
+    lines = spark.read.schema("line string").parquet(f"{cfg.quarantine_base}/_files/dataset={contract.name}/run_id=*/lines")
+    reports = Registry(spark, cfg.registry_base).reports().select("null_ratio_ok", F.from_json("details", DETAILS_SCHEMA, DETAILS_JSON)["null_ratio"].alias("d"))
+    n = F.count(F.lit(1)).alias("n")
+    kind = lambda x: F.lit(x).alias("kind")
+    parts = [
+        stored.groupBy(kind("stored"), F.col("event_type").alias("name")).agg(n),
+        bad.groupBy(kind("quarantined"), errors.alias("name")).agg(n),
+        refused.groupBy(kind("refused"), F.concat_ws(":", "column", "error_type").alias("name")).agg(n),
+        lines.groupBy(kind("refused"), F.lit("lines").alias("name")).agg(n),
+        reports.select(kind("report"), F.concat(F.lit("null_ratio_ok="), F.col("null_ratio_ok").cast("string")).alias("name"), F.col("d.total_rows").alias("n")),
+        reports.select(F.explode("d.columns").alias("c")).select(kind("nulls"), F.col("c.column_name").alias("name"), F.col("c.null_count").alias("n")),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "schema_fingerprint": q_schema_fingerprint,
     "ingestion_records": q_ingestion_records,
@@ -592,4 +627,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pit_store": q_pit_store,
     "stream_daily_volume": q_stream_daily_volume,
     "stream_ingest_events": q_stream_ingest_events,
+    "stream_ingest_headers": q_stream_ingest_headers,
 }

@@ -157,7 +157,7 @@ def ingest(spark: SparkSession, cfg: IngestionConfig, now: dt.datetime | None =
             }
         )
     step("registry")
-    result.health_report = _report(registry, cfg.dataset_name, nulls, now)
+    result.health_report = report(registry, cfg.dataset_name, nulls, now)
     step("health")
     result.success, result.row_count, result.status, result.rerun = True, row_count, result.health_report["status"], rerun
     return result
@@ -224,10 +224,11 @@ def health_report_for(registry: Registry, dataset: str, data: DataFrame, contrac
     the dataset is not registered."""
     # One group of all rows: no column is added to the data, whatever its names.
     nulls = check_null_ratio(data, contract, [], threshold).withColumn("dataset_name", F.lit(dataset))
-    return _report(registry, dataset, nulls, now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))
+    return report(registry, dataset, nulls, now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))
 
 
-def _report(registry: Registry, dataset: str, nulls: DataFrame, now: dt.datetime) -> dict:
+def report(registry: Registry, dataset: str, nulls: DataFrame, now: dt.datetime) -> dict:
+    """The health report of a registered dataset from its null summary; appended to the registry."""
     regs = registry.registrations().where(F.col("name") == dataset)
     # One row (one registered dataset): computed once, then appended as is;
     # no row means the dataset is not registered.

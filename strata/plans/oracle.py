@@ -452,6 +452,15 @@ WHERE m.rk = 1 AND e.date <= m.as_of""",
     "stream_ingest_events": _with(DIRTY) + f"""
 SELECT event_id, event_type, CASE WHEN {N_ERRORS} = 0 THEN 'stored' ELSE {ERROR_LIST} END AS outcome FROM checked
 UNION ALL SELECT count(*) FILTER (WHERE {N_ERRORS} = 0), '#records', 'row_count' FROM checked""",
+    "stream_ingest_headers": _with(DIRTY) + f""",
+f AS (SELECT *, {N_ERRORS} AS k, {ERROR_LIST} AS list, CAST(CAST(r_user_id AS DOUBLE) AS BIGINT) % 5 = 0 AS refused FROM checked),
+good AS (SELECT * FROM f WHERE NOT refused AND k = 0)
+SELECT 'stored' AS kind, event_type AS name, count(*) AS n FROM good GROUP BY event_type
+UNION ALL SELECT 'quarantined', list, count(*) FROM f WHERE NOT refused AND k > 0 GROUP BY list
+UNION ALL SELECT 'refused', name, 1 FROM (VALUES ('flag:missing_column'), ('colour:unexpected_column')) AS v(name)
+UNION ALL SELECT 'refused', 'lines', count(*) + 1 FROM f WHERE refused
+UNION ALL SELECT 'report', 'null_ratio_ok=' || (greatest(avg((value IS NULL)::INT), avg((props IS NULL)::INT), avg((flag IS NULL)::INT)) <= 0.1)::VARCHAR, count(*) FROM good
+""" + "\n".join(f"UNION ALL SELECT 'nulls', '{c}', count(*) - count({c}) FROM good" for c in ["event_id", "ts", "user_id", "event_type", "value", "props", "flag"]),
     "manifest_verify": """
 SELECT event_type AS dataset, count(*) AS n_rows,
   CASE row_number() OVER (ORDER BY event_type) WHEN 1 THEN 'missing' WHEN 2 THEN 'changed' WHEN 3 THEN 'changed' ELSE 'ok' END AS outcome

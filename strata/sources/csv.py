@@ -72,15 +72,20 @@ def file_header(spark: SparkSession, path: str) -> Header | None:
 def read_headers(spark: SparkSession, path: str) -> dict[Header, list[str]]:
     """The distinct headers of a source with the files that carry each. One
     short read per file, several at a time; files without any line are left out."""
-    files = source_files(spark, path)
+    groups = headers_of(spark, source_files(spark, path))
+    if not groups:
+        raise ValueError(f"no header line in '{path}'")
+    return groups
+
+
+def headers_of(spark: SparkSession, files: list[str]) -> dict[Header, list[str]]:
+    """``read_headers`` of these files; nothing if none has a line."""
     with ThreadPoolExecutor(HEADER_READERS) as pool:
         headers = list(pool.map(lambda f: file_header(spark, f), files))
     groups: dict[Header, list[str]] = {}
     for file, header in zip(files, headers, strict=True):
         if header is not None:
             groups.setdefault(header, []).append(file)
-    if not groups:
-        raise ValueError(f"no header line in '{path}'")
     return groups
 
 

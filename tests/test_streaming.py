@@ -8,7 +8,7 @@ from strata.model import Column, Contract
 from strata.sources.manifest import verify_manifest
 from strata.sources.registry_store import Registry
 from strata.streaming.daily_volume import daily_volume_batch_via_stream, run_daily_volume
-from strata.streaming.file_ingest import StreamIngestConfig, make_batch_handler, run_stream_ingest
+from strata.streaming.file_ingest import StreamIngestConfig, make_batch_handler, refused_files, run_stream_ingest
 
 C = Contract("ticks", "1.0", (Column("symbol", "string"), Column("ts", "timestamp"), Column("price", "float", True)))
 
@@ -90,6 +90,55 @@ def test_a_replay_past_midnight_is_the_same_run(spark, tmp_path):
     assert verify_manifest(spark, reg.manifest()).count() == 0
 
 
+def test_files_of_a_stream_are_read_by_their_own_header(spark, tmp_path):
+    """Two column orders, a quoted line break, an empty file, a missing and an extra
+    column: the bad files are kept whole, the others are not held up by them."""
+    src = str(tmp_path / "in")
+    _files(src, [
+        'symbol,ts,price\nA,2026-01-02 10:00:00,1.5\n"B\nb",2026-01-02 10:00:01,\n',
+        "price,symbol,ts\n2.5,C,2026-01-02 10:00:02\nx,D,2026-01-02 10:00:03\n",
+        "symbol,ts\nE,2026-01-02 10:00:04\n",
+        "symbol,ts,price,colour\nF,2026-01-02 10:00:05,1,red\n",
+        "",
+    ])
+    cfg = _cfg(tmp_path, src, nullable_threshold=0.5)
+    run_stream_ingest(spark, cfg, clock=lambda: dt.datetime(2026, 1, 5, 8))
+    reg = Registry(spark, cfg.registry_base)
+    record = reg.records().first()
+    stored = spark.read.parquet(record["partition_path"]).select("symbol", "price").collect()
+    assert sorted(map(tuple, stored), key=str) == [("A", 1.5), ("B\nb", None), ("C", 2.5)] and record["row_count"] == 3
+    assert [r["symbol"] for r in spark.read.parquet(cfg.quarantine_base).collect()] == ["D"]
+    refused = refused_files(spark, cfg.quarantine_base, "ticks").collect()
+    assert sorted((r["file"].rsplit("/", 1)[1], r["column"], r["error_type"]) for r in refused) == [
+        ("part2.csv", "price", "missing_column"), ("part3.csv", "colour", "unexpected_column")]
+    assert {r["run_id"] for r in refused} == {record["run_id"]}
+    lines = spark.read.parquet(f"{cfg.quarantine_base}/_files/dataset=ticks/run_id={record['run_id']}/lines")
+    assert sorted(r["line"] for r in lines.collect()) == ["E,2026-01-02 10:00:04", "F,2026-01-02 10:00:05,1,red", "symbol,ts", "symbol,ts,price,colour"]
+    report = reg.latest_health("ticks").first()
+    assert report["status"] == "healthy" and report["null_ratio_ok"]
+    assert verify_manifest(spark, reg.manifest()).count() == 0
+
+
+def test_a_batch_of_bad_files_only_is_an_empty_run(spark, tmp_path):
+    src = str(tmp_path / "in")
+    _files(src, ["symbol,ts\nE,2026-01-02 10:00:04\n"])
+    cfg = _cfg(tmp_path, src)
+    run_stream_ingest(spark, cfg, clock=lambda: dt.datetime(2026, 1, 5, 8))
+    reg = Registry(spark, cfg.registry_base)
+    assert reg.records().first()["row_count"] == 0
+    assert refused_files(spark, cfg.quarantine_base, "ticks").count() == 1
+    assert refused_files(spark, cfg.quarantine_base, "other").count() == 0
+    assert not reg.latest_health("ticks").first()["null_ratio_ok"]  # no rows: nothing to vouch for
+
+
+def test_columns_beyond_the_contract_may_be_allowed(spark, tmp_path):
+    src = str(tmp_path / "in")
+    _files(src, ["colour,symbol,ts,price\nred,F,2026-01-02 10:00:05,1\n"])
+    cfg = _cfg(tmp_path, src, strict_columns=False)
+    run_stream_ingest(spark, cfg, clock=lambda: dt.datetime(2026, 1, 5, 8))
+    assert Registry(spark, cfg.registry_base).records().first()["row_count"] == 1
+
+
 def test_daily_volume_stream_equals_batch(spark):
     sf = "/root/testdata/sf0.001"
     got = daily_volume_batch_via_stream(spark, sf, glob="events.parquet")
