@@ -4,9 +4,16 @@ cluster's shared folder, session settings held for one step, input reading."""
 from __future__ import annotations
 
 import contextlib
+import ctypes
+import functools
+import gc
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -132,3 +139,44 @@ def ranked(rows: DataFrame, group: str, order: list[Column], scratch: Scratch, n
     shift = F.coalesce(F.sum("m").over(before), F.lit(0)) - F.col("first")
     parts = sizes.select(group, "part", shift.alias("shift"), F.sum("m").over(W.partitionBy(group)).alias("n"))
     return placed, scratch.put(parts, f"{name}-parts")
+
+
+# Bytes of text that a Python worker works on at a time (one row at least).
+BATCH_BYTES = 4 << 20
+
+
+def by_bytes(batch: pa.RecordBatch, column: int, limit: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
+    """A batch in slices whose texts have about ``limit`` bytes together."""
+    sizes = np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0), dtype=np.int64)
+    part = np.cumsum(sizes) // limit
+    cuts = [0, *(np.nonzero(np.diff(part))[0] + 1).tolist(), batch.num_rows]
+    for a, b in zip(cuts, cuts[1:]):
+        if b > a:
+            yield batch.slice(a, b - a)
+
+
+def bounded(work: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], column: int = 1):
+    """A function for ``mapInArrow``: ``work`` on slices of each batch bounded by
+    the bytes of a text column. When its partition ends, the worker gives what it
+    no longer uses back to the system: idle workers wait for the next stage beside
+    an executor that needs the memory."""
+
+    def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            for batch in it:
+                for part in by_bytes(batch, column):
+                    yield from work(part)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            trim = _trim()
+            if trim:
+                trim(0)
+
+    return batches
+
+
+@functools.cache
+def _trim():
+    """The C library's malloc_trim, where it has one."""
+    return getattr(ctypes.CDLL(None), "malloc_trim", None)

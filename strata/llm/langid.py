@@ -2,23 +2,21 @@
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import quoted
+from strata.llm.common import bounded, quoted
 
 UNKNOWN = "und"
 FOLDS, HELD_OUT_FOLD = 4, 2
 ORDER = 3
-CHUNK = 1 << 21
+CHUNK = 1 << 18  # bytes of texts that are worked on together, fewer with many languages:
+GROUP_BYTES = 24 << 20  # memory for their code lengths
 STRETCHES = 4  # of a long text, in the sample
 LEAST_BYTES = 64  # of a text in the sample, however many languages there are
 CELLS = 1 << 25  # numbers of the table of code lengths, (slots, languages)
-_LETTER = re.compile(r"[^\W\d_]")
 _MOST_SLOT_BITS = 20
 
 
@@ -107,7 +105,8 @@ class PpmModel:
         out = np.zeros((len(texts), len(self.langs)))
         group: list[int] = []
         size = 0
-        chunk = min(CHUNK, max(1 << 12, 2 * CELLS // max(len(self.langs), 1)))
+        # Of a byte: its code lengths, those of its gram if it is rare, and some indices.
+        chunk = min(CHUNK, max(1 << 10, GROUP_BYTES // (16 * len(self.langs) + 64)))
         for i, t in enumerate(texts):
             if not t:
                 continue
@@ -153,7 +152,7 @@ class PpmModel:
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
         """Language of the shortest code and its posterior under equal priors;
         ``und`` and 0 without text, letters or a learned language."""
-        known = [bool(t and self.langs and _LETTER.search(t)) for t in texts]
+        known = [bool(t and self.langs and any(c.isalpha() for c in t)) for t in texts]
         if not self.langs:
             return [UNKNOWN] * len(texts), np.zeros(len(texts))
         bits = self.code_lengths([t.encode("utf-8", "replace") if k else b"" for t, k in zip(texts, known, strict=True)])
@@ -191,7 +190,7 @@ def fit(
         F.col("id").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("id"))
     )
     sized = rows.where(F.octet_length("text") >= 1)
-    least = F.min(F.xxhash64("id")).alias("least")
+    least = F.min(F.xxhash64("id", "text")).alias("least")
     counts = sized.groupBy("lang").agg(F.count("*").alias("n"), least).collect()
     if not counts:
         return PpmModel({})
@@ -203,10 +202,11 @@ def fit(
     shares = docs.sparkSession.createDataFrame(
         [(r["lang"], min(buckets, -(-n_docs * buckets // r["n"])), r["least"]) for r in counts], "lang string, share long, least long"
     )
-    code = F.xxhash64("id")
+    code = F.xxhash64("id", "text")
     sample = sized.join(F.broadcast(shares), "lang").where((F.pmod(code, F.lit(buckets)) < F.col("share")) | (code == F.col("least")))
     texts: dict[str, list[bytes]] = {}
-    for r in sample.select("lang", F.explode(_stretches(F.col("text"), F.lit(n_bytes))).alias("part")).toLocalIterator():
+    once = sample.withColumn("code", code).dropDuplicates(["lang", "code"])
+    for r in once.select("lang", F.explode(_stretches(F.col("text"), F.lit(n_bytes))).alias("part")).toLocalIterator():
         texts.setdefault(r["lang"], []).append(_whole_characters(bytes(r["part"])))
     return PpmModel({k: sorted(v) for k, v in texts.items()})
 
@@ -233,9 +233,8 @@ def predict(docs: DataFrame, model: PpmModel, text_col: str = "text") -> DataFra
     rows = docs.select(F.struct(*[quoted(c).alias(c) for c in docs.columns]).alias("row"), quoted(text_col).alias("text"))
     schema = rows.select("row").schema.add("lang_pred", "string").add("score", "double")
 
-    def batches(it):
-        for batch in it:
-            langs, score = shared.value.predict(batch.column(1).to_pylist())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(langs, pa.string()), pa.array(score)], names=schema.names)
+    def found(batch):
+        langs, score = shared.value.predict(batch.column(1).to_pylist())
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(langs, pa.string()), pa.array(score)], names=schema.names)
 
-    return rows.mapInArrow(batches, schema)
+    return rows.mapInArrow(bounded(found), schema)

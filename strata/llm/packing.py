@@ -14,7 +14,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.llm.common import Scratch, quoted
+from strata.llm.common import Scratch, bounded, quoted
 
 MAX_TOKENS = 2048
 END_OF_TEXT = 0  # the id that closes every document
@@ -74,29 +74,32 @@ def token_pieces(
     if keep_ids:
         schema = schema.add("ids", T.ArrayType(T.IntegerType()))
 
-    def batches(it: Iterator[pa.RecordBatch]):
-        tokenizer = make_tokenizer()
-        for batch in it:
-            row, piece, start, length, crc, ids = [], [], [], [], [], []
-            for i, text in enumerate(batch.column(1).to_pylist()):
-                doc = np.append(tokenizer.ids(text or ""), np.uint32(END_OF_TEXT)).astype("<u4")
-                for k, (a, n) in enumerate(cut(len(doc), limit)):
-                    row.append(i)
-                    piece.append(k)
-                    start.append(a)
-                    length.append(n)
-                    crc.append(zlib.crc32(doc[a : a + n].tobytes()))
-                    if keep_ids:
-                        ids.append(doc[a : a + n].astype(np.int32))
-            columns = [
-                batch.column(0).take(pa.array(row, pa.int64())), pa.array(piece, pa.int32()), pa.array(start, pa.int64()),
-                pa.array(length, pa.int64()), pa.array(crc, pa.int64()),
-            ]
-            if keep_ids:
-                columns.append(pa.array(ids, pa.list_(pa.int32())))
-            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
-
-    return docs.select(quoted(id_col).alias("doc_id"), quoted(text_col).alias("t")).mapInArrow(batches, schema)
+    made: list = []  # the tokenizer, once in a task
+
+    def pieces(batch: pa.RecordBatch):
+        if not made:
+            made.append(make_tokenizer())
+        tokenizer = made[0]
+        row, piece, start, length, crc, ids = [], [], [], [], [], []
+        for i, text in enumerate(batch.column(1).to_pylist()):
+            doc = np.append(tokenizer.ids(text or ""), np.uint32(END_OF_TEXT)).astype("<u4")
+            for k, (a, n) in enumerate(cut(len(doc), limit)):
+                row.append(i)
+                piece.append(k)
+                start.append(a)
+                length.append(n)
+                crc.append(zlib.crc32(doc[a : a + n].tobytes()))
+                if keep_ids:
+                    ids.append(doc[a : a + n].astype(np.int32))
+        columns = [
+            batch.column(0).take(pa.array(row, pa.int64())), pa.array(piece, pa.int32()), pa.array(start, pa.int64()),
+            pa.array(length, pa.int64()), pa.array(crc, pa.int64()),
+        ]
+        if keep_ids:
+            columns.append(pa.array(ids, pa.list_(pa.int32())))
+        yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+
+    return docs.select(quoted(id_col).alias("doc_id"), quoted(text_col).alias("t")).mapInArrow(bounded(pieces), schema)
 
 
 def full_patterns(lengths: np.ndarray, limit: int) -> np.ndarray:

@@ -8,7 +8,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import Scratch, quoted
+from strata.llm.common import Scratch, bounded, quoted
 from strata.llm.components import connected_components
 
 BITS = 64
@@ -51,14 +51,12 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     signed long."""
     schema = docs.select(quoted(id_col).alias("doc_id")).schema.add("fp", "long")
 
-    def batches(it):
-        for batch in it:
-            texts = batch.column(1).to_pylist()
-            fps = np.array([fingerprint(t, shingle) for t in texts], dtype=np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps)], names=["doc_id", "fp"])
+    def prints(batch):
+        fps = np.array([fingerprint(t, shingle) for t in batch.column(1).to_pylist()], dtype=np.uint64).view(np.int64)
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps)], names=["doc_id", "fp"])
 
     return docs.select(quoted(id_col).alias("doc_id"), quoted(text_col).cast("binary").alias("t")).mapInArrow(
-        batches, schema
+        bounded(prints), schema
     )
 
 

@@ -106,3 +106,18 @@ def test_every_language_is_learned(spark):
     small = langid.fit(df, total_bytes=45 * 20, sample_bytes=20)  # one text each
     assert small.langs == model.langs
     assert all(1 <= t.orders[0][0].size <= 5 for t in small.trees)
+
+
+def test_numbers_that_are_no_letters_are_no_language(spark):
+    model = langid.PpmModel({"en": [b"the cat and the dog"], "fr": [b"le chat et le chien"]})
+    langs, score = model.predict(["½", "² ①", "Ⅷ", "123 !", "a", "中"])
+    assert langs[:4] == ["und"] * 4 and not score[:4].any() and "und" not in langs[4:]
+
+
+def test_repeated_rows_enter_the_sample_once(spark):
+    rows = [(1, "the cat and the dog", "en")] * 300 + [(2, "le chat et le chien", "fr"), (1, "another text of one id", "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.fit(docs)
+    assert model.langs == ["en", "fr"]
+    # The frozen counts of a context are those of one copy.
+    assert np.isclose(model.trees[0].orders[0][1].min(), langid.ContextTree(sorted([b"the cat and the dog", b"another text of one id"])).orders[0][1].min())
