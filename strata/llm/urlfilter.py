@@ -44,14 +44,22 @@ def rule_of(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
 
 
 # A link to another address of the same page: <link rel=canonical href=...> and
-# <meta http-equiv=refresh content="0; url=...">, attributes in any order.
-_CANONICAL_TAG = r"(?is)<link\b(?=[^>]*\brel\s*=\s*[\"']?\s*canonical\b)[^>]*>"
-_REFRESH_TAG = r"(?is)<meta\b(?=[^>]*\bhttp-equiv\s*=\s*[\"']?\s*refresh\b)[^>]*>"
-_HREF = r"(?is)\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))"
-_CONTENT_URL = r"(?is)\burl\s*=\s*['\"]?\s*([^'\"\s>]+)"
+# <meta http-equiv=refresh content="0; url=...">, attributes in any order, canonical
+# one of several words of rel, outside comments. A tag ends before the next <, and
+# repeats give nothing back where that could not help, so the time a page takes
+# grows with its length only.
+_CANONICAL_TAG = (
+    r"(?is)<link\b(?=[^<>]*\brel\s*+=\s*+(?:\"[^\"<>]*(?<![^\s\"])canonical(?![^\s\"])"
+    r"|'[^'<>]*(?<![^\s'])canonical(?![^\s'])|canonical(?![^\s>/])))[^<>]*+>"
+)
+_REFRESH_TAG = r"(?is)<meta\b(?=[^<>]*\bhttp-equiv\s*+=\s*+[\"']?+\s*+refresh\b)[^<>]*+>"
+_HREF = r"(?is)\bhref\s*+=\s*+(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))"
+_CONTENT_URL = r"(?is)\burl\s*+=\s*+['\"]?+\s*+([^'\"\s>]+)"
+_BASE_TAG = r"(?is)<base\b(?=[^<>]*\bhref\s*+=)[^<>]*+>"
+# One that does not end takes the rest of the page.
+_COMMENT = r"(?s)<!--.*?(?:-->|\z)"
 
 
-_BASE_TAG = r"(?is)<base\b(?=[^>]*\bhref\s*=)[^>]*>"
 _ABSOLUTE = r"^[A-Za-z][A-Za-z0-9+.-]*://"
 _SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:"
 _SPACE = " \t\n\r\f"
@@ -112,6 +120,7 @@ def _without_dots(parts: Column) -> Column:
 def declared_targets(html: Column, url: Column) -> Column:
     """Absolute addresses that a page's canonical links and refresh redirects
     name; others are resolved against its first <base href>, or its url."""
+    html = F.when(F.instr(html, "<!--") > 0, F.regexp_replace(html, _COMMENT, "")).otherwise(html)
     links = F.transform(F.regexp_extract_all(html, F.lit(_CANONICAL_TAG), F.lit(0)), _href)
     moves = F.transform(F.regexp_extract_all(html, F.lit(_REFRESH_TAG), F.lit(0)), lambda t: F.regexp_extract(t, _CONTENT_URL, 1))
     declared = _address(_href(F.regexp_extract(html, _BASE_TAG, 0)))
@@ -123,12 +132,13 @@ def declared_targets(html: Column, url: Column) -> Column:
 
 def page_key(url: Column) -> Column:
     """Addresses that always redirect to or show the same page have one key:
-    scheme, fragment, a standard port and a closing slash are left out, the
+    scheme, fragment, the scheme's own port and a closing slash are left out, the
     host is lower-cased. Null for a url without ://."""
     host, path = host_and_path(url)
     plain = F.substring_index(url, "#", 1)
     query = F.when(F.instr(plain, "?") > 0, F.substring(plain, F.instr(plain, "?"), F.char_length(plain))).otherwise("")
-    host = F.regexp_replace(host, ":(80|443)$", "")
+    scheme = F.lower(F.substring_index(url, "://", 1))
+    host = F.when(scheme == "http", F.regexp_replace(host, ":80$", "")).when(scheme == "https", F.regexp_replace(host, ":443$", "")).otherwise(host)
     return F.when(F.instr(url, "://") > 0, F.concat(host, F.regexp_replace(path, "/+$", ""), query))
 
 

@@ -1,10 +1,12 @@
 import random
 import re
+import time
 from urllib.parse import urljoin
 
 import pytest
 from pyspark.sql import functions as F
 
+from strata.llm import urlfilter
 from strata.llm.common import Scratch
 from strata.llm.urlfilter import RULES, judge, resolved
 
@@ -30,7 +32,8 @@ def key(url):
         return None
     host, path = split(url)
     query = re.search(r"\?.*", url.split("#", 1)[0], re.S)
-    return re.sub(":(80|443)$", "", host) + re.sub("/+$", "", path) + (query[0] if query else "")
+    own = {"http": ":80", "https": ":443"}.get(url.split("://")[0].lower(), "/")
+    return host.removesuffix(own) + re.sub("/+$", "", path) + (query[0] if query else "")
 
 
 def brute(rows):
@@ -136,3 +139,28 @@ def test_relative_targets_are_resolved_and_queries_are_no_addresses(spark):
     assert {r[0]: r[4] for r in result(spark, rows)} == {1: "block", 2: "block", 3: "allow", 4: "block", 5: "allow", 6: "allow"}
     rows = [(1, "http://a.test/x/", link("y")), (2, "http://a.test/x/y", link("http://e.net/"))]
     assert {r[0]: r[4] for r in result(spark, rows)} == {1: "block", 2: "block"}
+
+
+def test_canonical_among_other_words_comments_and_ports(spark):
+    html = {
+        "a": "<link rel='nofollow canonical' href='https://x.net/1'>",
+        "b": '<link href="https://x.net/2" rel="canonical nofollow">',
+        "c": "<link rel=canonical href=https://x.net/3>",
+        "d": '<link rel="noncanonical x-canonical" href="https://x.net/4">',
+        "e": "<!-- <link rel=canonical href=https://x.net/5> --><p>",
+        "f": "<!-- a --><link rel=canonical href=https://x.net/6><!-- open <link rel=canonical href=https://x.net/7>",
+        "g": '<meta name=x <link rel=canonical href="https://x.net/8">',
+    }
+    df = spark.createDataFrame(list(html.items()), "k string, html string")
+    got = {r["k"]: r["t"] for r in df.select("k", urlfilter.declared_targets(F.col("html"), F.lit("https://o.org/")).alias("t")).collect()}
+    assert got == {"a": ["https://x.net/1"], "b": ["https://x.net/2"], "c": ["https://x.net/3"], "d": [], "e": [], "f": ["https://x.net/6"], "g": ["https://x.net/8"]}
+    keys = spark.createDataFrame([("http://h:80/a",), ("https://h:443/a",), ("http://h:443/a",), ("https://h:80/a",)], "u string")
+    assert [r[0] for r in keys.select(urlfilter.page_key(F.col("u"))).collect()] == ["h/a", "h/a", "h:443/a", "h:80/a"]
+
+
+def test_long_hostile_pages_take_time_by_their_length(spark):
+    pages = [p * (2_000_000 // len(p)) for p in ("<link x ", "<meta ", "<!--", "<link rel=", "<base href", "<link rel='a ", "rel canonical ")]
+    df = spark.createDataFrame([(p,) for p in pages], "html string").repartition(len(pages))
+    begin = time.monotonic()
+    df.select(F.sum(F.size(urlfilter.declared_targets(F.col("html"), F.lit("https://o.org/"))))).collect()
+    assert time.monotonic() - begin < 60
