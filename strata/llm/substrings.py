@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import hashlib
 import itertools
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -92,9 +91,15 @@ def anchors(words: np.ndarray, ends: np.ndarray, window: int = WINDOW, k: int =
     return lead, count, kmers[at[lead]], _mix(covered + _mix(place + _U(1)))
 
 
+def tag_of(text: bytes) -> int:
+    """XXH64 as ``F.xxhash64`` has it."""
+    h = xxhash.xxh64_intdigest(text, 42)
+    return h - (1 << 64) if h >> 63 else h
+
+
 def _document_anchors(docs: DataFrame) -> DataFrame:
-    """Per document ``doc_id, tag, anchors``: tag is the CRC-32 of the text, so
-    that rows which share an id but not their text stay apart."""
+    """Per document ``doc_id, tag, anchors``: tag is the XXH64 of the text, so
+    that rows which share an id, or have none, but not their text stay apart."""
     fields = [("start", pa.int32()), ("windows", pa.int32()), ("kmer", pa.int64()), ("chunk", pa.int64())]
 
     def batches(it):
@@ -117,7 +122,7 @@ def _document_anchors(docs: DataFrame) -> DataFrame:
                 if len(words) < WINDOW:
                     continue
                 rows.append(i)
-                tags.append(zlib.crc32(text))
+                tags.append(tag_of(text))
                 if len(words) <= BLOCK:
                     pending.append(words)
                     if sum(map(len, pending)) > BLOCK:
@@ -225,11 +230,14 @@ def removed_spans(docs: DataFrame, scratch: Scratch) -> DataFrame:
 
 def _digests(docs: DataFrame, asked: DataFrame) -> DataFrame:
     """128-bit digests of the words of each asked span, or, where asked
-    ``singly``, of each window in it, read from the documents themselves."""
+    ``singly``, of each window in it, read from the documents themselves. Rows
+    that repeat an id and its text ask for the same spans: these are listed once."""
     per_doc = asked.groupBy("doc_id", "tag").agg(
-        F.collect_list(F.struct("start", "length", "singly", "kmer", "chunk")).alias("asked")
-    ).withColumnRenamed("doc_id", "asked_id")
-    joined = docs.join(per_doc, F.col("doc_id").eqNullSafe(F.col("asked_id"))).select("doc_id", "text", "tag", "asked")
+        F.collect_set(F.struct("start", "length", "singly", "kmer", "chunk")).alias("asked")
+    ).withColumnsRenamed({"doc_id": "asked_id", "tag": "asked_tag"})
+    tagged = docs.withColumn("tag", F.xxhash64("text"))
+    same = F.col("doc_id").eqNullSafe(F.col("asked_id")) & (F.col("tag") == F.col("asked_tag"))
+    joined = tagged.join(per_doc, same).select("doc_id", "text", "tag", "asked")
     names = ["doc_id", "tag", "start", "length", "kmer", "chunk", "digest"]
     kind = docs.schema["doc_id"].dataType.simpleString()
 
@@ -238,8 +246,6 @@ def _digests(docs: DataFrame, asked: DataFrame) -> DataFrame:
     def digests(batch):
         columns = zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)
         for i, (text, tag, spans) in enumerate(columns):
-            if zlib.crc32(text) != tag:
-                continue  # another row with this id
             words = text.split()
             for s in spans:
                 size = WINDOW if s["singly"] else s["length"]
@@ -267,28 +273,29 @@ def remove_repeats(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", te
     smaller id or at an earlier place of the same document; windows are judged
     on the input. A null text has no words. A null id sorts first. Rows that
     repeat an id and its text are one document and get one result each; rows
-    with one id and different texts are told apart, the order being that of
-    the texts' CRC-32. An empty table gives no rows.
+    with one id, or none, and different texts are told apart, the order being that
+    of the texts' XXH64. An empty table gives no rows.
     """
     texts = docs.select(quoted(id_col).alias("doc_id"), F.coalesce(quoted(text_col).cast("binary"), F.lit(b"")).alias("text"))
     spans = removed_spans(texts, scratch)
     per_doc = scratch.put(
-        spans.groupBy("doc_id", "tag").agg(F.collect_list(F.struct("start", "length")).alias("spans")), "spans"
-    ).withColumnRenamed("doc_id", "removed_id")
-    per_doc = per_doc.groupBy("removed_id").agg(F.collect_list(F.struct("tag", "spans")).alias("by_tag"))
+        spans.groupBy("doc_id", "tag").agg(F.collect_set(F.struct("start", "length")).alias("spans")), "spans"
+    ).withColumnsRenamed({"doc_id": "removed_id", "tag": "removed_tag"})
+    text = quoted(text_col).cast("binary")
     rows = docs.select(
-        F.struct(*[quoted(c).alias(c) for c in docs.columns]).alias("row"), quoted(id_col).alias("doc_id"), quoted(text_col).cast("binary").alias("text")
-    )
-    joined = rows.join(per_doc, F.col("doc_id").eqNullSafe(F.col("removed_id")), "left").select("row", "text", "by_tag")
+        F.struct(*[quoted(c).alias(c) for c in docs.columns]).alias("row"), quoted(id_col).alias("doc_id"), text.alias("text"),
+        F.xxhash64(F.coalesce(text, F.lit(b""))).alias("tag"),
+    )
+    same = F.col("doc_id").eqNullSafe(F.col("removed_id")) & (F.col("tag") == F.col("removed_tag"))
+    joined = rows.join(per_doc, same, "left").select("row", "text", "spans")
     schema = rows.select("row").schema.add("n_words", "long").add("n_removed", "long").add("kept", "binary")
 
     def batches(it):
         for batch in it:
             n_words, n_removed, kept = [], [], []
-            for text, by_tag in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+            for text, spans in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
                 words = (text or b"").split()
                 n_words.append(len(words))
-                spans = [s for x in by_tag if x["tag"] == zlib.crc32(text or b"") for s in x["spans"]] if by_tag else []
                 if spans:
                     change = np.zeros(len(words) + 1, np.int64)
                     np.add.at(change, [s["start"] for s in spans], 1)

@@ -93,3 +93,15 @@ def test_word_hashes_do_not_depend_on_segments(monkeypatch):
     whole = word_hashes(text)
     monkeypatch.setattr(substrings, "SEGMENT", 7)
     assert (word_hashes(text) == whole).all() and len(whole) == 501
+
+
+def test_many_rows_without_id(spark):
+    """Rows without an id meet only rows of their own text, whatever their number."""
+    rng = random.Random(9)
+    shared = " ".join(f"s{rng.randrange(10**6)}" for _ in range(30))
+    rows = [(None, f"{shared} " + " ".join(f"w{rng.randrange(10**12)}" for _ in range(25))) for _ in range(400)]
+    rows += [rows[0]] * 200  # repeated rows are one document
+    out = remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), Scratch(spark, "t")).collect()
+    removed = [r.n_removed for r in out if r.row.text != rows[0][1]]
+    assert len(out) == 600 and len({r.n_removed for r in out if r.row.text == rows[0][1]}) == 1
+    assert sorted(set(removed)) in ([0, 30], [30]) and removed.count(0) <= 1
