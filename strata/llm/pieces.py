@@ -23,6 +23,9 @@ SPACE = "▁"
 # Encoded words that a worker remembers (emptied when full), characters of a word
 # that is worth remembering, characters of text worked on at a time.
 CACHE_WORDS, CACHE_CHARS, SLICE_CHARS = 300_000, 64, 1_000_000
+# Characters of a short word, and such words whose agendas make one matrix.
+SHORT, BLOCK = 24, 4096
+NONE = 1 << 40  # place of a pair that is no piece
 _WORD = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 _BYTE = re.compile(r"<0x([0-9A-F]{2})>")
 _POSITION = (1 << 32) - 1
@@ -39,7 +42,9 @@ class PieceBpe:
     of neighbours whose join is a piece, the best score first, the leftmost of
     equals; the best pair is joined and its new neighbours enter the agenda
     until it is empty. A symbol that is no piece falls back to bytes, or to the
-    unknown id.
+    unknown id. Long words have an agenda each, a heap (``merge``); the agendas of
+    many short ones are the rows of a matrix, from which each step takes every
+    word's best pair (``merge_block``).
 
     Joins never reach over a place whose two characters stand side by side in no
     piece, so a text is cut there and words are encoded once each."""
@@ -66,6 +71,64 @@ class PieceBpe:
         self.blanked = {i for p, i in self.ids.items() if p.startswith(SPACE)}
         self.prefixed = sp.normalize("a").startswith(SPACE)
         self.known: dict[str, bytes] = {}
+        self._pairs()
+
+    def _pairs(self) -> None:
+        """Numbers of the symbols (pieces, and the characters they are made of), and
+        the pairs of numbers that join: key, place in the order of scores, symbol."""
+        symbols = sorted({*self.ids, *(c for p in self.ids for c in p)})
+        number = {x: k for k, x in enumerate(symbols)}
+        # Characters of no piece join nothing: their numbers follow those of the symbols.
+        self.of_char = len(symbols) + np.arange(0x110000)
+        for x, k in number.items():
+            if len(x) == 1:
+                self.of_char[ord(x)] = k
+        self.symbols, self.n_symbols = symbols, len(symbols)
+        found = sorted(
+            (number[p[:k]] * self.n_symbols + number[p[k:]], at, number[p])
+            for p, at in self.places.items() for k in range(1, len(p)) if p[:k] in number and p[k:] in number
+        )
+        self.pair_keys, self.pair_places, self.pair_symbols = (np.array(x, np.int64) for x in zip(*found, strict=True)) if found else [np.zeros(1, np.int64) - 1] * 3
+        self.id_of = np.array([self.ids.get(x, -1) for x in symbols], np.int64)
+
+    def _joined(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of pairs of symbols (-1: past the end): place and joined symbol."""
+        keys = left * self.n_symbols + right
+        at = np.minimum(np.searchsorted(self.pair_keys, keys), len(self.pair_keys) - 1)
+        hit = (self.pair_keys[at] == keys) & (left >= 0) & (right >= 0) & (right < self.n_symbols)
+        return np.where(hit, self.pair_places[at], NONE), self.pair_symbols[at]
+
+    def merge_block(self, words: list[str]) -> np.ndarray:
+        """``merge`` of words of about one length: a row of numbers of symbols for
+        each, -1 after the last."""
+        sizes = np.array([len(w) for w in words])
+        width = int(sizes.max())
+        table = np.full((len(words), width + 2), -1, np.int64)
+        table[:, :width][np.arange(width) < sizes[:, None]] = self.of_char[np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)]
+        place, joined = self._joined(table[:, :-1], table[:, 1:])
+        out = np.empty_like(table)
+        row = np.arange(len(words))
+        columns = np.arange(width + 2)
+        while len(row):
+            best = place.argmin(1)
+            every = np.arange(len(row))
+            going = place[every, best] < NONE
+            out[row[~going]] = table[~going]
+            row, table, place, joined, best = row[going], table[going], place[going], joined[going], best[going]
+            if not len(row):
+                break
+            every = np.arange(len(row))
+            # The right symbol's column goes, the left one's changes; so do the pairs on both sides.
+            symbol = joined[every, best]
+            after = np.minimum(columns + (columns > best[:, None]), width + 1)
+            table = np.take_along_axis(table, after, 1)
+            table[every, best] = symbol
+            pairs = np.minimum(columns[:-1] + (columns[:-1] >= best[:, None]), width)
+            place, joined = np.take_along_axis(place, pairs, 1), np.take_along_axis(joined, pairs, 1)
+            for at in (best - 1, best):
+                rows, cols = every[at >= 0], at[at >= 0]
+                place[rows, cols], joined[rows, cols] = self._joined(table[rows, cols], table[rows, cols + 1])
+        return out
 
     def _body(self, i: int) -> bytes:
         piece = self.library.id_to_piece(i)
@@ -77,19 +140,48 @@ class PieceBpe:
 
     def encode(self, text: str) -> np.ndarray:
         """Ids of a whole text, without begin and end."""
-        normal = self.library.normalize(text)
-        words = (m[0] for m in _WORD.finditer(normal)) if self.by_words else [normal]
-        known = self.known.get
-        ids = np.frombuffer(b"".join([known(w) or self._learn(w) for w in words]), "<i4")
-        if self.of_byte is None and len(ids):  # neighbouring unknown symbols are one id
-            again = (ids == self.unknown) & np.append(False, ids[:-1] == self.unknown)
-            ids = ids[~again]
-        return ids
-
-    def _learn(self, word: str) -> bytes:
-        if len(word) <= CACHE_CHARS:
-            ids = self.known[word] = self._bytes(word)
-            return ids
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str]) -> list[np.ndarray]:
+        cut = [self._words(self.library.normalize(t)) for t in texts]
+        self._learn({w for words in cut for w in words} - self.known.keys())
+        out = []
+        for words in cut:
+            ids = np.frombuffer(b"".join(map(self.known.__getitem__, words)), "<i4")
+            if self.of_byte is None and len(ids):  # neighbouring unknown symbols are one id
+                again = (ids == self.unknown) & np.append(False, ids[:-1] == self.unknown)
+                ids = ids[~again]
+            out.append(ids)
+        return out
+
+    def _words(self, normal: str) -> list[str]:
+        if not self.by_words:
+            return [normal]
+        if SPACE + SPACE in normal or not normal.startswith(SPACE):
+            return _WORD.findall(normal)
+        return [SPACE + w for w in normal[1:].split(SPACE)]
+
+    def _learn(self, words: set[str]) -> None:
+        short = sorted((w for w in words if 0 < len(w) <= SHORT), key=len)
+        for a in range(0, len(short), BLOCK):
+            block = short[a : a + BLOCK]
+            symbols = self.merge_block(block)
+            there = symbols >= 0
+            ids = np.where(symbols < self.n_symbols, self.id_of[np.minimum(symbols, self.n_symbols - 1)], -1)
+            plain = ~((ids < 0) & there).any(1)
+            body = ids[there].astype("<i4").tobytes()
+            ends = (4 * np.cumsum(there.sum(1))).tolist()
+            for word, start, end in zip(block, [0, *ends], ends):
+                self.known[word] = body[start:end]
+            for k in np.nonzero(~plain)[0].tolist():  # words with symbols that are no pieces
+                row = zip(symbols[k][there[k]].tolist(), ids[k][there[k]].tolist(), strict=True)
+                spare = [[i] if i >= 0 else self._spare(self.symbols[x] if x < self.n_symbols else chr(x - self.n_symbols)) for x, i in row]
+                self.known[block[k]] = array("i", [i for part in spare for i in part]).tobytes()
+        for word in words:
+            if not 0 < len(word) <= SHORT:
+                self.known[word] = self._long(word)
+
+    def _long(self, word: str) -> bytes:
         out, a = [], 0
         for b in range(1, len(word) + 1):
             if b == len(word) or word[b - 1 : b + 1] not in self.neighbours:
@@ -148,6 +240,13 @@ class PieceBpe:
             i = after[i]
         return out
 
+    def forget(self) -> None:
+        """Empty the memory of words when it is full, or of long ones."""
+        if len(self.known) > CACHE_WORDS:
+            self.known.clear()
+        for word in [w for w in self.known if len(w) > CACHE_CHARS]:
+            del self.known[word]
+
     def decode(self, ids: list[int]) -> str:
         body = b"".join(map(self.bodies.__getitem__, ids))
         if self.prefixed and next((i in self.blanked for i in ids if i not in self.silent), False):
@@ -181,16 +280,14 @@ def round_trip(docs: DataFrame, text_col: str = "text", vocabulary: Callable[[],
         for batch in it:
             texts = [t or "" for t in batch.column(1).to_pylist()]
             for a, b in slices(texts):
-                if len(bpe.known) > CACHE_WORDS:
-                    bpe.known.clear()
-                ids, decoded, agrees = [], [], []
-                for text in texts[a:b]:
-                    own = bpe.encode(text)
+                bpe.forget()
+                ids = bpe.encode_all(texts[a:b])
+                decoded, agrees = [], []
+                for text, own in zip(texts[a:b], map(np.ndarray.tolist, ids), strict=True):
                     theirs = bpe.library.encode(text)
-                    back = bpe.decode(own.tolist())
-                    ids.append(own)
+                    back = bpe.decode(own)
                     decoded.append(back)
-                    agrees.append(own.tolist() == theirs and back == bpe.library.decode(theirs))
+                    agrees.append(own == theirs and back == bpe.library.decode(theirs))
                 offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(ids).astype(np.int32)))
                 columns = [batch.column(0).slice(a, b - a), lists, pa.array(decoded, pa.string()), pa.array(agrees, pa.bool_())]

@@ -58,6 +58,8 @@ def test_agenda_against_plain_search(bpe):
             _, i = min(pairs)
             symbols[i : i + 2] = [symbols[i] + symbols[i + 1]]
         assert bpe.merge(word) == symbols
+        block = bpe.merge_block([word, word[:1]])[0]
+        assert bpe.id_of[block[block >= 0]].tolist() == [bpe.ids[x] for x in symbols]
 
 
 def test_without_cuts_at_blanks(bpe):
