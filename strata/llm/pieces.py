@@ -25,7 +25,7 @@ SPACE = "▁"
 CACHE_WORDS, CACHE_CHARS, SLICE_CHARS = 300_000, 64, 1_000_000
 # Characters of a short word, and such words whose agendas make one matrix.
 SHORT, BLOCK = 24, 4096
-NONE = 1 << 40  # place of a pair that is no piece
+NONE = 1 << 30  # place of a pair that is no piece
 _WORD = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 _BYTE = re.compile(r"<0x([0-9A-F]{2})>")
 _POSITION = (1 << 32) - 1
@@ -71,6 +71,7 @@ class PieceBpe:
         self.blanked = {i for p, i in self.ids.items() if p.startswith(SPACE)}
         self.prefixed = sp.normalize("a").startswith(SPACE)
         self.known: dict[str, bytes] = {}
+        self.passing: list[str] = []  # known words too long to be worth remembering
         self._pairs()
 
     def _pairs(self) -> None:
@@ -79,55 +80,67 @@ class PieceBpe:
         symbols = sorted({*self.ids, *(c for p in self.ids for c in p)})
         number = {x: k for k, x in enumerate(symbols)}
         # Characters of no piece join nothing: their numbers follow those of the symbols.
-        self.of_char = len(symbols) + np.arange(0x110000)
+        self.of_char = (len(symbols) + np.arange(0x110000)).astype(np.int32)
         for x, k in number.items():
             if len(x) == 1:
                 self.of_char[ord(x)] = k
         self.symbols, self.n_symbols = symbols, len(symbols)
-        found = sorted(
-            (number[p[:k]] * self.n_symbols + number[p[k:]], at, number[p])
-            for p, at in self.places.items() for k in range(1, len(p)) if p[:k] in number and p[k:] in number
-        )
-        self.pair_keys, self.pair_places, self.pair_symbols = (np.array(x, np.int64) for x in zip(*found, strict=True)) if found else [np.zeros(1, np.int64) - 1] * 3
+        rows: dict[int, list[tuple[int, int, int]]] = {}
+        for p, at in self.places.items():
+            for k in range(1, len(p)):
+                if p[:k] in number and p[k:] in number:
+                    rows.setdefault(number[p[:k]], []).append((number[p[k:]], at, number[p]))
+        # All rows (one for each left symbol) lie in one table, each shifted by a number
+        # of its own so that no two use one place: a pair is found by one look.
+        rng, spread = np.random.default_rng(0), 16 * sum(map(len, rows.values())) + 1
+        size = spread + self.n_symbols + 2
+        self.shift = np.ones(self.n_symbols + 1, np.int32)
+        self.owner, self.pair_place, self.pair_symbol = np.full(size, -1, np.int32), np.full(size, NONE, np.int32), np.zeros(size, np.int32)
+        for left, row in sorted(rows.items(), key=lambda r: -len(r[1])):
+            right, place, symbol = np.array(row, np.int32).T
+            at = right + 1
+            while (self.owner[at] >= 0).any():
+                at = right + rng.integers(1, spread + 1)
+            self.shift[left] = at[0] - right[0]
+            self.owner[at], self.pair_place[at], self.pair_symbol[at] = left, place, symbol
         self.id_of = np.array([self.ids.get(x, -1) for x in symbols], np.int64)
 
-    def _joined(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Of pairs of symbols (-1: past the end): place and joined symbol."""
-        keys = left * self.n_symbols + right
-        at = np.minimum(np.searchsorted(self.pair_keys, keys), len(self.pair_keys) - 1)
-        hit = (self.pair_keys[at] == keys) & (left >= 0) & (right >= 0) & (right < self.n_symbols)
-        return np.where(hit, self.pair_places[at], NONE), self.pair_symbols[at]
+    def _look(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Of pairs of symbols (-1: past the end): where they lie in the table, 0 if
+        they do not join."""
+        at = self.shift[np.minimum(left, self.n_symbols)] + np.minimum(right, self.n_symbols)
+        at[self.owner[at] != left] = 0
+        at[left < 0] = 0
+        return at
 
     def merge_block(self, words: list[str]) -> np.ndarray:
         """``merge`` of words of about one length: a row of numbers of symbols for
         each, -1 after the last."""
         sizes = np.array([len(w) for w in words])
         width = int(sizes.max())
-        table = np.full((len(words), width + 2), -1, np.int64)
+        table = np.full((len(words), width + 2), -1, np.int32)
         table[:, :width][np.arange(width) < sizes[:, None]] = self.of_char[np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)]
-        place, joined = self._joined(table[:, :-1], table[:, 1:])
+        place = self.pair_place[self._look(table[:, :-1], table[:, 1:])]
         out = np.empty_like(table)
         row = np.arange(len(words))
         columns = np.arange(width + 2)
         while len(row):
             best = place.argmin(1)
+            going = place[np.arange(len(row)), best] < NONE
+            if not going.all():
+                out[row[~going]] = table[~going]
+                row, table, place, best = row[going], table[going], place[going], best[going]
             every = np.arange(len(row))
-            going = place[every, best] < NONE
-            out[row[~going]] = table[~going]
-            row, table, place, joined, best = row[going], table[going], place[going], joined[going], best[going]
-            if not len(row):
-                break
-            every = np.arange(len(row))
+            symbol = self.pair_symbol[self._look(table[every, best], table[every, best + 1])]
             # The right symbol's column goes, the left one's changes; so do the pairs on both sides.
-            symbol = joined[every, best]
             after = np.minimum(columns + (columns > best[:, None]), width + 1)
             table = np.take_along_axis(table, after, 1)
             table[every, best] = symbol
-            pairs = np.minimum(columns[:-1] + (columns[:-1] >= best[:, None]), width)
-            place, joined = np.take_along_axis(place, pairs, 1), np.take_along_axis(joined, pairs, 1)
-            for at in (best - 1, best):
-                rows, cols = every[at >= 0], at[at >= 0]
-                place[rows, cols], joined[rows, cols] = self._joined(table[rows, cols], table[rows, cols + 1])
+            place = np.take_along_axis(place, np.minimum(columns[:-1] + (columns[:-1] >= best[:, None]), width), 1)
+            place[every, best] = self.pair_place[self._look(symbol, table[every, best + 1])]
+            inner = np.nonzero(best)[0]
+            left = best[inner] - 1
+            place[inner, left] = self.pair_place[self._look(table[inner, left], symbol[inner])]
         return out
 
     def _body(self, i: int) -> bytes:
@@ -144,7 +157,7 @@ class PieceBpe:
 
     def encode_all(self, texts: list[str]) -> list[np.ndarray]:
         cut = [self._words(self.library.normalize(t)) for t in texts]
-        self._learn({w for words in cut for w in words} - self.known.keys())
+        self._learn(set().union(*cut).difference(self.known))
         out = []
         for words in cut:
             ids = np.frombuffer(b"".join(map(self.known.__getitem__, words)), "<i4")
@@ -171,8 +184,7 @@ class PieceBpe:
             plain = ~((ids < 0) & there).any(1)
             body = ids[there].astype("<i4").tobytes()
             ends = (4 * np.cumsum(there.sum(1))).tolist()
-            for word, start, end in zip(block, [0, *ends], ends):
-                self.known[word] = body[start:end]
+            self.known.update(zip(block, [body[start:end] for start, end in zip([0, *ends], ends)]))
             for k in np.nonzero(~plain)[0].tolist():  # words with symbols that are no pieces
                 row = zip(symbols[k][there[k]].tolist(), ids[k][there[k]].tolist(), strict=True)
                 spare = [[i] if i >= 0 else self._spare(self.symbols[x] if x < self.n_symbols else chr(x - self.n_symbols)) for x, i in row]
@@ -180,6 +192,8 @@ class PieceBpe:
         for word in words:
             if not 0 < len(word) <= SHORT:
                 self.known[word] = self._long(word)
+                if len(word) > CACHE_CHARS:
+                    self.passing.append(word)
 
     def _long(self, word: str) -> bytes:
         out, a = [], 0
@@ -244,8 +258,9 @@ class PieceBpe:
         """Empty the memory of words when it is full, or of long ones."""
         if len(self.known) > CACHE_WORDS:
             self.known.clear()
-        for word in [w for w in self.known if len(w) > CACHE_CHARS]:
-            del self.known[word]
+        for word in self.passing:
+            self.known.pop(word, None)
+        self.passing.clear()
 
     def decode(self, ids: list[int]) -> str:
         body = b"".join(map(self.bodies.__getitem__, ids))
