@@ -18,42 +18,45 @@ COMMON_WORDS = (
     "al con del el es los las para se su una por no lo"
 ).split()
 CHAIN = 2  # content words of a chain
+SPARE = 8  # one content word in so many begins a chain of its own
 BUCKET_ROWS = 200_000
 # Whatever is no part of a word.
-_MARKS = r"[^\p{L}\p{M}\p{N} ]*+"
+_MARKS = r"[^\p{L}\p{M}\p{N}\s]+"
 
 
 def signatures(text: Column, common: tuple[str, ...] = tuple(COMMON_WORDS), chain: int = CHAIN) -> Column:
     """Sorted distinct hashes of the spot signatures of a text, null as empty.
 
-    The lower-cased text is cut before every common word, whatever punctuation
-    it carries (``the,`` and ``of%%`` are ``the`` and ``of``); a piece is that word
-    and the content words up to the next common word. Its signature is the
-    common word with the first ``chain`` of them; a common word that another
-    one follows at once has none. A text without any signature is represented
-    by its words; a text without words by the empty set."""
-    low = F.btrim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"\s+", " "))
-    low = F.regexp_replace(low, f"(?<![^ ]){_MARKS}({_any_of(common)}){_MARKS}(?= |$)", "$1")
-    pieces = F.split(F.concat(F.lit(" "), low), f" (?={_any_of(common)}(?: |$))")
-    chained = F.filter(F.slice(pieces, F.lit(2), F.size(pieces)), lambda s: F.instr(s, " ") > 0)
-    chains = F.transform(chained, lambda s: F.xxhash64(F.substring_index(s, " ", chain + 1)))
-    words = F.transform(F.filter(F.split(low, " "), lambda w: w != ""), lambda w: F.xxhash64(w))
-    # Bound by a lambda, so that the chains are made once, and the words only without any.
-    found = F.element_at(F.transform(F.array(chains), lambda c: F.when(F.size(c) > 0, c).otherwise(words)), 1)
-    return F.sort_array(F.array_distinct(found))
-
-
-def _any_of(words: tuple[str, ...]) -> str:
-    """A pattern that matches just these words, letter by letter: it tries one
-    branch per letter instead of one per word."""
-    if words == ("",):
-        return ""
-    rest: dict[str, list[str]] = {}
-    for w in sorted(set(words)):
-        rest.setdefault(w[:1], []).append(w[1:])
-    ends = "" in rest
-    branches = [c + _any_of(tuple(r)) for c, r in rest.items() if c]
-    return f"(?:{'|'.join(branches)})" + "?" * ends
+    Words are what blanks separate, lower-cased and without punctuation (of a
+    text of nothing else, as they are). The signature of a common word is the
+    word with the ``chain`` content words that follow it, other common words
+    skipped; at the end of the text fewer, with none there is no signature. So
+    that texts with few common words, or none, have signatures of the same kind
+    as any other text, the first content word and every one whose hash is divisible
+    by ``SPARE`` begin such a chain too. A text of common words alone is
+    represented by them in order; one without words by the empty set."""
+    low = F.lower(F.coalesce(text, F.lit("")))
+    bare = _bound(F.struct(low.alias("low"), F.regexp_replace(low, _MARKS, "").alias("bare")), lambda x: F.when(x["bare"].rlike(r"\S"), x["bare"]).otherwise(x["low"]))
+    words = F.filter(F.split(bare, r"\s+"), lambda w: w != "")
+
+    def parts(words: Column) -> Column:
+        anchors = F.filter(F.transform(words, lambda w, i: F.struct(w.alias("w"), i.alias("i"))), lambda x: x["w"].isin(*common))
+        return F.struct(words.alias("words"), anchors.alias("anchors"), F.filter(words, lambda w: ~w.isin(*common)).alias("content"))
+
+    def found(x: Column) -> Column:
+        content = x["content"]
+        # Before the k-th common word, at place i, stand i - k content words.
+        spots = F.filter(F.transform(x["anchors"], lambda a, k: F.struct(a["w"].alias("w"), (a["i"] - k).alias("at"))), lambda s: s["at"] < F.size(content))
+        spare = F.filter(F.transform(content, lambda w, c: F.struct(w.alias("w"), (c + 1).alias("at"))), lambda s: (s["at"] == 1) | (F.xxhash64(s["w"]) % SPARE == 0))
+        chains = F.transform(F.concat(spots, spare), lambda s: F.xxhash64(s["w"], *[F.get(content, s["at"] + j) for j in range(chain)]))
+        return F.when((F.size(content) == 0) & (F.size(x["words"]) > 0), F.array(F.xxhash64(F.array_join(x["words"], " ")))).otherwise(chains)
+
+    return F.sort_array(F.array_distinct(_bound(_bound(words, parts), found)))
+
+
+def _bound(value: Column, use) -> Column:
+    """``use`` of a value that is computed once, however often ``use`` reads it."""
+    return F.element_at(F.transform(F.array(value), use), 1)
 
 
 def fingerprint(sigs: Column) -> Column:
@@ -69,10 +72,11 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when((F.size(a) == 0) & (F.size(b) == 0), 1.0).when((F.size(a) == 0) | (F.size(b) == 0), 0.0).otherwise(common / union)
 
 
-def with_next_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bucket_rows: int = BUCKET_ROWS) -> DataFrame:
-    """``doc_id, text, next_text`` per row: the text of the document with the
-    next larger id; after the last one comes the first. Null texts are empty, a
-    null id sorts first, rows with one id are ordered by a hash of the text.
+def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """``doc_id, text, sigs, next_text, next_sigs`` per row: text and signatures of
+    the document and of that with the next larger id; after the last one comes the
+    first. Null texts are empty, a null id sorts first, rows with one id are ordered
+    by a hash of the text. A text's signatures are made once, before it is sent.
 
     The ids are cut at approximate quantiles into buckets (about ``bucket_rows``
     rows, and eight for each shuffle partition at least); the first id of every
@@ -97,9 +101,10 @@ def with_next_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     own = F.struct(F.col("b"), F.lit(False).alias("guest"))
     guest = F.struct(previous.alias("b"), F.lit(True).alias("guest"))
     sent = F.when(F.col("doc_id").eqNullSafe(first_id), F.array(own, guest)).otherwise(F.array(own))
-    dealt = rows.withColumn("b", bucket).select("doc_id", "text", F.inline(sent).alias("b", "guest"))
+    dealt = rows.withColumn("sigs", signatures(F.col("text"))).withColumn("b", bucket).select("doc_id", "text", "sigs", F.inline(sent).alias("b", "guest"))
     after = W.partitionBy("b").orderBy("guest", F.col("doc_id").asc_nulls_first(), F.xxhash64("text"))
-    return dealt.withColumn("next_text", F.lead("text").over(after)).where("not guest").select("doc_id", "text", "next_text")
+    following = [F.lead(c).over(after).alias(f"next_{c}") for c in ("text", "sigs")]
+    return dealt.select("*", *following).where("not guest").select("doc_id", "text", "sigs", "next_text", "next_sigs")
 
 
 def _rank(x: Column, cuts: list, kind) -> Column:
@@ -123,13 +128,8 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     n = F.char_length("text")
     cut = F.floor(n / 4).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), n - cut), F.substring(F.col("next_text"), F.lit(1), cut))
-    texts = with_next_text(docs, id_col, text_col).select("doc_id", n.cast("long").alias("n_chars"), "text", "next_text", edited.alias("edited"))
-    sets = texts.select(
-        "doc_id", "n_chars", "edited",
-        signatures(F.col("text")).alias("sigs"),
-        signatures(F.col("edited")).alias("edited_sigs"),
-        signatures(F.col("next_text")).alias("next_sigs"),
-    )
+    texts = with_next(docs, id_col, text_col).select("doc_id", n.cast("long").alias("n_chars"), edited.alias("edited"), "sigs", "next_sigs")
+    sets = texts.withColumn("edited_sigs", signatures(F.col("edited")))
     near = [likeness(F.col("sigs"), F.col(x)).alias(y) for x, y in (("edited_sigs", "near_edited"), ("next_sigs", "near_next"))]
     return sets.select("doc_id", "n_chars", "edited", "sigs", "edited_sigs", *near)
 
