@@ -22,7 +22,7 @@ from strata.llm.common import quoted
 SPACE = "▁"
 # Encoded words that a worker remembers (emptied when full), characters of a word
 # that is worth remembering, characters of text worked on at a time.
-CACHE_WORDS, CACHE_CHARS, SLICE_CHARS = 300_000, 64, 1_000_000
+CACHE_WORDS, CACHE_CHARS, SLICE_CHARS = 600_000, 64, 1_000_000
 # Characters of a short word, and such words whose agendas make one matrix.
 SHORT, BLOCK = 24, 4096
 NONE = 1 << 30  # place of a pair that is no piece
@@ -61,6 +61,8 @@ class PieceBpe:
         self.places = {p: places[sp.get_score(i)] for p, i in self.ids.items() if len(p) > 1}
         self.neighbours = {p[k : k + 2] for p in self.ids for k in range(len(p) - 1)}
         self.by_words = not any(b[0] != SPACE and b[1] == SPACE for b in self.neighbours)
+        # Where no piece holds a line break, lines are cut there too.
+        self.by_lines = self.by_words and not any("\n" in p for p in self.ids) and " " not in sp.normalize("a b")
         self.unknown = sp.unk_id()
         bytes_ = {int(m[1], 16): i for i in every if sp.is_byte(i) and (m := _BYTE.fullmatch(sp.id_to_piece(i)))}
         self.of_byte = [bytes_[b] for b in range(256)] if len(bytes_) == 256 else None
@@ -172,6 +174,8 @@ class PieceBpe:
             return [normal]
         if SPACE + SPACE in normal or not normal.startswith(SPACE):
             return _WORD.findall(normal)
+        if self.by_lines and "\n" in normal:
+            return normal.replace("\n", " \n ").replace(SPACE, " " + SPACE)[1:].split(" ")
         return [SPACE + w for w in normal[1:].split(SPACE)]
 
     def _learn(self, words: set[str]) -> None:

@@ -98,7 +98,7 @@ def op12_piece_agenda(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.round_trip(docs).select(
         "row.doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2(F.btrim(F.to_json("ids"), F.lit("[]")), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
         "agrees",
     )
