@@ -49,6 +49,7 @@ from strata.sources.registry_store import Registry
 from strata.sources.snapshots import data_files, read_store, write_run
 from strata.streaming.daily_volume import daily_volume_batch_via_stream
 from strata.streaming.file_ingest import StreamIngestConfig, refused_files, run_stream_ingest
+from strata.streaming.volume_checks import read_checks, run_volume_checks
 
 MICROS_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 RECORD_COLS = ["run_id", "dataset_name", "version", "ingested_at", "row_count", "checksum", "source_path", "partition_path", "schema_hash"]
@@ -534,6 +535,20 @@ def q_stream_daily_volume(spark, sf):
     return daily_volume_batch_via_stream(spark, sf, glob="events.parquet")
 
 
+def q_stream_volume_checks(spark, sf):
+    """The runs in time order, as four arriving files: each is checked on arrival
+    against the last 30 runs that the stream's state holds of its dataset."""
+    base = _workspace(spark, "stream-volume")
+    runs = fx.half_day_records(_events(spark, sf)).select("dataset_name", "run_id", "ingested_at", "row_count").checkpoint()
+    first, last = runs.agg(F.min("ingested_at"), F.max("ingested_at")).first()
+    cuts = [first + (last - first) * k / 4 for k in (1, 2, 3)]
+    quarter = reduce(lambda c, cut: c + (F.col("ingested_at") > F.lit(cut.isoformat(" ")).cast("timestamp_ntz")).cast("int"), cuts, F.lit(0))
+    for k in range(4):
+        runs.where(quarter == k).repartition(1).write.mode("append").parquet(f"{base}/runs")
+    run_volume_checks(spark, f"{base}/runs", f"{base}/out", f"{base}/checkpoint", max_files_per_trigger=1)
+    return read_checks(spark, f"{base}/out")
+
+
 def q_stream_ingest_events(spark, sf):
     """Dirty events as arriving CSV files, two per micro-batch: the stored and the
     quarantined rows, and one line for the records' row counts."""
@@ -626,6 +641,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "registry_roundtrip": q_registry_roundtrip,
     "pit_store": q_pit_store,
     "stream_daily_volume": q_stream_daily_volume,
+    "stream_volume_checks": q_stream_volume_checks,
     "stream_ingest_events": q_stream_ingest_events,
     "stream_ingest_headers": q_stream_ingest_headers,
 }

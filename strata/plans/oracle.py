@@ -504,3 +504,6 @@ SELECT dataset_name, id, checked_at, status, volume_ok FROM (
   FROM rep)
 WHERE rk = 1""",
 }
+
+# A stream that checks runs as they arrive says what the batch says afterwards.
+ORACLE_SQL["stream_volume_checks"] = ORACLE_SQL["volume_backfill"]
