@@ -1,5 +1,6 @@
 """DataFrame -> DataFrame operators."""
 
+from strata.operators.changes import change_counts, row_changes
 from strata.operators.digest import content_digest
 from strata.operators.fingerprint import contracts_frame, contracts_from_json, schema_fingerprint
 from strata.operators.health import (
@@ -24,6 +25,8 @@ from strata.operators.registry import (
 from strata.operators.validate import validate_schema, validation_errors
 
 __all__ = [
+    "change_counts",
+    "row_changes",
     "content_digest",
     "contracts_frame",
     "contracts_from_json",

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.model import Column, Contract
+from strata.operators.changes import row_changes
 from strata.operators.digest import content_digest
 from strata.operators.health import (
     DETAILS_JSON,
@@ -373,6 +375,17 @@ def q_digest_pages(spark, sf):
     return content_digest(p, ["page_id", "url", "html"])
 
 
+def q_row_changes(spark, sf):
+    """Two versions of events (some rows without a user): of the newer one some rows
+    are gone, some have another value, some another user, some come twice. Rows
+    added, removed and changed for each user with any."""
+    old, e = fx.events_with_nulls(_events(spark, sf)), F.col("event_id")
+    edited = old.where(e % 97 != 0).withColumns(
+        {"value": F.when(e % 89 == 3, -F.col("value")).otherwise(F.col("value")),
+         "user_id": F.when(e % 83 == 7, F.col("user_id") + 1).otherwise(F.col("user_id"))})
+    return row_changes(old, edited.unionAll(edited.where(e % 101 == 5)), old.columns, ["user_id"])
+
+
 # --- end-to-end CSV ingestion ------------------------------------------------------
 
 def _workspace(spark, name: str) -> str:
@@ -408,6 +421,27 @@ def q_csv_ingest_events(spark, sf):
     return spark.read.parquet(res.partition_path)
 
 
+def q_ingest_two_writers(spark, sf):
+    """events as CSV, ingested as the same run by two writers at once: the stored
+    rows of each event type, and the logged records, data folders, manifests of
+    stored files and re-runs that the two leave."""
+    base = _workspace(spark, "two-writers")
+    cfg = _ingest_config(base, fx.events_contract("1.0"))
+    _write_csv(_events(spark, sf), cfg.source_path)
+    with ThreadPoolExecutor(2) as writers:
+        results = list(writers.map(lambda _: ingest(spark, cfg, now=fx.NOW), range(2)))
+    failed = [r.error for r in results if not r.success]
+    if failed:
+        raise RuntimeError(failed[0])
+    registry, path = Registry(spark, cfg.registry_base), results[0].partition_path
+    fs, runs = hadoop_path(spark, path.rsplit("/", 1)[0])
+    unlisted = verify_manifest(spark, registry.manifest(), path).count()
+    left = [("records", "logged", registry.table("ingestion_records").count()), ("folders", "runs", len(fs.listStatus(runs))),
+            ("files", "not as logged", unlisted), ("reruns", "unchanged", sum(r.rerun and not r.source_changed for r in results))]
+    stored = spark.read.parquet(path).groupBy(F.col("event_type").alias("name")).agg(F.count(F.lit(1)).alias("n"))
+    return stored.select(F.lit("rows").alias("kind"), "name", "n").unionByName(spark.createDataFrame(left, "kind string, name string, n long"))
+
+
 def q_ingest_rejected(spark, sf):
     """Dirty events through the whole ingestion: the gate's findings, and how
     many files, records and registrations a rejected source leaves (none)."""
@@ -632,7 +666,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "digest_documents": q_digest_documents,
     "digest_conversations": q_digest_conversations,
     "digest_pages": q_digest_pages,
+    "row_changes": q_row_changes,
     "csv_ingest_events": q_csv_ingest_events,
+    "ingest_two_writers": q_ingest_two_writers,
     "ingest_rejected": q_ingest_rejected,
     "manifest_verify": q_manifest_verify,
     "quarantine_rows": q_quarantine_rows,

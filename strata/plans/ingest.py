@@ -7,6 +7,9 @@ and nothing else has happened; otherwise it is moved to the run's place,
 its files are hashed, and the registration, the record and the health report
 (from the observed counts) are appended. The record comes after the data, so a
 crash leaves at most an unreferenced folder, never a record of missing data.
+Several writers may ingest one run at a time: each writes to its own staging
+folder, one of them (``Registry.claim_run``) moves it into place and records it,
+the others then report a re-run.
 """
 
 from __future__ import annotations
@@ -21,10 +24,11 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from strata.model import DEFAULT_NULLABLE_THRESHOLD, Contract
-from strata.operators.digest import content_digest
+from strata.operators.changes import change_counts
 from strata.operators.health import check_null_ratio, health_reports, null_summary_of_counts
 from strata.operators.normalize import observed_gate, observed_nulls, observed_rows, typed_rows
 from strata.operators.parallel import spread
+from strata.sources.claims import STALE_AFTER, holds, release
 from strata.sources.csv import csv_source, header_errors, read_headers
 from strata.sources.manifest import file_manifest, manifest_checksum
 from strata.operators.registry import REPORT_SCHEMA
@@ -49,6 +53,8 @@ class IngestionConfig:
     max_records_per_file: int = MAX_RECORDS_PER_FILE
     max_file_bytes: int = MAX_FILE_BYTES
     rebalance: bool = False  # True: deal the rows anew by their bytes before they are written
+    key_columns: tuple[str, ...] = ()  # name a row across versions: re-runs tell changed rows from added and removed ones
+    claim_seconds: float = STALE_AFTER  # a writer silent for longer while it records a run is taken as dead
 
 
 @dataclass
@@ -65,6 +71,7 @@ class IngestionResult:
     errors: list[tuple] = field(default_factory=list)  # (column, error_type, n_rows, example)
     rerun: bool = False
     source_changed: bool | None = None  # re-runs only: the source differs from the recorded run
+    source_changes: dict[str, int] | None = None  # re-runs of a readable source: rows added, removed, changed
     timings: dict[str, float] = field(default_factory=dict)  # seconds per step
 
 
@@ -102,15 +109,8 @@ def ingest(spark: SparkSession, cfg: IngestionConfig, now: dt.datetime | None =
 
     rerun = registry.has_run(run_id, cfg.dataset_name)
     step("lookup")
-    if rerun:
-        prior = registry.records(cfg.dataset_name).where(F.col("run_id") == run_id).first()
-        row_count, path = int(prior["row_count"]), prior["partition_path"]
-        result.partition_path = path
-        result.source_changed = _source_changed(spark, cfg, path)
-        nulls = check_null_ratio(spark.read.parquet(path), cfg.contract, [], cfg.nullable_threshold)
-        nulls = nulls.withColumn("dataset_name", F.lit(cfg.dataset_name))
-        step("compare")
-    else:
+    claim = None
+    if not rerun:
         try:
             headers = read_headers(spark, cfg.source_path)
         except Exception as exc:  # missing or unreadable source: reported, nothing written
@@ -132,30 +132,30 @@ def ingest(spark: SparkSession, cfg: IngestionConfig, now: dt.datetime | None =
             if result.errors:
                 result.error = _error_text(result.errors)
                 return result
-            rename_path(spark, staging, path)
+            claim = registry.claim_run(run_id, cfg.dataset_name, cfg.claim_seconds)
+            if claim:
+                row_count = int(seen["n_rows"])
+                _settle(registry, cfg, result, claim, staging, row_count, now)
+                step("manifest")
         finally:
+            if claim:
+                release(spark, claim)
             discard_staging(spark, cfg.store_base, staging)
-        row_count = int(seen["n_rows"])
+        rerun = claim is None  # another writer of this run has recorded it meanwhile
+    if rerun:
+        prior = registry.records(cfg.dataset_name).where(F.col("run_id") == run_id).first()
+        row_count, path = int(prior["row_count"]), prior["partition_path"]
+        result.partition_path = path
+        result.source_changes = _source_changes(spark, cfg, path)
+        result.source_changed = result.source_changes is None or any(result.source_changes.values())
+        nulls = check_null_ratio(spark.read.parquet(path), cfg.contract, [], cfg.nullable_threshold)
+        nulls = nulls.withColumn("dataset_name", F.lit(cfg.dataset_name))
+        step("compare")
+    else:
         nulls = null_summary_of_counts(spark, cfg.dataset_name, cfg.contract, row_count, observed_nulls(cfg.contract, seen),
                                        cfg.nullable_threshold)
-        checksum = log_manifest(registry, path, run_id)
-        step("manifest")
 
     registry.register_dataset(cfg.dataset_name, cfg.version, cfg.owner, cfg.expected_frequency, schema_hash, at=now)
-    if not rerun:
-        registry.record_ingestion(
-            {
-                "run_id": run_id,
-                "dataset_name": cfg.dataset_name,
-                "version": cfg.version,
-                "ingested_at": now,
-                "row_count": row_count,
-                "checksum": checksum,
-                "source_path": cfg.source_path,
-                "partition_path": path,
-                "schema_hash": schema_hash,
-            }
-        )
     step("registry")
     result.health_report = report(registry, cfg.dataset_name, nulls, now)
     step("health")
@@ -163,6 +163,31 @@ def ingest(spark: SparkSession, cfg: IngestionConfig, now: dt.datetime | None =
     return result
 
 
+def _settle(registry: Registry, cfg: IngestionConfig, result: IngestionResult, claim: str, staging: str, row_count: int,
+            now: dt.datetime) -> None:
+    """Under the run's claim: move the staged files into place, log and record them.
+
+    A writer that was taken for dead while it hashed its files stops here; the
+    one that outlived its claim writes the record."""
+    rename_path(registry.spark, staging, result.partition_path)
+    checksum = log_manifest(registry, result.partition_path, result.run_id)
+    if not holds(registry.spark, claim):
+        raise RuntimeError(f"the claim on run {result.run_id} was taken over after {cfg.claim_seconds} s")
+    registry.record_ingestion(
+        {
+            "run_id": result.run_id,
+            "dataset_name": cfg.dataset_name,
+            "version": cfg.version,
+            "ingested_at": now,
+            "row_count": row_count,
+            "checksum": checksum,
+            "source_path": cfg.source_path,
+            "partition_path": result.partition_path,
+            "schema_hash": result.schema_hash,
+        }
+    )
+
+
 def log_manifest(registry: Registry, path: str, run_id: str) -> str:
     """Hash the files of a run where they lie, log them, return their checksum.
 
@@ -183,26 +208,23 @@ def discard_staging(spark: SparkSession, base: str, staging: str) -> None:
         fs.delete(parent, False)
 
 
-def _source_changed(spark: SparkSession, cfg: IngestionConfig, path: str) -> bool:
-    """Whether the source now holds other rows than the recorded run.
+def _source_changes(spark: SparkSession, cfg: IngestionConfig, path: str) -> dict[str, int] | None:
+    """How many rows the source has more, less and changed against the recorded run.
 
-    Compares order-free content digests (sum of row SHA-256 prefixes, see
-    operators/digest.py) of the source typed under the contract and of the
-    stored run: two aggregates, one row each. A source that no longer reads
-    or passes the gate counts as changed.
+    Compares the source typed under the contract with the stored rows by a hash
+    tree (operators/changes.py), so a source that is equal costs one aggregate.
+    None for a source that no longer reads, or has another header: all of it
+    counts as changed.
     """
     try:
         headers = read_headers(spark, cfg.source_path)
     except Exception:  # noqa: BLE001 - an unreadable source is a changed source
-        return True
+        return None
     if header_errors(headers, cfg.contract, cfg.strict_columns):
-        return True
+        return None
     names = cfg.contract.names
     new = typed_rows(csv_source(spark, headers, cfg.contract, cfg.multi_line), cfg.contract)
-    old = spark.read.parquet(path).select(*names)
-    a = content_digest(new, names).first()
-    b = content_digest(old, names).first()
-    return (a["n_rows"], a["digest"]) != (b["n_rows"], b["digest"])
+    return change_counts(spark.read.parquet(path).select(*names), new, names, list(cfg.key_columns))
 
 
 def run_health(spark: SparkSession, registry: Registry, dataset: str, data_path: str, contract: Contract,

@@ -445,6 +445,20 @@ WHERE m.rk = 1 AND e.date <= m.as_of""",
     "digest_documents": _digest("documents", ["doc_id", "text", "lang", "source", "n_chars"], "lang"),
     "digest_conversations": _digest("conversations", ["conv_id", "turn", "role", "text"], "role"),
     "digest_pages": _digest("pages", ["page_id", "url", "html"], None),
+    "row_changes": _with(EVENTS_NULLS) + """,
+edited AS (
+  SELECT event_id, ts, CASE WHEN event_id % 83 = 7 THEN user_id + 1 ELSE user_id END AS user_id, event_type,
+         CASE WHEN event_id % 89 = 3 THEN -value ELSE value END AS value, props
+  FROM ev_nulls WHERE event_id % 97 <> 0),
+newer AS (SELECT * FROM edited UNION ALL SELECT * FROM edited WHERE event_id % 101 = 5),
+came AS (SELECT user_id, count(*) AS n FROM (SELECT * FROM newer EXCEPT ALL SELECT * FROM ev_nulls) GROUP BY user_id),
+went AS (SELECT user_id, count(*) AS n FROM (SELECT * FROM ev_nulls EXCEPT ALL SELECT * FROM newer) GROUP BY user_id)
+SELECT coalesce(c.user_id, w.user_id) AS user_id, coalesce(c.n, 0) - least(coalesce(c.n, 0), coalesce(w.n, 0)) AS n_added,
+       coalesce(w.n, 0) - least(coalesce(c.n, 0), coalesce(w.n, 0)) AS n_removed, least(coalesce(c.n, 0), coalesce(w.n, 0)) AS n_changed
+FROM came c FULL JOIN went w ON c.user_id IS NOT DISTINCT FROM w.user_id""",
+    "ingest_two_writers": """
+SELECT 'rows' AS kind, event_type AS name, count(*) AS n FROM events GROUP BY event_type
+UNION ALL SELECT * FROM (VALUES ('records', 'logged', 1), ('folders', 'runs', 1), ('files', 'not as logged', 0), ('reruns', 'unchanged', 1))""",
     "csv_ingest_events": "SELECT event_id, date_trunc('second', ts) AS ts, user_id, event_type, value, props FROM events",
     # Days that ended a day before the newest event: the windows that are final.
     "stream_daily_volume": "SELECT event_type AS dataset_name, CAST(ts AS DATE) AS day, count(*) AS row_count FROM events "

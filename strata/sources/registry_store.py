@@ -3,8 +3,9 @@
 Tables live under one base directory: ``dataset_registry``,
 ``ingestion_records``, ``health_reports`` and ``file_manifest``. Writers
 only append new files (no row is updated in place), so concurrent writers
-never clobber each other; readers resolve duplicates (first writer wins on
-run_id) and take the latest row per key with aggregates.
+never clobber each other; writers of one run take turns by a claim
+(``claim_run``), readers resolve duplicates (first writer wins on run_id) and
+take the latest row per key with aggregates.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from pyspark.sql.utils import AnalysisException
 
 from strata.model import FRESHNESS_MAX_AGE, HealthStatus
 from strata.session import hadoop_path
+from strata.sources.claims import STALE_AFTER, claim_unless
 from strata.operators.registry import (
     MANIFEST_SCHEMA,
     RECORD_SCHEMA,
@@ -115,6 +117,12 @@ class Registry:
             log = log.where(F.col("dataset_name") == dataset)
         return bool(log.where(F.col("run_id") == run_id).select("run_id").take(1))
 
+    def claim_run(self, run_id: str, dataset: str, stale_after: float = STALE_AFTER) -> str | None:
+        """The marker that lets this writer put a run into place and record it, or
+        None once the run is recorded. Waits while another writer holds it;
+        ``claims.release`` gives it back."""
+        return claim_unless(lambda: self.has_run(run_id, dataset), self.spark, f"{self.base}/run_claims/{run_id}", stale_after)
+
     def record_ingestions(self, incoming: DataFrame) -> None:
         """Insert-if-absent on run_id (anti join against the log, then append)."""
         self.append("ingestion_records", records_to_append(self.table("ingestion_records"), incoming))
