@@ -260,7 +260,7 @@ def _digests(docs: DataFrame, asked: DataFrame) -> DataFrame:
                 row, *rest = (pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True))
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(row), *rest], names=names)
 
-    return joined.mapInArrow(batches, f"doc_id {kind}, tag long, start int, length int, kmer long, chunk long, digest binary").distinct()
+    return joined.mapInArrow(batches, f"doc_id {kind}, tag long, start int, length int, kmer long, chunk long, digest binary")
 
 
 def remove_repeats(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
