@@ -283,17 +283,20 @@ def remove_repeats(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", te
     ).withColumnsRenamed({"doc_id": "removed_id", "tag": "removed_tag"})
     text = quoted(text_col).cast("binary")
     rows = docs.select(
-        F.struct(*[quoted(c).alias(c) for c in docs.columns]).alias("row"), quoted(id_col).alias("doc_id"), text.alias("text"),
+        F.struct(*[quoted(c).alias(c) for c in docs.columns]).alias("row"), quoted(id_col).alias("doc_id"),
         F.xxhash64(F.coalesce(text, F.lit(b""))).alias("tag"),
     )
     same = F.col("doc_id").eqNullSafe(F.col("removed_id")) & (F.col("tag") == F.col("removed_tag"))
-    joined = rows.join(per_doc, same, "left").select("row", "text", "spans")
+    # The text travels once, inside its row; tasks take it from there.
+    joined = rows.join(per_doc, same, "left").select("row", "spans")
+    place = docs.columns.index(text_col)
     schema = rows.select("row").schema.add("n_words", "long").add("n_removed", "long").add("kept", "binary")
 
     def batches(it):
         for batch in it:
             n_words, n_removed, kept = [], [], []
-            for text, spans in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+            texts = batch.column(0).field(place).cast(pa.binary())
+            for text, spans in zip(texts.to_pylist(), batch.column(1).to_pylist(), strict=True):
                 words = (text or b"").split()
                 n_words.append(len(words))
                 if spans:
