@@ -7,9 +7,11 @@ import bisect
 import math
 import random
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.functions import array_to_vector
@@ -32,14 +34,18 @@ _CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 
 
+_DOUBLED = bytes.maketrans(b"0123456789", b"0246813579")
+_DIGITS = re.compile("[0-9]+")
+
+
 def luhn(digits: str) -> bool:
     """The card number check: every second digit from the right doubled."""
-    doubled = [2 * int(d) - 9 * (d > "4") for d in digits[-2::-2]]
-    return (sum(doubled) + sum(map(int, digits[-1::-2]))) % 10 == 0
+    d = digits.encode()
+    return (sum(d[-2::-2].translate(_DOUBLED)) + sum(d[-1::-2]) - 48 * len(d)) % 10 == 0
 
 
 def _digits(s: str) -> str:
-    return "".join(c for c in s if "0" <= c <= "9")
+    return "".join(_DIGITS.findall(s))
 
 
 def emails(text: str) -> Iterator[Span]:
@@ -61,6 +67,8 @@ def base_spans(text: str) -> list[Span]:
     """Leftmost non-overlapping matches per kind that pass their kind's check,
     by start, then kind; matches that fail are dropped and not searched again."""
     out = list(emails(text))
+    if not _DIGITS.search(text):
+        return out
     for m in _IP.finditer(text):
         if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split(".")):
             out.append((m.start(), m.end(), "ip"))
@@ -99,6 +107,8 @@ _GENERATORS = {
 }
 # Without any of these no generator can match.
 _HINT = re.compile(r"[0-9@]| at |at[\])}]")
+# Each address has one of these.
+_MAIL_HINTS = ("@", " at ", "at]", "at)", "at}", "at ]", "at )", "at }")
 _CUES = {
     "phone": ("phone", "tel", "call", "fax", "mobile", "contact"),
     "card": ("card", "visa", "credit", "payment", "account"),
@@ -113,37 +123,44 @@ SCORE_BINS = 1000
 def candidates(text: str) -> list[Span]:
     if not _HINT.search(text):
         return []
-    return sorted({(m.start(), m.end(), k) for k, found in _GENERATORS.items() for g in found for m in g.finditer(text)})
+    digit = _DIGITS.search(text) is not None
+    may = {"phone": digit, "card": digit, "ip": digit or ":" in text, "email": any(h in text for h in _MAIL_HINTS)}
+    return sorted({(m.start(), m.end(), k) for k, found in _GENERATORS.items() if may[k] for g in found for m in g.finditer(text)})
 
 
-def features(text: str, span: Span) -> list[float]:
-    """Format of the span and what stands around it."""
+_AT, _DOT = re.compile(r"\bat\b"), re.compile(r"\bdot\b")
+
+
+def features(text: str, span: Span) -> list[int]:
+    """Format of the span and what stands around it: whole numbers."""
     a, b, kind = span
     s = text[a:b]
-    digits, groups = _digits(s), re.findall(r"[0-9]+", s)
-    before, after = text[max(0, a - 24) : a].lower(), text[b : b + 8]
-    parts = [int(g) for g in groups if len(g) <= 4]
+    groups = _DIGITS.findall(s)
+    digits, sizes = "".join(groups), [len(g) for g in groups] or [0]
+    before, after = text[max(0, a - 24) : a].lower(), text[b : b + 1]
+    cued = False
+    for c in _CUES[kind]:
+        if c in before:
+            cued = True
     return [
-        *(float(kind == k) for k in KINDS),
-        float(len(s)), float(len(digits)), float(len(groups)),
-        float(max(map(len, groups), default=0)), float(min(map(len, groups), default=0)),
-        float(len(groups[0]) if groups else 0), float(len(groups[-1]) if groups else 0),
-        float(s.startswith("+")), float(s.startswith("00")), float("(" in s),
-        float(s.count(" ")), float(s.count(".")), float(s.count("-") + s.count("/")), float(s.count(":")),
-        float(bool(digits) and luhn(digits)),
-        float(len(groups) == 4 and len(parts) == 4 and max(parts) <= 255),
-        float("@" in s), float(bool(re.search(r"\bat\b", s))), float(bool(re.search(r"\bdot\b", s))),
-        float(any(c in before for c in _CUES[kind])),
-        float(bool(_DATE.search(s))),
-        float(after[:1].isalnum() or before[-1:].isalnum()),
+        kind == "email", kind == "ip", kind == "card", kind == "phone",
+        len(s), len(digits), len(groups), max(sizes), min(sizes), sizes[0], sizes[-1],
+        s.startswith("+"), s.startswith("00"), "(" in s,
+        s.count(" "), s.count("."), s.count("-") + s.count("/"), s.count(":"),
+        digits != "" and luhn(digits),
+        len(groups) == 4 and max(sizes) <= 4 and max(map(int, groups)) <= 255,
+        "@" in s, "at" in s and bool(_AT.search(s)), "dot" in s and bool(_DOT.search(s)),
+        cued,
+        len(digits) >= 6 and bool(_DATE.search(s)),
+        after.isalnum() or before[-1:].isalnum(),
     ]
 
 
 # --- Training -----------------------------------------------------------------
 def _generated(rng: random.Random) -> list[tuple[str, str, int]]:
     """One positive and some near misses per kind: (text of the span, kind, label)."""
-    d = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
-    w = lambda: "".join(rng.choice("abcdefghijklmnoprstuvw") for _ in range(rng.randint(3, 8)))
+    d = lambda n: f"{int(rng.random() * 10**n):0{n}d}"
+    w = lambda: "".join(rng.choices("abcdefghijklmnoprstuvw", k=3 + int(rng.random() * 6)))
     card = rng.choice("3456") + d(14)
     card += next(c for c in "0123456789" if luhn(card + c))
     bad = card[:-1] + rng.choice([c for c in "0123456789" if c != card[-1]])
@@ -184,7 +201,7 @@ def surely_false(span: str, kind: str) -> bool:
     return len(last) < 2 or not (last.isalpha() or "xn--" in span.lower())
 
 
-def _examples(text: str) -> Iterator[tuple[list[float], int]]:
+def _examples(text: str) -> Iterator[tuple[list[int], int]]:
     """Labelled candidates of one text. Its own: those that are base spans are
     positive, those that overlap none and that a rule excludes negative; the
     others may be true and are left out. Generated ones stand between two of
@@ -203,9 +220,9 @@ def _examples(text: str) -> Iterator[tuple[list[float], int]]:
         cue = rng.choice(["", "", rng.choice(_CUES[kind]) + " "])
         left = " ".join(words[max(0, i - 6) : i]) + " " + cue
         made = f"{left}{s} {' '.join(words[i : i + 6])}"
-        own = (len(left), len(left) + len(s), kind)
-        if own in candidates(made):
-            yield features(made, own), label
+        made_span = (len(left), len(left) + len(s), kind)
+        if any((m.start(), m.end()) == made_span[:2] for g in _GENERATORS[kind] for m in g.finditer(made)):
+            yield features(made, made_span), label
 
 
 class Scorer:
@@ -215,7 +232,7 @@ class Scorer:
     def __init__(self, trees: list, weights: list[float], thresholds: dict[str, float]):
         self.trees, self.weights, self.thresholds = trees, weights, thresholds
 
-    def score(self, x: list[float]) -> float:
+    def score(self, x: list[int]) -> float:
         total = 0.0
         for node, weight in zip(self.trees, self.weights, strict=True):
             while isinstance(node, tuple):
@@ -272,45 +289,56 @@ def _tree(node) -> tuple | float:
     return int(split.featureIndex()), float(split.threshold()), _tree(node.leftChild()), _tree(node.rightChild())
 
 
+# An example: its features, and whether it is true.
+_EXAMPLE = f"<{FEATURES + 1}H"
+
+
 def fit(
     docs: DataFrame,
     scratch: Scratch,
     text_col: str = "text",
-    sample_docs: int = 2000,
-    sample_chars: int = 20_000,
+    sample_chars: int | None = None,
     trees: int = 20,
     depth: int = 4,
     precision: float = 0.98,
 ) -> Scorer | None:
-    """Train on the candidates of a bounded, deterministic sample: about
-    ``sample_docs`` different texts, chosen by a hash of the text, copies counting
-    once; of one longer than ``sample_chars`` characters a stretch of that many,
-    at a place that the hash gives. Two thirds train the trees; on the rest each
-    kind's threshold is set: the lowest score (to 1/``SCORE_BINS``) from which on
-    ``precision`` of the candidates are true (none reaching it: no candidate of
-    the kind is taken). Nothing to sample: None."""
-    texts = docs.select(quoted(text_col).alias("text")).where(F.char_length("text") >= 1).withColumn("code", F.xxhash64("text"))
-    n = texts.agg(F.approx_count_distinct("code")).first()[0]
-    if not n:
-        return None
-    buckets = 1 << 24
-    drawn = texts.where(F.pmod("code", F.lit(buckets)) < min(buckets, -(-sample_docs * buckets // n)))
-    at = F.pmod(F.col("code"), F.greatest(F.char_length("text") - sample_chars, F.lit(0)).cast("long") + 1).cast("int") + 1
-    sample = drawn.select("code", F.substring(F.col("text"), at, F.lit(sample_chars)).alias("text")).dropDuplicates(["code"]).select("text")
+    """Train on the candidates of every text, whole; copies count once, as their
+    hash has it. (A caller may have but a stretch of ``sample_chars`` characters
+    read of longer texts, at a place that the hash gives.) Two thirds of the texts,
+    by another hash, train the trees; on the rest each kind's threshold is set: the
+    lowest score (to 1/``SCORE_BINS``) from which on ``precision`` of the candidates
+    are true (none reaching it: no candidate of the kind is taken). Examples that
+    are alike are one row, weighted by their number. No examples: None."""
+    texts = docs.select(quoted(text_col).alias("text")).where(F.char_length("text") >= 1).select(F.xxhash64("text").alias("code"), "text")
+    if sample_chars:
+        at = F.pmod("code", F.greatest(F.char_length("text") - sample_chars, F.lit(0)).cast("long") + 1).cast("int") + 1
+        texts = texts.select("code", F.substring(F.col("text"), at, F.lit(sample_chars)).alias("text"))
 
     def examples(batch):
-        made = [(x, y, zlib.crc32(t.encode("utf-8", "replace")) % 3 == 0) for t in batch.column(0).to_pylist() for x, y in _examples(t)]
-        x, y, c = zip(*made, strict=True) if made else ((), (), ())
-        yield pa.RecordBatch.from_arrays([pa.array(x, pa.list_(pa.float64())), pa.array(y, pa.float64()), pa.array(c, pa.bool_())], names=["x", "label", "calibrate"])
-
-    schema = "x array<double>, label double, calibrate boolean"
-    labelled = scratch.put(sample.mapInArrow(bounded(examples, 0), schema), "labelled")
-    # The sample is small and the trees pass over it many times: a few tasks do.
-    few = labelled.coalesce(4)
-    train = few.where("not calibrate").select("label", array_to_vector("x").alias("features"))
-    if train.select("label").distinct().count() < 2:
+        held, made = [], []
+        for text in batch.column(1).to_pylist():
+            held.append(zlib.crc32(text.encode("utf-8", "replace")) % 3 == 0)
+            made.append([struct.pack(_EXAMPLE, *x, y) for x, y in _examples(text)])
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(held, pa.bool_()), pa.array(made, pa.list_(pa.binary()))], names=["code", "calibrate", "made"])
+
+    def unpacked(it):
+        for batch in it:
+            table = np.array(list(struct.iter_unpack(_EXAMPLE, b"".join(batch.column(0).to_pylist()))), np.float64).reshape(-1, FEATURES + 1)
+            x = pa.array(list(table[:, :FEATURES]), pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays([x, pa.array(table[:, FEATURES]), *batch.columns[1:]], names=["x", "label", "calibrate", "n"])
+
+    of_text = texts.mapInArrow(bounded(examples), "code long, calibrate boolean, made array<binary>").dropDuplicates(["code"])
+    alike = of_text.select("calibrate", F.explode("made").alias("made")).groupBy("made", "calibrate").agg(F.count("*").cast("double").alias("n"))
+    labelled = scratch.put(alike.mapInArrow(unpacked, "x array<double>, label double, calibrate boolean, n double"), "labelled")
+    sizes = {r["label"]: r["m"] for r in labelled.where("not calibrate").groupBy("label").agg(F.count("*").alias("m")).collect()}
+    if len(sizes) < 2:
         return None
-    model = GBTClassifier(maxIter=trees, maxDepth=depth, stepSize=0.3, seed=7).fit(train)
+    # Unlike examples are few, and the trees pass over them many times: a few tasks do.
+    rows = sum(sizes.values())
+    train = labelled.where("not calibrate").coalesce(max(4, rows // 50_000)).select("label", "n", array_to_vector("x").alias("features"))
+    # With this many bins every value of a feature may split, and none is drawn for.
+    bins = max(32, math.isqrt(rows) + 1)
+    model = GBTClassifier(maxIter=trees, maxDepth=depth, maxBins=bins, stepSize=0.3, seed=7, weightCol="n").fit(train)
     scorer = Scorer([_tree(t._call_java("rootNode")) for t in model.trees], list(model.treeWeights), {})
 
     def scores(it):
@@ -318,13 +346,13 @@ def fit(
             rows = batch.column(0).to_pylist()
             kinds = [x.index(1.0) for x in rows]
             bins = [math.floor(scorer.score(x) * SCORE_BINS) for x in rows]
-            yield pa.RecordBatch.from_arrays([pa.array(kinds, pa.int32()), pa.array(bins, pa.int32()), batch.column(1)], names=["kind", "bin", "label"])
+            yield pa.RecordBatch.from_arrays([pa.array(kinds, pa.int32()), pa.array(bins, pa.int32()), *batch.columns[1:]], names=["kind", "bin", "label", "n"])
 
     # One row for each kind and score that occurs: boosted scores have a small range.
-    binned = labelled.where("calibrate").select("x", "label").mapInArrow(scores, "kind int, bin int, label double")
-    found = binned.groupBy("kind", "bin").agg(F.count("*").alias("n"), F.sum("label").alias("true")).collect()
+    binned = labelled.where("calibrate").select("x", "label", "n").mapInArrow(scores, "kind int, bin int, label double, n double")
+    found = binned.groupBy("kind", "bin").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("label")).alias("true")).collect()
     for k, kind in enumerate(KINDS):
-        scorer.thresholds[kind], all_, true = float("inf"), 0, 0.0
+        scorer.thresholds[kind], all_, true = float("inf"), 0.0, 0.0
         for r in sorted((r for r in found if r["kind"] == k), key=lambda r: -r["bin"]):
             all_, true = all_ + r["n"], true + r["true"]
             if r["bin"] >= 0 and true >= precision * all_:

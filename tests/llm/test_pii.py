@@ -1,6 +1,7 @@
 import random
 import re
 import time
+import zlib
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -119,3 +120,26 @@ def test_longer_texts_than_the_sample_takes_are_learned_from(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     scorer = pii.fit(docs, Scratch(spark, "p"), sample_chars=300, trees=3, depth=2)
     assert scorer is not None and set(scorer.thresholds) == set(pii.KINDS)
+
+
+def test_every_text_is_learned_from_whole(spark):
+    """The examples are those of all different texts, long ones to their end, copies once."""
+    seen = []
+
+    class Kept(Scratch):
+        def put(self, df, name):
+            out = super().put(df, name)
+            seen.extend(out.collect())
+            return out
+
+    filler = "alpha beta gamma delta 12.34 omega " * 1500
+    texts = [filler + f"mail a{i}@b.com or +1 555 123 45{i:02}" for i in range(3)] + [f"call {i} on 2024-05-17" for i in range(40)]
+    rows = [(t,) for t in texts] + [(texts[0],)] * 30 + [(None,), ("",)]
+    pii.fit(spark.createDataFrame(rows, "text string").repartition(5), Kept(spark, "t9"), trees=1, depth=1)
+    want = {}
+    for t in texts:
+        for x, y in pii._examples(t):
+            key = (zlib.crc32(t.encode()) % 3 == 0, tuple(map(float, x)), float(y))
+            want[key] = want.get(key, 0) + 1
+    assert {(r.calibrate, tuple(r.x), r.label): r.n for r in seen} == want and len(seen) == len(want)
+    assert sum(n for (_, x, y), n in want.items() if x[0] and y and x[20] and x[14] == 0) >= 3
