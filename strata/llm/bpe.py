@@ -20,20 +20,20 @@ from pyspark.sql import types as T
 
 from strata.llm.common import quoted
 
-# Words and bytes of words that one recursive query takes, tokens that one
-# decoding query takes: with DuckDB's own limit, what bounds the memory.
+# Words and bytes of words that one recursive query takes, tokens that are
+# decoded at a time: with DuckDB's own limit, what bounds the memory.
 QUERY_WORDS, QUERY_BYTES, QUERY_TOKENS = 60_000, 1_000_000, 500_000
 DATABASE = {"threads": 1, "memory_limit": "200MB"}
-# Encoded words, and stretches of text, that a worker remembers; the memory is
-# emptied when full. Characters of text that it works on at a time.
+# Encoded words, and stretches of text, that a worker remembers; when full, the
+# memory keeps those just met. Characters of text that it works on at a time.
 CACHE_WORDS = 300_000
-SLICE_CHARS = 1_000_000
+SLICE_CHARS = 2_000_000
 # The rows of the recursion grow with the square of a word's length. Longer
 # words (none in ordinary text) are merged by a heap in the same order.
 LONG_WORD = 256
 
 _TABLES = """
-    CREATE TABLE vocabulary AS SELECT id, token, hex(token) AS code FROM ranks;
+    CREATE TABLE vocabulary AS SELECT id, token FROM ranks;
     -- Every way in which two tokens make a third.
     CREATE TABLE merges AS
         WITH cut AS (
@@ -71,7 +71,7 @@ _ENCODE = """
     SELECT place, token FROM state JOIN last ON last.word = place >> 24 AND last.step = state.step ORDER BY place
 """
 
-_DECODE = "SELECT part, string_agg(code, '' ORDER BY pos) AS body FROM tokens JOIN vocabulary USING (id) GROUP BY part"
+_DECODE = "SELECT id, token FROM wanted JOIN vocabulary USING (id)"
 
 
 _OTHER_BLANKS = re.compile(r" \s|\s ")
@@ -112,20 +112,42 @@ class DuckBpe:
         self.db.unregister("ranks")
         self.known: dict[str, bytes] = {}  # ids of words (matches of the pattern)
         self.stretches: dict[str, bytes] = {}  # ids of stretches between blanks
+        self.bodies: dict[int, bytes] = {}  # bytes of ids
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, little-endian unsigned 32-bit."""
-        if len(self.known) > CACHE_WORDS:
-            self.known.clear()
-        if len(self.stretches) > CACHE_WORDS:
-            self.stretches.clear()
         cut = [_stretches(t) for t in texts]
-        new = {s: self.split(s) for s in {s for ss in cut for s in ss} - self.stretches.keys()}
-        self._learn({w for words in new.values() for w in words} - self.known.keys())
-        for s, words in new.items():
-            self.stretches[s] = b"".join(map(self.known.__getitem__, words))
+        met = set().union(*cut)
+        if len(self.stretches) > CACHE_WORDS:
+            self.stretches = {s: self.stretches[s] for s in met if s in self.stretches}
+        new = self._words(met.difference(self.stretches))
+        words = {w for ws in new.values() for w in ws}
+        if len(self.known) > CACHE_WORDS:
+            self.known = {w: self.known[w] for w in words if w in self.known}
+        self._learn(words.difference(self.known))
+        for s, ws in new.items():
+            self.stretches[s] = self.known[ws[0]] if len(ws) == 1 else b"".join([self.known[w] for w in ws])
         return [b"".join(map(self.stretches.__getitem__, ss)) for ss in cut]
 
+    def _words(self, stretches: set[str]) -> dict[str, list[str]]:
+        """The words of each stretch. Those that begin with their only blank,
+        between characters that are no white space, are split in one go: where
+        one follows another, a new match begins, and no other has a blank."""
+        plain, out = [], {}
+        for s in stretches:
+            if s.rfind(" ") == 0 and len(s) > 1 and not s[1].isspace() and not s[-1].isspace():
+                plain.append(s)
+            else:
+                out[s] = self.split(s)
+        found: list[list[str]] = []
+        for w in self.split("".join(plain)):
+            if w[0] == " ":
+                found.append([w])
+            else:
+                found[-1].append(w)
+        out.update(zip(plain, found, strict=True))
+        return out
+
     def _learn(self, words: set[str]) -> None:
         block: list[tuple[str, bytes]] = []
         size = 0
@@ -187,25 +209,20 @@ class DuckBpe:
 
     def decode(self, texts: list[bytes]) -> list[bytes]:
         """The bytes of ids as ``encode`` gives them."""
-        parts = [(k, np.frombuffer(t, "<u4")[a : a + QUERY_TOKENS]) for k, t in enumerate(texts) for a in range(0, len(t) // 4, QUERY_TOKENS)]
-        out: list[list[bytes]] = [[] for _ in texts]
-        block: list[tuple[int, np.ndarray]] = []
-        for part in [*parts, None]:
-            if block and (part is None or sum(len(ids) for _, ids in block) + len(part[1]) > QUERY_TOKENS):
-                for (k, _), body in zip(block, self._decode_block([ids for _, ids in block]), strict=True):
-                    out[k].append(body)
-                block = []
-            block.append(part)
-        return [b"".join(x) for x in out]
-
-    def _decode_block(self, parts: list[np.ndarray]) -> list[bytes]:
-        sizes = [len(p) for p in parts]
-        ids = np.concatenate(parts).astype(np.int64)
-        tokens = pa.table({"part": np.repeat(np.arange(len(parts)), sizes), "pos": np.arange(len(ids)), "id": ids})
-        self.db.register("tokens", tokens)
-        found = self.db.sql(_DECODE).to_arrow_table().to_pydict()
-        body = dict(zip(found["part"], found["body"], strict=True))
-        return [bytes.fromhex(body[k]) for k in range(len(parts))]
+        whole = b"".join(texts)
+        for a in range(0, len(whole), 4 * QUERY_TOKENS):
+            ids = np.unique(np.frombuffer(whole[a : a + 4 * QUERY_TOKENS], "<u4"))
+            self._look_up(set(ids.tolist()).difference(self.bodies))
+        return [b"".join(map(self.bodies.__getitem__, np.frombuffer(t, "<u4").tolist())) for t in texts]
+
+    def _look_up(self, ids: set[int]) -> None:
+        """The bytes of ids, once each; none for an id that the vocabulary lacks."""
+        if not ids:
+            return
+        self.db.register("wanted", pa.table({"id": pa.array(ids, pa.int64())}))
+        found = self.db.sql(_DECODE).to_arrow_table()
+        self.bodies.update(dict.fromkeys(ids, b""))
+        self.bodies.update(zip(found["id"].to_pylist(), found["token"].to_pylist(), strict=True))
 
 
 @functools.lru_cache(maxsize=1)

@@ -61,3 +61,31 @@ def test_frames_with_nulls_repeats_and_clashing_columns(spark):
     assert sorted(map(key, round_trip(df).collect())) == sorted(map(key, out))
     assert sorted((r.row.ids or 0, bytes(r.decoded)) for r in out) == [(0, b""), (1, b""), (7, b"a b"), (7, b"a b")]
     assert decode(encode(df.where("false"))).collect() == []
+
+
+def test_words_and_ids_just_met_are_not_asked_for_again(monkeypatch):
+    """A full memory keeps what the texts at hand hold; decoding asks for an id once."""
+    import strata.llm.bpe as m
+
+    monkeypatch.setattr(m, "CACHE_WORDS", 5)
+    own, lib, asked = DuckBpe(*public_ranks()), library(), []
+    honest = own.db
+
+    class Counted:
+        def __getattr__(self, name):
+            asked.append(name)
+            return getattr(honest, name)
+
+    own.db = Counted()
+    text = "zqxv kjwpz vvqza, mmxzq'd wqpzx.\nqqzzk Éxqz " * 3 + "qzv" + " bzzq"
+    ids = own.encode([text])
+    own.decode(ids)
+    asked.clear()
+    assert own.encode([text]) == ids and own.decode(ids) == [text.encode()] and not asked
+    assert [int.from_bytes(ids[0][i : i + 4], "little") for i in range(0, len(ids[0]), 4)] == lib.encode_ordinary(text)
+
+
+def test_stretches_split_in_one_go_equal_the_pattern():
+    own = DuckBpe(*public_ranks())
+    stretches = {s for t in odd_texts() for s in (t, *t.split(" "), *(" " + x for x in t.split(" ")))} | {" 's", " \x1cx", " x\x85", " ​é", " a\nb"}
+    assert own._words(stretches) == {s: own.split(s) for s in stretches}
