@@ -157,15 +157,24 @@ def by_bytes(batch: pa.RecordBatch, column: int, limit: int = BATCH_BYTES) -> It
 
 def bounded(work: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], column: int = 1):
     """A function for ``mapInArrow``: ``work`` on slices of each batch bounded by
-    the bytes of a text column. When its partition ends, the worker gives what it
-    no longer uses back to the system: idle workers wait for the next stage beside
+    the bytes of a text column; see ``released``."""
+
+    def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in it:
+            for part in by_bytes(batch, column):
+                yield from work(part)
+
+    return released(batches)
+
+
+def released(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """A function for ``mapInArrow``. When its partition ends, the worker gives what
+    it no longer uses back to the system: idle workers wait for the next stage beside
     an executor that needs the memory."""
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         try:
-            for batch in it:
-                for part in by_bytes(batch, column):
-                    yield from work(part)
+            yield from work(it)
         finally:
             gc.collect()
             pa.default_memory_pool().release_unused()

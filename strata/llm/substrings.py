@@ -13,12 +13,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from strata.llm.common import Scratch, quoted
+from strata.llm.common import Scratch, bounded, quoted, released
 
 WINDOW, K = 20, 6
 SEGMENT = 4_000_000  # bytes of a text that are split into words at a time
-BLOCK = 1 << 20  # windows of a text that are handled at a time
-DIGESTS = 100_000  # digests of spans and windows that are sent at a time
+BLOCK = 1 << 18  # windows of a text that are handled at a time
+DIGESTS = 20_000  # digests of spans and windows that are sent at a time
 
 _U = np.uint64
 _STEP, _BACK = 0x9E3779B97F4A7C15, pow(0x9E3779B97F4A7C15, -1, 1 << 64)
@@ -102,53 +102,52 @@ def _document_anchors(docs: DataFrame) -> DataFrame:
     that rows which share an id, or have none, but not their text stay apart."""
     fields = [("start", pa.int32()), ("windows", pa.int32()), ("kmer", pa.int64()), ("chunk", pa.int64())]
 
-    def batches(it):
-        for batch in it:
-            rows, tags = [], []
-            pending: list[np.ndarray] = []
-            results: list[tuple[np.ndarray, ...]] = []
-
-            def flush():
-                sizes = np.array([len(w) for w in pending])
-                ends = np.cumsum(sizes)
-                lead, *rest = anchors(np.concatenate(pending), ends)
-                cut = np.searchsorted(lead, ends)
-                for i, (a, b) in enumerate(zip(np.concatenate([[0], cut[:-1]]), cut, strict=True)):
-                    results.append((lead[a:b] - (ends[i] - sizes[i]), *(r[a:b] for r in rest)))
-                pending.clear()
-
-            for i, text in enumerate(batch.column(1).to_pylist()):
-                words = word_hashes(text)
-                if len(words) < WINDOW:
-                    continue
-                rows.append(i)
-                tags.append(tag_of(text))
-                if len(words) <= BLOCK:
-                    pending.append(words)
-                    if sum(map(len, pending)) > BLOCK:
-                        flush()
-                    continue
-                if pending:
+    def batches(batch):
+        rows, tags = [], []
+        pending: list[np.ndarray] = []
+        results: list[tuple[np.ndarray, ...]] = []
+
+        def flush():
+            sizes = np.array([len(w) for w in pending])
+            ends = np.cumsum(sizes)
+            lead, *rest = anchors(np.concatenate(pending), ends)
+            cut = np.searchsorted(lead, ends)
+            for i, (a, b) in enumerate(zip(np.concatenate([[0], cut[:-1]]), cut, strict=True)):
+                results.append((lead[a:b] - (ends[i] - sizes[i]), *(r[a:b] for r in rest)))
+            pending.clear()
+
+        for i, text in enumerate(batch.column(1).to_pylist()):
+            words = word_hashes(text)
+            if len(words) < WINDOW:
+                continue
+            rows.append(i)
+            tags.append(tag_of(text))
+            if len(words) <= BLOCK:
+                pending.append(words)
+                if sum(map(len, pending)) > BLOCK:
                     flush()
-                parts = []
-                for a in range(0, len(words) - WINDOW + 1, BLOCK):
-                    part = words[a : a + BLOCK + WINDOW - 1]
-                    lead, *rest = anchors(part, np.array([len(part)]))
-                    parts.append((lead + a, *rest))
-                results.append(tuple(np.concatenate(x) for x in zip(*parts, strict=True)))
+                continue
             if pending:
                 flush()
-            offsets = np.concatenate([[0], np.cumsum([len(r[0]) for r in results])]).astype(np.int32)
-            columns = [np.concatenate([r[c] for r in results]) if results else np.zeros(0) for c in range(4)]
-            values = [pa.array(columns[c].astype(np.int32)) for c in (0, 1)] + [pa.array(columns[c].astype(_U).view(np.int64)) for c in (2, 3)]
-            found = pa.ListArray.from_arrays(pa.array(offsets), pa.StructArray.from_arrays(values, names=[f[0] for f in fields]))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(rows, pa.int64())), pa.array(tags, pa.int64()), found], names=["doc_id", "tag", "anchors"]
-            )
+            parts = []
+            for a in range(0, len(words) - WINDOW + 1, BLOCK):
+                part = words[a : a + BLOCK + WINDOW - 1]
+                lead, *rest = anchors(part, np.array([len(part)]))
+                parts.append((lead + a, *rest))
+            results.append(tuple(np.concatenate(x) for x in zip(*parts, strict=True)))
+        if pending:
+            flush()
+        offsets = np.concatenate([[0], np.cumsum([len(r[0]) for r in results])]).astype(np.int32)
+        columns = [np.concatenate([r[c] for r in results]) if results else np.zeros(0) for c in range(4)]
+        values = [pa.array(columns[c].astype(np.int32)) for c in (0, 1)] + [pa.array(columns[c].astype(_U).view(np.int64)) for c in (2, 3)]
+        found = pa.ListArray.from_arrays(pa.array(offsets), pa.StructArray.from_arrays(values, names=[f[0] for f in fields]))
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0).take(pa.array(rows, pa.int64())), pa.array(tags, pa.int64()), found], names=["doc_id", "tag", "anchors"]
+        )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, tag long, anchors array<struct<start: int, windows: int, kmer: long, chunk: long>>"
-    return docs.mapInArrow(batches, schema)
+    return docs.mapInArrow(bounded(batches), schema)
 
 
 def removed_spans(docs: DataFrame, scratch: Scratch) -> DataFrame:
@@ -253,14 +252,13 @@ def _digests(docs: DataFrame, asked: DataFrame) -> DataFrame:
                     digest = hashlib.blake2b(b" ".join(words[a : a + size]), digest_size=16).digest()
                     yield i, tag, a, size, s["kmer"], s["chunk"], digest
 
-    def batches(it):
-        for batch in it:
-            found = digests(batch)
-            while out := list(itertools.islice(found, DIGESTS)):
-                row, *rest = (pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True))
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(row), *rest], names=names)
+    def batches(batch):
+        found = digests(batch)
+        while out := list(itertools.islice(found, DIGESTS)):
+            row, *rest = (pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True))
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(row), *rest], names=names)
 
-    return joined.mapInArrow(batches, f"doc_id {kind}, tag long, start int, length int, kmer long, chunk long, digest binary")
+    return joined.mapInArrow(bounded(batches), f"doc_id {kind}, tag long, start int, length int, kmer long, chunk long, digest binary")
 
 
 def remove_repeats(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -310,4 +308,4 @@ def remove_repeats(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", te
                 [batch.column(0), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(kept, pa.binary())], names=schema.names
             )
 
-    return joined.mapInArrow(batches, schema)
+    return joined.mapInArrow(released(batches), schema)

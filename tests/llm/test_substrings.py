@@ -4,6 +4,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import types as T
 
 from strata.llm import substrings
 from strata.llm.common import Scratch
@@ -105,3 +106,19 @@ def test_many_rows_without_id(spark):
     removed = [r.n_removed for r in out if r.row.text != rows[0][1]]
     assert len(out) == 600 and len({r.n_removed for r in out if r.row.text == rows[0][1]}) == 1
     assert sorted(set(removed)) in ([0, 30], [30]) and removed.count(0) <= 1
+
+
+def test_anchors_take_texts_by_their_bytes():
+    """One batch of long texts is worked on, and sent on, a few MB at a time."""
+    import pyarrow as pa
+
+    class Docs:
+        schema = T.StructType().add("doc_id", "long").add("text", "binary")
+
+        def mapInArrow(self, work, schema):
+            return work
+
+    texts = [b"w%d " % i * 200_000 for i in range(12)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(12), pa.int64()), pa.array(texts, pa.binary())], names=["doc_id", "text"])
+    parts = list(substrings._document_anchors(Docs())(iter([batch])))
+    assert len(parts) >= 2 and [i for p in parts for i in p.column(0).to_pylist()] == list(range(12))
